@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cairn.llm import common, packing, store
+from pyspark.sql import functions as F
+
+from cairn.llm import common, packing, simhash, store
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,8 +20,13 @@ def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read_digests(spark, path)
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.groups(spark, common.table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_best_fit_packing": op1_best_fit_packing, "op4_token_store": op4_token_store}
+    return {"op1_best_fit_packing": op1_best_fit_packing, "op4_token_store": op4_token_store, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
