@@ -8,13 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from cairn.llm import common, packing, simhash, store
+from cairn.llm import common, decontaminate, packing, simhash, store
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, common.table(spark, sf_dir, "documents"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlaps(spark, common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
+
+
 def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = store.write_store(spark, common.table(spark, sf_dir, "documents"), common.fresh_path(spark, "store"))
     return store.read_digests(spark, path)
@@ -25,8 +29,17 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+#: Query name -> function; each applies one operator to its whole table.
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_decontamination": op2_decontamination,
+    "op4_token_store": op4_token_store,
+    "op10_simhash": op10_simhash,
+}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_best_fit_packing": op1_best_fit_packing, "op4_token_store": op4_token_store, "op10_simhash": op10_simhash}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
