@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from cairn.llm import common, decontaminate, packing, simhash, store
+from cairn.llm import common, decontaminate, packing, secrets, simhash, store
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read_digests(spark, path)
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(spark, common.table(spark, sf_dir, "documents"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.groups(spark, common.table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -34,6 +38,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_decontamination": op2_decontamination,
     "op4_token_store": op4_token_store,
+    "op6_secret_scan": op6_secret_scan,
     "op10_simhash": op10_simhash,
 }
 
@@ -43,4 +48,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_secret_scan": secrets.oracle()}
