@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from cairn.llm import common, decontaminate, packing, secrets, simhash, store
+from cairn.llm import ann, common, decontaminate, packing, secrets, simhash, store
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlaps(spark, common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
 
 
+def op3_additive_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(spark, common.table(spark, sf_dir, "embeddings"))
+
+
 def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = store.write_store(spark, common.table(spark, sf_dir, "documents"), common.fresh_path(spark, "store"))
     return store.read_digests(spark, path)
@@ -37,6 +41,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_decontamination": op2_decontamination,
+    "op3_additive_ann": op3_additive_ann,
     "op4_token_store": op4_token_store,
     "op6_secret_scan": op6_secret_scan,
     "op10_simhash": op10_simhash,

@@ -38,9 +38,9 @@ from cairn.llm import common, tokens
 
 END_ID = 2
 WINDOW = 16
-#: A cut where these bits of the rolling hash are zero: every 512 ids on average.
-CUT_BITS = 9
-MIN_CHUNK, MAX_CHUNK = 96, 4096
+#: A cut where these bits of the rolling hash are zero: every 1,024 ids on average.
+CUT_BITS = 10
+MIN_CHUNK, MAX_CHUNK = 192, 8192
 KEY_BYTES = 16
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _ZEROS = bytes(4 * MAX_CHUNK)
