@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from cairn.llm import ann, common, decontaminate, packing, secrets, simhash, store
+from cairn.llm import ann, common, decontaminate, langid, packing, secrets, simhash, store
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +32,10 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(spark, common.table(spark, sf_dir, "documents"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(spark, common.table(spark, sf_dir, "documents"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.groups(spark, common.table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -44,6 +48,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_additive_ann": op3_additive_ann,
     "op4_token_store": op4_token_store,
     "op6_secret_scan": op6_secret_scan,
+    "op9_language_id": op9_language_id,
     "op10_simhash": op10_simhash,
 }
 
