@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from cairn.llm import ann, common, decontaminate, langid, packing, secrets, simhash, store
+from cairn.llm import ann, common, decontaminate, langid, packing, pii, secrets, simhash, store
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read_digests(spark, path)
 
 
+def op5_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.surrogates(spark, common.table(spark, sf_dir, "documents"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(spark, common.table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_additive_ann": op3_additive_ann,
     "op4_token_store": op4_token_store,
+    "op5_pii_surrogates": op5_pii_surrogates,
     "op6_secret_scan": op6_secret_scan,
     "op9_language_id": op9_language_id,
     "op10_simhash": op10_simhash,
