@@ -50,3 +50,9 @@ def text_or_empty(column: str = "text"):
 def input_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate; only steers task counts, never results."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+
+
+def without(docs: DataFrame, out: DataFrame, key: str, most: int) -> DataFrame:
+    """``docs`` without the keys in ``out``; those are broadcast if at most ``most`` (counted), else joined by shuffle."""
+    small = out.count() <= most
+    return docs.join(F.broadcast(out) if small else out, key, "left_anti")

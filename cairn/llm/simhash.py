@@ -187,8 +187,14 @@ def groups(spark: SparkSession, docs: DataFrame, *, key: str = "doc_id", text: s
     return rows.join(common.written(spark, each, "components"), "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(spark: SparkSession, docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+def keep_one(spark: SparkSession, docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS, drop_rows: int = 1_000_000) -> DataFrame:
     """The documents, one of each group (its smallest key); rows with a null key stay."""
-    found = groups(spark, docs, key=key, text=text, shingle=shingle, radius=radius)
-    keep = found.filter("doc_id = component_id").select(F.col("doc_id").alias(key)).distinct()
-    return docs.join(keep, key, "left_semi").dropDuplicates([key]).unionByName(docs.filter(F.col(key).isNull()))
+    found = common.written(spark, groups(spark, docs, key=key, text=text, shingle=shingle, radius=radius), "groups")
+    found = found.filter("doc_id is not null")
+    out = found.groupBy(F.col("doc_id").alias(key)).agg(F.min("component_id").alias("least"), F.count("*").alias("n"))
+    gone = out.filter(F.col("least") < F.col(key)).select(key)
+    kept = common.without(docs, gone, key, drop_rows)
+    again = out.filter((F.col("n") > 1) & (F.col("least") == F.col(key))).select(key)  # keys that stand in several rows
+    if again.isEmpty():
+        return kept
+    return common.without(kept, again, key, drop_rows).unionByName(kept.join(again, key, "left_semi").dropDuplicates([key]))
