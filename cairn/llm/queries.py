@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from cairn.llm import ann, common, decontaminate, langid, packing, pii, quality, secrets, simhash, store
+from cairn.llm import ann, common, decontaminate, langid, packing, pii, quality, recount, secrets, simhash, store
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,6 +40,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(spark, common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
 
 
+def op8_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recount.revise(common.table(spark, sf_dir, "documents"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(spark, common.table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_pii_surrogates": op5_pii_surrogates,
     "op6_secret_scan": op6_secret_scan,
     "op7_quality": op7_quality,
+    "op8_edit_counts": op8_edit_counts,
     "op9_language_id": op9_language_id,
     "op10_simhash": op10_simhash,
 }

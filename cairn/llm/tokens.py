@@ -143,3 +143,20 @@ class WordEncoder:
 
     def encode(self, text: str | None) -> np.ndarray:
         return next(self._encode_block([text or ""]))
+
+    def count_many(self, texts: list[str]) -> list[int]:
+        """How many ids each text has."""
+        known, used, get = len(self.index), self.used, self.index.__getitem__
+        found: list[np.ndarray | None] = []
+        for text in texts:
+            if self._plain(text):
+                words = _SPLIT.findall(text.lower())
+                found.append(np.fromiter(map(get, words), dtype=np.int32, count=len(words)))
+            else:
+                found.append(None)
+        if self.index.new:
+            self._learn()
+        counts = [len(self.whole(text)) if at is None else int(self.size[at].sum()) for text, at in zip(texts, found)]
+        if len(self.index) > self.cache_words:
+            self._forget(known, used)
+        return counts
