@@ -1,13 +1,14 @@
 """Quality classifier (operator 7): interpolated modified Kneser-Ney perplexity.
 
-A character 4-gram model for each language is counted over all trusted
-documents (labelled quality 1).  Modified Kneser-Ney uses three discounts for
+A character 4-gram model for each language is counted over the trusted
+documents (labelled quality 1) of four folds of five; the fifth fold, which the
+model has not seen, sets the threshold, so unlabelled text is measured alike.  Modified Kneser-Ney uses three discounts for
 each order, estimated from the counts of counts, continuation counts below the
 highest order, and interpolation down to a uniform distribution.  Every
 distinct 4-gram of the whole corpus is joined with the counts, so its log
 probability is computed once, and a document's perplexity comes from the sum
 over its 4-grams.  A document is kept when its perplexity is at most
-``MARGIN`` times the ``QUANTILE`` of trusted documents in its language.
+``MARGIN`` times the ``QUANTILE`` of that fold's documents in its language.
 
 Text is taken whole: runs of white space are one space, digits are one symbol,
 characters beyond the basic plane are one symbol; three start marks go before.
@@ -23,7 +24,8 @@ Labels are broadcast below ``LABEL_ROWS`` (counted), else joined by shuffle.
 Defined results: null or empty text scores on its end mark alone; a null
 language is a language of its own ("und"); a language without trusted
 documents is scored with all languages' counts ("*") and their quantile; with
-no trusted document at all, perplexity is null and everything is kept; null
+no trusted document to count, perplexity is null and everything is kept, as it
+is when the threshold's fold is empty; null
 keys are carried (never trusted); repeated documents are each scored; repeated
 labels count once, as trusted only if none of them has quality 0; an empty
 table gives an empty result; extra columns are ignored.
@@ -44,6 +46,7 @@ from cairn.llm import common
 ORDER = 4
 QUANTILE = 0.985
 MARGIN = 1.0
+FOLDS = 5
 TABLE_ROWS = 4_000_000
 LABEL_ROWS = 1_000_000
 BLOCK_CHARS = 1 << 20
@@ -161,7 +164,7 @@ def probabilities(spark: SparkSession, gathered: DataFrame) -> DataFrame:
 
 
 def trusted_ids(labels: DataFrame, key: str = "doc_id") -> DataFrame:
-    return labels.filter(F.col(key).isNotNull()).groupBy(F.col(key).cast("long").alias("doc_id")).agg(F.min("quality").alias("q")).filter("q = 1").select("doc_id", F.lit(True).alias("trusted"))
+    return labels.filter(F.col(key).isNotNull()).groupBy(F.col(key).cast("long").alias("doc_id")).agg(F.min("quality").alias("q")).filter("q = 1").select("doc_id", (F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)) != 0).alias("trusted"))
 
 
 class _Table:
@@ -185,7 +188,10 @@ class _Table:
 
 
 def _score(spark: SparkSession, base: DataFrame, table: DataFrame, langs: list[str], table_rows: int) -> DataFrame:
-    """(row, doc_id, lang, trusted, total, n) for every document: its log probability and number of 4-grams."""
+    """(row, doc_id, lang, trusted, total, n) for every document: its log probability and number of 4-grams.
+
+    ``trusted``: true for the model's fold, false for the threshold's, null for the rest.
+    """
     schema = "row long, doc_id long, lang string, trusted boolean, total double, n long"
     names = [x.split()[0] for x in schema.split(", ")]
     if table.count() <= table_rows:
@@ -216,8 +222,8 @@ def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, *, key: st
     trusted = common.written(spark, trusted_ids(labels), "trusted-ids")
     small = trusted.count() <= label_rows
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).cast("string").alias("text"))
-    base = rows.join(F.broadcast(trusted) if small else trusted, "doc_id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(False)))
-    gathered = common.written(spark, gather(base), "gathered")
+    base = rows.join(F.broadcast(trusted) if small else trusted, "doc_id", "left")  # trusted: null if not labelled so
+    gathered = common.written(spark, gather(base.withColumn("trusted", F.coalesce("trusted", F.lit(False)))), "gathered")
     langs = [r["lang"] for r in gathered.filter("c > 0").select("lang").distinct().collect()]  # a row per language
     if not langs:
         null = F.lit(None).cast("double")
@@ -225,12 +231,12 @@ def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, *, key: st
     table = common.written(spark, probabilities(spark, gathered), "probabilities")
     scored = _score(spark, base.withColumn("row", F.monotonically_increasing_id()), table, langs, table_rows)
     scored = common.written(spark, scored.select("doc_id", "lang", "trusted", F.exp(-F.col("total") / F.col("n")).alias("perplexity")), "scored")
-    good = scored.filter("trusted")
+    good = scored.filter("NOT trusted")
     at = F.percentile_approx("perplexity", quantile, 10_000)
     limits = good.groupBy("lang").agg((at * margin).alias("own"))
     overall = good.agg((at * margin).alias("threshold")).first()["threshold"]
-    judged = scored.join(F.broadcast(limits), "lang", "left").withColumn("threshold", F.coalesce("own", F.lit(overall)))  # a row per language
-    return judged.select("doc_id", "lang", "perplexity", "threshold", (F.col("perplexity") <= F.col("threshold")).alias("keep"))
+    judged = scored.join(F.broadcast(limits), "lang", "left").withColumn("threshold", F.coalesce("own", F.lit(overall).cast("double")))  # a row per language
+    return judged.select("doc_id", "lang", "perplexity", "threshold", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)).alias("keep"))
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", drop_rows: int = LABEL_ROWS, **options) -> DataFrame:
