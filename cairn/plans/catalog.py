@@ -1,17 +1,22 @@
-"""Registry of the engine's queries and their independent SQL forms."""
+"""The engine's queries and their independent SQL forms."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cairn.plans import composite, relational
+from cairn.plans.registry import ORACLES, QUERIES
+
+_MODULES = (relational, composite)
+
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    return QUERIES["op_K17_index_events"](spark, sf_dir)
 
 
 def queries():
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql():
-    return {}
+    return dict(ORACLES)
