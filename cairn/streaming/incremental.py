@@ -37,7 +37,7 @@ def members(stream: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def keep_first(stream: DataFrame, key: str, order: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """The earliest row of each key so far; a row is emitted when a key's earliest changes (update mode)."""
-    fields = [f for f in stream.schema.fields if f.name in columns]
+    fields = [stream.schema[c] for c in columns]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
 
     def step(_key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
