@@ -18,7 +18,8 @@ DEFAULT_VOCAB = "word_bpe_49k.json"
 
 #: Characters whose lower-casing, composition and classes are the same in both engines.
 _PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-\xa9\xab-\xac\xae-\xb1\xb4\xb6-\xb8\xbb\xbf-\xff]*")
-_SPLIT = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
+#: The file's pre-token pattern, for lower-cased texts of those characters.
+_SPLIT = re.compile(r"[a-zß-öø-ÿ]+|\d|'(?:s|t|re|ve|m|ll|d)|[^\sa-zß-öø-ÿ\d]+")
 
 _ENCODERS: dict[tuple[str, int], "WordEncoder"] = {}
 
@@ -29,7 +30,7 @@ def vocab_path(name: str = DEFAULT_VOCAB) -> str:
     return public_tokenizers.path(name)
 
 
-def encoder(path: str, cache_words: int = 700_000) -> "WordEncoder":
+def encoder(path: str, cache_words: int = 250_000) -> "WordEncoder":
     """The Python worker's encoder for that file, loaded once."""
     key = (path, cache_words)
     if key not in _ENCODERS:
@@ -53,9 +54,9 @@ class WordEncoder:
     """Ids of whole texts as unsigned 32-bit arrays, as ``encode(text, add_special_tokens=False)``."""
 
     #: Characters that are split before their new words are encoded in one call.
-    BLOCK_CHARS = 4_000_000
+    BLOCK_CHARS = 1_000_000
 
-    def __init__(self, path: str, cache_words: int = 700_000):
+    def __init__(self, path: str, cache_words: int = 250_000):
         from tokenizers import Tokenizer
 
         self.raw = Tokenizer.from_file(path)
@@ -78,7 +79,9 @@ class WordEncoder:
 
     def _pieces(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Flat ids of the words, and where each word's begin and how many there are."""
-        ids = self.whole(" ".join(words))
+        runs = [" ".join(words[i : i + 2000]) for i in range(0, len(words), 2000)]
+        parts = [self.raw.encode_batch_fast([run], add_special_tokens=False)[0].ids for run in runs]
+        ids = np.concatenate([np.asarray(part, dtype=np.uint32) for part in parts])
         last = np.flatnonzero(self.ends[ids]) + 1
         if len(last) != len(words):  # a word that the library splits otherwise: one by one
             each = [self.whole(w) for w in words]
