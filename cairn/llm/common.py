@@ -56,3 +56,19 @@ def without(docs: DataFrame, out: DataFrame, key: str, most: int) -> DataFrame:
     """``docs`` without the keys in ``out``; those are broadcast if at most ``most`` (counted), else joined by shuffle."""
     small = out.count() <= most
     return docs.join(F.broadcast(out) if small else out, key, "left_anti")
+
+
+def sliced(batches, column, most: int = 4 << 20):
+    """The same rows in batches of about ``most`` bytes of ``column``, so that a task's working memory is bounded."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        if batch.num_rows < 2 or batch.column(column).nbytes <= most:
+            yield batch
+            continue
+        size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype("int64")
+        part = np.cumsum(size) // most
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+        for a, z in zip(cuts, cuts[1:]):
+            yield batch.slice(a, z - a)

@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cairn.llm import common
+
 MIN_MATCH = 5
 COVERAGE = 0.6
 BLOCK_BYTES = 16 << 20
@@ -179,7 +181,7 @@ def overlaps(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, *, key:
     for shared in _blocks(spark, benchmark, item_key, item_text, min_match, block_bytes):
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in common.sliced(batches, 1):
                 rows = []
                 for doc, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                     for item, n, covered, tiles in shared.value.meet(body):
@@ -197,7 +199,7 @@ def clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, *, text: s
     for shared in _blocks(spark, benchmark, item_key, item_text, min_match, block_bytes):
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared, at=docs.columns.index(text)) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in common.sliced(batches, at):
                 keep = [not any(covered >= coverage * n for _, n, covered, _ in shared.value.meet(body)) for body in batch.column(at).to_pylist()]
                 yield batch if all(keep) else batch.filter(pa.array(keep, pa.bool_()))
 

@@ -166,7 +166,7 @@ def predict(spark: SparkSession, docs: DataFrame, model: Hierarchy | None, *, ke
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
+        for batch in common.sliced(batches, 2):
             found = [model.predict(x) if model is not None and (x := features(t)) is not None else ("und", 0.0) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([a for a, _ in found], pa.string()), pa.array([b for _, b in found], pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
 

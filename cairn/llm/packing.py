@@ -88,7 +88,7 @@ def tokenize_pieces(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = tokens.encoder(path)
-        for batch in batches:
+        for batch in common.sliced(batches, 1):
             rows: list[list] = [[] for _ in range(6)]
             for doc, ids in zip(batch.column(0).to_pylist(), enc.encode_many(batch.column(1).to_pylist())):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")

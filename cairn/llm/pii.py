@@ -304,7 +304,7 @@ def pseudonymise(docs: DataFrame, *, key: bytes = DEFAULT_KEY, text: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = _surrogates(key)
-        for batch in batches:
+        for batch in common.sliced(batches, at):
             done = [(None, []) if t is None else made.replace(t) for t in batch.column(at).to_pylist()]
             columns = list(batch.columns)
             columns[at] = pa.array([t for t, _ in done], batch.schema.field(at).type)

@@ -107,7 +107,7 @@ def gather(docs: DataFrame) -> DataFrame:
                 counts.add(lang, np.concatenate(keys), trusted)
             waiting.clear()
 
-        for batch in batches:
+        for batch in common.sliced(batches, 1):
             for lang, text, trusted in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 keys = keys_of(text)
                 waiting.setdefault((lang, trusted), []).append(keys)
@@ -198,14 +198,14 @@ def _score(spark: SparkSession, base: DataFrame, table: DataFrame, langs: list[s
         shared = spark.sparkContext.broadcast(_Table(table.toArrow()))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in common.sliced(batches, 4):
                 found = [shared.value.score(lang, t) for lang, t in zip(batch.column(2).to_pylist(), batch.column(4).to_pylist())]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array([a for a, _ in found], pa.float64()), pa.array([n for _, n in found], pa.int64())], names)
 
         return base.select("row", "doc_id", "lang", "trusted", "text").mapInArrow(run, schema)
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in common.sliced(batches, 4):
             for row, doc, lang, trusted, text in zip(*(batch.column(i).to_pylist() for i in range(5))):
                 u, n = np.unique(keys_of(text), return_counts=True)
                 cells = [pa.array([v] * len(u), t) for v, t in ((row, pa.int64()), (doc, pa.int64()), (lang, pa.string()), (trusted, pa.bool_()))]

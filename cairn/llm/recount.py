@@ -124,7 +124,7 @@ def build(docs: DataFrame, *, key: str = "doc_id", text: str = "text", tokenizer
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = tokens.encoder(path)
-        for batch in batches:
+        for batch in common.sliced(batches, 1):
             trees = [_tree(enc, t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([t.chars[t.size : t.size + len(t.leaves)] for t in trees], pa.list_(pa.int32())), pa.array([t.tokens[t.size : t.size + len(t.leaves)] for t in trees], pa.list_(pa.int32())), pa.array([t.n_tokens for t in trees], pa.int64())],
@@ -145,7 +145,7 @@ def apply_edits(docs: DataFrame, trees: DataFrame, edits: DataFrame, *, key: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = tokens.encoder(path)
-        for batch in batches:
+        for batch in common.sliced(batches, "text"):
             out: list[list] = [[] for _ in range(6)]
             for doc, body, todo, chars, counts in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "edits", "leaf_chars", "leaf_tokens"))):
                 leaves, at = [], 0
@@ -182,7 +182,7 @@ def revise(docs: DataFrame, edits_of: Callable[[str], list[Edit]] = spread_edits
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = tokens.encoder(path)
-        for batch in batches:
+        for batch in common.sliced(batches, 1):
             rows = []
             for doc, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 tree = _tree(enc, body)

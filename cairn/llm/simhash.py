@@ -63,7 +63,7 @@ def fingerprints(docs: DataFrame, *, key: str = "doc_id", text: str = "text", sh
     """(doc_id, fp): the fingerprint as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in common.sliced(batches, 1):
             fps = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
 

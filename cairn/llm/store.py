@@ -99,7 +99,7 @@ def encode_chunks(docs: DataFrame, *, key: str, text: str, end_id: int, tokenize
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = tokens.encoder(tokenizer)
         seen: set[bytes] = set()
-        for batch in batches:
+        for batch in common.sliced(batches, 1):
             rows: list[tuple] = []
             for doc, ids in zip(batch.column(0).to_pylist(), enc.encode_many(batch.column(1).to_pylist())):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
