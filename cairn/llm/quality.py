@@ -143,12 +143,14 @@ def probabilities(spark: SparkSession, gathered: DataFrame) -> DataFrame:
     known = trusted.select("lang").distinct()
     pooled = trusted.groupBy("key").agg(F.sum("c").alias("c")).select(F.lit("*").alias("lang"), "key", "c")
     model = common.written(spark, trusted.unionByName(pooled), "trusted")
-    levels, counts = [], model
+    levels, counts = [], model  # each level is written: the next ones read it several times
     for width in (4, 3, 2, 1):
-        levels.append(_level(counts, width))
+        shares, weights = _level(counts, width)
+        levels.append((common.written(spark, shares, f"shares{width}"), common.written(spark, weights, f"weights{width}")))
         if width > 1:  # continuation counts: how many distinct characters stand before
             mask = (1 << 16 * (width - 1)) - 1
-            counts = counts.select("lang", F.col("key").bitwiseAND(F.lit(mask).cast("long")).alias("key")).groupBy("lang", "key").agg(F.count("*").alias("c"))
+            lower = counts.select("lang", F.col("key").bitwiseAND(F.lit(mask).cast("long")).alias("key")).groupBy("lang", "key").agg(F.count("*").alias("c"))
+            counts = common.written(spark, lower, f"counts{width - 1}")
     size = model.select("lang", F.col("key").bitwiseAND(F.lit(0xFFFF).cast("long")).alias("w")).distinct().groupBy("lang").agg((F.count("*") + 1).cast("double").alias("v"))
     alone = gathered.join(known, "lang", "left_anti").select("key").distinct()  # of languages that can't be learned
     asked = gathered.join(known, "lang", "left_semi").select("lang", "key").unionByName(alone.select(F.lit("*").alias("lang"), "key"))
