@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 # Texts that the normalised tables read as missing.
 NA_TOKENS = ("", " ", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
@@ -108,7 +109,7 @@ def count_true(*flags: Column) -> Column:
     return sum((F.coalesce(f, F.lit(False)).cast("int") for f in flags), F.lit(0)).cast("bigint")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def half_visible(v: pd.Series) -> pd.Series:
     """The value after a round trip through half precision and its shortest printed form."""
     import numpy as np

@@ -38,7 +38,7 @@ def _write_text(spark: SparkSession, path: str, text: str) -> None:
 
 
 def _read_text(spark: SparkSession, path: str) -> str:
-    rows = spark.read.option("wholetext", True).text(path).collect()
+    rows = spark.read.text(path, wholetext=True).collect()
     return rows[0][0] if rows else ""
 
 
