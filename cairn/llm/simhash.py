@@ -179,18 +179,189 @@ def groups(spark: SparkSession, docs: DataFrame, *, key: str = "doc_id", text: s
     rows = common.written(spark, fingerprints(docs, key=key, text=text, shingle=shingle), "fingerprints")
     distinct = common.written(spark, rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
     roots = graph.components(spark, links(spark, distinct, radius=radius))
+    each = _named(spark, distinct.withColumnRenamed("fp", "node"), roots).withColumnRenamed("node", "fp")
+    return rows.join(common.written(spark, each, "components"), "fp").select("doc_id", "fp", "component_id")
+
+
+def _named(spark: SparkSession, distinct: DataFrame, roots: DataFrame) -> DataFrame:
+    """(node, component_id) for ``distinct(node, first)``: the least ``first`` of each component."""
     nodes = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
-    named = nodes.join(distinct, nodes["node"] == distinct["fp"]).select("node", "root", "first")
+    named = nodes.join(distinct, "node")
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    linked = named.join(least, "root").select(F.col("node").alias("fp"), "component_id")
-    each = distinct.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"))
-    return rows.join(common.written(spark, each, "components"), "fp").select("doc_id", "fp", "component_id")
+    linked = named.join(least, "root").select("node", "component_id")
+    return distinct.join(linked, "node", "left").select("node", F.coalesce("component_id", "first").alias("component_id"))
+
+
+# ---- similar texts: wide fingerprints -------------------------------------------------------------
+
+WIDE_SHINGLE = 5
+SIMILARITY = 0.8
+WORDS = 16
+#: Standard deviations that a pair of just the wanted similarity may be off in the first two words.
+_SLACK = 2.6
+_STEPS = np.uint64(0x9E3779B97F4A7C15) * np.arange(1, WORDS + 1, dtype=np.uint64)
+
+
+def wide_fingerprint(text: str | None, shingle: int = WIDE_SHINGLE) -> np.ndarray:
+    """``WORDS`` 64-bit SimHash words over the set of shingles, each with hashes of its own."""
+    from xxhash import xxh64_intdigest
+
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not words:
+        return np.zeros(WORDS, dtype=np.uint64)
+    n = max(1, len(words) - shingle + 1)
+    grams = map(b" ".join, zip(*(words[i:] for i in range(shingle)))) if len(words) >= shingle else [b" ".join(words)]
+    h = np.unique(np.fromiter((xxh64_intdigest(g, SEED) for g in grams), dtype=np.uint64, count=n))
+    counts = np.zeros(64 * WORDS, dtype=np.int64)
+    with np.errstate(over="ignore"):
+        for i in range(0, len(h), 240):  # sums of at most 240 bits fit a byte
+            z = h[i : i + 240, None] + _STEPS[None, :]
+            z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+            z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+            z ^= z >> np.uint64(31)
+            bits = np.unpackbits(np.ascontiguousarray(z).view(np.uint8).reshape(len(z), -1), axis=1, bitorder="little")
+            counts += np.add.reduce(bits, axis=0, dtype=np.uint8)
+    return np.packbits(2 * counts > len(h), bitorder="little").view("<u8").astype(np.uint64)
+
+
+def wide_radius(similarity: float, bits: int, slack: float) -> int:
+    """Differing bits to expect of two sets of that Jaccard similarity, plus ``slack`` standard deviations."""
+    p = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+    return int(bits * p + slack * (bits * p * (1 - p)) ** 0.5)
+
+
+def _wide_rows(docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in common.sliced(batches, 1):
+            found = [wide_fingerprint(t, shingle).view(np.int64) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "words"])
+
+    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, "doc_id long, words array<long>")
+
+
+def _sketch_links(group: np.ndarray, turn: np.ndarray, sketch: np.ndarray, radius: int, seen: set) -> list[tuple[int, int]]:
+    """Pairs of rows of one group whose two-word sketches are within ``radius``.
+
+    All of them in groups of at most 48 rows; in larger ones a forest whose
+    centres change with the band, so that no one centre decides for all bands.
+    Pivots first: a coordinate that differs by more than the radius discards.
+    """
+    table = pivot_table(sketch[:, 0]) + pivot_table(sketch[:, 1])
+    links: list[tuple[int, int]] = []
+
+    def near(one, rest):
+        ok = np.flatnonzero(np.abs(table[rest] - table[one]).max(axis=1) <= radius)
+        return ok[np.bitwise_count(sketch[rest[ok]] ^ (sketch[one[ok]] if isinstance(one, np.ndarray) else sketch[one])).sum(axis=1) <= radius]
+
+    starts = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
+    sizes = np.diff(np.concatenate((starts, [len(group)])))
+    small, last = np.repeat(sizes <= 48, sizes), np.repeat(starts + sizes, sizes)
+    every = np.arange(len(group))
+    for lag in range(1, 48):
+        i = np.flatnonzero(small & (every + lag < last))
+        if not len(i):
+            break
+        links += [(x, x + lag) for x in i[near(i, i + lag)].tolist()]
+    for s, n in zip(starts[sizes > 48].tolist(), sizes[sizes > 48].tolist()):
+        order = s + np.argsort((sketch[s : s + n, 0] ^ turn[s]) * np.uint64(0x9E3779B97F4A7C15), kind="stable")
+        while len(order) > 1:
+            x, order = int(order[0]), order[1:]
+            hit = near(x, order)
+            links += [(x, y) for y in order[hit].tolist()]
+            order = np.delete(order, hit)
+    out = []
+    for x, y in links:
+        a, b = tuple(sketch[x].tolist()), tuple(sketch[y].tolist())
+        pair = (a, b) if a < b else (b, a)
+        if pair not in seen:
+            seen.add(pair)
+            out.append((x, y))
+    return out
+
+
+def similar_links(spark: SparkSession, distinct: DataFrame, *, similarity: float = SIMILARITY, bucket: int = BUCKET) -> DataFrame:
+    """Links (a, b) of ``node`` between wide fingerprints of at least about that similarity.
+
+    ``distinct``: (node, s0, s1, words), s0 and s1 the first two words.  Rows
+    are dealt by each of the 16-bit quarters of all words; a pair of similarity
+    0.8 shares one of the 64 with a probability of over 0.99.  Sketches pick the
+    candidates, whole fingerprints decide.  A band with more than ``bucket``
+    rows is dealt again with two more quarters of the sketch.
+    """
+    sketch_radius = wide_radius(similarity, 128, _SLACK)
+    whole_radius = wide_radius(similarity, 64 * WORDS, 1.0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set = set()
+        held = [np.zeros(0, dtype=np.int64)] * 3
+
+        def out(band, s0, s1):
+            found = []
+            if len(band) > 1:
+                sketch = np.stack((s0, s1), axis=1).view(np.uint64)
+                group = np.concatenate(([0], np.cumsum(band[1:] != band[:-1])))
+                found = _sketch_links(group, (band % 4).astype(np.uint64), sketch, sketch_radius, seen)
+                if len(seen) > 1_000_000:
+                    seen.clear()
+            x, y = np.array([p[0] for p in found], dtype=np.int64), np.array([p[1] for p in found], dtype=np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in (s0[x], s1[x], s0[y], s1[y])], ["a0", "a1", "b0", "b1"])
+
+        for batch in batches:
+            now = [np.concatenate((h, batch.column(i).to_numpy())) for i, h in enumerate(held)]
+            if not len(now[0]):
+                continue
+            changed = np.flatnonzero(now[0] != now[0][-1])
+            cut = changed[-1] + 1 if len(changed) else 0
+            yield out(*(c[:cut] for c in now))
+            held = [c[cut:] for c in now]
+        yield out(*held)
+
+    bands = F.expr("flatten(transform(words, (x, w) -> transform(array(0, 16, 32, 48), s -> cast(shiftrightunsigned(x, s) & 65535 as bigint) | shiftleft(cast(w * 4 + s div 16 as bigint), 16))))")
+    rows = distinct.select(F.explode(bands).alias("band"), "s0", "s1")
+    found: DataFrame | None = None
+    while True:
+        large = common.written(spark, rows.groupBy("band").count().filter(F.col("count") > bucket).select("band"), "large")
+        more = not large.isEmpty()
+        fit = rows.join(large, "band", "left_anti") if more else rows
+        some = common.written(spark, fit.repartition("band").sortWithinPartitions("band").mapInArrow(run, "a0 long, a1 long, b0 long, b1 long"), "candidates")
+        found = some if found is None else found.unionByName(some)
+        if not more:
+            break
+        # two further quarters of the sketch, picked by the band; equal sketches are one row, so this ends
+        hot = rows.join(large, "band", "left_semi")
+        parts = [F.expr(f"pmod(xxhash64(band, {turn}), 8)") for turn in (1, 2)]
+        value = lambda part: F.expr("shiftrightunsigned(if(_p < 4, s0, s1), cast(16 * (_p % 4) as int)) & 65535")
+        dealt = hot.select("band", "s0", "s1", F.explode(F.array(*parts)).alias("_p"))
+        rows = common.written(spark, dealt.select(F.xxhash64("band", "_p", value(None)).alias("band"), "s0", "s1").distinct(), "again")
+    node = lambda x: F.xxhash64(f"{x}0", f"{x}1")
+    pairs = found.select(node("a").alias("a"), node("b").alias("b")).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    words = distinct.select("node", "words")
+    both = pairs.join(words.select(F.col("node").alias("a"), F.col("words").alias("wa")), "a").join(words.select(F.col("node").alias("b"), F.col("words").alias("wb")), "b")
+    apart = F.aggregate(F.zip_with("wa", "wb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, n: acc + n)
+    return both.filter(apart <= whole_radius).select("a", "b")
+
+
+def similar_groups(spark: SparkSession, docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = WIDE_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+    """(doc_id, component_id): groups of texts whose sets of word shingles are similar, by wide fingerprints."""
+    rows = _wide_rows(docs, key, text, shingle).select("doc_id", F.col("words")[0].alias("s0"), F.col("words")[1].alias("s1"), "words").withColumn("node", F.xxhash64("s0", "s1"))
+    rows = common.written(spark, rows, "wide")
+    distinct = common.written(spark, rows.groupBy("node", "s0", "s1").agg(F.min("doc_id").alias("first"), F.max("words").alias("words")), "wide-distinct")
+    each = _named(spark, distinct.select("node", "first"), graph.components(spark, similar_links(spark, distinct, similarity=similarity)))
+    return rows.select("doc_id", "node").join(common.written(spark, each, "components"), "node").select("doc_id", "component_id")
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS, drop_rows: int = 1_000_000) -> DataFrame:
     """The documents, one of each group (its smallest key); rows with a null key stay."""
-    found = common.written(spark, groups(spark, docs, key=key, text=text, shingle=shingle, radius=radius), "groups")
-    found = found.filter("doc_id is not null")
+    return _keep_least(spark, docs, groups(spark, docs, key=key, text=text, shingle=shingle, radius=radius), key, drop_rows)
+
+
+def keep_dissimilar(spark: SparkSession, docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = WIDE_SHINGLE, similarity: float = SIMILARITY, drop_rows: int = 1_000_000) -> DataFrame:
+    """The documents, one of each group of similar texts; rows with a null key stay."""
+    return _keep_least(spark, docs, similar_groups(spark, docs, key=key, text=text, shingle=shingle, similarity=similarity), key, drop_rows)
+
+
+def _keep_least(spark: SparkSession, docs: DataFrame, found: DataFrame, key: str, drop_rows: int) -> DataFrame:
+    found = common.written(spark, found.select("doc_id", "component_id"), "groups").filter("doc_id is not null")
     out = found.groupBy(F.col("doc_id").alias(key)).agg(F.min("component_id").alias("least"), F.count("*").alias("n"))
     gone = out.filter(F.col("least") < F.col(key)).select(key)
     kept = common.without(docs, gone, key, drop_rows)
