@@ -45,7 +45,7 @@ from cairn.llm import common
 
 ORDER = 4
 QUANTILE = 0.985
-MARGIN = 1.0
+MARGIN = 1.1
 FOLDS = 5
 TABLE_ROWS = 4_000_000
 LABEL_ROWS = 1_000_000
