@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cairn import shipping
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``; a private one only where it is unset (tests)."""
@@ -27,6 +29,7 @@ def written(spark: SparkSession, df: DataFrame, tag: str, path: str | None = Non
 
     It cuts the lineage, survives lost executors and is never computed twice.
     """
+    shipping.ensure(spark)
     path = path or fresh_path(spark, tag)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -40,6 +43,7 @@ def drop_path(spark: SparkSession, path: str) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    shipping.ensure(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
