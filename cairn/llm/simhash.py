@@ -242,12 +242,14 @@ def _wide_rows(docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
 def _sketch_links(group: np.ndarray, turn: np.ndarray, sketch: np.ndarray, radius: int, seen: set) -> list[tuple[int, int]]:
     """Pairs of rows of one group whose two-word sketches are within ``radius``.
 
-    All of them in groups of at most 48 rows; in larger ones a forest whose
-    centres change with the band, so that no one centre decides for all bands.
+    Not all of them: in groups of at most 48 rows the forest of the closest
+    pairs; in larger ones stars whose centres change with the band, so that no
+    one centre decides for all bands.
     Pivots first: a coordinate that differs by more than the radius discards.
     """
     table = pivot_table(sketch[:, 0]) + pivot_table(sketch[:, 1])
     links: list[tuple[int, int]] = []
+    close: list[tuple[int, int, int]] = []
 
     def near(one, rest):
         ok = np.flatnonzero(np.abs(table[rest] - table[one]).max(axis=1) <= radius)
@@ -261,7 +263,20 @@ def _sketch_links(group: np.ndarray, turn: np.ndarray, sketch: np.ndarray, radiu
         i = np.flatnonzero(small & (every + lag < last))
         if not len(i):
             break
-        links += [(x, x + lag) for x in i[near(i, i + lag)].tolist()]
+        hit = near(i, i + lag)
+        close += [(d, x, x + lag) for d, x in zip(np.bitwise_count(sketch[i[hit]] ^ sketch[i[hit] + lag]).sum(axis=1).tolist(), i[hit].tolist())]
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (p := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent[p]
+        return x
+
+    for _, x, y in sorted(close):  # the closest pairs that connect each group: those that will most likely hold
+        a, b = find(x), find(y)
+        if a != b:
+            parent[b] = a
+            links.append((x, y))
     for s, n in zip(starts[sizes > 48].tolist(), sizes[sizes > 48].tolist()):
         order = s + np.argsort((sketch[s : s + n, 0] ^ turn[s]) * np.uint64(0x9E3779B97F4A7C15), kind="stable")
         while len(order) > 1:
@@ -300,8 +315,8 @@ def similar_links(spark: SparkSession, distinct: DataFrame, *, similarity: float
             if len(band) > 1:
                 sketch = np.stack((s0, s1), axis=1).view(np.uint64)
                 group = np.concatenate(([0], np.cumsum(band[1:] != band[:-1])))
-                found = _sketch_links(group, (band % 4).astype(np.uint64), sketch, sketch_radius, seen)
-                if len(seen) > 1_000_000:
+                found = _sketch_links(group, (band % 2).astype(np.uint64), sketch, sketch_radius, seen)
+                if len(seen) > 100_000:  # a repeated candidate costs little
                     seen.clear()
             x, y = np.array([p[0] for p in found], dtype=np.int64), np.array([p[1] for p in found], dtype=np.int64)
             return pa.RecordBatch.from_arrays([pa.array(c) for c in (s0[x], s1[x], s0[y], s1[y])], ["a0", "a1", "b0", "b1"])
