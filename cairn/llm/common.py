@@ -10,18 +10,34 @@ from pyspark.sql import functions as F
 
 from cairn import shipping
 
+_OWN: dict[str, str] = {}
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``; a private one only where it is unset (tests)."""
     place = spark.conf.get("spark.checkpoint.dir", None)
     if not place:
-        place = "file://" + tempfile.mkdtemp(prefix="cairn-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", place)
+        app = spark.sparkContext.applicationId
+        if app not in _OWN:
+            _OWN[app] = "file://" + tempfile.mkdtemp(prefix="cairn-checkpoint-")
+        place = _OWN[app]
     return place.rstrip("/")
 
 
+_FOLDERS: dict[str, str] = {}
+
+
 def fresh_path(spark: SparkSession, tag: str) -> str:
-    return f"{shared_dir(spark)}/cairn-{tag}-{uuid.uuid4().hex}"
+    """A new path in the application's own part of the shared folder, which goes when the application ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _FOLDERS:
+        folder = f"{shared_dir(spark)}/cairn-{app}-{uuid.uuid4().hex[:8]}"
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs.mkdirs(where)
+        fs.deleteOnExit(where)
+        _FOLDERS[app] = folder
+    return f"{_FOLDERS[app]}/{tag}-{uuid.uuid4().hex}"
 
 
 def written(spark: SparkSession, df: DataFrame, tag: str, path: str | None = None) -> DataFrame:

@@ -74,13 +74,15 @@ class _Counts:
     def __init__(self):
         self.parts: dict[str, list] = {}
         self.rows = 0
+        self.most = 1_000_000  # rows before a merge
 
     def add(self, lang: str, keys: np.ndarray, trusted: bool) -> None:
         u, n = np.unique(keys, return_counts=True)
         self.parts.setdefault(lang, []).append((u, n * trusted))
         self.rows += len(u)
-        if self.rows > 4_000_000:
+        if self.rows > self.most:
             self.merge()
+            self.most = max(self.most, 2 * self.rows)
 
     def merge(self) -> None:
         self.rows = 0
