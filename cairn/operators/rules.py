@@ -126,13 +126,14 @@ def match_codes(df: DataFrame, rules: DataFrame, *, code: str, system: str | Non
     Many-to-many: a row appears once for each rule name that matches it; ``how="left"`` keeps the rest with a null rule.
     """
     rules = rules.filter("include").select("rule", system_key(F.col("code_system")).alias("_rs"), F.when(F.col("match_type") == "regex", F.col("code")).otherwise(norm_code(F.col("code"))).alias("_rc"), "match_type")
-    keys = df.select(norm_code(F.col(code)).alias("_c"), (system_key(F.col(system)) if system else F.lit(ANY_SYSTEM)).alias("_s")).filter("_c is not null").distinct()
+    own = F.coalesce(system_key(F.col(system)), F.lit("\x00")) if system else F.lit(ANY_SYSTEM)  # a null system meets rules for any
+    keys = df.select(norm_code(F.col(code)).alias("_c"), own.alias("_s")).filter("_c is not null").distinct()
     same = (F.col("_rs") == ANY_SYSTEM) | (F.col("_rs") == F.col("_s")) if system else F.lit(True)
     exact = keys.join(_small(rules.filter("match_type = 'exact'"), catalog_rows), F.col("_c") == F.col("_rc")).filter(same)
     # prefixes and patterns meet distinct codes only
     loose = keys.join(_small(rules.filter("match_type <> 'exact'"), catalog_rows), same & F.when(F.col("match_type") == "prefix", F.col("_c").startswith(F.col("_rc"))).otherwise(F.expr("_c rlike _rc")))
     mapped = exact.select("_s", "_c", "rule").unionByName(loose.select("_s", "_c", "rule")).distinct()
-    tagged = df.withColumn("_c", norm_code(F.col(code))).withColumn("_s", system_key(F.col(system)) if system else F.lit(ANY_SYSTEM))
+    tagged = df.withColumn("_c", norm_code(F.col(code))).withColumn("_s", own)
     return tagged.join(mapped, ["_s", "_c"], how).drop("_s", "_c")
 
 
