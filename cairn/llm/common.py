@@ -40,12 +40,23 @@ def fresh_path(spark: SparkSession, tag: str) -> str:
     return f"{_FOLDERS[app]}/{tag}-{uuid.uuid4().hex}"
 
 
+#: Bytes of an Arrow batch on its way to a Python worker, where the session has not set its own.
+ARROW_BYTES = 4 << 20
+
+
+def prepare(spark: SparkSession) -> None:
+    """Executors can import the package, and long texts don't pile up in one Arrow batch."""
+    shipping.ensure(spark)
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+
+
 def written(spark: SparkSession, df: DataFrame, tag: str, path: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     It cuts the lineage, survives lost executors and is never computed twice.
     """
-    shipping.ensure(spark)
+    prepare(spark)
     path = path or fresh_path(spark, tag)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -59,7 +70,7 @@ def drop_path(spark: SparkSession, path: str) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    shipping.ensure(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
