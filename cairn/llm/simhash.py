@@ -240,11 +240,12 @@ def _wide_rows(docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
 
 
 def _sketch_links(group: np.ndarray, turn: np.ndarray, sketch: np.ndarray, radius: int, seen: set) -> list[tuple[int, int]]:
-    """Pairs of rows of one group whose two-word sketches are within ``radius``.
+    """Some pairs of rows of one group whose two-word sketches are within ``radius``, as many as rows at most.
 
     Not all of them: in groups of at most 48 rows the forest of the closest
     pairs; in larger ones stars whose centres change with the band, so that no
-    one centre decides for all bands.
+    one centre decides for all bands.  They are tried first; ``_open_pairs``
+    gives all that these leave undecided.
     Pivots first: a coordinate that differs by more than the radius discards.
     """
     table = pivot_table(sketch[:, 0]) + pivot_table(sketch[:, 1])
@@ -294,23 +295,63 @@ def _sketch_links(group: np.ndarray, turn: np.ndarray, sketch: np.ndarray, radiu
     return out
 
 
+def _open_pairs(group: np.ndarray, comp: np.ndarray, sketch: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows of one group with sketches within ``radius`` that no link connects yet."""
+    starts = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
+    sizes = np.diff(np.concatenate((starts, [len(group)])))
+    small, last = np.repeat(sizes <= 48, sizes), np.repeat(starts + sizes, sizes)
+    every = np.arange(len(group))
+    for lag in range(1, 48):
+        i = np.flatnonzero(small & (every + lag < last))
+        if not len(i):
+            break
+        i = i[comp[i] != comp[i + lag]]
+        i = i[np.bitwise_count(sketch[i] ^ sketch[i + lag]).sum(axis=1) <= radius]
+        yield i, i + lag
+    for s, n in zip(starts[sizes > 48].tolist(), sizes[sizes > 48].tolist()):
+        y = np.arange(s, s + n)
+        values, counts = np.unique(comp[y], return_counts=True)
+        top = values[np.argmax(counts)]  # rows of the largest component needn't meet one another
+        rest = y[comp[y] != top]
+        step = max(1, (1 << 20) // n)
+        for x in (rest[i : i + step, None] for i in range(0, len(rest), step)):
+            near = np.bitwise_count(sketch[x, 0] ^ sketch[y, 0]) + np.bitwise_count(sketch[x, 1] ^ sketch[y, 1]) <= radius
+            at, other = np.nonzero(near & (comp[x] != comp[y]) & ((y > x) | (comp[y] == top)))
+            yield x[at, 0], y[other]
+
+
+def _by_group(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[list[np.ndarray]]:
+    """The columns of batches in order of the first one, in pieces of whole groups."""
+    held = [np.zeros(0, dtype=np.int64)] * width
+    for batch in batches:
+        now = [np.concatenate((h, batch.column(i).to_numpy())) for i, h in enumerate(held)]
+        if not len(now[0]):
+            continue
+        changed = np.flatnonzero(now[0] != now[0][-1])
+        cut = changed[-1] + 1 if len(changed) else 0  # the last group may go on in the next batch
+        yield [c[:cut] for c in now]
+        held = [c[cut:] for c in now]
+    yield held
+
+
 def similar_links(spark: SparkSession, distinct: DataFrame, *, similarity: float = SIMILARITY, bucket: int = BUCKET) -> DataFrame:
-    """Links (a, b) of ``node`` between wide fingerprints of at least about that similarity.
+    """Links (a, b) of ``node`` that connect wide fingerprints of at least about that similarity.
 
     ``distinct``: (node, s0, s1, words), s0 and s1 the first two words.  Rows
     are dealt by each of the 16-bit quarters of all words; a pair of similarity
     0.8 shares one of the 64 with a probability of over 0.99.  Sketches pick the
-    candidates, whole fingerprints decide.  A band with more than ``bucket``
-    rows is dealt again with two more quarters of the sketch.
+    candidates, whole fingerprints decide, in two rounds.  The first one tries
+    at most a pair a row in each band.  The second one tries all pairs of a band
+    that the links found do not connect, so a pair that fails never stands for
+    another one.  A band with more than ``bucket`` rows is dealt again with two
+    more quarters of the sketch.
     """
     sketch_radius = wide_radius(similarity, 128, _SLACK)
     whole_radius = wide_radius(similarity, 64 * WORDS, 1.0)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
-        held = [np.zeros(0, dtype=np.int64)] * 3
-
-        def out(band, s0, s1):
+        for band, node, s0, s1 in _by_group(batches, 4):
             found = []
             if len(band) > 1:
                 sketch = np.stack((s0, s1), axis=1).view(np.uint64)
@@ -319,41 +360,51 @@ def similar_links(spark: SparkSession, distinct: DataFrame, *, similarity: float
                 if len(seen) > 100_000:  # a repeated candidate costs little
                     seen.clear()
             x, y = np.array([p[0] for p in found], dtype=np.int64), np.array([p[1] for p in found], dtype=np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in (s0[x], s1[x], s0[y], s1[y])], ["a0", "a1", "b0", "b1"])
+            yield pa.RecordBatch.from_arrays([pa.array(node[x]), pa.array(node[y])], ["a", "b"])
 
-        for batch in batches:
-            now = [np.concatenate((h, batch.column(i).to_numpy())) for i, h in enumerate(held)]
-            if not len(now[0]):
-                continue
-            changed = np.flatnonzero(now[0] != now[0][-1])
-            cut = changed[-1] + 1 if len(changed) else 0
-            yield out(*(c[:cut] for c in now))
-            held = [c[cut:] for c in now]
-        yield out(*held)
+    def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for band, node, s0, s1, comp in _by_group(batches, 5):
+            if len(band) > 1:
+                sketch = np.stack((s0, s1), axis=1).view(np.uint64)
+                group = np.concatenate(([0], np.cumsum(band[1:] != band[:-1])))
+                for x, y in _open_pairs(group, comp, sketch, sketch_radius):
+                    if len(x):
+                        yield pa.RecordBatch.from_arrays([pa.array(node[x]), pa.array(node[y])], ["a", "b"])
 
     bands = F.expr("flatten(transform(words, (x, w) -> transform(array(0, 16, 32, 48), s -> cast(shiftrightunsigned(x, s) & 65535 as bigint) | shiftleft(cast(w * 4 + s div 16 as bigint), 16))))")
-    rows = distinct.select(F.explode(bands).alias("band"), "s0", "s1")
-    found: DataFrame | None = None
-    while True:
-        large = common.written(spark, rows.groupBy("band").count().filter(F.col("count") > bucket).select("band"), "large")
-        more = not large.isEmpty()
-        fit = rows.join(large, "band", "left_anti") if more else rows
-        some = common.written(spark, fit.repartition("band").sortWithinPartitions("band").mapInArrow(run, "a0 long, a1 long, b0 long, b1 long"), "candidates")
-        found = some if found is None else found.unionByName(some)
-        if not more:
-            break
-        # two further quarters of the sketch, picked by the band; equal sketches are one row, so this ends
-        hot = rows.join(large, "band", "left_semi")
-        parts = [F.expr(f"pmod(xxhash64(band, {turn}), 8)") for turn in (1, 2)]
-        value = lambda part: F.expr("shiftrightunsigned(if(_p < 4, s0, s1), cast(16 * (_p % 4) as int)) & 65535")
-        dealt = hot.select("band", "s0", "s1", F.explode(F.array(*parts)).alias("_p"))
-        rows = common.written(spark, dealt.select(F.xxhash64("band", "_p", value(None)).alias("band"), "s0", "s1").distinct(), "again")
-    node = lambda x: F.xxhash64(f"{x}0", f"{x}1")
-    pairs = found.select(node("a").alias("a"), node("b").alias("b")).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    def candidates(nodes: DataFrame, run, *more: str) -> DataFrame:
+        names = ["node", "s0", "s1", *more]
+        rows = nodes.select(F.explode(bands).alias("band"), *names)
+        found: DataFrame | None = None
+        while True:
+            large = common.written(spark, rows.groupBy("band").count().filter(F.col("count") > bucket).select("band"), "large")
+            again = not large.isEmpty()
+            fit = rows.join(large, "band", "left_anti") if again else rows
+            some = common.written(spark, fit.repartition("band").sortWithinPartitions("band").mapInArrow(run, "a long, b long"), "candidates")
+            found = some if found is None else found.unionByName(some)
+            if not again:
+                break
+            # two further quarters of the sketch, picked by the band; equal sketches are one row, so this ends
+            hot = rows.join(large, "band", "left_semi")
+            parts = [F.expr(f"pmod(xxhash64(band, {turn}), 8)") for turn in (1, 2)]
+            value = F.expr("shiftrightunsigned(if(_p < 4, s0, s1), cast(16 * (_p % 4) as int)) & 65535")
+            dealt = hot.select("band", *names, F.explode(F.array(*parts)).alias("_p"))
+            rows = common.written(spark, dealt.select(F.xxhash64("band", "_p", value).alias("band"), *names).distinct(), "again")
+        return found.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
     words = distinct.select("node", "words")
-    both = pairs.join(words.select(F.col("node").alias("a"), F.col("words").alias("wa")), "a").join(words.select(F.col("node").alias("b"), F.col("words").alias("wb")), "b")
-    apart = F.aggregate(F.zip_with("wa", "wb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, n: acc + n)
-    return both.filter(apart <= whole_radius).select("a", "b")
+
+    def passed(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(words.select(F.col("node").alias("a"), F.col("words").alias("wa")), "a").join(words.select(F.col("node").alias("b"), F.col("words").alias("wb")), "b")
+        apart = F.aggregate(F.zip_with("wa", "wb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, n: acc + n)
+        return both.filter(apart <= whole_radius).select("a", "b")
+
+    tried = common.written(spark, candidates(distinct, first), "tried")
+    roots = graph.components(spark, passed(tried))
+    nodes = common.written(spark, distinct.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root"), "nodes")
+    left = candidates(nodes, second, "comp").join(tried, ["a", "b"], "left_anti")
+    return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(passed(left))
 
 
 def similar_groups(spark: SparkSession, docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = WIDE_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
