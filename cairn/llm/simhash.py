@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.llm import common, graph
@@ -295,8 +295,8 @@ def _sketch_links(group: np.ndarray, turn: np.ndarray, sketch: np.ndarray, radiu
     return out
 
 
-def _open_pairs(group: np.ndarray, comp: np.ndarray, sketch: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All pairs of rows of one group with sketches within ``radius`` that no link connects yet."""
+def _open_pairs(group: np.ndarray, side: np.ndarray, comp: np.ndarray, sketch: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows of one group with sketches within ``radius`` that no link connects yet; rows of side 0 meet those of side 1 only."""
     starts = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
     sizes = np.diff(np.concatenate((starts, [len(group)])))
     small, last = np.repeat(sizes <= 48, sizes), np.repeat(starts + sizes, sizes)
@@ -305,18 +305,21 @@ def _open_pairs(group: np.ndarray, comp: np.ndarray, sketch: np.ndarray, radius:
         i = np.flatnonzero(small & (every + lag < last))
         if not len(i):
             break
-        i = i[comp[i] != comp[i + lag]]
+        i = i[(comp[i] != comp[i + lag]) & ((side[i] == 2) | (side[i] != side[i + lag]))]
         i = i[np.bitwise_count(sketch[i] ^ sketch[i + lag]).sum(axis=1) <= radius]
         yield i, i + lag
     for s, n in zip(starts[sizes > 48].tolist(), sizes[sizes > 48].tolist()):
         y = np.arange(s, s + n)
         values, counts = np.unique(comp[y], return_counts=True)
         top = values[np.argmax(counts)]  # rows of the largest component needn't meet one another
-        rest = y[comp[y] != top]
+        if side[s] == 2:
+            rest = y[comp[y] != top]
+        else:
+            rest, y = y[side[y] == 1], y[side[y] == 0]
         step = max(1, (1 << 20) // n)
         for x in (rest[i : i + step, None] for i in range(0, len(rest), step)):
             near = np.bitwise_count(sketch[x, 0] ^ sketch[y, 0]) + np.bitwise_count(sketch[x, 1] ^ sketch[y, 1]) <= radius
-            at, other = np.nonzero(near & (comp[x] != comp[y]) & ((y > x) | (comp[y] == top)))
+            at, other = np.nonzero(near & (comp[x] != comp[y]) & ((side[s] < 2) | (y > x) | (comp[y] == top)))
             yield x[at, 0], y[other]
 
 
@@ -343,8 +346,10 @@ def similar_links(spark: SparkSession, distinct: DataFrame, *, similarity: float
     candidates, whole fingerprints decide, in two rounds.  The first one tries
     at most a pair a row in each band.  The second one tries all pairs of a band
     that the links found do not connect, so a pair that fails never stands for
-    another one.  A band with more than ``bucket`` rows is dealt again with two
-    more quarters of the sketch.
+    another one.  The rows of a band with more than ``bucket`` rows go in blocks: in
+    the first round each by itself, in the second one every block meets every
+    block of the rows outside the band's largest component.  That loses no pair;
+    the work grows with the square of what the first round leaves apart.
     """
     sketch_radius = wide_radius(similarity, 128, _SLACK)
     whole_radius = wide_radius(similarity, 64 * WORDS, 1.0)
@@ -363,36 +368,41 @@ def similar_links(spark: SparkSession, distinct: DataFrame, *, similarity: float
             yield pa.RecordBatch.from_arrays([pa.array(node[x]), pa.array(node[y])], ["a", "b"])
 
     def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for band, node, s0, s1, comp in _by_group(batches, 5):
+        for band, node, s0, s1, comp, side in _by_group(batches, 6):
             if len(band) > 1:
                 sketch = np.stack((s0, s1), axis=1).view(np.uint64)
                 group = np.concatenate(([0], np.cumsum(band[1:] != band[:-1])))
-                for x, y in _open_pairs(group, comp, sketch, sketch_radius):
+                for x, y in _open_pairs(group, side, comp, sketch, sketch_radius):
                     if len(x):
                         yield pa.RecordBatch.from_arrays([pa.array(node[x]), pa.array(node[y])], ["a", "b"])
 
     bands = F.expr("flatten(transform(words, (x, w) -> transform(array(0, 16, 32, 48), s -> cast(shiftrightunsigned(x, s) & 65535 as bigint) | shiftleft(cast(w * 4 + s div 16 as bigint), 16))))")
 
-    def candidates(nodes: DataFrame, run, *more: str) -> DataFrame:
-        names = ["node", "s0", "s1", *more]
-        rows = nodes.select(F.explode(bands).alias("band"), *names)
-        found: DataFrame | None = None
-        while True:
-            large = common.written(spark, rows.groupBy("band").count().filter(F.col("count") > bucket).select("band"), "large")
-            again = not large.isEmpty()
-            fit = rows.join(large, "band", "left_anti") if again else rows
-            some = common.written(spark, fit.repartition("band").sortWithinPartitions("band").mapInArrow(run, "a long, b long"), "candidates")
-            found = some if found is None else found.unionByName(some)
-            if not again:
-                break
-            # two further quarters of the sketch, picked by the band; equal sketches are one row, so this ends
-            hot = rows.join(large, "band", "left_semi")
-            parts = [F.expr(f"pmod(xxhash64(band, {turn}), 8)") for turn in (1, 2)]
-            value = F.expr("shiftrightunsigned(if(_p < 4, s0, s1), cast(16 * (_p % 4) as int)) & 65535")
-            dealt = hot.select("band", *names, F.explode(F.array(*parts)).alias("_p"))
-            rows = common.written(spark, dealt.select(F.xxhash64("band", "_p", value).alias("band"), *names).distinct(), "again")
+    def candidates(rows: DataFrame, run) -> DataFrame:
+        found = rows.repartition("band").sortWithinPartitions("band").mapInArrow(run, "a long, b long")
         return found.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
+    def blocks(n: str) -> Column:
+        return F.ceil(F.col(n) / bucket)
+
+    def alone(rows: DataFrame) -> DataFrame:
+        """Blocks of a large band, each by itself."""
+        block = F.xxhash64("band", F.pmod(F.xxhash64("node", "band"), blocks("n")))
+        return rows.join(large, "band", "left").withColumn("band", F.when(F.col("n").isNull(), F.col("band")).otherwise(block)).drop("n")
+
+    def crossed(rows: DataFrame) -> DataFrame:
+        """Blocks of a large band (side 0), each with every block of the rows outside its largest component (side 1)."""
+        hot = rows.join(large.select("band"), "band", "left_semi")
+        each = hot.groupBy("band", "comp").agg(F.count("*").alias("n")).groupBy("band").agg(F.sum("n").alias("n"), (F.sum("n") - F.max("n")).alias("rest"), F.max_by("comp", F.struct("n", "comp")).alias("top"))
+        hot = hot.join(common.written(spark, each, "hot").filter("rest > 0"), "band")
+        names = ["node", "s0", "s1", "comp"]
+        meet = lambda i, j: F.xxhash64("band", i, j).alias("band")
+        own, other = F.pmod(F.xxhash64("node", "band"), blocks("n")), F.pmod(F.xxhash64("band", "node"), blocks("rest"))
+        upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), blocks(n) - 1)).alias("_j")
+        all_rows = hot.select("band", *names, own.alias("_i"), upto("rest")).select(meet("_i", "_j"), *names, F.lit(0).cast("long").alias("side"))
+        rest = hot.filter("comp <> top").select("band", *names, other.alias("_i"), upto("n")).select(meet("_j", "_i"), *names, F.lit(1).cast("long").alias("side"))
+        return rows.join(large.select("band"), "band", "left_anti").withColumn("side", F.lit(2).cast("long")).unionByName(all_rows).unionByName(rest)
+
     words = distinct.select("node", "words")
 
     def passed(pairs: DataFrame) -> DataFrame:
@@ -400,10 +410,15 @@ def similar_links(spark: SparkSession, distinct: DataFrame, *, similarity: float
         apart = F.aggregate(F.zip_with("wa", "wb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, n: acc + n)
         return both.filter(apart <= whole_radius).select("a", "b")
 
-    tried = common.written(spark, candidates(distinct, first), "tried")
+    rows = distinct.select(F.explode(bands).alias("band"), "node", "s0", "s1")
+    large = common.written(spark, rows.groupBy("band").agg(F.count("*").alias("n")).filter(F.col("n") > bucket), "large")
+    hot = not large.isEmpty()
+    tried = common.written(spark, candidates(alone(rows).select("band", "node", "s0", "s1") if hot else rows, first), "tried")
     roots = graph.components(spark, passed(tried))
     nodes = common.written(spark, distinct.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root"), "nodes")
-    left = candidates(nodes, second, "comp").join(tried, ["a", "b"], "left_anti")
+    rows = nodes.select(F.explode(bands).alias("band"), "node", "s0", "s1", "comp")
+    rows = crossed(rows) if hot else rows.withColumn("side", F.lit(2).cast("long"))
+    left = candidates(rows, second).join(tried, ["a", "b"], "left_anti")
     return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(passed(left))
 
 

@@ -523,8 +523,8 @@ def test_similar_texts_are_grouped(spark, bucket, docs, none, monkeypatch):
         assert simhash.keep_dissimilar(spark, none).count() == 0 and simhash.keep_one(spark, docs).filter("doc_id in (5, 6)").count() == 1
 
 
-@pytest.mark.parametrize("rows", [3, 61])
-def test_failed_candidates_hide_no_pair(spark, rows):
+@pytest.mark.parametrize("rows, bucket", [(3, simhash.BUCKET), (61, simhash.BUCKET), (61, 7), (401, 150)])
+def test_failed_candidates_hide_no_pair(spark, rows, bucket):
     """All rows are near in the sketch and share bands, but the whole fingerprints link just 1 and 2, 3 and 4, ..."""
     rng = np.random.default_rng(4)
     base, made = rng.integers(0, 2**63, size=simhash.WORDS, dtype=np.int64), []
@@ -535,10 +535,10 @@ def test_failed_candidates_hide_no_pair(spark, rows):
             own[:2] = base[:2]
             own[3:] ^= 0x0001000100010001  # a bit in each quarter: the pair shares no band of its own
         own[0] ^= (i > 0) << i % 60
-        own[1] ^= (i > 0) << 7 * i % 61
+        own[1] ^= ((i > 0) << 7 * i % 61) ^ ((i // 60 % 2) << 5) ^ ((i // 120) << 11)
         made.append((i, int(own[0]), int(own[1]), own.tolist()))
     distinct = spark.createDataFrame(made, "i long, s0 long, s1 long, words array<long>").withColumn("node", F.xxhash64("s0", "s1"))
-    roots = {r["node"]: r["root"] for r in graph.components(spark, simhash.similar_links(spark, distinct.drop("i"))).collect()}
+    roots = {r["node"]: r["root"] for r in graph.components(spark, simhash.similar_links(spark, distinct.drop("i"), bucket=bucket)).collect()}
     groups = defaultdict(set)
     for r in distinct.collect():
         groups[roots.get(r["node"], r["node"])].add(r["i"])
