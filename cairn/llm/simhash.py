@@ -202,16 +202,24 @@ _SLACK = 2.6
 _STEPS = np.uint64(0x9E3779B97F4A7C15) * np.arange(1, WORDS + 1, dtype=np.uint64)
 
 
-def wide_fingerprint(text: str | None, shingle: int = WIDE_SHINGLE) -> np.ndarray:
-    """``WORDS`` 64-bit SimHash words over the set of shingles, each with hashes of its own."""
+#: The same for whole fingerprints, which only spare exact comparisons.
+_WHOLE_SLACK = 3.0
+
+
+def shingle_set(text: str | None, shingle: int = WIDE_SHINGLE) -> np.ndarray:
+    """Sorted distinct hashes of the text's shingles."""
     from xxhash import xxh64_intdigest
 
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return np.zeros(WORDS, dtype=np.uint64)
+        return np.zeros(0, dtype=np.uint64)
     n = max(1, len(words) - shingle + 1)
     grams = map(b" ".join, zip(*(words[i:] for i in range(shingle)))) if len(words) >= shingle else [b" ".join(words)]
-    h = np.unique(np.fromiter((xxh64_intdigest(g, SEED) for g in grams), dtype=np.uint64, count=n))
+    return np.unique(np.fromiter((xxh64_intdigest(g, SEED) for g in grams), dtype=np.uint64, count=n))
+
+
+def wide_fingerprint(h: np.ndarray) -> np.ndarray:
+    """``WORDS`` 64-bit SimHash words over a set of shingles, each with hashes of its own."""
     counts = np.zeros(64 * WORDS, dtype=np.int64)
     with np.errstate(over="ignore"):
         for i in range(0, len(h), 240):  # sums of at most 240 bits fit a byte
@@ -233,10 +241,12 @@ def wide_radius(similarity: float, bits: int, slack: float) -> int:
 def _wide_rows(docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.sliced(batches, 1):
-            found = [wide_fingerprint(t, shingle).view(np.int64) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "words"])
+            sets = [shingle_set(t, shingle) for t in batch.column(1).to_pylist()]
+            words = [wide_fingerprint(h).view(np.int64) for h in sets]
+            longs = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, longs), pa.array([h.view(np.int64) for h in sets], longs)], ["doc_id", "words", "shingles"])
 
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, "doc_id long, words array<long>")
+    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, "doc_id long, words array<long>, shingles array<long>")
 
 
 def _sketch_links(group: np.ndarray, turn: np.ndarray, sketch: np.ndarray, radius: int, seen: set) -> list[tuple[int, int]]:
@@ -337,13 +347,16 @@ def _by_group(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[list[np
     yield held
 
 
-def similar_links(spark: SparkSession, distinct: DataFrame, *, similarity: float = SIMILARITY, bucket: int = BUCKET) -> DataFrame:
-    """Links (a, b) of ``node`` that connect wide fingerprints of at least about that similarity.
+def similar_links(spark: SparkSession, distinct: DataFrame, *, similarity: float = SIMILARITY, bucket: int = BUCKET, sets: DataFrame | None = None, set_rows: int = 1_000_000) -> DataFrame:
+    """Links (a, b) of ``node`` that connect texts of at least that similarity.
+
+    ``sets``: (node, shingles), whose exact Jaccard similarity decides; without
+    it the distance of whole fingerprints does, about as well as it can.
 
     ``distinct``: (node, s0, s1, words), s0 and s1 the first two words.  Rows
     are dealt by each of the 16-bit quarters of all words; a pair of similarity
-    0.8 shares one of the 64 with a probability of over 0.99.  Sketches pick the
-    candidates, whole fingerprints decide, in two rounds.  The first one tries
+    0.8 shares one of the 64 with a probability of over 0.99.  Sketches and
+    whole fingerprints pick the candidates, in two rounds.  The first one tries
     at most a pair a row in each band.  The second one tries all pairs of a band
     that the links found do not connect, so a pair that fails never stands for
     another one.  The rows of a band with more than ``bucket`` rows go in blocks: in
@@ -352,7 +365,7 @@ def similar_links(spark: SparkSession, distinct: DataFrame, *, similarity: float
     the work grows with the square of what the first round leaves apart.
     """
     sketch_radius = wide_radius(similarity, 128, _SLACK)
-    whole_radius = wide_radius(similarity, 64 * WORDS, 1.0)
+    whole_radius = wide_radius(similarity, 64 * WORDS, 1.0 if sets is None else _WHOLE_SLACK)
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
@@ -408,7 +421,19 @@ def similar_links(spark: SparkSession, distinct: DataFrame, *, similarity: float
     def passed(pairs: DataFrame) -> DataFrame:
         both = pairs.join(words.select(F.col("node").alias("a"), F.col("words").alias("wa")), "a").join(words.select(F.col("node").alias("b"), F.col("words").alias("wb")), "b")
         apart = F.aggregate(F.zip_with("wa", "wb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, n: acc + n)
-        return both.filter(apart <= whole_radius).select("a", "b")
+        close = both.filter(apart <= whole_radius).select("a", "b")
+        if sets is None:
+            return close
+        close = common.written(spark, close, "close")
+        asked = common.written(spark, close.select(F.col("a").alias("node")).unionByName(close.select(F.col("b").alias("node"))).distinct(), "asked")
+        if asked.count() <= set_rows:
+            own = sets.join(F.broadcast(asked), "node", "left_semi").dropDuplicates(["node"])
+        else:
+            own = sets.dropDuplicates(["node"]).join(asked, "node", "left_semi")
+        own = common.written(spark, own, "sets")
+        both = close.join(own.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(own.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
+        shared = F.size(F.array_intersect("sa", "sb"))
+        return common.written(spark, both.filter(shared / (F.size("sa") + F.size("sb") - shared) >= similarity).select("a", "b"), "similar")
 
     rows = distinct.select(F.explode(bands).alias("band"), "node", "s0", "s1")
     large = common.written(spark, rows.groupBy("band").agg(F.count("*").alias("n")).filter(F.col("n") > bucket), "large")
@@ -423,11 +448,12 @@ def similar_links(spark: SparkSession, distinct: DataFrame, *, similarity: float
 
 
 def similar_groups(spark: SparkSession, docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = WIDE_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
-    """(doc_id, component_id): groups of texts whose sets of word shingles are similar, by wide fingerprints."""
-    rows = _wide_rows(docs, key, text, shingle).select("doc_id", F.col("words")[0].alias("s0"), F.col("words")[1].alias("s1"), "words").withColumn("node", F.xxhash64("s0", "s1"))
+    """(doc_id, component_id): groups of texts linked by a Jaccard similarity of at least ``similarity`` of their sets of word shingles."""
+    rows = _wide_rows(docs, key, text, shingle).select(F.xxhash64("shingles").alias("node"), "doc_id", F.col("words")[0].alias("s0"), F.col("words")[1].alias("s1"), "words", "shingles")  # a set, a node
     rows = common.written(spark, rows, "wide")
     distinct = common.written(spark, rows.groupBy("node", "s0", "s1").agg(F.min("doc_id").alias("first"), F.max("words").alias("words")), "wide-distinct")
-    each = _named(spark, distinct.select("node", "first"), graph.components(spark, similar_links(spark, distinct, similarity=similarity)))
+    links = similar_links(spark, distinct, similarity=similarity, sets=rows.select("node", "shingles"))
+    each = _named(spark, distinct.select("node", "first"), graph.components(spark, links))
     return rows.select("doc_id", "node").join(common.written(spark, each, "components"), "node").select("doc_id", "component_id")
 
 

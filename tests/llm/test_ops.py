@@ -545,6 +545,25 @@ def test_failed_candidates_hide_no_pair(spark, rows, bucket):
     assert sorted(map(sorted, groups.values())) == [[0], *([i, i + 1] for i in range(1, rows, 2))]
 
 
+def test_exact_similarity_decides(spark):
+    """Pairs just above and just below 0.8, and a templated source of mutual similarity of about 0.7, whose every text is its own."""
+    rng = random.Random(17)
+    rows = []
+    for i in range(120):
+        words = [f"p{i}w{j}" for j in range(104)]
+        rows += [(10 * i, " ".join(words)), (10 * i + 1, " ".join(words[:-15] + ["end"] * 15 if i % 2 else words[:-17] + ["end"] * 17))]
+    template = [f"t{j}" for j in range(300)]
+    rows += [(100_000 + i, " ".join([*template, *(f"own{i}x{j}" for j in range(64 + rng.randrange(3)))])) for i in range(60)]
+    text = dict(rows)
+    near = [jaccard(text[10 * i], text[10 * i + 1]) for i in range(120)]
+    assert jaccard(text[100_000], text[100_001]) < 0.8 and min(near) < 0.8 <= max(near)
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[100_000 + i] == 100_000 + i for i in range(60))
+    assert all(got[10 * i + 1] == 10 * i + 1 for i, s in enumerate(near) if s < 0.8)
+    wanted = [i for i, s in enumerate(near) if s >= 0.8]
+    assert sum(got[10 * i + 1] == 10 * i for i in wanted) >= 0.95 * len(wanted)
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (7, 7)], "a long, b long")
     got = {r["node"]: r["root"] for r in graph.components(spark, links).collect()}
