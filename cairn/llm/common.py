@@ -83,10 +83,15 @@ def input_bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
 
 
-def without(docs: DataFrame, out: DataFrame, key: str, most: int) -> DataFrame:
-    """``docs`` without the keys in ``out``; those are broadcast if at most ``most`` (counted), else joined by shuffle."""
+def without_rows(docs: DataFrame, out: DataFrame, keys: dict, most: int) -> DataFrame:
+    """``docs`` without the rows whose values of ``keys`` (name in ``out`` -> column of ``docs``) stand in ``out``; nulls are values.
+
+    ``out`` is broadcast if it has at most ``most`` distinct rows (counted), else joined by shuffle.
+    """
+    out = written(docs.sparkSession, out.select(*[F.col(c).alias(f"_out_{c}") for c in keys]).distinct(), "out")
     small = out.count() <= most
-    return docs.join(F.broadcast(out) if small else out, key, "left_anti")
+    on = [column.eqNullSafe(F.col(f"_out_{c}")) for c, column in keys.items()]
+    return docs.join(F.broadcast(out) if small else out, on, "left_anti")
 
 
 def sliced(batches, column, most: int = 4 << 20):

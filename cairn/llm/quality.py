@@ -2,13 +2,15 @@
 
 A character 4-gram model for each language is counted over the trusted
 documents (labelled quality 1) of four folds of five; the fifth fold, which the
-model has not seen, sets the threshold, so unlabelled text is measured alike.  Modified Kneser-Ney uses three discounts for
-each order, estimated from the counts of counts, continuation counts below the
-highest order, and interpolation down to a uniform distribution.  Every
+model has not seen, sets the threshold, so unlabelled text is measured alike.
+Modified Kneser-Ney uses three discounts for each order, estimated from the
+counts of counts, continuation counts below the highest order, and
+interpolation down to a uniform distribution.  Every
 distinct 4-gram of the whole corpus is joined with the counts, so its log
 probability is computed once, and a document's perplexity comes from the sum
-over its 4-grams.  A document is kept when its perplexity is at most
-``MARGIN`` times the ``QUANTILE`` of that fold's documents in its language.
+over its 4-grams.  A document is kept when its perplexity is at most the
+``QUANTILE`` of that fold's documents in its language (``percentile_approx``,
+whose rank is off by at most one in ``ACCURACY`` of the fold).
 
 Text is taken whole: runs of white space are one space, digits are one symbol,
 characters beyond the basic plane are one symbol; three start marks go before.
@@ -18,7 +20,8 @@ shifts and masks of the same key.
 Scale: tasks reduce their texts to distinct (language, 4-gram) counts before
 the shuffle; the count joins are hash-sharded by key.  The probability table is
 handed to the scoring tasks only if it has at most ``TABLE_ROWS`` rows (counted
-first); a larger one is joined with the documents' own 4-gram counts instead.
+first); a larger one is joined with the documents' own 4-gram counts instead,
+with the same double-precision probabilities.
 Labels are broadcast below ``LABEL_ROWS`` (counted), else joined by shuffle.
 
 Defined results: null or empty text scores on its end mark alone; a null
@@ -44,8 +47,9 @@ from pyspark.sql import functions as F
 from cairn.llm import common
 
 ORDER = 4
-QUANTILE = 0.985
-MARGIN = 1.1
+#: One trusted document in a hundred is given up for what lies above it.
+QUANTILE = 0.99
+ACCURACY = 10_000
 FOLDS = 5
 TABLE_ROWS = 4_000_000
 LABEL_ROWS = 1_000_000
@@ -124,47 +128,69 @@ def gather(docs: DataFrame) -> DataFrame:
     return each.groupBy("lang", "key").agg(F.sum("c").alias("c"))
 
 
-def _level(counts: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
-    """Of (lang, key, c) at one order: discounted shares (lang, key, a) and back-off weights (lang, h, g)."""
-    of = counts.groupBy("lang").agg(*[F.count_if(F.col("c") == n).cast("double").alias(f"n{n}") for n in (1, 2, 3, 4)])
+def levels(model: DataFrame) -> DataFrame:
+    """Of the model's 4-grams (lang, key, c): (lang, w, key, c) for every order ``w``, 4 to 1.
+
+    Below the highest order ``c`` is the continuation count, how many different
+    symbols stand before ``key``: one pass that lists each 4-gram's shorter
+    endings with the symbol before them, and counts the distinct ones.
+    """
+    ends = F.array(*[F.struct(F.lit(w).alias("w"), F.col("key").bitwiseAND(F.lit((1 << 16 * w) - 1).cast("long")).alias("key"), F.col("key").bitwiseAND(F.lit((1 << 16 * (w + 1)) - 1 if w < 3 else -1).cast("long")).alias("longer")) for w in (3, 2, 1)])
+    lower = model.select("lang", F.explode(ends).alias("e")).select("lang", "e.*").distinct().groupBy("lang", "w", "key").agg(F.count("*").alias("c"))
+    return model.select("lang", F.lit(ORDER).alias("w"), "key", "c").unionByName(lower)
+
+
+def discounts(counts: DataFrame) -> DataFrame:
+    """(lang, w, d1, d2, d3): the three discounts of each language and order, from its counts of counts."""
+    of = counts.groupBy("lang", "w").agg(*[F.count_if(F.col("c") == n).cast("double").alias(f"n{n}") for n in (1, 2, 3, 4)])
     y = F.col("n1") / F.greatest(F.col("n1") + 2 * F.col("n2"), F.lit(1.0))
     steps = [("n1", "n2", 1), ("n2", "n3", 2), ("n3", "n4", 3)]
     # an order with no counts of counts to estimate from takes the usual 0.5, 1 and 1.5
-    d = of.select("lang", *[F.when((F.col(a) > 0) & (F.col(b) > 0), F.greatest(F.lit(0.05), F.least(F.lit(k - 0.05), k - (k + 1) * y * F.col(b) / F.col(a)))).otherwise(k / 2).alias(f"d{k}") for a, b, k in steps])
-    # a row per language: few and small, joined by language
-    rows = counts.join(F.broadcast(d), "lang").withColumn("h", F.shiftrightunsigned("key", 16) if width > 1 else F.lit(0).cast("long"))
+    return of.select("lang", "w", *[F.when((F.col(a) > 0) & (F.col(b) > 0), F.greatest(F.lit(0.05), F.least(F.lit(k - 0.05), k - (k + 1) * y * F.col(b) / F.col(a)))).otherwise(k / 2).alias(f"d{k}") for a, b, k in steps])
+
+
+def _context(key: str, w: str):
+    """The symbols before the last one of a key of order ``w``, of which one has none."""
+    return F.when(F.col(w) > 1, F.shiftrightunsigned(key, 16)).otherwise(F.lit(0).cast("long"))
+
+
+def tables(spark: SparkSession, model: DataFrame) -> DataFrame:
+    """(lang, w, kind, key, v): discounted shares (kind 0, by key) and back-off weights (kind 1, by context)."""
+    counts = common.written(spark, levels(model), "levels")
+    rows = counts.join(discounts(counts), ["lang", "w"]).withColumn("h", _context("key", "w"))
     off = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
-    sums = rows.groupBy("lang", "h").agg(F.sum("c").cast("double").alias("total"), F.sum(off).alias("lost"))
-    shares = rows.join(sums, ["lang", "h"]).select("lang", "key", ((F.col("c") - off) / F.col("total")).alias("a"))
-    return shares, sums.select("lang", "h", (F.col("lost") / F.col("total")).alias("g"))
+    rows = rows.withColumn("off", off)
+    sums = rows.groupBy("lang", "w", "h").agg(F.sum("c").cast("double").alias("total"), F.sum("off").alias("lost"))
+    shares = rows.join(sums, ["lang", "w", "h"]).select("lang", "w", F.lit(0).alias("kind"), "key", ((F.col("c") - F.col("off")) / F.col("total")).alias("v"))
+    return common.written(spark, shares.unionByName(sums.select("lang", "w", F.lit(1).alias("kind"), F.col("h").alias("key"), (F.col("lost") / F.col("total")).alias("v"))), "tables")
 
 
 def probabilities(spark: SparkSession, gathered: DataFrame) -> DataFrame:
-    """(lang, key, logp) for every distinct 4-gram of the corpus, by joins sharded by key."""
+    """(lang, key, logp) for every distinct 4-gram of the corpus, by joins sharded by key.
+
+    Every asked 4-gram looks up its share and its context's weight at each
+    order: eight rows of one join, brought together again by 4-gram.
+    """
     trusted = gathered.filter("c > 0")
-    known = trusted.select("lang").distinct()
     pooled = trusted.groupBy("key").agg(F.sum("c").alias("c")).select(F.lit("*").alias("lang"), "key", "c")
     model = common.written(spark, trusted.unionByName(pooled), "trusted")
-    levels, counts = [], model  # each level is written: the next ones read it several times
-    for width in (4, 3, 2, 1):
-        shares, weights = _level(counts, width)
-        levels.append((common.written(spark, shares, f"shares{width}"), common.written(spark, weights, f"weights{width}")))
-        if width > 1:  # continuation counts: how many distinct characters stand before
-            mask = (1 << 16 * (width - 1)) - 1
-            lower = counts.select("lang", F.col("key").bitwiseAND(F.lit(mask).cast("long")).alias("key")).groupBy("lang", "key").agg(F.count("*").alias("c"))
-            counts = common.written(spark, lower, f"counts{width - 1}")
     size = model.select("lang", F.col("key").bitwiseAND(F.lit(0xFFFF).cast("long")).alias("w")).distinct().groupBy("lang").agg((F.count("*") + 1).cast("double").alias("v"))
+    known = trusted.select("lang").distinct()
     alone = gathered.join(known, "lang", "left_anti").select("key").distinct()  # of languages that can't be learned
     asked = gathered.join(known, "lang", "left_semi").select("lang", "key").unionByName(alone.select(F.lit("*").alias("lang"), "key"))
-    rows = asked.join(F.broadcast(size), "lang").withColumn("p", 1 / F.col("v"))  # a row per language
-    for width, (shares, weights) in zip((1, 2, 3, 4), reversed(levels)):
-        mask = F.lit((1 << 16 * width) - 1 if width < 4 else -1).cast("long")
-        context = F.shiftrightunsigned(F.col("key").bitwiseAND(mask), 16) if width > 1 else F.lit(0).cast("long")
-        rows = rows.withColumn("k", F.col("key").bitwiseAND(mask)).withColumn("h", context)
-        rows = rows.join(shares.withColumnRenamed("key", "k"), ["lang", "k"], "left").join(weights, ["lang", "h"], "left")
-        # a context that was never seen passes its whole weight on
-        rows = rows.select("lang", "key", (F.coalesce("a", F.lit(0.0)) + F.coalesce("g", F.lit(1.0)) * F.col("p")).alias("p"))
-    return rows.select("lang", "key", F.log("p").alias("logp"))
+    masked = [(w, F.col("key").bitwiseAND(F.lit((1 << 16 * w) - 1 if w < ORDER else -1).cast("long"))) for w in range(1, ORDER + 1)]
+    wanted = [F.struct(F.lit(w).alias("w"), F.lit(0).alias("kind"), k.alias("k")) for w, k in masked]
+    wanted += [F.struct(F.lit(w).alias("w"), F.lit(1).alias("kind"), (F.shiftrightunsigned(k, 16) if w > 1 else F.lit(0).cast("long")).alias("k")) for w, k in masked]
+    each = asked.select("lang", F.col("key").alias("gram"), F.explode(F.array(*wanted)).alias("e")).select("lang", "gram", "e.w", "e.kind", F.col("e.k").alias("key"))
+    found = each.join(tables(spark, model), ["lang", "w", "kind", "key"], "left")
+    pick = lambda w, kind, none: F.coalesce(F.max(F.when((F.col("w") == w) & (F.col("kind") == kind), F.col("v"))), F.lit(none))
+    # a share that was never seen is nothing; a context that was never seen passes its whole weight on
+    cells = [pick(w, kind, none).alias(f"{name}{w}") for w in range(1, ORDER + 1) for kind, name, none in ((0, "a", 0.0), (1, "g", 1.0))]
+    rows = found.groupBy("lang", "gram").agg(*cells).join(size, "lang")
+    p = 1 / F.col("v")
+    for w in range(1, ORDER + 1):
+        p = F.col(f"a{w}") + F.col(f"g{w}") * p
+    return rows.select("lang", F.col("gram").alias("key"), F.log(p).alias("logp"))
 
 
 def trusted_ids(labels: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -179,7 +205,7 @@ class _Table:
         langs = rows.column("lang").combine_chunks().dictionary_encode() if rows.num_rows else None
         if langs is not None:
             langs = langs.combine_chunks() if isinstance(langs, pa.ChunkedArray) else langs
-            codes, keys, logp = langs.indices.to_numpy(), rows.column("key").to_numpy(), rows.column("logp").to_numpy().astype(np.float32)
+            codes, keys, logp = langs.indices.to_numpy(), rows.column("key").to_numpy(), rows.column("logp").to_numpy()
             for number, lang in enumerate(langs.dictionary.to_pylist()):
                 own = codes == number
                 order = np.argsort(keys[own])
@@ -188,63 +214,74 @@ class _Table:
     def score(self, lang: str, text: str | None) -> tuple[float, int]:
         keys, logp = self.by_lang[lang if lang in self.by_lang else "*"]
         mine = keys_of(text)
-        return float(logp[np.searchsorted(keys, mine)].sum(dtype=np.float64)), len(mine)
+        return float(logp[np.searchsorted(keys, mine)].sum()), len(mine)
 
 
-def _score(spark: SparkSession, base: DataFrame, table: DataFrame, langs: list[str], table_rows: int) -> DataFrame:
-    """(row, doc_id, lang, trusted, total, n) for every document: its log probability and number of 4-grams.
+def _score(spark: SparkSession, base: DataFrame, table: DataFrame, known: DataFrame, table_rows: int) -> DataFrame:
+    """(row, doc_id, lang, h, trusted, total, n) for every document: its log probability and number of 4-grams.
 
     ``trusted``: true for the model's fold, false for the threshold's, null for the rest.
     """
-    schema = "row long, doc_id long, lang string, trusted boolean, total double, n long"
+    schema = "row long, doc_id long, lang string, h long, trusted boolean, total double, n long"
     names = [x.split()[0] for x in schema.split(", ")]
+    own = base.select("row", "doc_id", "lang", "h", "trusted", "text")
     if table.count() <= table_rows:
         shared = spark.sparkContext.broadcast(_Table(table.toArrow()))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in common.sliced(batches, 4):
-                found = [shared.value.score(lang, t) for lang, t in zip(batch.column(2).to_pylist(), batch.column(4).to_pylist())]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array([a for a, _ in found], pa.float64()), pa.array([n for _, n in found], pa.int64())], names)
+            for batch in common.sliced(batches, 5):
+                found = [shared.value.score(lang, t) for lang, t in zip(batch.column(2).to_pylist(), batch.column(5).to_pylist())]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array([a for a, _ in found], pa.float64()), pa.array([n for _, n in found], pa.int64())], names)
 
-        return base.select("row", "doc_id", "lang", "trusted", "text").mapInArrow(run, schema)
+        return own.mapInArrow(run, schema)
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.sliced(batches, 4):
-            for row, doc, lang, trusted, text in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                u, n = np.unique(keys_of(text), return_counts=True)
-                cells = [pa.array([v] * len(u), t) for v, t in ((row, pa.int64()), (doc, pa.int64()), (lang, pa.string()), (trusted, pa.bool_()))]
-                yield pa.RecordBatch.from_arrays([*cells, pa.array(u), pa.array(n)], [*names[:4], "key", "n"])
+        for batch in common.sliced(batches, 5):
+            for at in range(batch.num_rows):
+                u, n = np.unique(keys_of(batch.column(5)[at].as_py()), return_counts=True)
+                cells = [pa.array([batch.column(i)[at].as_py()] * len(u), batch.column(i).type) for i in range(5)]
+                yield pa.RecordBatch.from_arrays([*cells, pa.array(u), pa.array(n)], [*names[:5], "key", "n"])
 
-    each = base.select("row", "doc_id", "lang", "trusted", "text").mapInArrow(grams, "row long, doc_id long, lang string, trusted boolean, key long, n long")
-    model = F.when(F.col("lang").isin(langs), F.col("lang")).otherwise("*") if langs else F.lit("*")
-    joined = each.withColumn("model", model).join(table.withColumnRenamed("lang", "model"), ["model", "key"])
-    return joined.groupBy("row", "doc_id", "lang", "trusted").agg(F.sum(F.col("logp") * F.col("n")).alias("total"), F.sum("n").alias("n"))
+    each = own.mapInArrow(grams, "row long, doc_id long, lang string, h long, trusted boolean, key long, n long")
+    each = each.join(known.withColumn("model", F.col("lang")), "lang", "left").withColumn("model", F.coalesce("model", F.lit("*")))
+    joined = each.join(table.withColumnRenamed("lang", "model"), ["model", "key"])
+    return joined.groupBy(*names[:5]).agg(F.sum(F.col("logp") * F.col("n")).alias("total"), F.sum("n").alias("n"))
 
 
-def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang", quantile: float = QUANTILE, margin: float = MARGIN, table_rows: int = TABLE_ROWS, label_rows: int = LABEL_ROWS) -> DataFrame:
-    """(doc_id, lang, perplexity, threshold, keep) for every document."""
+def _judged(spark: SparkSession, docs: DataFrame, labels: DataFrame, key: str, text: str, lang: str, quantile: float, table_rows: int, label_rows: int) -> DataFrame:
+    """(doc_id, lang, h, perplexity, threshold, keep); ``h`` tells texts of one key and language apart."""
+    common.prepare(spark)
     trusted = common.written(spark, trusted_ids(labels), "trusted-ids")
     small = trusted.count() <= label_rows
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).cast("string").alias("text"))
+    body = F.col(text).cast("string")
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.xxhash64(body).alias("h"), body.alias("text"))
     base = rows.join(F.broadcast(trusted) if small else trusted, "doc_id", "left")  # trusted: null if not labelled so
     gathered = common.written(spark, gather(base.withColumn("trusted", F.coalesce("trusted", F.lit(False)))), "gathered")
-    langs = [r["lang"] for r in gathered.filter("c > 0").select("lang").distinct().collect()]  # a row per language
-    if not langs:
+    known = gathered.filter("c > 0").select("lang").distinct()
+    if known.isEmpty():
         null = F.lit(None).cast("double")
-        return rows.select("doc_id", "lang", null.alias("perplexity"), null.alias("threshold"), F.lit(True).alias("keep"))
+        return rows.select("doc_id", "lang", "h", null.alias("perplexity"), null.alias("threshold"), F.lit(True).alias("keep"))
     table = common.written(spark, probabilities(spark, gathered), "probabilities")
-    scored = _score(spark, base.withColumn("row", F.monotonically_increasing_id()), table, langs, table_rows)
-    scored = common.written(spark, scored.select("doc_id", "lang", "trusted", F.exp(-F.col("total") / F.col("n")).alias("perplexity")), "scored")
+    scored = _score(spark, base.withColumn("row", F.monotonically_increasing_id()), table, known, table_rows)
+    scored = common.written(spark, scored.select("doc_id", "lang", "h", "trusted", F.exp(-F.col("total") / F.col("n")).alias("perplexity")), "scored")
     good = scored.filter("NOT trusted")
-    at = F.percentile_approx("perplexity", quantile, 10_000)
-    limits = good.groupBy("lang").agg((at * margin).alias("own"))
-    overall = good.agg((at * margin).alias("threshold")).first()["threshold"]
-    judged = scored.join(F.broadcast(limits), "lang", "left").withColumn("threshold", F.coalesce("own", F.lit(overall).cast("double")))  # a row per language
-    return judged.select("doc_id", "lang", "perplexity", "threshold", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)).alias("keep"))
-
-
-def keep_good(spark: SparkSession, docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", drop_rows: int = LABEL_ROWS, **options) -> DataFrame:
-    """The documents that the classifier keeps, in their own columns; rows with a null key stay."""
-    judged = common.written(spark, classify(spark, docs, labels, key=key, **options), "judged")
-    out = judged.filter("NOT keep AND doc_id IS NOT NULL").select(F.col("doc_id").alias(key)).distinct()
-    return common.without(docs, out, key, drop_rows)
+    at = F.percentile_approx("perplexity", quantile, ACCURACY)
+    limits = good.groupBy("lang").agg(at.alias("own"))
+    overall = good.agg(at.alias("threshold")).first()["threshold"]
+    judged = scored.join(limits, "lang", "left").withColumn("threshold", F.coalesce("own", F.lit(overall).cast("double")))
+    return judged.select("doc_id", "lang", "h", "perplexity", "threshold", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)).alias("keep"))
+
+
+def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang", quantile: float = QUANTILE, table_rows: int = TABLE_ROWS, label_rows: int = LABEL_ROWS) -> DataFrame:
+    """(doc_id, lang, perplexity, threshold, keep) for every document."""
+    return _judged(spark, docs, labels, key, text, lang, quantile, table_rows, label_rows).drop("h")
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang", quantile: float = QUANTILE, table_rows: int = TABLE_ROWS, label_rows: int = LABEL_ROWS, drop_rows: int = LABEL_ROWS) -> DataFrame:
+    """The documents that the classifier keeps, in their own columns.
+
+    Rows are judged, not keys: a bad text goes alone when its key stands in
+    other rows too, and rows with a null key are judged like any other.
+    """
+    judged = common.written(spark, _judged(spark, docs, labels, key, text, lang, quantile, table_rows, label_rows), "judged")
+    return common.without_rows(docs, judged.filter("NOT keep").select("doc_id", "lang", "h"), {"doc_id": F.col(key).cast("long"), "lang": F.coalesce(F.col(lang).cast("string"), F.lit("und")), "h": F.xxhash64(F.col(text).cast("string"))}, drop_rows)
