@@ -60,14 +60,20 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long."""
+    """(doc_id, h, fp): the text's hash and its fingerprint, as signed longs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.sliced(batches, 1):
             fps = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(fps.view(np.int64))], ["doc_id", "h", "fp"])
 
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return _texts(docs, key, text).mapInArrow(run, "doc_id long, h long, fp long")
+
+
+def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(doc_id, text, h); ``h`` tells different texts of one key apart."""
+    body = F.col(text).cast("string")
+    return docs.select(F.col(key).cast("long").alias("doc_id"), body.alias("text"), F.xxhash64(body).alias("h"))
 
 
 def pivot_table(fps: np.ndarray) -> np.ndarray:
@@ -174,22 +180,28 @@ def links(spark: SparkSession, distinct: DataFrame, *, radius: int = RADIUS, buc
         todo, first = rows.join(large, ["mask", "value"], "left_semi").select("fp", "mask"), False
 
 
+def _groups(spark: SparkSession, docs: DataFrame, key: str, text: str, shingle: int, radius: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, h, node), the node being the fingerprint, and (node, root, component_id)."""
+    rows = common.written(spark, fingerprints(docs, key=key, text=text, shingle=shingle).withColumnRenamed("fp", "node"), "fingerprints")
+    distinct = common.written(spark, rows.groupBy("node").agg(F.min("doc_id").alias("first")), "distinct")
+    roots = graph.components(spark, links(spark, distinct.withColumnRenamed("node", "fp"), radius=radius))
+    return rows, common.written(spark, _named(distinct, roots), "components")
+
+
 def groups(spark: SparkSession, docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """(doc_id, fp, component_id): the smallest doc_id reachable over links, itself included."""
-    rows = common.written(spark, fingerprints(docs, key=key, text=text, shingle=shingle), "fingerprints")
-    distinct = common.written(spark, rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    roots = graph.components(spark, links(spark, distinct, radius=radius))
-    each = _named(spark, distinct.withColumnRenamed("fp", "node"), roots).withColumnRenamed("node", "fp")
-    return rows.join(common.written(spark, each, "components"), "fp").select("doc_id", "fp", "component_id")
+    common.prepare(spark)
+    rows, each = _groups(spark, docs, key, text, shingle, radius)
+    return rows.join(each, "node").select("doc_id", F.col("node").alias("fp"), "component_id")
 
 
-def _named(spark: SparkSession, distinct: DataFrame, roots: DataFrame) -> DataFrame:
-    """(node, component_id) for ``distinct(node, first)``: the least ``first`` of each component."""
+def _named(distinct: DataFrame, roots: DataFrame) -> DataFrame:
+    """(node, root, component_id) for ``distinct(node, first)``: the least ``first`` of each component."""
     nodes = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
     named = nodes.join(distinct, "node")
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    linked = named.join(least, "root").select("node", "component_id")
-    return distinct.join(linked, "node", "left").select("node", F.coalesce("component_id", "first").alias("component_id"))
+    linked = named.join(least, "root").select("node", "root", "component_id")
+    return distinct.join(linked, "node", "left").select("node", F.coalesce("root", "node").alias("root"), F.coalesce("component_id", "first").alias("component_id"))
 
 
 # ---- similar texts: wide fingerprints -------------------------------------------------------------
@@ -244,9 +256,9 @@ def _wide_rows(docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
             sets = [shingle_set(t, shingle) for t in batch.column(1).to_pylist()]
             words = [wide_fingerprint(h).view(np.int64) for h in sets]
             longs = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, longs), pa.array([h.view(np.int64) for h in sets], longs)], ["doc_id", "words", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(words, longs), pa.array([h.view(np.int64) for h in sets], longs)], ["doc_id", "h", "words", "shingles"])
 
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, "doc_id long, words array<long>, shingles array<long>")
+    return _texts(docs, key, text).mapInArrow(run, "doc_id long, h long, words array<long>, shingles array<long>")
 
 
 def _sketch_links(group: np.ndarray, turn: np.ndarray, sketch: np.ndarray, radius: int, seen: set) -> list[tuple[int, int]]:
@@ -447,32 +459,53 @@ def similar_links(spark: SparkSession, distinct: DataFrame, *, similarity: float
     return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(passed(left))
 
 
-def similar_groups(spark: SparkSession, docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = WIDE_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
-    """(doc_id, component_id): groups of texts linked by a Jaccard similarity of at least ``similarity`` of their sets of word shingles."""
-    rows = _wide_rows(docs, key, text, shingle).select(F.xxhash64("shingles").alias("node"), "doc_id", F.col("words")[0].alias("s0"), F.col("words")[1].alias("s1"), "words", "shingles")  # a set, a node
+def _similar(spark: SparkSession, docs: DataFrame, key: str, text: str, shingle: int, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, h, node), the node being the shingle set, and (node, root, component_id)."""
+    rows = _wide_rows(docs, key, text, shingle).select(F.xxhash64("shingles").alias("node"), "doc_id", "h", F.col("words")[0].alias("s0"), F.col("words")[1].alias("s1"), "words", "shingles")
     rows = common.written(spark, rows, "wide")
     distinct = common.written(spark, rows.groupBy("node", "s0", "s1").agg(F.min("doc_id").alias("first"), F.max("words").alias("words")), "wide-distinct")
-    links = similar_links(spark, distinct, similarity=similarity, sets=rows.select("node", "shingles"))
-    each = _named(spark, distinct.select("node", "first"), graph.components(spark, links))
-    return rows.select("doc_id", "node").join(common.written(spark, each, "components"), "node").select("doc_id", "component_id")
+    found = similar_links(spark, distinct, similarity=similarity, sets=rows.select("node", "shingles"))
+    each = _named(distinct.select("node", "first"), graph.components(spark, found))
+    return rows.select("doc_id", "h", "node"), common.written(spark, each, "components")
+
+
+def similar_groups(spark: SparkSession, docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = WIDE_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+    """(doc_id, component_id): groups of texts linked by a Jaccard similarity of at least ``similarity`` of their sets of word shingles.
+
+    Defined results: a text of fewer words than ``shingle`` has the one shingle
+    of all its words; null, empty and blank texts have none, and are one group;
+    the rest as for ``groups``.
+    """
+    common.prepare(spark)
+    rows, each = _similar(spark, docs, key, text, shingle, similarity)
+    return rows.join(each, "node").select("doc_id", "component_id")
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS, drop_rows: int = 1_000_000) -> DataFrame:
-    """The documents, one of each group (its smallest key); rows with a null key stay."""
-    return _keep_least(spark, docs, groups(spark, docs, key=key, text=text, shingle=shingle, radius=radius), key, drop_rows)
+    """The documents, one row of each group of linked fingerprints; see ``_keep_least``."""
+    common.prepare(spark)
+    return _keep_least(spark, docs, *_groups(spark, docs, key, text, shingle, radius), key, text, drop_rows)
 
 
 def keep_dissimilar(spark: SparkSession, docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = WIDE_SHINGLE, similarity: float = SIMILARITY, drop_rows: int = 1_000_000) -> DataFrame:
-    """The documents, one of each group of similar texts; rows with a null key stay."""
-    return _keep_least(spark, docs, similar_groups(spark, docs, key=key, text=text, shingle=shingle, similarity=similarity), key, drop_rows)
+    """The documents, one row of each group of similar texts; see ``_keep_least``."""
+    common.prepare(spark)
+    return _keep_least(spark, docs, *_similar(spark, docs, key, text, shingle, similarity), key, text, drop_rows)
+
 
+def _keep_least(spark: SparkSession, docs: DataFrame, rows: DataFrame, components: DataFrame, key: str, text: str, drop_rows: int) -> DataFrame:
+    """Of each component the row with the smallest key (ties: the smallest text hash), in the columns of ``docs``.
 
-def _keep_least(spark: SparkSession, docs: DataFrame, found: DataFrame, key: str, drop_rows: int) -> DataFrame:
-    found = common.written(spark, found.select("doc_id", "component_id"), "groups").filter("doc_id is not null")
-    out = found.groupBy(F.col("doc_id").alias(key)).agg(F.min("component_id").alias("least"), F.count("*").alias("n"))
-    gone = out.filter(F.col("least") < F.col(key)).select(key)
-    kept = common.without(docs, gone, key, drop_rows)
-    again = out.filter((F.col("n") > 1) & (F.col("least") == F.col(key))).select(key)  # keys that stand in several rows
+    Rows are dropped, never keys: texts of one key stay if they lie in different
+    components; of exactly repeated rows one stays.  Rows with a null key all stay.
+    """
+    own = rows.filter("doc_id IS NOT NULL").groupBy("doc_id", "h", "node").agg(F.count("*").alias("n"))  # repeated rows are one here
+    own = common.written(spark, own.join(components.select("node", "root"), "node"), "own")
+    first = own.groupBy("root").agg(F.min(F.struct("doc_id", "h")).alias("f")).select("f.doc_id", "f.h")
+    names = {"doc_id": F.col(key).cast("long"), "h": F.xxhash64(F.col(text).cast("string"))}
+    kept = common.without_rows(docs, own.join(first, ["doc_id", "h"], "left_anti"), names, drop_rows)
+    again = own.filter("n > 1").join(first, ["doc_id", "h"], "left_semi")
     if again.isEmpty():
         return kept
-    return common.without(kept, again, key, drop_rows).unionByName(kept.join(again, key, "left_semi").dropDuplicates([key]))
+    once = kept.join(again.select(F.col("doc_id").alias("_out_doc_id"), F.col("h").alias("_out_h")), [names["doc_id"].eqNullSafe(F.col("_out_doc_id")), names["h"].eqNullSafe(F.col("_out_h"))], "left_semi")
+    return common.without_rows(kept, again, names, drop_rows).unionByName(once.withColumns({"_out_doc_id": names["doc_id"], "_out_h": names["h"]}).dropDuplicates(["_out_doc_id", "_out_h"]).drop("_out_doc_id", "_out_h"))
