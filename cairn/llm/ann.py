@@ -6,24 +6,34 @@ before leave.  Encoding is a beam search over the codebooks, so a codeword that
 is second best alone can win with those that follow.  The index keeps a
 vector's codes and its norm; a query's score of a code is the sum of entries of
 its lookup tables (inner products with all codewords), scaled by the stored
-norm.  The best ``rerank`` of each block are scored again on the original
-vectors in double precision.
-
-Scale: the codebooks are fitted on at most ``FIT_ROWS`` vectors, those with the
-smallest hashes (a bounded, documented sample); every vector is indexed.
-Queries go to the tasks in blocks of ``QUERY_BLOCK`` vectors, so what is
-broadcast is bounded; each task keeps the best k of its rows for each query, so
-k rows for each query and task are shuffled, and ranked with a group limit.
-
-Defined results: null or zero vectors, and those with null or non-finite
-components or another length than the most usual one, take no part; equal
-scores go to the smaller id; repeated rows compete as rows; extra columns are
-ignored; an empty table gives an empty result.
+norm.  The best ``rerank`` are scored again on the original vectors in double
+precision.
+
+Coarse lists stand before the codes: vectors are dealt by direction to the
+nearest of about the square root of their number of centres, and a query looks
+at as many of the lists nearest to it as ``PROBE_RECALL`` needs, which is
+measured once on the sample by brute force.  Data without any structure need
+most of the lists; clustered data need few.
+
+Scale: centres and codebooks are fitted on at most ``FIT_ROWS`` vectors, those
+with the smallest hashes (a bounded, documented sample); every vector is
+indexed.  Lists are dealt to parts of about ``PART_ROWS`` rows, a larger list to
+several, so a third of all rows in one list is no hot task.  Queries never pass
+the driver: each is sent to the parts of its lists, and meets their rows there;
+k rows for each query and part are shuffled, and ranked with a group limit.
+
+Defined results: null or zero vectors, those with null or non-finite components
+or another length than the most usual one, and rows without an id, take no part;
+equal scores go to the smaller id; repeated rows compete as rows, and each row whose
+id makes it a query is one of its own (a repeated id has its k rows as often as
+it is there, each copy being the other's neighbour); extra columns are ignored;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -32,12 +42,33 @@ from pyspark.sql import functions as F
 
 from cairn.llm import common
 
-BOOKS, WORDS, BEAM = 8, 128, 8
-FIT_ROWS = 20_000
-QUERY_BLOCK = 20_000
-RERANK = 500
-#: Vectors that one task scans at a time.
-SCAN_BLOCK = 8_192
+BOOKS, WORDS, BEAM = 16, 256, 4
+FIT_ROWS = 8_000
+#: Share of the sample's true neighbours that must lie in the probed lists.
+PROBE_RECALL = 0.98
+MOST_LISTS = 4_096
+PART_ROWS = 16_384
+#: Rows of a query that are scored exactly: so many, or that share of the rows in its lists if it is more.
+RERANK, RERANK_SHARE = 1_000, 0.02
+
+
+def centres_of(x: np.ndarray, n: int, rounds: int, rng: np.random.Generator) -> np.ndarray:
+    """k-means centres; an empty one takes a random row."""
+    centres = x[rng.choice(len(x), n, replace=False)].copy()
+    for _ in range(rounds):
+        near = nearest_centre(x, centres)
+        order = np.argsort(near, kind="stable")
+        begin = np.flatnonzero(np.diff(near[order], prepend=-1))
+        count = np.diff(np.append(begin, len(order)))
+        found = near[order[begin]]
+        centres[found] = np.add.reduceat(x[order], begin, axis=0) / count[:, None]
+        empty = np.setdiff1d(np.arange(n), found)
+        centres[empty] = x[rng.choice(len(x), len(empty))]
+    return centres
+
+
+def nearest_centre(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    return np.argmax(x @ centres.T - 0.5 * (centres**2).sum(axis=1), axis=1)
 
 
 class Quantiser:
@@ -45,61 +76,56 @@ class Quantiser:
 
     def __init__(self, codebooks: np.ndarray):
         self.codebooks = codebooks.astype(np.float32)
-        self.cross = np.einsum("awd,bvd->abwv", self.codebooks, self.codebooks).astype(np.float32)
         self.squares = np.einsum("bwd,bwd->bw", self.codebooks, self.codebooks).astype(np.float32)
 
     @classmethod
-    def fit(cls, x: np.ndarray, books: int = BOOKS, words: int = WORDS, rounds: int = 12, seed: int = 7) -> "Quantiser":
+    def fit(cls, x: np.ndarray, books: int = BOOKS, words: int = WORDS, rounds: int = 6, seed: int = 7) -> "Quantiser":
         rng = np.random.default_rng(seed)
-        x = x.astype(np.float32)
-        left, found = x.copy(), []
+        left, found = x.astype(np.float32), []
         for _ in range(books):
             w = min(words, len(left))
-            centres = left[rng.choice(len(left), w, replace=False)].copy()
-            for _ in range(rounds):
-                near = np.argmin((centres**2).sum(1)[None, :] - 2 * left @ centres.T, axis=1)
-                count = np.bincount(near, minlength=w)
-                sums = np.zeros((w, x.shape[1]), dtype=np.float64)
-                np.add.at(sums, near, left)
-                full = count > 0
-                centres[full] = (sums[full] / count[full, None]).astype(np.float32)
-                centres[~full] = left[rng.choice(len(left), int((~full).sum()))]
-            near = np.argmin((centres**2).sum(1)[None, :] - 2 * left @ centres.T, axis=1)
-            left -= centres[near]
-            book = np.zeros((words, x.shape[1]), dtype=np.float32)
-            book[:w] = centres
-            if w < words:
-                book[w:] = centres[0]
-            found.append(book)
+            centres = centres_of(left, w, rounds, rng)
+            left = left - centres[nearest_centre(left, centres)]
+            found.append(np.concatenate((centres, np.repeat(centres[:1], words - w, axis=0))))
         return cls(np.stack(found))
 
     def encode(self, x: np.ndarray, beam: int = BEAM) -> np.ndarray:
-        """Codes (n, books) by beam search over the residual codebooks."""
-        x = x.astype(np.float32)
-        n, (books, words, _) = len(x), self.codebooks.shape
+        """Codes (n, books) by beam search: the ``beam`` best partial sums go on, each with what it leaves of the vector."""
+        n, (books, words, dim) = len(x), self.codebooks.shape
+        left = x.astype(np.float32)[:, None, :]
         codes = np.zeros((n, 1, 0), dtype=np.int64)
         errors = np.zeros((n, 1), dtype=np.float32)
         for b in range(books):
-            gain = self.squares[b][None, :] - 2 * x @ self.codebooks[b].T  # (n, words)
-            each = errors[:, :, None] + gain[:, None, :]
-            for a in range(b):  # the codewords chosen so far change what is left
-                each = each + 2 * self.cross[a, b][codes[:, :, a]]
-            flat = each.reshape(n, -1)
+            gain = self.squares[b] - 2 * (left.reshape(-1, dim) @ self.codebooks[b].T).reshape(n, -1, words)
+            flat = (gain + errors[:, :, None]).reshape(n, -1)
             k = min(beam, flat.shape[1])
             best = np.argpartition(flat, k - 1, axis=1)[:, :k]
             errors = np.take_along_axis(flat, best, axis=1)
-            codes = np.concatenate((np.take_along_axis(codes, (best // words)[:, :, None], axis=1), (best % words)[:, :, None]), axis=2)
+            before = (best // words)[:, :, None]
+            codes = np.concatenate((np.take_along_axis(codes, before, axis=1), (best % words)[:, :, None]), axis=2)
+            left = np.take_along_axis(left, before, axis=1) - self.codebooks[b][best % words]
         return np.take_along_axis(codes, errors.argmin(axis=1)[:, None, None], axis=1)[:, 0].astype(np.uint8 if words <= 256 else np.uint16)
 
     def decode(self, codes: np.ndarray) -> np.ndarray:
         return sum(self.codebooks[b][codes[:, b]] for b in range(self.codebooks.shape[0]))
 
 
+@dataclass
+class Index:
+    """``rows``: (rid, vec_id, v, list, codes, norm), a number for each row; what tasks need to search it."""
+
+    rows: DataFrame
+    quantiser: Quantiser
+    centres: np.ndarray
+    probes: int
+    sizes: np.ndarray
+
+
 def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
-    """(vec_id, v): the rows that take part."""
-    v = F.col(vector).cast("array<double>")
-    fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
-    rows = vectors.select(F.col(key).cast("long").alias("vec_id"), v.alias("v")).filter(F.col("v").isNotNull() & fine)
+    """(vec_id, v): the rows that take part; vectors keep their type."""
+    v = F.col(vector)
+    fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf"))) & F.exists(v, lambda x: x != 0)
+    rows = vectors.select(F.col(key).cast("long").alias("vec_id"), v.alias("v")).filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & fine)
     usual = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
     return rows.filter(F.size("v") == (usual["n"] if usual else 0))
 
@@ -108,113 +134,178 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
 
 
-def index(spark: SparkSession, vectors: DataFrame, *, key: str = "vec_id", vector: str = "embedding", fit_rows: int = FIT_ROWS) -> tuple[DataFrame, Quantiser | None]:
-    """(vec_id, codes, norm, v) for every usable vector, written once, and the quantiser."""
+def _unit(x: np.ndarray) -> np.ndarray:
+    x = x.astype(np.float64)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def probes_needed(x: np.ndarray, centres: np.ndarray, k: int, recall: float, seed: int = 11) -> int:
+    """The fewest lists whose rows hold that share of the true neighbours of 300 rows of ``x`` inside ``x``."""
+    some = np.random.default_rng(seed).choice(len(x), min(300, len(x)), replace=False)
+    scores = x[some] @ x.T
+    scores[np.arange(len(some)), some] = -np.inf
+    k = min(k, len(x) - 1)
+    if k < 1:
+        return len(centres)
+    true = np.argpartition(-scores, k - 1, axis=1)[:, :k]
+    lists = nearest_centre(x, centres)
+    place = np.argsort(np.argsort(-(x[some] @ centres.T), axis=1, kind="stable"), axis=1)  # of each list in a row's order
+    at = np.sort(np.take_along_axis(place, lists[true], axis=1).ravel())
+    return int(at[min(len(at) - 1, int(np.ceil(recall * len(at))))]) + 1
+
+
+def index(spark: SparkSession, vectors: DataFrame, *, key: str = "vec_id", vector: str = "embedding", k: int = 20, fit_rows: int = FIT_ROWS, probe_recall: float = PROBE_RECALL) -> Index | None:
+    """Every usable vector with its list, codes and norm, written once; None if there is none."""
+    common.prepare(spark)
     rows = usable(vectors, key, vector)
     sample = rows.orderBy(F.xxhash64("vec_id", "v"), "vec_id").limit(fit_rows).collect()
     if not sample:
-        return rows.select("vec_id", F.lit(None).cast("binary").alias("codes"), F.lit(0.0).alias("norm"), "v"), None
-    x = np.array([r["v"] for r in sample])
-    quantiser = Quantiser.fit(x / np.linalg.norm(x, axis=1, keepdims=True))
-    shared, dim = spark.sparkContext.broadcast(quantiser), x.shape[1]
+        return None
+    x = _unit(np.array([r["v"] for r in sample]))
+    quantiser = Quantiser.fit(x)
+    n_lists = int(max(1, min(MOST_LISTS, len(x) // 8, rows.count() ** 0.5)))
+    centres = centres_of(x.astype(np.float32), n_lists, 8, np.random.default_rng(5))
+    probes = probes_needed(x.astype(np.float32), centres, k, probe_recall)
+    shared, dim = spark.sparkContext.broadcast((quantiser, centres)), x.shape[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        quant, means = shared.value
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            v = _matrix(batch.column(1), dim)
-            norm = np.linalg.norm(v, axis=1)
-            codes = [shared.value.encode(v[i : i + 2048] / norm[i : i + 2048, None]) for i in range(0, len(v), 2048)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([c.tobytes() for part in codes for c in part], pa.binary()), pa.array(norm), batch.column(1)], ["vec_id", "codes", "norm", "v"])
-
-    return common.written(spark, rows.mapInArrow(run, "vec_id long, codes binary, norm double, v array<double>"), "index"), quantiser
-
-
-def _scan(query_ids, queries, luts, books, vec_ids, codes, norms, vectors, scale, k, rerank):
-    """Best k of one block of the index for each query, as columns of ids and exact scores."""
-    order = np.argsort(vec_ids, kind="stable")  # equal scores: smaller ids first
-    vec_ids, codes, norms, vectors, scale = vec_ids[order], codes[order], norms[order], vectors[order], scale[order]
-    out_q, out_v, out_s = [], [], []
-    take = min(max(rerank, k + 1), len(vec_ids))
-    factor = (norms * scale).astype(np.float32)
-    for q in range(len(query_ids)):
-        guess = luts[q, 0][codes[:, 0]]
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                v = _matrix(part.column(2), dim)
+                u = _unit(v)
+                codes = pa.array([c.tobytes() for c in quant.encode(u)], pa.binary())
+                lists = nearest_centre(u.astype(np.float32), means).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(lists), codes, pa.array(np.linalg.norm(v.astype(np.float64), axis=1))], ["rid", "vec_id", "v", "list", "codes", "norm"])
+
+    kind = rows.schema["v"].dataType.simpleString()
+    made = rows.select(F.monotonically_increasing_id().alias("rid"), "vec_id", "v").mapInArrow(run, f"rid long, vec_id long, v {kind}, list int, codes binary, norm double")
+    made = common.written(spark, made, "index")
+    sizes = np.zeros(n_lists, dtype=np.int64)
+    for r in made.groupBy("list").count().collect():  # a row for each list
+        sizes[r["list"]] = r["count"]
+    return Index(made, quantiser, centres, probes, sizes)
+
+
+def deal(sizes: np.ndarray, part_rows: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """For each list its first part and how many it has to itself, and the number of parts: small lists share, large ones are split."""
+    first, own, part, filled = np.zeros(len(sizes), dtype=np.int64), np.ones(len(sizes), dtype=np.int64), 0, 0
+    for number, size in enumerate(sizes.tolist()):
+        if filled and filled + size > part_rows:
+            part, filled = part + 1, 0
+        first[number] = part
+        if size > part_rows:
+            own[number] = -(-size // part_rows)
+            part, filled = part + int(own[number]), 0
+        else:
+            filled += size
+    return first, own, part + 1
+
+
+class _Part:
+    """The index rows of one part, ready for queries."""
+
+    def __init__(self, quantiser: Quantiser, columns: list[list]):
+        rid, vec_id, lists, codes, norms, vectors = (np.concatenate(c) for c in columns)
+        order = np.argsort(vec_id, kind="stable")  # equal scores: smaller ids first
+        self.rid, self.vec_id, self.lists, self.codes, self.vectors = rid[order], vec_id[order], lists[order], codes[order], vectors[order]
+        length = np.linalg.norm(quantiser.decode(self.codes), axis=1)
+        self.factor = (norms[order] / np.maximum(length, 1e-12)).astype(np.float32)  # the stored norm over the approximation's
+        self.quantiser = quantiser
+
+    def search(self, rid: int, query: np.ndarray, probed: np.ndarray, k: int, rerank: float) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and exact scores of the best k in the probed lists, of the best by their codes: the share ``rerank`` of their rows, 2 k at least."""
+        books = len(self.quantiser.codebooks)
+        tables = self.quantiser.codebooks @ query.astype(np.float32)
+        some = np.flatnonzero(probed[self.lists] & (self.rid != rid))
+        take = max(2 * k, int(rerank * len(some)))
+        codes = self.codes[some]
+        guess = tables[0][codes[:, 0]]
         for b in range(1, books):
-            guess = guess + luts[q, b][codes[:, b]]
-        guess = guess * factor
-        if take < len(guess):
+            guess += tables[b][codes[:, b]]
+        guess *= self.factor[some]
+        if take < len(some):
             edge = np.partition(guess, len(guess) - take)[len(guess) - take]
             above = np.flatnonzero(guess > edge)
-            some = np.concatenate((above, np.flatnonzero(guess == edge)[: take - len(above)]))  # ties at the edge: smaller ids
-        else:
-            some = np.arange(len(guess))
-        exact = np.einsum("nd,d->n", vectors[some], queries[q])
-        mine = vec_ids[some] != query_ids[q]
-        some, exact = some[mine], exact[mine]
-        best = np.lexsort((vec_ids[some], -exact))[:k]
-        out_q.append(np.full(len(best), query_ids[q]))
-        out_v.append(vec_ids[some[best]])
-        out_s.append(exact[best])
-    return np.concatenate(out_q), np.concatenate(out_v), np.concatenate(out_s)
-
-
-def search(spark: SparkSession, indexed: DataFrame, quantiser: Quantiser | None, queries: DataFrame, *, k: int = 20, rerank: int = RERANK, query_block: int = QUERY_BLOCK) -> DataFrame:
-    """(query_id, rank, vec_id, score): each query's k nearest by inner product; ``queries`` has (vec_id, v)."""
-    schema = "query_id long, vec_id long, score double"
-    total = queries.count()
-    found: DataFrame | None = None
-    blocks = max(1, -(-total // query_block))
-    for number in range(blocks if quantiser is not None else 0):
-        block = queries.filter(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == number).select("vec_id", "v").orderBy("vec_id").collect()
-        if not block:
-            continue
-        shared = spark.sparkContext.broadcast((np.array([r[0] for r in block]), np.array([r[1] for r in block]), quantiser))
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            ids, q, quant = shared.value
-            books, words, dim = quant.codebooks.shape
-            luts = np.einsum("qd,bwd->qbw", q.astype(np.float32), quant.codebooks, optimize=True)
-            held: list = []
-            best = [np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0)]
-
-            def scan(parts):
-                vec_ids = np.concatenate([p[0] for p in parts])
-                codes = np.concatenate([p[1] for p in parts])
-                norms = np.concatenate([p[2] for p in parts])
-                vectors = np.concatenate([p[3] for p in parts])
-                length = np.linalg.norm(quant.decode(codes), axis=1)
-                scale = 1.0 / np.maximum(length, 1e-12)  # the stored norm over the approximation's
-                new = _scan(ids, q, luts, books, vec_ids, codes, norms, vectors, scale, k, rerank)
-                qs, vs, ss = (np.concatenate(pair) for pair in zip(best, new))
-                order = np.lexsort((vs, -ss, qs))
-                qs, vs, ss = qs[order], vs[order], ss[order]
-                first = np.concatenate(([True], qs[1:] != qs[:-1])) if len(qs) else np.zeros(0, dtype=bool)
-                start = np.maximum.accumulate(np.where(first, np.arange(len(qs)), 0))
-                keep = np.arange(len(qs)) - start < k
-                best[:] = [qs[keep], vs[keep], ss[keep]]
-
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                codes = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype=np.uint8 if words <= 256 else np.uint16).reshape(-1, books)
-                held.append((batch.column(0).to_numpy(), codes, batch.column(2).to_numpy(), _matrix(batch.column(3), dim)))
-                if sum(len(p[0]) for p in held) >= SCAN_BLOCK:
-                    scan(held)
-                    held = []
-            if held:
-                scan(held)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in best], ["query_id", "vec_id", "score"])
-
-        part = indexed.filter("vec_id is not null").select("vec_id", "codes", "norm", "v").mapInArrow(run, schema)
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+            some = some[np.concatenate((above, np.flatnonzero(guess == edge)[: take - len(above)]))]  # ties at the edge: smaller ids
+        exact = np.einsum("nd,d->n", self.vectors[some].astype(np.float64), query)
+        best = np.lexsort((self.vec_id[some], -exact))[:k]
+        return self.vec_id[some[best]], exact[best]
 
 
-def nearest(spark: SparkSession, vectors: DataFrame, *, every: int = 20, k: int = 20, key: str = "vec_id", vector: str = "embedding", rerank: int = RERANK) -> DataFrame:
-    """Index all vectors; the queries are those whose id is divisible by ``every``."""
-    indexed, quantiser = index(spark, vectors, key=key, vector=vector)
-    queries = indexed.filter(F.col("vec_id") % every == 0).select("vec_id", "v")
-    return search(spark, indexed, quantiser, queries, k=k, rerank=rerank)
+def search(spark: SparkSession, found: Index | None, queries: DataFrame, *, k: int = 20, rerank: int = RERANK, part_rows: int = PART_ROWS) -> DataFrame:
+    """(query_id, rank, vec_id, score): each query's k nearest by inner product.
+
+    ``queries``: (rid, vec_id, v), a number of its own for each; the index row of the same number is left out.
+    """
+    if found is None:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    common.prepare(spark)
+    first, own, parts = deal(found.sizes, part_rows)
+    books, words, dim = found.quantiser.codebooks.shape
+    shared = spark.sparkContext.broadcast((found.quantiser, found.centres, found.sizes, first, own))
+    probes, n_lists = found.probes, len(found.sizes)
+
+    def to_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, centres, sizes, first, own = shared.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            order = np.argsort(-(_unit(_matrix(batch.column(2), dim)).astype(np.float32) @ centres.T), axis=1, kind="stable")[:, :probes]
+            rows, part, lists, reach = [], [], [], []
+            for at, near in enumerate(order):
+                touched = np.unique(np.concatenate([np.arange(first[c], first[c] + own[c]) for c in near]))
+                rows += [at] * len(touched)
+                part += touched.tolist()
+                lists += [np.packbits(np.isin(np.arange(n_lists), near)).tobytes()] * len(touched)
+                reach += [int(sizes[near].sum())] * len(touched)
+            taken = batch.take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array([1] * len(rows), pa.int32()), *taken.columns, pa.array(reach, pa.int64()), pa.array(lists, pa.binary()), pa.array(np.zeros(len(rows)))], ["part", "query", "rid", "vec_id", "v", "list", "codes", "norm"])
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        quant = shared.value[0]
+        number, held, part = None, [[] for _ in range(6)], None
+        for batch in batches:
+            cells = [batch.column(i).to_numpy() for i in (0, 1, 2, 3, 5, 7)]
+            vectors = _matrix(batch.column(4), dim) if batch.num_rows else None
+            cuts = [0, *(np.flatnonzero(np.diff(cells[0] * 2 + cells[1])) + 1).tolist(), batch.num_rows]
+            for a, z in zip(cuts, cuts[1:]):
+                if a == z:
+                    continue
+                if cells[0][a] != number:
+                    number, held, part = cells[0][a], [[] for _ in range(6)], None
+                if cells[1][a] == 0:  # rows of the index come first
+                    codes = np.frombuffer(b"".join(batch.column(6).slice(a, z - a).to_pylist()), dtype=np.uint8 if words <= 256 else np.uint16).reshape(-1, books)
+                    for column, value in zip(held, (cells[2][a:z], cells[3][a:z], cells[4][a:z], codes, cells[5][a:z], vectors[a:z])):
+                        column.append(value)
+                    continue
+                if not held[0]:
+                    continue
+                part = part or _Part(quant, held)
+                out: list[list] = [[], [], [], []]
+                for at in range(a, z):
+                    probed = np.unpackbits(np.frombuffer(batch.column(6)[at].as_py(), dtype=np.uint8))[:n_lists].astype(bool)
+                    reach = max(1, cells[4][at])
+                    # the query's rows to score exactly are dealt to its parts in proportion, and a quarter more
+                    ids, scores = part.search(cells[2][at], vectors[at].astype(np.float64), probed, k, 1.25 * max(rerank / reach, RERANK_SHARE))
+                    for column, value in zip(out, (np.full(len(ids), cells[2][at]), np.full(len(ids), cells[3][at]), ids, scores)):
+                        column.append(value)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["rid", "query_id", "vec_id", "score"])
+
+    kind = found.rows.schema["v"].dataType.simpleString()
+    firsts, owns = (F.split(F.lit(",".join(map(str, column.tolist()))), ",").cast("array<int>") for column in (first, own))  # folded to constants
+    part = F.get(firsts, F.col("list")) + F.pmod(F.xxhash64("rid"), F.get(owns, F.col("list"))).cast("int")
+    rows = found.rows.select(part.alias("part"), F.lit(0).alias("query"), "rid", "vec_id", "v", F.col("list").cast("long").alias("list"), "codes", "norm")
+    asked = queries.select("rid", "vec_id", F.col("v").cast(kind).alias("v")).mapInArrow(to_parts, f"part int, query int, rid long, vec_id long, v {kind}, list long, codes binary, norm double")
+    dealt = rows.unionByName(asked).repartition(parts, "part").sortWithinPartitions("part", "query")
+    best = dealt.mapInArrow(scan, "rid long, query_id long, vec_id long, score double")
+    w = Window.partitionBy("rid").orderBy(F.desc("score"), "vec_id")
+    return best.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def nearest(spark: SparkSession, vectors: DataFrame, *, every: int = 20, k: int = 20, key: str = "vec_id", vector: str = "embedding", rerank: int = RERANK, part_rows: int = PART_ROWS) -> DataFrame:
+    """Index all vectors; the queries are the rows whose id is divisible by ``every``."""
+    found = index(spark, vectors, key=key, vector=vector, k=k)
+    queries = found.rows.filter(F.col("vec_id") % every == 0).select("rid", "vec_id", "v") if found else None
+    return search(spark, found, queries, k=k, rerank=rerank, part_rows=part_rows)

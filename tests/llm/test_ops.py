@@ -168,22 +168,49 @@ def test_ann_recall_ties_and_unusable_vectors(spark):
     df = spark.createDataFrame(rows + bad, "vec_id long, embedding array<double>, label int, score double")
     out = ann.nearest(spark, df, rerank=300).toPandas()
     assert set(out.query_id) == set(range(0, 1500, 20))
-    hits = []
+    hits, true = [], {}
     for q, g in out.groupby("query_id"):
         s = x.astype(np.float64) @ x[q].astype(np.float64)
         s[q] = -np.inf
         best = np.lexsort((np.arange(len(s)), -s))[:20]
+        true[q] = set(best.tolist())
         g = g.sort_values("rank")
         assert g["rank"].tolist() == list(range(1, 21))
         assert np.allclose(g.score, s[g.vec_id], rtol=1e-12)
         assert [(-a, b) for a, b in zip(g.score, g.vec_id)] == sorted((-a, b) for a, b in zip(g.score, g.vec_id))
         hits.append(len(set(best) & set(g.vec_id)) / 20)
     assert np.mean(hits) > 0.95
+    parts = ann.nearest(spark, df, rerank=300, part_rows=100).toPandas()  # many parts, and a list of ties that is split
+    assert len(parts) == len(out) and np.mean([len(true[q] & set(g.vec_id)) / 20 for q, g in parts.groupby("query_id")]) > 0.9
     few = ann.nearest(spark, df.filter("vec_id < 5"))
     assert few.count() == 4
     assert ann.nearest(spark, df.limit(0)).count() == 0 and ann.nearest(spark, df.filter("vec_id >= 5000 and vec_id <> 5080")).count() == 0
 
 
+def test_ann_repeated_ids_are_rows_of_their_own(spark):
+    x = np.random.default_rng(3).normal(size=(200, 8))
+    rows = [(i, [float(v) for v in x[i]]) for i in range(200)]
+    rows += [rows[20], rows[20], (40, [float(v) for v in x[41]]), (None, [float(v) for v in x[5]])]
+    out = ann.nearest(spark, spark.createDataFrame(rows, "vec_id long, embedding array<double>"), rerank=10_000)
+    matrix, ids = np.array([r[1] for r in rows[:-1]]), [r[0] for r in rows[:-1]]
+    want = []
+    for at, q in enumerate(ids):
+        if q % 20 == 0:
+            s = matrix @ matrix[at]
+            order = sorted((j for j in range(len(ids)) if j != at), key=lambda j: (-round(s[j], 9), ids[j]))[:20]
+            want += [(q, rank, ids[j], round(s[j], 9)) for rank, j in enumerate(order, 1)]
+    got = [(r["query_id"], r["rank"], r["vec_id"], round(r["score"], 9)) for r in out.collect()]
+    hits = sum((min(got.count(w), want.count(w)) for w in set(want)))
+    assert len(got) == len(want) and hits >= 0.9 * len(want)
+    twenty = out.filter("query_id = 20 AND rank <= 2").collect()
+    assert [r["vec_id"] for r in twenty] == [20] * 6  # three rows, each the two others' nearest
+
+
+def test_lists_are_dealt_to_parts():
+    first, own, parts = ann.deal(np.array([50, 60, 30, 450, 20, 0, 90]), 100)
+    assert first.tolist() == [0, 1, 1, 2, 7, 7, 8] and own.tolist() == [1, 1, 1, 5, 1, 1, 1] and parts == 9
+
+
 def test_beam_beats_greedy():
     x = np.random.default_rng(1).normal(size=(400, 8))
     q = ann.Quantiser.fit(x, books=4, words=16)
