@@ -7,17 +7,21 @@ yet marked, in either text, is marked, and again, until none of at least
 Karp-Rabin hashes, checked word by word.  The marked share of the item's words
 is its coverage; tiles may lie in any order, so reordered passages count.
 
-Words are lower-cased letter-and-digit runs; punctuation and layout don't
-matter.  An item of fewer than ``min_match`` words is matched by all its words.
+Words are lower-cased letter-and-digit runs, and single characters of scripts
+written without spaces; punctuation and layout don't matter.  An item of fewer
+than ``min_match`` words is matched by all its words.
 
-Scale: documents are read once and nothing about them is shuffled or kept.
-Benchmark items go to the tasks in blocks of at most ``BLOCK_BYTES`` of text
-(measured first); a larger benchmark takes one more pass for each further
-block, so the broadcast is bounded and every item meets every document.
+Scale: documents are read once for each block of items, and nothing about them
+is shuffled.  Equal items are one text.  The texts go to the tasks in blocks of
+at most ``BLOCK_BYTES`` (measured first; a longer text is a block by itself),
+one block at a time: its result is written before the next one is built, so
+neither the driver nor a task holds more than one, and every item meets every
+document.
 
 Defined results: null and empty texts and items match nothing; repeated items
 and documents give repeated rows; null keys are carried; an empty table on
-either side gives an empty result; extra columns are ignored.
+either side gives an empty result; extra columns are ignored.  ``clean`` drops
+rows by their text, whatever their key.
 """
 
 from __future__ import annotations
@@ -25,6 +29,7 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +41,9 @@ from cairn.llm import common
 MIN_MATCH = 5
 COVERAGE = 0.6
 BLOCK_BYTES = 16 << 20
-_WORD = re.compile(r"[^\W_]+")
+# Blocks of scripts written without spaces: Thai to Myanmar, Khmer, kana, ideographs.
+_DENSE = r"\u0e00-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff"
+_WORD = re.compile(rf"[^\W_{_DENSE}]+|[{_DENSE}]")
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -113,7 +120,7 @@ def tile(doc_words: np.ndarray, item_words: np.ndarray, length: int, doc_hash: n
 class _Block:
     """Some benchmark items, ready to be met by documents."""
 
-    def __init__(self, items: list[tuple[int | None, str]], min_match: int):
+    def __init__(self, items: list[tuple[int, str]], min_match: int):
         self.vocab: dict[str, int] = {}
         self.items = []
         seeds: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
@@ -132,8 +139,8 @@ class _Block:
             order = np.argsort(h, kind="stable")
             self.seeds[length] = (h[order], owner[order])
 
-    def meet(self, text: str | None) -> Iterator[tuple[int | None, int, int, int]]:
-        """(item, words of the item, words covered, tiles) for every item with a shared seed."""
+    def meet(self, text: str | None) -> Iterator[tuple[int, int, int, int]]:
+        """(number of the item, words of the item, words covered, tiles) for every item with a shared seed."""
         get = self.vocab.get
         words = words_of(text)
         ids = np.fromiter((get(w, -1) for w in words), dtype=np.int64, count=len(words))
@@ -163,24 +170,42 @@ class _Block:
 SCHEMA = "doc_id long, item_id long, item_words long, covered_words long, tiles long, coverage double"
 
 
-def _blocks(spark: SparkSession, benchmark: DataFrame, item_key: str, item_text: str, min_match: int, block_bytes: int):
-    """Broadcast blocks that together hold every item, each of about ``block_bytes`` of text at most."""
-    items = benchmark.select(F.col(item_key).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text")).filter("text is not null")
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = -(-size // block_bytes) or 1
-    for number in range(n):
-        block = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == number)
-        yield spark.sparkContext.broadcast(_Block([tuple(r) for r in block.orderBy("item_id", "text").collect()], min_match))
+def _items(spark: SparkSession, benchmark: DataFrame, item_text: str, block_bytes: int) -> tuple[DataFrame, list[int]]:
+    """Distinct item texts (hash, text, bytes) dealt to blocks of about ``block_bytes`` at most, and the blocks' numbers."""
+    body = F.col(item_text).cast("string")
+    texts = benchmark.filter(body.isNotNull()).select(body.alias("text")).distinct()
+    texts = common.written(spark, texts.select(F.xxhash64("text").alias("hash"), "text", F.octet_length("text").cast("long").alias("bytes")), "items")
+    blocks = -(-(texts.agg(F.sum("bytes")).first()[0] or 0) // block_bytes) or 1
+    while True:  # as many as it takes until no block of several texts is too large
+        dealt = texts.withColumn("block", F.pmod("hash", F.lit(blocks)))
+        sizes = dealt.groupBy("block").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")).collect()  # a row for each block
+        if blocks == 1 or all(r["n"] < 2 or r["bytes"] <= block_bytes for r in sizes):
+            return dealt, sorted(r["block"] for r in sizes)
+        blocks *= 2
+
+
+def _passes(spark: SparkSession, dealt: DataFrame, blocks: list[int], min_match: int, one_pass) -> list[DataFrame]:
+    """``one_pass(block)`` for each block of items; with several, each result is written before the next block is made."""
+    found = []
+    for number in blocks:
+        block = spark.sparkContext.broadcast(_Block([(r["hash"], r["text"]) for r in dealt.filter(F.col("block") == number).orderBy("hash").collect()], min_match))
+        part = one_pass(block)
+        if len(blocks) > 1:
+            part = common.written(spark, part, "met")
+            block.unpersist()
+        found.append(part)
+    return found
 
 
 def overlaps(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", min_match: int = MIN_MATCH, coverage: float = COVERAGE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(document, item) pairs whose tiles cover at least ``coverage`` of the item's words."""
+    common.prepare(spark)
     texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    names = [x.split()[0] for x in SCHEMA.split(", ")]
-    found: DataFrame | None = None
-    for shared in _blocks(spark, benchmark, item_key, item_text, min_match, block_bytes):
+    met = SCHEMA.replace("item_id", "hash")
+    names = [x.split()[0] for x in met.split(", ")]
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+    def one_pass(shared) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in common.sliced(batches, 1):
                 rows = []
                 for doc, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -189,19 +214,47 @@ def overlaps(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, *, key:
                             rows.append((doc, item, n, covered, tiles, covered / n))
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows) if rows else [()] * 6, [pa.int64()] * 5 + [pa.float64()])], names)
 
-        part = texts.mapInArrow(run, SCHEMA)
-        found = part if found is None else found.unionByName(part)
-    return found
+        return texts.mapInArrow(run, met)
+
+    parts = _passes(spark, *_items(spark, benchmark, item_text, block_bytes), min_match, one_pass)
+    if not parts:
+        return spark.createDataFrame([], SCHEMA)
+    owners = benchmark.filter(F.col(item_text).isNotNull()).select(F.col(item_key).cast("long").alias("item_id"), F.xxhash64(F.col(item_text).cast("string")).alias("hash"))
+    return reduce(DataFrame.unionByName, parts).join(owners, "hash").select(*[x.split()[0] for x in SCHEMA.split(", ")])
+
+
+def clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item_text: str = "text", min_match: int = MIN_MATCH, coverage: float = COVERAGE, block_bytes: int = BLOCK_BYTES, drop_rows: int = 1_000_000) -> DataFrame:
+    """The documents that contain no benchmark item, in their own columns.
+
+    One block of items is one narrow pass over the documents; with several, each
+    pass writes the hashes of the texts it met, and those rows go at the end.
+    """
+    common.prepare(spark)
+    dealt, blocks = _items(spark, benchmark, item_text, block_bytes)
+    at = docs.columns.index(text)
 
+    def hit(shared, body) -> bool:
+        return any(covered >= coverage * n for _, n, covered, _ in shared.value.meet(body))
 
-def clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item_key: str = "item_id", item_text: str = "text", min_match: int = MIN_MATCH, coverage: float = COVERAGE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The documents that contain no benchmark item, in their own columns; one narrow pass for each block."""
-    for shared in _blocks(spark, benchmark, item_key, item_text, min_match, block_bytes):
+    if len(blocks) < 2:
+
+        def filtered(shared) -> DataFrame:
+            def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                for batch in common.sliced(batches, at):
+                    keep = [not hit(shared, body) for body in batch.column(at).to_pylist()]
+                    yield batch if all(keep) else batch.filter(pa.array(keep, pa.bool_()))
+
+            return docs.mapInArrow(run, docs.schema)
+
+        return next(iter(_passes(spark, dealt, blocks, min_match, filtered)), docs)
+
+    def marked(shared) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in common.sliced(batches, 1):
+                yield batch.select(["h"]).filter(pa.array([hit(shared, body) for body in batch.column(1).to_pylist()], pa.bool_()))
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared, at=docs.columns.index(text)) -> Iterator[pa.RecordBatch]:
-            for batch in common.sliced(batches, at):
-                keep = [not any(covered >= coverage * n for _, n, covered, _ in shared.value.meet(body)) for body in batch.column(at).to_pylist()]
-                yield batch if all(keep) else batch.filter(pa.array(keep, pa.bool_()))
+        body = F.col(text).cast("string")
+        return docs.select(F.xxhash64(body).alias("h"), body.alias("text")).mapInArrow(run, "h long")
 
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+    marks = reduce(DataFrame.unionByName, _passes(spark, dealt, blocks, min_match, marked))
+    return common.without_rows(docs, marks, {"h": F.xxhash64(F.col(text).cast("string"))}, drop_rows)

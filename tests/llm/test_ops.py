@@ -156,6 +156,27 @@ def test_decontamination_catches_reordered_passages(spark, docs, none):
     assert decontaminate.clean(spark, some, bench.limit(0)).count() == some.count()
 
 
+def test_decontamination_blocks_are_bounded(spark):
+    """500 equal items and many others: every block is small, no item is lost, and ``clean`` agrees in one block and in many."""
+    same = prose(300, 20)
+    others = [prose(400 + i, 20) for i in range(60)]
+    bench = spark.createDataFrame([(i, same) for i in range(500)] + [(1000 + i, t) for i, t in enumerate(others)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "before " + same), (2, others[7] + " after"), (2, "no match at all in here"), (None, others[8]), (3, None)], "doc_id long, text string")
+    dealt, blocks = decontaminate._items(spark, bench, "text", 400)
+    sizes = dealt.groupBy("block").agg(F.sum("bytes").alias("b"), F.count("*").alias("n")).collect()
+    assert dealt.count() == 61 and len(blocks) > 5 and all(r["b"] <= 400 or r["n"] == 1 for r in sizes)
+    runs = [sorted(map(str, decontaminate.overlaps(spark, docs, bench, block_bytes=b).collect())) for b in (decontaminate.BLOCK_BYTES, 2000)]
+    assert runs[0] == runs[1] and len(runs[0]) == 502
+    kept = [sorted(str(r["text"]) for r in decontaminate.clean(spark, docs, bench, block_bytes=b, drop_rows=n).collect()) for b, n in ((decontaminate.BLOCK_BYTES, 10), (2000, 10), (2000, 0))]
+    assert kept == [["None", "no match at all in here"]] * 3
+
+
+def test_unspaced_scripts_are_split_by_character():
+    assert decontaminate.words_of("Ab日本語x 9ก") == ["ab", "日", "本", "語", "x", "9", "ก"]
+    block = decontaminate._Block([(1, "今日は天気がいいですね")], 5)
+    assert [r[:3] for r in block.meet("昨日の話。今日は天気がいいですねと言った")] == [(1, 11, 11)]
+
+
 # ---- 3 nearest neighbours -----------------------------------------------------------------------------
 
 
@@ -303,7 +324,7 @@ def test_surrogates_are_distinct(spark):
         made = {s.replace(o)[0] for o in originals}
         assert len(made) == len(originals)
     df = spark.createDataFrame([(i, " ".join(sorted(mails)[i::7])) for i in range(7)], "doc_id long, text string")
-    assert pii.collisions(pii.pseudonymise(df, digests=True)).count() == 0
+    assert pii.collisions(pii.pseudonymise(df, digests="entities")).count() == 0
     out = pii.surrogates(spark, df)
     assert out.agg(F.sum("n_entities")).first()[0] == len(mails)
 
