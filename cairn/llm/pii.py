@@ -1,28 +1,41 @@
 """PII surrogates (operator 5): keyed, type-consistent replacements.
 
-Detected entities: e-mail addresses, telephone numbers, payment cards, IPv4 and
-IPv6 addresses, US social security numbers, IBANs, and person names after a
-title or a known given name.  A surrogate has its original's type, format and
-script: letters become letters of the same script and case, digits digits;
-punctuation, country codes, top-level domains, address ranges, card brands and
-check digits stay valid.  A known given name becomes another one of the same
-gender and script; an unknown name keeps its vowel and consonant pattern, and
-its ending.
+Detected entities: e-mail addresses, telephone numbers (international with or
+without separators, North American, and national ones with a leading zero),
+payment cards, IPv4 and IPv6 addresses (compressed ones too), US social security
+numbers, IBANs, and person names: after a title, after a known given name, and
+after words that introduce a person ("my name is", "Contact:", "Dear").  Later
+bare mentions of a name that a document has introduced so are found too.
+
+A surrogate has its original's type, format and script: letters become letters
+of the same script and case, digits digits; punctuation, country codes, top-level
+domains, address ranges, card brands and check digits stay valid.  A known given
+name becomes another one of the same gender and script; where a title tells the
+other gender ("Mrs Jean"), two names of that gender; the parts of a hyphenated
+name are replaced each by itself.  An unknown name keeps
+its vowel and consonant pattern, and its ending.
 
 Distinctness and coreference: within a type and format the replacement is a
 keyed permutation without fixed points (a Feistel network P, used as
 ``P^-1(P(x) + 1)``, walked until the type's own conditions hold).  So equal
 entities get equal surrogates in every document, different ones different
 surrogates, without a table; mail domains, given names and surnames are mapped
-each by themselves, so "Ms Reed" follows "Anna Reed".  ``collisions`` checks
-this over a whole corpus, and ``surrogates`` refuses a result that has any.
+each by themselves, so "Ms Reed" follows "Anna Reed", and a telephone number is
+its country code and digits, however it is written ("+1 555-123-4567" and
+"(555) 123-4567" have one surrogate).  ``collisions`` checks this over a whole
+corpus, and ``checked`` refuses a result that has any.
+
+The key comes from the session's ``spark.cairn.pii.key``.  Where that is unset
+one is drawn at random for the application and never written, so its surrogates
+agree with one another and nobody can invert them.
 
 Scale: one narrow pass; only 40-byte digests of distinct entities are shuffled
 for the check.
 
 Defined results: null text stays null; empty text stays empty; null keys are
 carried; repeated rows are each returned; an empty table gives an empty
-result; other columns pass through unchanged.
+result; other columns pass through unchanged, whatever their names.  A national
+telephone number and its international form can't be told to be one, and differ.
 """
 
 from __future__ import annotations
@@ -31,6 +44,7 @@ import hashlib
 import hmac
 import ipaddress
 import re
+import secrets
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -47,14 +61,18 @@ TITLES = {
     "n": ("Dr", "Prof", "Professor"),
 }
 GIVEN = {
-    ("m", "latin"): "James John Robert Michael William David Richard Joseph Thomas Daniel Peter Paul Hans Karl Lukas Pierre Jean Louis Antoine Carlos Miguel Javier Diego Pablo".split(),
-    ("f", "latin"): "Mary Linda Susan Karen Nancy Emily Sarah Laura Anna Julia Helga Ingrid Claudia Marie Sophie Camille Chloé Carmen Lucía Elena Isabel Teresa Rosa Clara".split(),
+    ("m", "latin"): "James John Robert Michael William David Richard Joseph Thomas Daniel Peter Paul Hans Karl Lukas Pierre Jean Louis Antoine Carlos Miguel Javier Diego Pablo Ahmed Mohammed Omar Hassan Ali Wei Kenji Raj Arjun Ivan Lars Erik Marco Giovanni".split(),
+    ("f", "latin"): "Mary Linda Susan Karen Nancy Emily Sarah Laura Anna Julia Helga Ingrid Claudia Marie Sophie Camille Chloé Carmen Lucía Elena Isabel Teresa Rosa Clara Fatima Aisha Leila Yuki Mei Priya Olga Astrid Giulia Francesca Jennifer Jessica Elizabeth Patricia".split(),
     ("m", "cyrillic"): "Иван Пётр Алексей Дмитрий Сергей Николай Михаил Андрей Павел Олег".split(),
     ("f", "cyrillic"): "Анна Мария Елена Ольга Наталья Татьяна Ирина Светлана Екатерина Юлия".split(),
     ("m", "greek"): "Γιώργος Νίκος Γιάννης Δημήτρης Κώστας Παύλος".split(),
     ("f", "greek"): "Μαρία Ελένη Κατερίνα Σοφία Αγγελική Ειρήνη".split(),
 }
+# Words that introduce a person's name, and country codes of one and two digits (all others have three).
+INTRODUCED = ("my name is", "full name:", "first name:", "last name:", "surname:", "contact:", "contact person:", "author:", "dear", "sincerely,", "regards,", "signed by", "attn:", "attention:", "spoke with", "written by", "patient:", "employee:", "customer:")
+CODES = {"1", "7", *"20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()}
 _POOL_OF = {name: pool for pool in GIVEN.values() for name in pool}
+_KIND_OF = {name: kind for kind, pool in GIVEN.items() for name in pool}
 
 # Letters that replace one another, by script, case and sound.
 CLASSES = (
@@ -64,19 +82,30 @@ CLASSES = (
     "αεηιουωάέήίόύώ", "βγδζθκλμνξπρσςτφχψ", "ΑΕΗΙΟΥΩΆΈΉΊΌΎΏ", "ΒΓΔΖΘΚΛΜΝΞΠΡΣΤΦΧΨ",
 )
 _CLASS_OF = {ch: c for c in CLASSES for ch in c}
-HEX = "0123456789abcdef"
 
 _EMAIL = re.compile(r"[\w.%+\-]+@(?:[A-Za-z0-9\-]+\.)+[A-Za-z]{2,}")
 _IBAN = re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b")
-_IPV6 = re.compile(r"(?<![\w:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\w:])")
+_IPV6 = re.compile(r"(?<![\w:.])(?=[0-9A-Fa-f]{0,4}:[0-9A-Fa-f]{0,4}:)[0-9A-Fa-f:]{0,38}(?:[0-9A-Fa-f]|::)(?!\w|:[0-9A-Fa-f:])")
 _IPV4 = re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d)")
 _SSN = re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")
-_PHONE = re.compile(r"(?<![\w.])(?:\+\d{1,3}[ .\-]?)?(?:\(\d{3}\)[ .\-]?|\d{3}[ .\-])\d{3}[ .\-]\d{4}(?!\w)|(?<![\w.])\+\d{1,3}(?:[ .\-]\(?\d{2,4}\)?){2,5}(?!\w)")
+_PHONE = re.compile(
+    r"(?<![\w.+])(?:\+\d{1,3}[ .\-]?)?(?:\(\d{3}\)[ .\-]?|\d{3}[ .\-])\d{3}[ .\-]\d{4}(?!\w)"
+    r"|(?<![\w.+])\+\d{1,3}(?:[ .\-/]\(?\d{1,10}\)?){1,6}(?!\w)"
+    r"|(?<![\w.+])\+\d{8,15}(?!\w)"
+    r"|(?<![\w.+\-/])0\d{1,4}[ /\-]\d{5,8}(?![\w\-/])"
+)
 _CARD = re.compile(r"(?<![\w.\-+])\d(?:[ \-]?\d){12,18}(?![\w])")
 _WORD = r"[^\W\d_]+(?:['’\-][^\W\d_]+)*"
 _TITLE_OF = {t: g for g, titles in TITLES.items() for t in titles}
-_PERSON = re.compile(rf"\b({'|'.join(sorted(_TITLE_OF, key=len, reverse=True))})(\.? )({_WORD})(?:( )({_WORD}))?|\b({'|'.join(sorted(_POOL_OF, key=len, reverse=True))})( )({_WORD})")
-_MAYBE = re.compile(r"@|\d[\d \-().:]{5,}\d|\d{2} ?[A-Z0-9]{4}|[0-9A-Fa-f]:[0-9A-Fa-f]")
+_TITLE = "|".join(sorted(_TITLE_OF, key=len, reverse=True))
+_PERSON = re.compile(
+    rf"\b(?P<title>{_TITLE})\.? (?P<a>{_WORD})(?: (?P<b>{_WORD}))?"
+    rf"|(?<![\w\-])(?P<c>(?:{'|'.join(sorted(_POOL_OF, key=len, reverse=True))})(?:-{_WORD})?) (?P<d>{_WORD})"
+    rf"|\b(?i:{'|'.join(re.escape(x) for x in INTRODUCED)})\s+(?!(?:{_TITLE})\b)(?P<e>{_WORD})(?: (?P<f>{_WORD}))?"
+)
+# What an introduction may be followed by instead of a name.
+_NO_NAME = {"Sir", "Sirs", "Madam", "All", "Team", "Customer", "Colleague", "Colleagues", "Friend", "Friends", "Editor", "User", "Support", "Sales", "Info", "The", "Our", "Us"}
+_MAYBE = re.compile(r"@|\d[\d \-().:/]{5,}\d|\d{2} ?[A-Z0-9]{4}|[0-9A-Fa-f]:[0-9A-Fa-f]|::")
 
 
 class Permuter:
@@ -194,12 +223,63 @@ def _card(p: Permuter, s: str) -> str:
     return _refill(s, new)
 
 
+def _country(s: str) -> tuple[str, str]:
+    """A telephone number's country code ("" for a national one) and the rest as it is written."""
+    if not s.startswith("+"):
+        return "", s
+    separated = re.match(r"\+(\d{1,3})(?=\D)", s)
+    if separated:
+        return separated[1], s[separated.end() :]
+    code = next(s[1 : 1 + n] for n in (1, 2, 3) if n == 3 or s[1 : 1 + n] in CODES)
+    return code, s[1 + len(code) :]
+
+
+def _dialled(s: str) -> tuple[str, str]:
+    """Country code and digits; ten digits without a code or a leading zero are North American."""
+    code, rest = _country(s)
+    digits = re.sub(r"\D", "", rest)
+    return ("1" if not code and len(digits) == 10 and not re.match(r"0\d{1,4}[ /\-]\d{5,8}$", s) else code), digits
+
+
 def _phone(p: Permuter, s: str) -> str:
-    code = re.match(r"\+\d{1,3}(?=\D)", s)
-    head = code[0] if code else ""
-    digits = re.sub(r"\D", "", s[len(head) :])
-    classes = ["0123456789" if i not in (0, 3) or len(digits) != 10 else "23456789" if ch > "1" else "01" for i, ch in enumerate(digits)]
-    return head + _refill(s[len(head) :], mixed(p, digits, f"phone:{head}", classes))
+    code, digits = _dialled(s)
+    american = code == "1" and len(digits) == 10
+    classes = ["0123456789" if not american or i not in (0, 3) else "23456789" if ch > "1" else "01" for i, ch in enumerate(digits)]
+    if not code and digits.startswith("0"):
+        classes[0] = "0"  # the trunk prefix
+    _, rest = _country(s)
+    return s[: len(s) - len(rest)] + _refill(rest, mixed(p, digits, f"phone:{code}", classes))
+
+
+# IPv6 ranges that are not global, the documentation range, and what is left.
+_BLOCKS6 = [ipaddress.IPv6Network(b) for b in ("::/96", "::ffff:0:0/96", "64:ff9b::/96", "2001:db8::/32", "fc00::/7", "fe80::/10", "ff00::/8", "2000::/3", "::/0")]
+
+
+def _ipv6_ok(s: str) -> bool:
+    try:
+        return int(ipaddress.IPv6Address(s)) > 1 and any(ch.isdigit() for ch in s)  # not the unspecified and the loopback address
+    except ValueError:
+        return False
+
+
+def _ipv6(p: Permuter, s: str) -> str:
+    """Inside its range; compressed, full or without leading zeros as the original is."""
+    x = int(ipaddress.IPv6Address(s))
+    number = next(n for n, b in enumerate(_BLOCKS6) if ipaddress.IPv6Address(x) in b)
+    block = _BLOCKS6[number]
+    base = int(block.network_address)
+    while True:
+        x = base + p.shift(block.num_addresses, x - base, str(block).encode())
+        new = ipaddress.IPv6Address(x)
+        if x > 1 and not any(new in b for b in _BLOCKS6[:number]):
+            break
+    if "::" in s:
+        out = new.compressed
+    elif all(len(part) == 4 for part in s.split(":")):
+        out = new.exploded
+    else:
+        out = ":".join(f"{int(part, 16):x}" for part in new.exploded.split(":"))
+    return out.upper() if s.upper() == s and s.lower() != s else out
 
 
 def _iban(p: Permuter, s: str) -> str:
@@ -209,9 +289,17 @@ def _iban(p: Permuter, s: str) -> str:
     return _refill(s, f"{code[:2]}{check:02d}{body}")
 
 
-def _name(p: Permuter, s: str) -> str:
+def _name(p: Permuter, s: str, gender: str = "") -> str:
+    """``gender``: what a title tells, if it does."""
+    if "-" in s:
+        return "-".join(_name(p, part) for part in s.split("-"))
     pool = _POOL_OF.get(s)
     if pool:
+        own, script = _KIND_OF[s]
+        other = GIVEN.get((gender, script))
+        if gender != own and other:  # all its names are taken: two of them, which no single name gets
+            first, second = divmod(p.shift(len(other) * (len(other) - 1), pool.index(s), f"given:{own}>{gender}:{script}".encode()), len(other) - 1)
+            return f"{other[first]} {other[second + (second >= first)]}"
         return pool[p.shift(len(pool), pool.index(s), ("given:" + pool[0]).encode())]
     # an unknown name: same sounds and ending, never a known given name
     classes = [_CLASS_OF.get(ch, ch) for ch in s]
@@ -223,7 +311,7 @@ def _name(p: Permuter, s: str) -> str:
 _KINDS: tuple[tuple[str, re.Pattern, Callable[[Permuter, str], str], Callable[[str], bool]], ...] = (
     ("email", _EMAIL, _email, lambda s: True),
     ("iban", _IBAN, _iban, lambda s: 15 <= len(s.replace(" ", "")) <= 34 and iban_ok(s.replace(" ", ""))),
-    ("ipv6", _IPV6, lambda p, s: mixed(p, s.lower(), "ipv6", [HEX if ch in HEX else ch for ch in s.lower()]), lambda s: True),
+    ("ipv6", _IPV6, _ipv6, _ipv6_ok),
     ("ipv4", _IPV4, _ipv4, lambda s: True),
     ("ssn", _SSN, lambda p, s: _refill(s, mixed(p, re.sub(r"\D", "", s), "ssn", ok=lambda d: d[0] != "9" and d[:3] not in ("000", "666") and d[3:5] != "00" and d[5:] != "0000")), lambda s: s[0] != "9" and s[:3] not in ("000", "666") and s[4:6] != "00" and s[7:] != "0000"),
     ("phone", _PHONE, _phone, lambda s: 7 <= sum(ch.isdigit() for ch in s) <= 15),
@@ -238,27 +326,43 @@ class Surrogates:
         self.permuter = Permuter(key)
         self._of = lru_cache(maxsize=100_000)(self._make)
 
-    def _make(self, kind: str, original: str) -> str:
+    def _make(self, kind: str, original: str, gender: str) -> str:
         if kind == "name":
-            return _name(self.permuter, original)
+            return _name(self.permuter, original, gender)
         return next(make for name, _, make, _ in _KINDS if name == kind)(self.permuter, original)
 
-    def find(self, text: str) -> list[tuple[int, int, str]]:
-        """(start, stop, kind), not overlapping: earlier kinds first, then leftmost."""
-        spans: list[tuple[int, int, str]] = []
+    def find(self, text: str) -> list[tuple[int, int, str, str]]:
+        """(start, stop, kind, gender told by a title), not overlapping: earlier kinds first, then leftmost."""
+        spans: list[tuple[int, int, str, str]] = []
+        taken: bytearray | None = None
+
+        def take(a: int, z: int, kind: str, gender: str = "") -> None:
+            nonlocal taken
+            taken = bytearray(len(text)) if taken is None else taken
+            if taken.find(1, a, z) < 0:
+                taken[a:z] = b"\1" * (z - a)
+                spans.append((a, z, kind, gender))
+
         if _MAYBE.search(text):
             for kind, pattern, _, ok in _KINDS:
                 for m in pattern.finditer(text):
-                    if ok(m[0]) and not any(a < m.end() and m.start() < z for a, z, _ in spans):
-                        spans.append((m.start(), m.end(), kind))
+                    if ok(m[0]):
+                        take(m.start(), m.end(), kind)
+        named: dict[str, str] = {}
         for m in _PERSON.finditer(text):
-            for group in (3, 5, 6, 8):
+            gender = _TITLE_OF[m["title"]] if m["title"] else ""
+            for group in "abcdef":
                 word = m[group]
-                if word and (word[0].isupper() or word[0].isalpha() and not word[0].islower()) and len(word) > 1:
-                    a, z = m.span(group)
-                    if not any(x < z and a < y for x, y, _ in spans):
-                        spans.append((a, z, "name"))
-        return sorted(spans)
+                if word and (word[0].isupper() or word[0].isalpha() and not word[0].islower()) and len(word) > 1 and not (group in "ef" and word in _NO_NAME):
+                    told = gender if group == "a" and gender != "n" else ""
+                    take(*m.span(group), "name", told)
+                    named[word] = named.get(word) or told
+        if named:  # later mentions without what introduced them; a word that also stands in lower case is none
+            for m in re.finditer(rf"(?<![\w@])(?:{'|'.join(sorted(map(re.escape, named), key=len, reverse=True))})(?![\w@])", text):
+                if len(m[0]) > 2 and taken.find(1, m.start(), m.end()) < 0 and not re.search(rf"\b{re.escape(m[0].lower())}\b", text):
+                    take(m.start(), m.end(), "name", named[m[0]])
+        # a given name's gender, once told, holds for the document's mentions that tell none
+        return sorted((a, z, kind, gender or named.get(text[a:z], "")) for a, z, kind, gender in spans)
 
     def replace(self, text: str) -> tuple[str, list[tuple[str, str, str]]]:
         """The text with surrogates, and (kind, original, surrogate) in order."""
@@ -266,8 +370,8 @@ class Surrogates:
         if not spans:
             return text, []
         out, at, found = [], 0, []
-        for a, z, kind in spans:
-            new = self._of(kind, text[a:z])
+        for a, z, kind, gender in spans:
+            new = self._of(kind, text[a:z], gender)
             out += [text[at:a], new]
             found.append((kind, text[a:z], new))
             at = z
@@ -279,27 +383,44 @@ def _surrogates(key: bytes) -> Surrogates:
     return Surrogates(key)
 
 
-DEFAULT_KEY = b"replace this key in production"
+KEY_SETTING = "spark.cairn.pii.key"
+_DRAWN: dict[str, bytes] = {}
+
+
+def session_key(spark: SparkSession) -> bytes:
+    """The configured key; where there is none, one drawn at random for this application and never written."""
+    configured = spark.conf.get(KEY_SETTING, None)
+    if configured:
+        return configured.encode()
+    return _DRAWN.setdefault(spark.sparkContext.applicationId, secrets.token_bytes(32))
 
 
 def _digest(kind: str, entity: str) -> bytes:
     """Of the entity's one canonical spelling."""
-    if kind in ("email", "ipv6"):
+    if kind == "email":
         entity = entity.lower()
+    elif kind == "ipv6":
+        entity = str(ipaddress.IPv6Address(entity))
     elif kind == "ipv4":
         entity = str(_address(entity))
+    elif kind == "phone":
+        entity = " ".join(_dialled(entity))
+    elif kind in ("card", "iban"):
+        entity = re.sub(r"[ \-]", "", entity)
     return hashlib.md5(f"{kind}:{entity}".encode("utf-8", "surrogatepass")).digest()
 
 
-def pseudonymise(docs: DataFrame, *, key: bytes = DEFAULT_KEY, text: str = "text", length: str | None = None, digests: bool = False) -> DataFrame:
+def pseudonymise(docs: DataFrame, *, key: bytes | None = None, text: str = "text", length: str | None = None, digests: str | None = None) -> DataFrame:
     """The documents with ``text`` replaced; ``length`` names a column to hold the new text's length.
 
-    ``digests`` adds ``entities``: (kind, md5 of original, md5 of surrogate) of each entity found.
+    ``digests`` names a further column: (kind, md5 of original, md5 of surrogate) of each entity found.
     """
+    key = key or session_key(docs.sparkSession)
+    common.prepare(docs.sparkSession)
     names, at = docs.columns, docs.columns.index(text)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     if digests:
-        schema += ", entities array<struct<kind:string,original:binary,surrogate:binary>>"
+        schema += f", `{digests}` array<struct<kind:string,original:binary,surrogate:binary>>"
     kind_type = pa.list_(pa.struct([("kind", pa.string()), ("original", pa.binary()), ("surrogate", pa.binary())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -313,21 +434,35 @@ def pseudonymise(docs: DataFrame, *, key: bytes = DEFAULT_KEY, text: str = "text
                 columns[i] = pa.array([None if t is None else len(t) for t, _ in done], batch.schema.field(i).type)
             if digests:
                 columns.append(pa.array([[{"kind": k, "original": _digest(k, a), "surrogate": _digest(k, b)} for k, a, b in found] for _, found in done], kind_type))
-            yield pa.RecordBatch.from_arrays(columns, names + ["entities"] * digests)
+            yield pa.RecordBatch.from_arrays(columns, [*names, digests] if digests else names)
 
     return docs.mapInArrow(run, schema)
 
 
-def collisions(found: DataFrame) -> DataFrame:
+def collisions(found: DataFrame, column: str = "entities") -> DataFrame:
     """(kind, surrogate, originals): surrogates of more than one original; distinct pairs are counted after a map-side reduction."""
-    pairs = found.select(F.explode("entities").alias("e")).groupBy("e.kind", "e.surrogate", "e.original").agg(F.count("*").alias("n"))
+    pairs = found.select(F.explode(column).alias("e")).groupBy("e.kind", "e.surrogate", "e.original").agg(F.count("*").alias("n"))
     return pairs.groupBy("kind", "surrogate").agg(F.count("*").alias("originals")).filter("originals > 1")
 
 
-def surrogates(spark: SparkSession, docs: DataFrame, *, key: bytes = DEFAULT_KEY, doc_key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, text, n_entities, kinds) for every document, after the corpus-wide collision check."""
-    made = pseudonymise(docs.select(F.col(doc_key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")), key=key, digests=True)
-    made = common.written(spark, made, "surrogates")
-    if (bad := collisions(made).count()) > 0:
+def checked(spark: SparkSession, docs: DataFrame, *, key: bytes | None = None, text: str = "text", length: str | None = None) -> tuple[DataFrame, str]:
+    """The pseudonymised documents, written and checked for collisions over the whole corpus, and the name of their column of digests."""
+    column = "entities"
+    while column in docs.columns:
+        column = f"_{column}"
+    made = common.written(spark, pseudonymise(docs, key=key, text=text, length=length, digests=column), "surrogates")
+    if (bad := collisions(made, column).count()) > 0:
         raise RuntimeError(f"{bad} surrogates stand for more than one entity")
-    return made.select("doc_id", "text", F.size("entities").cast("long").alias("n_entities"), F.array_join(F.sort_array(F.array_distinct("entities.kind")), ",").alias("kinds"))
+    return made, column
+
+
+def surrogates(spark: SparkSession, docs: DataFrame, *, key: bytes | None = None, doc_key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, text, n_entities, kinds) for every document, after the corpus-wide collision check."""
+    made, column = checked(spark, docs.select(F.col(doc_key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")), key=key)
+    return made.select("doc_id", "text", F.size(column).cast("long").alias("n_entities"), F.array_join(F.sort_array(F.array_distinct(f"{column}.kind")), ",").alias("kinds"))
+
+
+def without_personal_data(spark: SparkSession, docs: DataFrame, *, key: bytes | None = None, text: str = "text", length: str | None = None) -> DataFrame:
+    """The documents in their own columns, with surrogates, after the corpus-wide collision check."""
+    made, column = checked(spark, docs, key=key, text=text, length=length)
+    return made.drop(column)
