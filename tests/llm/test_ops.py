@@ -419,6 +419,34 @@ def test_segment_tree_equals_recount(enc):
             assert tree.text() == now and tree.n_tokens == len(enc.whole(now)) and tree.n_chars == len(now)
 
 
+def test_leaves_are_cut_at_safe_places(enc):
+    """Leaves of any length have the tokens of the whole text, in texts with hardly any white space too."""
+    rng = random.Random(8)
+    pieces = ["abc", "Don't", "'s", "''", "x1", "2024", ",", ".", "...", "(", ")", "|", "<|endoftext|>", "été", "日本", "。", " ", "\n", "=", "a/b", "Σ", "1́", "_", "-", "#", "ß", "!?", "::", "{}", "&amp;", "e.g.", "'ll", "w'e"]
+    for trial in range(60):
+        text = "".join(rng.choice(pieces) for _ in range(200))
+        for n in (1, 7, 40):
+            leaves = recount.cut_leaves(text, n)
+            assert "".join(leaves) == text
+            assert sum(len(enc.whole(x)) for x in leaves) == len(enc.whole(text)), (trial, n)
+    assert max(map(len, recount.cut_leaves("k1=v2,w;" * 5000))) < 2 * recount.LEAF
+
+
+def test_edits_encode_little(enc):
+    tree = recount.trees_of(enc, [""])[0]
+    for i in range(500):
+        tree.edit(tree.n_chars, tree.n_chars, f" appended word {i:4d}", enc.count_many)
+    assert tree.n_tokens == len(enc.whole(tree.text())) and tree.encoded_chars < 10 * tree.n_chars
+    assert max(map(len, tree.leaves)) < 2 * recount.LEAF
+    dense = "ab12,cd" * 30_000  # no white space at all
+    tree = recount.trees_of(enc, [dense])[0]
+    tree.edit(100_000, 100_001, "Z", enc.count_many)
+    assert tree.encoded_chars < 2000 and tree.n_tokens == len(enc.whole(tree.text()))
+    for _ in range(300):  # what is left after many cuts is joined again
+        tree.edit(500, 1150, "", enc.count_many)
+    assert tree.n_tokens == len(enc.whole(tree.text())) and len(tree.leaves) < 4 * tree.n_chars / recount.LEAF + 4
+
+
 def test_edits_of_a_table(spark, docs, none, enc):
     own = docs.filter("doc_id is not null").dropDuplicates(["doc_id"])
     trees = recount.build(own)
