@@ -75,6 +75,14 @@ def recode(c: Column, mapping: Mapping[str, str]) -> Column:
     return F.coalesce(F.create_map(*pairs)[c], c) if pairs else c
 
 
+def divided_by_code(value: Column, code: Column, divisors: Mapping[str, float]) -> Column:
+    """Values divided by what their code asks for (the mg/dL form of a result in mmol/L, say); others as they are."""
+    out = value
+    for name, divisor in divisors.items():
+        out = F.when(norm_code(code) == name.strip().upper(), value / divisor).otherwise(out)
+    return out
+
+
 def death_month(raw: Column) -> Column:
     """``YYYYMM`` as ``YYYY-MM``; null and 0 as the empty text."""
     text = F.trim(raw.cast("string"))

@@ -71,17 +71,45 @@ def histogram(df: DataFrame, value: str, low: float, high: float, bins: int) ->
     return df.filter(F.col(value).between(low, high)).groupBy(number.alias("bin")).agg(F.count("*").alias("n"))
 
 
+def _cell(v: Column) -> Column:
+    """A number's place in a coarse order: its binary exponent and 12 bits below it; never out of order."""
+    size = F.abs(v)
+    power = F.greatest(F.floor(F.log2(size)), F.lit(-1022))
+    cell = F.when(size == 0, F.lit(0)).otherwise((power + 1023) * 8192 + F.floor(size / F.pow(F.lit(2.0), power) * 4096)).cast("long")
+    return F.when(v < 0, -cell).otherwise(cell)
+
+
 def quartiles(df: DataFrame, value: str, *by: str) -> DataFrame:
-    """Exact quartiles with linear interpolation."""
-    p = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    out = df.groupBy(*by).agg(p.alias("p"))
-    return out.select(*by, F.col("p")[0].alias("q1"), F.col("p")[1].alias("q2"), F.col("p")[2].alias("q3"))
+    """Exact quartiles with linear interpolation, of the values that are not null.
+
+    No task sees a group's values: equal ones are counted together first, cells
+    of near ones are ranked in their group, and only the cells that hold a
+    wanted rank are ranked by value.
+    """
+    on = list(by)
+    v = F.col(value).cast("double")
+    counted = df.filter(v.isNotNull()).groupBy(*on, (v + F.lit(0.0)).alias("_v")).agg(F.count("*").alias("_n")).withColumn("_cell", _cell(F.col("_v")))
+    cells = counted.groupBy(*on, "_cell").agg(F.sum("_n").alias("_n"))
+    whole = Window.partitionBy(*on)
+    cells = cells.withColumn("_total", F.sum("_n").over(whole)).withColumn("_below", F.sum("_n").over(whole.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)))
+    quarter = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(p).alias("p")) for i, p in enumerate((0.25, 0.5, 0.75), 1)]))
+    at = (F.col("_total") - 1) * F.col("_q.p")
+    wanted = cells.withColumn("_q", quarter).withColumn("_below", F.coalesce("_below", F.lit(0))).select(*on, "_cell", "_n", "_below", F.col("_q.i").alias("_i"), at.alias("_at"), F.explode(F.array(F.floor(at), F.ceil(at))).alias("_rank"))
+    wanted = wanted.filter((F.col("_rank") >= F.col("_below")) & (F.col("_rank") < F.col("_below") + F.col("_n"))).drop("_n").distinct()
+    inside = counted.join(wanted.select(*on, "_cell").distinct(), [*on, "_cell"], "left_semi")
+    order = Window.partitionBy(*on, "_cell").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    inside = inside.withColumn("_first", F.coalesce(F.sum("_n").over(order), F.lit(0)))
+    hit = inside.join(wanted, [*on, "_cell"]).filter((F.col("_rank") - F.col("_below") >= F.col("_first")) & (F.col("_rank") - F.col("_below") < F.col("_first") + F.col("_n")))
+    each = hit.groupBy(*on, "_i", "_at").agg(F.min_by("_v", "_rank").alias("a"), F.max_by("_v", "_rank").alias("b"))
+    each = each.withColumn("q", F.col("a") + (F.col("b") - F.col("a")) * (F.col("_at") - F.floor("_at")))
+    return each.groupBy(*on).agg(*[F.max(F.when(F.col("_i") == i, F.col("q"))).alias(f"q{i}") for i in (1, 2, 3)])
 
 
 def table_hash(df: DataFrame) -> DataFrame:
-    """Order-free digest of a table: rows, columns and the sum of its rows' hashes."""
-    row = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in sorted(df.columns)])
-    return df.agg(F.count("*").alias("rows"), F.lit(",".join(sorted(df.columns))).alias("columns"), F.coalesce(F.sum(row.cast("decimal(38,0)")), F.lit(0)).cast("string").alias("digest"))
+    """Order-free digest of a table: rows, columns and the sum of its rows' SHA-256 (the first 60 bits of each), columns in order of their names."""
+    row = F.sha2(F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x1e")) for c in sorted(df.columns)]), 256)
+    number = F.conv(F.substring(row, 1, 15), 16, 10).cast("decimal(38,0)")
+    return df.agg(F.count("*").alias("rows"), F.lit(",".join(sorted(df.columns))).alias("columns"), F.coalesce(F.sum(number), F.lit(0)).cast("string").alias("digest"))
 
 
 def coverage(parts: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:

@@ -99,7 +99,7 @@ def previous_value(cohort_rows: DataFrame, rows: DataFrame, *, patient: str = "s
     """Latest value before the index, outside the index encounters."""
     outside = joins.anti(rows, cohort_rows, [encounter]) if encounter in cohort_rows.columns else rows
     right = outside.select(patient, F.col("ts").alias("prev_ts"), F.col("value").alias("prev_value"), F.col("event_id").alias("prev_id"))
-    return joins.as_of_backward(cohort_rows, right, [patient], left_ts=left_ts, right_ts="prev_ts", values=["prev_value", "prev_ts", "prev_id"], tie="prev_id", left_id=[patient, left_ts])
+    return joins.as_of_backward(cohort_rows, right, [patient], left_ts=left_ts, right_ts="prev_ts", values=["prev_value", "prev_ts", "prev_id"], tie="prev_id")
 
 
 def first_last_dates(rows: DataFrame, keys: Sequence[str], ts: str, group: str) -> DataFrame:
@@ -151,5 +151,3 @@ def evidence(sources: Mapping[str, DataFrame], *, key: str, ts: str, tie: str, c
     rows = reduce(DataFrame.unionByName, [df.select(key, F.lit(domain).alias("domain"), ts, tie, *columns) for domain, df in sources.items()])
     return ranked(rows, [key, "domain"], [desc(ts), asc(tie)], "evidence_rank")
 
-
-__all__ = [n for n in dir() if not n.startswith("_")]

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cairn.operators.reduce import keep_first
@@ -75,21 +75,29 @@ def within(left: DataFrame, right: DataFrame, keys: Sequence[str], test: Column,
 
 def as_of_forward(left: DataFrame, right: DataFrame, keys: Sequence[str], *, left_ts: str, right_ts: str, first_days: int, last_days: int, values: Sequence[str], tie: str, left_id: Sequence[str] = ()) -> DataFrame:
     """Each left row (unique by ``left_id``) with the earliest right row in ``[+first, +last]`` days."""
-    test = (F.col(right_ts) >= F.col(left_ts) + F.expr(f"INTERVAL '{first_days}' DAY")) & (F.col(right_ts) <= F.col(left_ts) + F.expr(f"INTERVAL '{last_days}' DAY"))
-    return _as_of(left, right, keys, left_ts, right_ts, test, values, tie, left_id, F.min_by)
-
-
-def _as_of(left, right, keys, left_ts, right_ts, test, values, tie, left_id, pick):
     ids = list(left_id or left.columns)
+    test = (F.col(right_ts) >= F.col(left_ts) + F.expr(f"INTERVAL '{first_days}' DAY")) & (F.col(right_ts) <= F.col(left_ts) + F.expr(f"INTERVAL '{last_days}' DAY"))
     hits = within(left.select(*dict.fromkeys([*ids, *keys, left_ts])), right.select(*dict.fromkeys([*keys, right_ts, tie, *values])), keys, test)
-    best = hits.groupBy(*ids).agg(pick(F.struct(*[F.col(v) for v in values]), F.struct(right_ts, tie)).alias("_b"))
+    best = hits.groupBy(*ids).agg(F.min_by(F.struct(*[F.col(v) for v in values]), F.struct(right_ts, tie)).alias("_b"))
     return left.join(best, ids, "left").select(*left.columns, *[F.col(f"_b.{v}").alias(v) for v in values])
 
 
-def as_of_backward(left: DataFrame, right: DataFrame, keys: Sequence[str], *, left_ts: str, right_ts: str, values: Sequence[str], tie: str, strict: bool = True, left_id: Sequence[str] = ()) -> DataFrame:
-    """Each left row (unique by ``left_id``) with the latest right row before it (at or before it if not strict)."""
-    test = F.col(right_ts) < F.col(left_ts) if strict else F.col(right_ts) <= F.col(left_ts)
-    return _as_of(left, right, keys, left_ts, right_ts, test, values, tie, left_id, F.max_by)
+def as_of_backward(left: DataFrame, right: DataFrame, keys: Sequence[str], *, left_ts: str, right_ts: str, values: Sequence[str], tie: str, strict: bool = True) -> DataFrame:
+    """Each left row with the latest right row before it (at or before it if not strict); ties go to the largest ``tie``.
+
+    No pairs are made: both sides are one ordered sequence for each key, and
+    each left row takes the last right row that it has seen.  Left rows without
+    a key or time get none.
+    """
+    seen = F.struct(*[F.col(v) for v in values])
+    a = left.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(left_ts).alias("_ts"), F.lit(0 if strict else 1).alias("_side"), F.struct(*left.columns).alias("_l"))
+    b = right.filter(F.col(right_ts).isNotNull()).select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(right_ts).alias("_ts"), F.lit(1 if strict else 0).alias("_side"), F.col(tie).alias("_tie"), seen.alias("_r"))
+    on = [f"_k{i}" for i in range(len(keys))]
+    for k in on:  # null keys match nothing
+        b = b.filter(F.col(k).isNotNull())
+    w = Window.partitionBy(*on).orderBy("_ts", "_side", "_tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    both = a.unionByName(b, allowMissingColumns=True).withColumn("_b", F.last("_r", ignorenulls=True).over(w)).filter("_l IS NOT NULL")
+    return both.select("_l.*", *[F.col(f"_b.{v}").alias(v) for v in values])
 
 
 def pair_nearest(left: DataFrame, right: DataFrame, keys: Sequence[str], *, left_id: str, order: Sequence[Column], ranks: Sequence[Column], pair: Column | None = None) -> DataFrame:
@@ -101,6 +109,27 @@ def pair_nearest(left: DataFrame, right: DataFrame, keys: Sequence[str], *, left
     return keep_first(joined, [left_id], [F.col("level").asc(), *order])
 
 
+def pair_by_levels(left: DataFrame, right: DataFrame, keys: Sequence[str], *, left_id: str, levels: Sequence[tuple[Column, Column, Column]], order: Sequence[Column]) -> DataFrame:
+    """As ``pair_nearest``, each level with an equality of its own, so that no subject's rows all meet.
+
+    ``levels``, the best first: (a value of the left row, or an array of several;
+    a value of the right row; the test of a pair that has them in common).
+    """
+    found = []
+    for number, (mine, theirs, test) in enumerate(levels, 1):
+        # an array is exploded: a row then lies in several buckets (neighbouring days)
+        a = left.withColumn("_on", F.explode(mine) if "array" in left.select(mine).schema[0].dataType.simpleString() else mine)
+        found.append(within(a, right.withColumn("_on", theirs), [*keys, "_on"], test).drop("_on").withColumn("level", F.lit(number)))
+    return keep_first(reduce(DataFrame.unionByName, found), [left_id], [F.col("level").asc(), *order])
+
+
+def multiplier(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(before, after, multiplier): the row counts of a join's left side and result, and their ratio."""
+    both = before.select(F.lit(0).alias("after")).unionByName(after.select(F.lit(1).alias("after")))
+    n = both.agg(F.count_if(F.col("after") == 0).alias("before"), F.count_if(F.col("after") == 1).alias("after"))
+    return n.withColumn("multiplier", F.try_divide(F.col("after").cast("double"), F.col("before").cast("double")))
+
+
 def merge_update(target: DataFrame, patch: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Update-from: patched columns take the patch's non-null values."""
     renamed = patch.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in columns])

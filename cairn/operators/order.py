@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cairn import shared
+
 
 def row_order(spark: SparkSession, df: DataFrame, keys: Sequence[str], name: str = "row_order") -> DataFrame:
     """1-based positions by a total order: ranges are ranked by themselves, then shifted by the ranges before them.
@@ -14,7 +16,9 @@ def row_order(spark: SparkSession, df: DataFrame, keys: Sequence[str], name: str
     Only one count for each range reaches the driver.
     """
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *keys).withColumn("_range", F.spark_partition_id()).persist()
+    path = shared.fresh_path(spark, "ranges")  # written, so that a lost executor can't deal the rows anew
+    df.repartitionByRange(n, *keys).withColumn("_range", F.spark_partition_id()).write.parquet(path)
+    ranged = spark.read.parquet(path)
     counts = sorted((r["_range"], r["count"]) for r in ranged.groupBy("_range").count().collect())
     before, total = [], 0
     for number, count in counts:

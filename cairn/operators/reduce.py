@@ -56,13 +56,17 @@ def two_level_highest(df: DataFrame, *, patient: str, encounter: str, value: str
 
 
 def first_value(value: str | Column, *order: str, where: Column | None = None) -> Column:
-    """Aggregate: the value at the smallest (order...), nulls kept as values; ``where`` filters rows."""
-    key = F.struct(*order)
+    """Aggregate: the value at the smallest (order...), nulls kept as values; ``where`` filters rows.
+
+    Null orders come last: each is led by whether it is null.
+    """
+    key = F.struct(*[c for o in order for c in (F.col(o).isNull().alias(f"{o}_null"), F.col(o))])
     return F.min_by(value, key if where is None else F.when(where, key))
 
 
 def last_value(value: str | Column, *order: str, where: Column | None = None) -> Column:
-    key = F.struct(*order)
+    """Aggregate: the value at the largest (order...), null orders last here too."""
+    key = F.struct(*[c for o in order for c in (F.col(o).isNotNull().alias(f"{o}_known"), F.col(o))])
     return F.max_by(value, key if where is None else F.when(where, key))
 
 

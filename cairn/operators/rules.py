@@ -1,10 +1,10 @@
 """Rule catalogs: code matching, numeric rules with audit, fan-out and unit normalisation.
 
 Matching millions of rows against prefix and pattern rules never compares every
-row with every rule: exact rules are an equi-join, and prefixes and patterns
-are matched once for each distinct (system, code), then joined back on the code.
-Catalogs are configuration: they are checked against ``CATALOG_ROWS`` before
-they are broadcast, and joined by shuffle beyond it.
+row with every rule: distinct (system, code) pairs meet exact rules in one
+equi-join, and prefix rules in another, on their own beginnings of the lengths
+that the catalog has; both may be broadcast or shuffled as their sizes ask.
+Patterns have no such key: at most ``PATTERNS`` are tried on each distinct code.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from cairn.functions.scalar import finite, norm_code, number, system_key, to_celsius, to_fahrenheit
 
-CATALOG_ROWS = 100_000
+PATTERNS = 1_000
 ANY_SYSTEM = "ANY"
 CATALOG_SCHEMA = "rule string, domain string, code_system string, code string, match_type string, include boolean"
 MATCH_TYPES = ("exact", "prefix", "regex")
@@ -116,11 +116,7 @@ def catalog_of(spark: SparkSession, rules: Iterable[CodeRule], domain: str) -> D
     return catalog(spark, rows)
 
 
-def _small(df: DataFrame, most: int) -> DataFrame:
-    return F.broadcast(df) if df.count() <= most else df
-
-
-def match_codes(df: DataFrame, rules: DataFrame, *, code: str, system: str | None = None, how: str = "inner", catalog_rows: int = CATALOG_ROWS) -> DataFrame:
+def match_codes(df: DataFrame, rules: DataFrame, *, code: str, system: str | None = None, how: str = "inner") -> DataFrame:
     """Theta join of rows and catalog: same system (or any) and exact, prefix or pattern match; adds ``rule``.
 
     Many-to-many: a row appears once for each rule name that matches it; ``how="left"`` keeps the rest with a null rule.
@@ -129,10 +125,20 @@ def match_codes(df: DataFrame, rules: DataFrame, *, code: str, system: str | Non
     own = F.coalesce(system_key(F.col(system)), F.lit("\x00")) if system else F.lit(ANY_SYSTEM)  # a null system meets rules for any
     keys = df.select(norm_code(F.col(code)).alias("_c"), own.alias("_s")).filter("_c is not null").distinct()
     same = (F.col("_rs") == ANY_SYSTEM) | (F.col("_rs") == F.col("_s")) if system else F.lit(True)
-    exact = keys.join(_small(rules.filter("match_type = 'exact'"), catalog_rows), F.col("_c") == F.col("_rc")).filter(same)
-    # prefixes and patterns meet distinct codes only
-    loose = keys.join(_small(rules.filter("match_type <> 'exact'"), catalog_rows), same & F.when(F.col("match_type") == "prefix", F.col("_c").startswith(F.col("_rc"))).otherwise(F.expr("_c rlike _rc")))
-    mapped = exact.select("_s", "_c", "rule").unionByName(loose.select("_s", "_c", "rule")).distinct()
+    # configuration: the lengths of its prefixes, and its few patterns
+    lengths = sorted(rules.filter("match_type = 'prefix'").agg(F.collect_set(F.length("_rc"))).first()[0])
+    patterns = rules.filter("match_type = 'regex'").select("rule", "_rs", "_rc").distinct().limit(PATTERNS + 1).collect()
+    if len(patterns) > PATTERNS:
+        raise ValueError(f"more than {PATTERNS} patterns: each is tried on every code")
+    mapped = keys.join(rules.filter("match_type = 'exact'"), F.col("_c") == F.col("_rc")).filter(same).select("_s", "_c", "rule")
+    if lengths:
+        begins = keys.withColumn("_n", F.explode(F.array(*[F.lit(n) for n in lengths]))).filter(F.col("_n") <= F.length("_c")).withColumn("_p", F.expr("left(_c, _n)"))
+        hits = begins.join(rules.filter("match_type = 'prefix'"), F.col("_p") == F.col("_rc")).filter(same)
+        mapped = mapped.unionByName(hits.select("_s", "_c", "rule"))
+    if patterns:
+        tests = [F.when(F.col("_c").rlike(r["_rc"]) & (F.lit(r["_rs"] == ANY_SYSTEM or not system) | (F.col("_s") == r["_rs"])), F.lit(r["rule"])) for r in patterns]
+        mapped = mapped.unionByName(keys.select("_s", "_c", F.explode(F.array_compact(F.array(*tests))).alias("rule")))
+    mapped = mapped.distinct()
     tagged = df.withColumn("_c", norm_code(F.col(code))).withColumn("_s", own)
     return tagged.join(mapped, ["_s", "_c"], how).drop("_s", "_c")
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cairn.plans import composite, coverage, relational
+from cairn.plans import composite, coverage, publishing, relational
 from cairn.plans.registry import ORACLES, QUERIES
 
-_MODULES = (relational, composite, coverage)
+_MODULES = (relational, composite, coverage, publishing)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

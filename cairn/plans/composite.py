@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
+from cairn import shared
 from cairn.functions import scalar, temporal
 from cairn.operators import aggregate, cohort, joins, reduce, rules
 from cairn.operators.reduce import asc, desc
@@ -17,8 +15,7 @@ from cairn.plans.roles import PRESSURE, RULES, RULES_CTE, UNITS, sql, sql_rule_m
 
 def scratch(v, tag: str) -> str:
     """A fresh folder that all executors see."""
-    base = v.spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="cairn-")
-    return f"{base.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    return shared.fresh_path(v.spark, tag)
 
 
 # ---- K1..K6: events, flags, cohorts, encounters ---------------------------------------------------
@@ -339,16 +336,21 @@ def _(v):
     return phenotypes(v).groupBy("severity").agg(F.count("*").alias("n")).orderBy("severity")
 
 
-@query("op_K34_manifest_compare", "SELECT * FROM (VALUES ('customer', 'same'), ('nation', 'mismatched'), ('region', 'missing'), ('part', 'extra')) t(name, outcome)")
+@query("op_K34_manifest_compare", """SELECT name, CASE WHEN r IS NULL THEN 'missing' WHEN l IS NULL THEN 'extra' WHEN l <> r THEN 'mismatched' ELSE 'same' END AS outcome, l AS left_rows, r AS right_rows FROM (
+  SELECT 'customer' AS name, (SELECT count(*) FROM customer) AS l, (SELECT count(*) FROM customer) AS r UNION ALL SELECT 'nation', (SELECT count(*) FROM nation), (SELECT count(*) FROM nation WHERE n_regionkey <> 2)
+  UNION ALL SELECT 'region', (SELECT count(*) FROM region), NULL UNION ALL SELECT 'part', NULL, (SELECT count(*) FROM part))""")
 def _(v):
     from cairn.sources.manifests import compare_manifests
 
     customer, nation, region, part = tables(v.spark, v.dir, "customer", "nation", "region", "part")
     facts = lambda frames: {"tables": {n: aggregate.table_hash(df).first().asDict() for n, df in frames.items()}}
-    found = compare_manifests(facts({"customer": customer, "nation": nation, "region": region}), facts({"customer": customer, "nation": nation.limit(20), "part": part}))
-    worse = {n: k for k in ("digest", "row_count", "columns") for n in found[k]}
-    rows = [("customer", "mismatched" if "customer" in worse else "same")] + [(n, "mismatched") for n in worse if n != "customer"] + [(n, k) for k in ("missing", "extra") for n in found[k]]
-    return v.spark.createDataFrame(rows, "name string, outcome string")
+    left, right = facts({"customer": customer, "nation": nation, "region": region}), facts({"customer": customer, "nation": nation.filter("n_regionkey <> 2"), "part": part})
+    found = compare_manifests(left, right)
+    worse = {n for k in ("digest", "row_count", "columns") for n in found[k]}
+    outcome = {n: k for k in ("missing", "extra") for n in found[k]}
+    count = lambda side, n: side["tables"].get(n, {}).get("rows")
+    rows = [(n, outcome.get(n, "mismatched" if n in worse else "same"), count(left, n), count(right, n)) for n in sorted(left["tables"].keys() | right["tables"].keys())]
+    return v.spark.createDataFrame(rows, "name string, outcome string, left_rows long, right_rows long")
 
 
 # ---- S, L: sinks and operations -----------------------------------------------------------------------------------

@@ -105,7 +105,13 @@ def _(v):
     return kept.select("event_id", F.round(scalar.to_celsius(F.col("value")), 4).alias("celsius"))
 
 
-@query("op_B13_half_precision")
+# half precision by arithmetic: the unit in the last place from the binary exponent, ties to even, then the fewest digits that come back to the same value
+_HALF = """h AS (SELECT event_id, value, power(2.0, greatest(floor(log2(abs(value))), -14) - 10) AS ulp FROM ev WHERE value IS NOT NULL AND value <> 0),
+  r AS (SELECT *, round_even(value / ulp, 0) * ulp AS half FROM h)"""
+
+
+@query("op_B13_half_precision", sql("""SELECT event_id, value, seen FROM (SELECT event_id, value, list_filter(list_transform([0, 1, 2, 3, 4, 5, 6], lambda d: round_even(half, CAST(d - floor(log10(abs(half))) AS INTEGER))),
+   lambda c: abs(c - half) < (CASE WHEN abs(c) < abs(half) AND log2(abs(half)) = floor(log2(abs(half))) THEN 0.25 ELSE 0.5 END) * power(2.0, greatest(floor(log2(abs(half))), -14) - 10))[1] AS seen FROM r WHERE half <> 0) WHERE seen > 10""", _HALF))
 def _(v):
     return v.ev.select("event_id", "value", scalar.half_visible_or_null(F.col("value")).alias("seen")).filter(F.col("seen") > 10)
 
@@ -157,8 +163,8 @@ def _(v):
 
 @query("op_B23_lateral_alias", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice * (1 - l_discount) AS net, l_extendedprice * (1 - l_discount) * (1 + l_tax) AS gross FROM lineitem")
 def _(v):
-    tables(v.spark, v.dir, "lineitem")[0].createOrReplaceTempView("_b23")
-    return v.spark.sql("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice * (1 - l_discount) AS net, net * (1 + l_tax) AS gross FROM _b23")
+    (li,) = tables(v.spark, v.dir, "lineitem")
+    return v.spark.sql("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice * (1 - l_discount) AS net, net * (1 + l_tax) AS gross FROM {li}", li=li)
 
 
 @query("op_B24_unit_case", sql("SELECT event_id, unit_std, round(value_std, 6) AS value_std, coalesce(value_std BETWEEN 10 AND 250, false) AS plausible FROM (SELECT *, TRY_CAST(raw_value AS DOUBLE) * CASE lower(trim(coalesce(unit, ''))) WHEN 'mmhg' THEN 1.0 WHEN 'kpa' THEN 7.5006168270417 WHEN '' THEN 1.0 END AS value_std, CASE WHEN coalesce(unit, '') <> 'mg' THEN 'mmHg' END AS unit_std FROM ev)"))
@@ -223,6 +229,15 @@ def _(v):
     return rules.match_codes(v.ev, rules.catalog(v.spark, RULES), code="code2", system="system", how="left").select("rule", "event_id")
 
 
+_WIDE = "wide AS (SELECT * FROM rules UNION ALL SELECT 'n' || CAST(i AS VARCHAR), 'dx', 'ANY', 'X' || CAST(i AS VARCHAR), 'prefix', true FROM range(5000) t(i) UNION ALL SELECT 'c' || CAST(i AS VARCHAR), 'dx', 'LOINC', 'C' || CAST(i AS VARCHAR), 'prefix', true FROM range(20) t(i))"
+
+
+@query("op_C1_large_catalog", sql("SELECT r.rule, e.event_id FROM ev e JOIN (SELECT DISTINCT * FROM wide) r ON " + sql_rule_match() + " GROUP BY ALL", RULES_CTE, _WIDE))
+def _(v):
+    more = [(f"n{i}", "dx", "ANY", f"X{i}", "prefix", True) for i in range(5000)] + [(f"c{i}", "dx", "LOINC", f"C{i}", "prefix", True) for i in range(20)]
+    return rules.match_codes(v.ev, rules.catalog(v.spark, [*RULES, *more]), code="code2", system="system").select("rule", "event_id")
+
+
 @query("op_C3_guarded_left", sql("SELECT encounter_id, region, birth_year FROM enc LEFT JOIN subj USING (subject_id)"))
 def _(v):
     return joins.guarded_left(v.enc, v.subj, ["subject_id"]).select("encounter_id", "region", "birth_year")
@@ -269,9 +284,7 @@ def _(v):
 
 @query("op_C12_exists", sql("SELECT subject_id FROM subj s WHERE EXISTS (SELECT 1 FROM ev e WHERE e.subject_id = s.subject_id AND e.value > 60)"))
 def _(v):
-    v.subj.createOrReplaceTempView("_c12s")
-    v.ev.createOrReplaceTempView("_c12e")
-    return v.spark.sql("SELECT subject_id FROM _c12s s WHERE EXISTS (SELECT 1 FROM _c12e e WHERE e.subject_id = s.subject_id AND e.value > 60)")
+    return v.spark.sql("SELECT subject_id FROM {subj} s WHERE EXISTS (SELECT 1 FROM {ev} e WHERE e.subject_id = s.subject_id AND e.value > 60)", subj=v.subj, ev=v.ev)
 
 
 @query("op_C13_anti_join", "SELECT c_custkey FROM customer ANTI JOIN events ON c_custkey = user_id")
@@ -337,7 +350,7 @@ def _(v):
 @query("op_C20_asof_backward", sql("SELECT index_id, p.event_id AS prev_id, p.value AS prev_value FROM idx LEFT JOIN LATERAL (SELECT event_id, value FROM ev WHERE ev.subject_id = idx.subject_id AND code = 'view' AND ts < index_ts ORDER BY ts DESC, event_id DESC LIMIT 1) p ON true", _INDEX))
 def _(v):
     right = v.ev.filter("code = 'view'").select("subject_id", F.col("event_id").alias("prev_id"), F.col("ts").alias("prev_ts"), F.col("value").alias("prev_value"))
-    return joins.as_of_backward(_index(v), right, ["subject_id"], left_ts="index_ts", right_ts="prev_ts", values=["prev_id", "prev_value"], tie="prev_id", left_id=["index_id"]).select("index_id", "prev_id", "prev_value")
+    return joins.as_of_backward(_index(v), right, ["subject_id"], left_ts="index_ts", right_ts="prev_ts", values=["prev_id", "prev_value"], tie="prev_id").select("index_id", "prev_id", "prev_value")
 
 
 @query("op_C21_pair_nearest", sql("""SELECT ref_id, other_id, CAST(level AS INTEGER) AS level FROM (SELECT a.event_id AS ref_id, b.event_id AS other_id, CASE WHEN a.encounter_id = b.encounter_id THEN 1 WHEN abs(date_diff('minute', a.ts, b.ts)) <= 30 THEN 2 WHEN CAST(a.ts AS DATE) = CAST(b.ts AS DATE) THEN 3 END AS level,
@@ -347,8 +360,9 @@ def _(v):
     a = v.ev.filter("code = 'purchase'").select("subject_id", F.col("event_id").alias("ref_id"), F.col("ts").alias("ref_ts"), F.col("encounter_id").alias("ref_enc"))
     b = v.ev.filter("code = 'click'").select("subject_id", F.col("event_id").alias("other_id"), F.col("ts").alias("other_ts"), F.col("encounter_id").alias("other_enc"))
     x, y = F.col("ref_ts"), F.col("other_ts")
-    ranks = [F.col("ref_enc") == F.col("other_enc"), F.abs(temporal.boundaries("minute", x, y)) <= 30, F.to_date(x) == F.to_date(y)]
-    out = joins.pair_nearest(a, b, ["subject_id"], left_id="ref_id", order=[F.abs(temporal.boundaries("second", x, y)).asc(), asc("other_id")], ranks=ranks)
+    day, near = F.to_date(x), F.abs(temporal.boundaries("minute", x, y)) <= 30
+    levels = [(F.col("ref_enc"), F.col("other_enc"), F.lit(True)), (F.array(F.date_sub(day, 1), day, F.date_add(day, 1)), F.to_date(y), near), (day, F.to_date(y), F.lit(True))]
+    out = joins.pair_by_levels(a, b, ["subject_id"], left_id="ref_id", order=[F.abs(temporal.boundaries("second", x, y)).asc(), asc("other_id")], levels=levels)
     return out.select("ref_id", "other_id", F.col("level").cast("int").alias("level"))
 
 
@@ -414,6 +428,12 @@ def _(v):
     return v.ev.groupBy("subject_id").agg(reduce.last_value("value", "ts", "event_id", where=F.col("code") == "view").alias("latest_view"), reduce.first_value("unit", "ts", "event_id").alias("first_unit"))
 
 
+@query("op_D4_null_order", sql("SELECT subject_id, first(value ORDER BY t DESC NULLS LAST, event_id DESC) AS latest, first(value ORDER BY t NULLS LAST, event_id) AS earliest FROM (SELECT *, CASE WHEN event_id % 3 = 0 THEN NULL ELSE ts END AS t FROM ev) GROUP BY 1"))
+def _(v):
+    some = v.ev.withColumn("t", F.when(F.col("event_id") % 3 != 0, F.col("ts")))
+    return some.groupBy("subject_id").agg(reduce.last_value("value", "t", "event_id").alias("latest"), reduce.first_value("value", "t", "event_id").alias("earliest"))
+
+
 @query("op_D5_tuple_distinct", sql("SELECT code, count(DISTINCT (unit, system)) AS pairs FROM ev GROUP BY 1"))
 def _(v):
     return v.ev.groupBy("code").agg(aggregate.tuple_distinct("unit", "system").alias("pairs"))
@@ -518,9 +538,9 @@ def _(v):
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
-@query("op_D25_table_hash")
+@query("op_D25_table_hash", sql("SELECT count(*) AS rows, 'encounter_id,state,subject_id,type' AS columns, CAST(sum(CAST('0x' || left(sha256(concat_ws(chr(31), coalesce(CAST(encounter_id AS VARCHAR), chr(30)), coalesce(state, chr(30)), coalesce(CAST(subject_id AS VARCHAR), chr(30)), coalesce(type, chr(30)))), 15) AS BIGINT)) AS VARCHAR) AS digest FROM enc"))
 def _(v):
-    return aggregate.table_hash(v.enc)
+    return aggregate.table_hash(v.enc.select("encounter_id", "subject_id", "type", "state"))
 
 
 @query("op_D26_distinct", sql("SELECT DISTINCT code, system FROM ev"))
@@ -689,9 +709,11 @@ def _(v):
     return v.ev.select("event_id", scalar.json_object(code=F.col("code"), unit=F.col("unit"), subject=F.col("subject_id")).alias("provenance"), F.get_json_object("props", "$.k").cast("bigint").alias("k"))
 
 
-@query("op_H_hash_bucket", "SELECT count(*) AS n FROM events")
+@query("op_H_hash_bucket", "SELECT count(*) AS n, count(DISTINCT event_id) AS ids, CAST(16 AS BIGINT) AS buckets, CAST(0 AS INTEGER) AS low, CAST(15 AS INTEGER) AS high FROM events")
 def _(v):
-    return v.ev.groupBy(scalar.bucket(F.col("subject_id"), 16).alias("b")).agg(F.count("*").alias("c")).agg(F.sum("c").alias("n"))
+    # any function of the key to 16 buckets passes; one that splits a key, leaves a bucket empty or goes beyond them doesn't
+    each = v.ev.groupBy(scalar.bucket(F.col("event_id"), 16).alias("b")).agg(F.count("*").alias("c"), F.count_distinct("event_id").alias("k"))
+    return each.agg(F.sum("c").alias("n"), F.sum("k").alias("ids"), F.count("*").alias("buckets"), F.min("b").alias("low"), F.max("b").alias("high"))
 
 
 @query("op_J1_status", sql("SELECT subject_id, CASE WHEN balance > 5000 THEN 'met' ELSE 'indeterminate' END AS rich FROM subj"))

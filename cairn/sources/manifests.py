@@ -6,10 +6,11 @@ import hashlib
 import json
 import platform
 import time
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 import pyspark
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cairn.operators.aggregate import table_hash
 from cairn.sources.readers import SourceError, _fs
@@ -82,6 +83,34 @@ def stage(spark: SparkSession, path: str, key: str, build: Callable[[], DataFram
     return spark.read.parquet(path)
 
 
+def build(spark: SparkSession, root: str, phases: Mapping[str, Callable[[dict[str, DataFrame]], DataFrame]], **inputs: object) -> dict[str, DataFrame]:
+    """Phases in order, each from the tables before it; a rerun with the same inputs takes up after the last finished one."""
+    done: dict[str, DataFrame] = {}
+    for name, phase in phases.items():
+        done[name] = stage(spark, f"{root}/{name}", identity(phase=name, after=list(done), **inputs), lambda phase=phase: phase(dict(done)))
+    return done
+
+
+def progress(spark: SparkSession, root: str, names: Sequence[str]) -> DataFrame:
+    """(stage, state, rows): what is done and what waits."""
+    rows = []
+    for name in names:
+        fs, mark = _fs(spark, f"{root}/{name}.stage.json")
+        done = fs.exists(mark)
+        rows.append((name, "done" if done else "waiting", spark.read.parquet(f"{root}/{name}").count() if done else None))
+    return spark.createDataFrame(rows, "stage string, state string, rows long")
+
+
+def parity(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(rows, equal, missing, extra): how two results of the same columns agree, key by key."""
+    values = [c for c in left.columns if c not in keys]
+    a = left.select(*keys, F.struct(*values).alias("_a"), F.lit(True).alias("_l"))
+    b = right.select(*keys, F.struct(*values).alias("_b"), F.lit(True).alias("_r"))
+    on = [a[k].eqNullSafe(b[k]) for k in keys]
+    both = a.join(b, on, "full_outer")
+    return both.agg(F.count("_l").alias("rows"), F.count_if(F.col("_l") & F.col("_r") & F.col("_a").eqNullSafe(F.col("_b"))).alias("equal"), F.count_if(F.col("_r").isNull()).alias("missing"), F.count_if(F.col("_l").isNull()).alias("extra"))
+
+
 def data_dictionary(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
     rows = [(name, i + 1, f.name, f.dataType.simpleString(), f.nullable) for name, df in sorted(tables.items()) for i, f in enumerate(df.schema.fields)]
     return spark.createDataFrame(rows, "table_name string, ordinal int, column_name string, data_type string, nullable boolean")

@@ -178,6 +178,22 @@ def inventory(spark: SparkSession, root: str, pattern: str = "*.csv") -> DataFra
     return files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
 
 
+def checksums(spark: SparkSession, path: str) -> DataFrame:
+    """(name, bytes, sha256) of a table's part files."""
+    found = inventory(spark, path, "part-*")
+    return found.select(F.element_at(F.split("path", "/"), -1).alias("name"), "bytes", "sha256")
+
+
+def read_checked(spark: SparkSession, path: str, expected: DataFrame, *, attempts: int = 2) -> DataFrame:
+    """A Parquet table whose files are those of ``expected``; read once more before it is refused."""
+    for _ in range(attempts):
+        now = checksums(spark, path)
+        differs = expected.exceptAll(now).unionByName(now.exceptAll(expected))
+        if differs.isEmpty():
+            return spark.read.parquet(path)
+    raise SourceError(f"{path}: its files are not those of its checksums")
+
+
 def row_counts(df: DataFrame) -> DataFrame:
     """Rows of each source file of a scan that kept ``_file``."""
     return df.groupBy("_file").agg(F.count("*").alias("rows"))

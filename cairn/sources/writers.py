@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,24 +68,127 @@ def unique_ids(df: DataFrame, key: str, path: str) -> str:
     return path
 
 
-def publish(spark: SparkSession, staging: str, target: str) -> str:
-    """Replace ``target`` by a finished ``staging`` folder; the old one comes back if the rename fails."""
+def pre_head(spark: SparkSession, root: str, outputs: Mapping[str, Sequence[str]]) -> None:
+    """A folder for each named output with a file that has the header alone, so that an empty output has its columns too."""
+    for name, columns in outputs.items():
+        _put_text(spark, f"{root}/{name}/header.csv", ",".join(columns) + "\n")
+
+
+def append_rows(df: DataFrame, path: str, columns: Sequence[str]) -> str:
+    """Append rows to a pre-headed output, in its order of columns; every file has the header."""
+    df.select(*columns).write.mode("append").option("header", True).csv(path)
+    return path
+
+
+def write_batches(df: DataFrame, path: str, rows: int, writers: int = 8) -> str:
+    """Many small pieces as fewer files of at most ``rows`` rows, about as full as can be."""
+    df.coalesce(writers).write.option("maxRecordsPerFile", rows).parquet(path)
+    return path
+
+
+class PartitionStore:
+    """A store that takes frames until it is sealed, dealt by key, so that keys are looked up in their partitions alone."""
+
+    def __init__(self, spark: SparkSession, path: str, key: str, partitions: int):
+        self.spark, self.path, self.key, self.partitions = spark, path, key, partitions
+
+    def _part(self, column):
+        from cairn.functions.scalar import bucket
+
+        return bucket(column, self.partitions)
+
+    @property
+    def sealed(self) -> bool:
+        fs, mark = _fs(self.spark, f"{self.path}/sealed.json")
+        return fs.exists(mark)
+
+    def add(self, df: DataFrame) -> None:
+        if self.sealed:
+            raise SourceError(f"{self.path} is sealed")
+        df.withColumn("_part", self._part(df[self.key])).write.mode("append").partitionBy("_part").parquet(f"{self.path}/rows")
+
+    def seal(self) -> None:
+        if self.sealed:
+            raise SourceError(f"{self.path} is sealed")
+        counts = self.spark.read.parquet(f"{self.path}/rows").groupBy("_part").count().collect()  # a row for each partition
+        _put_text(self.spark, f"{self.path}/sealed.json", json.dumps({str(r["_part"]): r["count"] for r in counts}, sort_keys=True))
+
+    def read(self) -> DataFrame:
+        if not self.sealed:
+            raise SourceError(f"{self.path} is not sealed")
+        return self.spark.read.parquet(f"{self.path}/rows")
+
+    def rows_of(self, keys: DataFrame) -> DataFrame:
+        """All rows of the keys; partition and key meet the store's, so its partitions are pruned."""
+        wanted = keys.select(self.key).distinct().withColumn("_part", self._part(keys[self.key]))
+        return self.read().join(wanted, [self.key, "_part"], "left_semi").drop("_part")
+
+
+def _put_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, where = _fs(spark, path)
+    out = fs.create(where, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def publish(spark: SparkSession, staging: str, target: str, *, fail_after: str | None = None) -> str:
+    """Replace ``target`` by a finished ``staging`` folder.
+
+    A journal beside the target names both folders before anything moves, and
+    goes when all is done; ``recover`` finishes or undoes what a crash left.
+    Nothing is deleted while the journal's new copy isn't in its place.
+    ``fail_after`` ("staged", "moved" or "placed") breaks off there, for tests.
+    """
+    recover(spark, target)
     fs, new = _fs(spark, staging)
-    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    old, aside = Path(target), Path(f"{target}.previous")
     if not fs.exists(new):
         raise SourceError(f"nothing staged at {staging}")
+    _put_text(spark, f"{target}.journal", json.dumps({"staging": staging, "had": fs.exists(_fs(spark, target)[1])}))
+    return _place(spark, target, fail_after)
+
+
+def _place(spark: SparkSession, target: str, fail_after: str | None = None) -> str:
+    fs, old = _fs(spark, target)
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    journal = json.loads(spark.read.text(f"{target}.journal", wholetext=True).first()[0])
+    new, aside = Path(journal["staging"]), Path(f"{target}.previous")
+
+    def reached(step: str) -> None:
+        if fail_after == step:
+            raise InterruptedError(step)
+
+    reached("staged")
+    if fs.exists(new):  # else it is in its place already
+        if fs.exists(old) and not fs.exists(aside) and not fs.rename(old, aside):
+            raise SourceError(f"could not set {target} aside")
+        reached("moved")
+        if fs.exists(old) or not fs.rename(new, old):
+            raise SourceError(f"could not publish {target}")
+    reached("placed")
     fs.delete(aside, True)
-    if fs.exists(old):
-        fs.rename(old, aside)
-    if not fs.rename(new, old):
-        if fs.exists(aside):
-            fs.rename(aside, old)
-        raise SourceError(f"could not publish {target}")
-    fs.delete(aside, True)
+    fs.delete(Path(f"{target}.journal"), False)
     return target
 
 
+def recover(spark: SparkSession, target: str, *, finish: bool = True) -> bool:
+    """Finish a publication that broke off, or undo it where that is asked for and the new copy isn't in place yet; whether there was one."""
+    fs, old = _fs(spark, target)
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    journal, aside = Path(f"{target}.journal"), Path(f"{target}.previous")
+    if not fs.exists(journal):
+        return False
+    staged = Path(json.loads(spark.read.text(f"{target}.journal", wholetext=True).first()[0])["staging"])
+    if finish or not fs.exists(staged):
+        _place(spark, target)
+        return True
+    if fs.exists(aside) and not fs.exists(old):
+        fs.rename(aside, old)
+    fs.delete(journal, False)
+    return True
+
+
 def refuse_inside_worktree(path: str) -> str:
     """Row-level output must not lie in a version-controlled folder."""
     import os
