@@ -8,6 +8,7 @@ Statuses are three-valued: missing evidence is 'indeterminate' and never
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -123,39 +124,36 @@ def _c(name: str) -> Column:
     return F.col(name)
 
 
-def component_statuses() -> dict[str, Column]:
-    """Statuses that follow from measured components as well as codes."""
-    t2d_codes, t2d_labs = _c("dx_t2d"), _c("diabetes_range_a1c_dates") >= 2
-    ahi, stage, ef, a1c = _c("ahi_rei_value"), _c("fibrosis_stage"), _c("lvef"), _c("a1c_latest")
-    biopsy, elastography = _c("proc_liver_biopsy"), _c("proc_elastography")
-    high_pressure = (_c("latest_sbp") > 140) | (_c("latest_dbp") > 90)
-    hypoventilation = _c("compensated_hypercapnia") | _c("persistent_hypercapnia_14_84d")
-    sleep = _c("dx_osa") | _c("proc_polysomnography") | _c("proc_hsat")
-    return {
-        "t2d_status": first_of(("met", t2d_codes), ("met", t2d_labs), otherwise="indeterminate"),
-        "t2d_certainty": first_of(("strict", t2d_codes), ("probable", t2d_labs), otherwise="not_applicable"),
-        "prediabetes_status": first_of(("not_met", t2d_codes | t2d_labs), ("met", _c("dx_prediabetes") | a1c.between(5.7, 6.4)), ("not_met", a1c < 5.7), otherwise="indeterminate"),
-        "ckd_stage": first_of(("ESKD", _c("dx_eskd")), ("3a_plus", _c("dx_ckd_stage_3a_plus"))),
-        "osa_moderate_severe_status": first_of(("met", ahi >= 15), ("not_met", ahi < 15), otherwise="indeterminate"),
-        "osa_severity": first_of(("severe", ahi >= 30), ("moderate", ahi >= 15), ("mild", ahi >= 5), ("none", ahi.isNotNull()), otherwise="indeterminate"),
-        "mash_f2_f3_status": first_of(("met", _c("dx_mash") & stage.isin("F2", "F3") & ~_c("dx_cirrhosis")), ("not_met", _c("dx_mash") & (_c("dx_cirrhosis") | stage.isin("F0", "F1", "F4"))), otherwise="indeterminate"),
-        "mash_f2_f3_certainty": first_of(("strict", _c("dx_mash") & stage.isNotNull()), otherwise="not_applicable"),
-        "fibrosis_method": first_of(("biopsy", stage.isNotNull() & biopsy), ("elastography", stage.isNotNull() & elastography), ("structured_stage_result", stage.isNotNull()), ("biopsy_without_stage", biopsy), ("elastography_without_stage", elastography)),
-        "fib4_latest": fib4(_c("age_at_index"), _c("ast_latest"), _c("alt_latest"), _c("platelets_latest")),
-        # a measured fraction below 50 outranks a code
-        "hfpef_status": first_of(("met", _c("dx_heart_failure") & (ef >= 50)), ("not_met", ef < 50), ("met", _c("dx_hfpef")), otherwise="indeterminate"),
-        "hfpef_certainty": first_of(("strict", _c("dx_heart_failure") & (ef >= 50)), ("code_only", _c("dx_hfpef")), otherwise="not_applicable"),
-        # one missing side of a pressure falls through to 'not_met'
-        "uncontrolled_hypertension_two_meds_status": first_of(("indeterminate", _c("latest_sbp").isNull() & _c("latest_dbp").isNull()), ("met", high_pressure & (_c("active_antihypertensive_ingredient_count") >= 2)), otherwise="not_met"),
-        "probable_ohs_status": status(_c("bmi_ge30") & hypoventilation & sleep & ~_c("dx_neuromuscular") & ~_c("dx_chest_wall")),
-        "metabolic_dysfunction_status": first_of(("met", _c("antipsychotic_active") & (_c("bmi_ge27") | (a1c >= 5.7) | _c("dx_metabolic_syndrome"))), ("not_met", _c("antipsychotic_active")), otherwise="indeterminate"),
-    }
+# Statuses that follow from measured components as well as codes.  The labels and thresholds are the output
+# contract; each is the label of the first test that is true, else the last entry.
+LADDERS: dict[str, tuple[tuple[tuple[str, str], ...], str | None]] = {
+    "t2d_status": ((("met", "dx_t2d OR diabetes_range_a1c_dates >= 2"),), "indeterminate"),
+    "t2d_certainty": ((("strict", "dx_t2d"), ("probable", "diabetes_range_a1c_dates >= 2")), "not_applicable"),
+    "prediabetes_status": ((("not_met", "dx_t2d OR diabetes_range_a1c_dates >= 2"), ("met", "dx_prediabetes OR a1c_latest BETWEEN 5.7 AND 6.4"), ("not_met", "a1c_latest < 5.7")), "indeterminate"),
+    "ckd_stage": ((("ESKD", "dx_eskd"), ("3a_plus", "dx_ckd_stage_3a_plus")), None),
+    "osa_moderate_severe_status": ((("met", "ahi_rei_value >= 15"), ("not_met", "ahi_rei_value < 15")), "indeterminate"),
+    "osa_severity": ((("severe", "ahi_rei_value >= 30"), ("moderate", "ahi_rei_value >= 15"), ("mild", "ahi_rei_value >= 5"), ("none", "ahi_rei_value IS NOT NULL")), "indeterminate"),
+    "mash_f2_f3_status": ((("met", "dx_mash AND NOT dx_cirrhosis AND fibrosis_stage IN ('F2', 'F3')"), ("not_met", "dx_mash AND (dx_cirrhosis OR fibrosis_stage IN ('F0', 'F1', 'F4'))")), "indeterminate"),
+    "mash_f2_f3_certainty": ((("strict", "dx_mash AND fibrosis_stage IS NOT NULL"),), "not_applicable"),
+    "fibrosis_method": ((("biopsy", "fibrosis_stage IS NOT NULL AND proc_liver_biopsy"), ("elastography", "fibrosis_stage IS NOT NULL AND proc_elastography"), ("structured_stage_result", "fibrosis_stage IS NOT NULL"), ("biopsy_without_stage", "proc_liver_biopsy"), ("elastography_without_stage", "proc_elastography")), None),
+    "hfpef_status": ((("met", "dx_heart_failure AND lvef >= 50"), ("not_met", "lvef < 50"), ("met", "dx_hfpef")), "indeterminate"),
+    "hfpef_certainty": ((("strict", "dx_heart_failure AND lvef >= 50"), ("code_only", "dx_hfpef")), "not_applicable"),
+    "uncontrolled_hypertension_two_meds_status": ((("indeterminate", "latest_sbp IS NULL AND latest_dbp IS NULL"), ("met", "(latest_sbp > 140 OR latest_dbp > 90) AND active_antihypertensive_ingredient_count >= 2")), "not_met"),
+    "probable_ohs_status": ((("met", "bmi_ge30 AND (compensated_hypercapnia OR persistent_hypercapnia_14_84d) AND (dx_osa OR proc_polysomnography OR proc_hsat) AND NOT dx_neuromuscular AND NOT dx_chest_wall"),), "indeterminate"),
+    "metabolic_dysfunction_status": ((("met", "antipsychotic_active AND (bmi_ge27 OR a1c_latest >= 5.7 OR dx_metabolic_syndrome)"), ("not_met", "antipsychotic_active")), "indeterminate"),
+}
+
+
+def laddered(steps: Sequence[tuple[str, str]], otherwise: str | None) -> Column:
+    return first_of(*[(label, F.expr(test)) for label, test in steps], otherwise=otherwise)
 
 
 def with_statuses(features: DataFrame) -> DataFrame:
     """All statuses in one projection over the feature table."""
     either = {name: status(_any(members)) for name, members in ANY_OF.items()}
-    return features.withColumns({**either, **component_statuses()})
+    laddered_ones = {name: laddered(*ladder) for name, ladder in LADDERS.items()}
+    index = fib4(_c("age_at_index"), _c("ast_latest"), _c("alt_latest"), _c("platelets_latest"))
+    return features.withColumns({**either, **laddered_ones, "fib4_latest": index})
 
 
 def _any(members: Sequence[str]) -> Column:
@@ -213,37 +211,37 @@ def _some(names: Mapping[str, str] | Sequence[str]) -> Column:
     return out
 
 
+# The further routes, in the order of their definition; each may use those before it.
+ROUTES: dict[str, tuple[tuple[tuple[str, str], ...], str | None]] = {
+    "bridge_clinical_criteria_status": ((("met", "bridge_qualifying_branch IS NOT NULL"), ("not_met", "bmi_valid AND NOT bmi_ge27")), "indeterminate"),
+    "bridge_certainty": ((("strict", "bridge_clinical_criteria_status IN ('met', 'not_met')"),), "not_applicable"),
+    "bridge_partd_exclusion_status": ((("met", "ind_fda_disease_specific_any"), ("not_met", "bridge_clinical_criteria_status = 'met'")), "indeterminate"),
+    "part_d_disease_route_status": ((("met", "ind_fda_disease_specific_any"),), "indeterminate"),
+    "payer_route_model": ((("part_d_disease_route", "ind_fda_disease_specific_any"), ("bridge_clinical_route", "bridge_clinical_criteria_status = 'met'"), ("weight_label_only", "ind_fda_weight_management"), ("potential_bridge_but_indeterminate", "bridge_clinical_criteria_status = 'indeterminate'")), "no_documented_route"),
+}
+
+
+def _tier(df: DataFrame, tier: str, members: Mapping[str, tuple[str | None, tuple[str, ...], str]]) -> DataFrame:
+    """A tier's indications (true or null), whether there is any, how many and which."""
+    made = {}
+    for name, (bmi_flag, needed, _) in members.items():
+        tests = [_met(n) for n in needed] + ([_c(bmi_flag)] if bmi_flag else [])
+        made[name] = F.when(reduce(Column.__and__, tests), F.lit(True))
+    total = F.aggregate(F.array(*[F.coalesce(_c(n), F.lit(False)).cast("int") for n in members]), F.lit(0), lambda a, b: a + b)
+    return df.withColumns(made).withColumns({
+        "ind_fda_disease_specific_any" if tier == "fda" else f"ind_{tier}_any": F.coalesce(*[_c(n) for n in members]),
+        f"num_{tier}_indication_groups": total,
+        f"{tier}_indication_group_list": F.concat_ws(";", *[F.when(_c(n), F.lit(label)) for n, (*_, label) in members.items()]),
+    })
+
+
 def with_indications(statuses: DataFrame) -> DataFrame:
-    """Indications of three tiers with counts and lists, the bridge branches and the payer route."""
-    df = statuses
-    label = F.when(_c("bmi_ge30") | (_c("bmi_ge27") & _some(LABEL_COMORBIDITIES)), True).when(_c("bmi_valid"), False)
-    df = df.withColumn("ind_fda_weight_management", label).withColumn("ind_fda_weight_management_certainty", F.when(_c("bmi_valid"), "strict").otherwise("not_applicable"))
+    """Indications of three tiers with counts and lists, the bridge branches and the payer route, each from its table."""
+    label = first_of(("true", _c("bmi_ge30") | (_c("bmi_ge27") & _some(LABEL_COMORBIDITIES))), ("false", _c("bmi_valid"))).cast("boolean")
+    df = statuses.withColumns({"ind_fda_weight_management": label, "ind_fda_weight_management_certainty": first_of(("strict", _c("bmi_valid")), otherwise="not_applicable")})
     for tier, members in INDICATIONS.items():
-        made = {}
-        for name, (bmi_flag, needed, _) in members.items():
-            test = _c(bmi_flag) if bmi_flag else F.lit(True)
-            for n in needed:
-                test = test & _met(n)
-            made[name] = F.when(test, F.lit(True))
-        df = df.withColumns(made)
-        flags = [_c(n) for n in members]
-        total = sum((F.coalesce(f, F.lit(False)).cast("int") for f in flags), F.lit(0))
-        listed = F.concat_ws(";", *[F.when(_c(n), F.lit(labels)) for n, (*_, labels) in members.items()])
-        any_name = "ind_fda_disease_specific_any" if tier == "fda" else f"ind_{tier}_any"
-        df = df.withColumns({any_name: F.coalesce(*flags), f"num_{tier}_indication_groups": total, f"{tier}_indication_group_list": listed})
-    branch = first_of(("bmi_ge35", _c("bmi_ge35")), ("bmi_ge30_comorbidity", _c("bmi_ge30") & _some(BRIDGE_30)), ("bmi_ge27_comorbidity", _c("bmi_ge27") & _some(BRIDGE_27)))
-    df = df.withColumn("bridge_qualifying_branch", branch)
-    bridge = first_of(("met", _c("bridge_qualifying_branch").isNotNull()), ("not_met", _c("bmi_valid") & ~_c("bmi_ge27")), otherwise="indeterminate")
-    df = df.withColumns({
-        "bridge_clinical_criteria_status": bridge,
-        "bridge_qualifying_components": F.concat_ws(";", *[F.when(_met(n), F.lit(labels)) for n, labels in {**BRIDGE_30, **BRIDGE_27}.items()]),
-        "part_d_disease_route_status": status(_c("ind_fda_disease_specific_any")),
-    })
-    by_disease, by_bridge = _c("ind_fda_disease_specific_any"), _c("bridge_clinical_criteria_status")
-    return df.withColumns({
-        "bridge_certainty": F.when(by_bridge.isin("met", "not_met"), "strict").otherwise("not_applicable"),
-        "bridge_partd_exclusion_status": first_of(("met", by_disease), ("not_met", by_bridge == "met"), otherwise="indeterminate"),
-        "payer_route_model": first_of(
-            ("part_d_disease_route", by_disease), ("bridge_clinical_route", by_bridge == "met"), ("weight_label_only", _c("ind_fda_weight_management")),
-            ("potential_bridge_but_indeterminate", by_bridge == "indeterminate"), otherwise="no_documented_route"),
-    })
+        df = _tier(df, tier, members)
+    branches = {"bmi_ge35": _c("bmi_ge35"), "bmi_ge30_comorbidity": _c("bmi_ge30") & _some(BRIDGE_30), "bmi_ge27_comorbidity": _c("bmi_ge27") & _some(BRIDGE_27)}
+    listed = F.concat_ws(";", *[F.when(_met(n), F.lit(name)) for n, name in {**BRIDGE_30, **BRIDGE_27}.items()])
+    df = df.withColumns({"bridge_qualifying_branch": first_of(*branches.items()), "bridge_qualifying_components": listed})
+    return reduce(lambda out, route: out.withColumn(route, laddered(*ROUTES[route])), ROUTES, df)
