@@ -2,43 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn import shipping
-
-_OWN: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; a private one only where it is unset (tests)."""
-    place = spark.conf.get("spark.checkpoint.dir", None)
-    if not place:
-        app = spark.sparkContext.applicationId
-        if app not in _OWN:
-            _OWN[app] = "file://" + tempfile.mkdtemp(prefix="cairn-checkpoint-")
-        place = _OWN[app]
-    return place.rstrip("/")
-
-
-_FOLDERS: dict[str, str] = {}
-
-
-def fresh_path(spark: SparkSession, tag: str) -> str:
-    """A new path in the application's own part of the shared folder, which goes when the application ends."""
-    app = spark.sparkContext.applicationId
-    if app not in _FOLDERS:
-        folder = f"{shared_dir(spark)}/cairn-{app}-{uuid.uuid4().hex[:8]}"
-        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-        fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        fs.mkdirs(where)
-        fs.deleteOnExit(where)
-        _FOLDERS[app] = folder
-    return f"{_FOLDERS[app]}/{tag}-{uuid.uuid4().hex}"
-
+from cairn.shared import fresh_path
 
 #: Bytes of an Arrow batch on its way to a Python worker, where the session has not set its own.
 ARROW_BYTES = 4 << 20
@@ -94,6 +62,11 @@ def without_rows(docs: DataFrame, out: DataFrame, keys: dict, most: int) -> Data
     return docs.join(F.broadcast(out) if small else out, on, "left_anti")
 
 
+def few(df: DataFrame, most: int = 10_000) -> DataFrame:
+    """A written table with a broadcast hint if it has at most ``most`` rows (counted)."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def sliced(batches, column, most: int = 4 << 20):
     """The same rows in batches of about ``most`` bytes of ``column``, so that a task's working memory is bounded."""
     import numpy as np

@@ -41,17 +41,18 @@ _SPAN = "struct<start:int,kind:int,stop:int,vstart:int,value:string>"
 
 def _found(kind: int, pattern: str, value_group: int = 0, least: int = 0) -> Column:
     """Spans of one kind: the pieces between matches give the matches' places."""
+    value, values = ("e.`2`", f", regexp_extract_all(text, r'{{0}}', {value_group})") if value_group else ("e.`1`", "")
     quoted = pattern.replace('"', r"\x22").replace("'", r"\x27")  # the same characters, for a raw SQL literal
     return F.expr(
         f"""CASE WHEN text RLIKE r'{quoted}' THEN
         aggregate(
-          arrays_zip(split(text, r'{quoted}', -1), regexp_extract_all(text, r'{quoted}', 0), regexp_extract_all(text, r'{quoted}', {value_group})),
+          arrays_zip(split(text, r'{quoted}', -1), regexp_extract_all(text, r'{quoted}', 0){values.replace("{0}", quoted)}),
           named_struct('at', 0, 'out', cast(array() AS array<{_SPAN}>)),
           (acc, e) -> CASE WHEN e.`1` IS NULL THEN acc ELSE named_struct(
             'at', acc.at + length(e.`0`) + length(e.`1`),
-            'out', CASE WHEN length(e.`2`) < {least} THEN acc.out ELSE array_append(acc.out, named_struct(
+            'out', CASE WHEN length({value}) < {least} THEN acc.out ELSE array_append(acc.out, named_struct(
               'start', acc.at + length(e.`0`), 'kind', {kind}, 'stop', acc.at + length(e.`0`) + length(e.`1`),
-              'vstart', acc.at + length(e.`0`) + length(e.`1`) - length(e.`2`), 'value', e.`2`)) END) END,
+              'vstart', acc.at + length(e.`0`) + length(e.`1`) - length({value}), 'value', {value})) END) END,
           acc -> acc.out)
         ELSE cast(array() AS array<{_SPAN}>) END"""
     )

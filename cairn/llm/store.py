@@ -7,9 +7,11 @@ its Merkle root.  Recipes lie in ascending doc_id order with running starts;
 every recipe file has a manifest row (its document count, tokens and the Merkle
 root of its documents), and a top manifest row has the root of all files.
 
-Layout (Parquet): ``chunks/`` (key, width, payload: little-endian ids of
-``width`` bytes), ``recipes/`` (doc_id, part, row, start, n_tokens, keys, root),
-``manifest/`` (part, first_doc_id, docs, tokens, root; part -1 is the top).
+Layout (Parquet): ``stage/kind=chunk/`` (key, width, payload: little-endian ids
+of ``width`` bytes), ``recipes/`` (doc_id, part, row, start, n_tokens, keys, root),
+``manifest/`` (part, first_doc_id, docs, tokens, root; part -1 is the top).  The
+recipes come out of the same pass as the chunks, as ``stage/kind=recipe/``, which
+goes when they lie in order.
 
 Scale: texts are encoded once; the payload crosses one shuffle, by chunk key,
 after each task has dropped its own repeats, so a chunk that a third of the
@@ -135,6 +137,7 @@ def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def write_store(spark: SparkSession, docs: DataFrame, path: str, *, key: str = "doc_id", text: str = "text", end_id: int = END_ID, tokenizer: str | None = None) -> str:
     """Encode ``docs`` and write the store at ``path``; returns ``path``."""
+    common.prepare(spark)
     rows = encode_chunks(docs, key=key, text=text, end_id=end_id, tokenizer=tokenizer or tokens.vocab_path())
     dealt = rows.repartition("spread")
     dealt.mapInArrow(_once, rows.schema).write.partitionBy("kind").option("compression", "zstd").parquet(f"{path}/stage")
@@ -155,6 +158,7 @@ def write_store(spark: SparkSession, docs: DataFrame, path: str, *, key: str = "
 
     ordered = recipes.repartitionByRange("doc_id", "n_tokens", "root").sortWithinPartitions("doc_id", "n_tokens", "root")
     ordered.mapInArrow(running, "doc_id long, part int, row long, start long, n_tokens long, keys binary, root binary").write.option("compression", "zstd").parquet(f"{path}/recipes")
+    common.drop_path(spark, f"{path}/stage/kind=recipe")
 
     def roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # rows of a part arrive in row order (sorted below); one part's roots are held at a time

@@ -646,6 +646,38 @@ def test_components_of_a_long_chain(spark):
     assert got == {**{i: 0 for i in range(1, 61)}, 101: 100}
 
 
+# ---- very long texts -----------------------------------------------------------------------------------------------------------------
+
+
+def test_texts_of_several_megabytes(spark, enc):
+    """One text of 3 MB and one of 2 MB without white space, beside short ones, through every operator of texts."""
+    long, dense = prose(12, 450_000), "ab1,Cd2;" * 250_000
+    rows = [(1, long, "en", "s"), (2, dense, "en", "s"), (3, prose(13, 50), "en", "s"), (4, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(2)
+    assert len(long) > 3_000_000 and len(dense) == 2_000_000
+    text = {r[0]: r[1] or "" for r in rows}
+    n = {k: len(enc.whole(t)) for k, t in text.items()}
+    pieces = {r["doc_id"]: r["n"] for r in packing.pack(spark, df).groupBy("doc_id").agg(F.sum("length").alias("n")).collect()}
+    assert pieces == {k: v + 1 for k, v in n.items()}
+    digests = store.read_digests(spark, store.write_store(spark, df, common.fresh_path(spark, "long"))).collect()
+    assert {r["doc_id"]: r["n_tokens"] for r in digests} == {k: v + 1 for k, v in n.items()} and all(r["verified"] for r in digests)
+    for r in recount.revise(df).collect():
+        now = text[r["doc_id"]]
+        assert r["n_tokens"] == n[r["doc_id"]] and r["encoded_chars"] < 10_000
+        for a, b, new in recount.spread_edits(now):
+            now = now[:a] + new + now[b:]
+        assert r["n_tokens_edited"] == len(enc.whole(now))
+    assert {r["doc_id"]: r["fp"] % 2**64 for r in simhash.groups(spark, df).collect()} == {k: simhash.fingerprint(t) for k, t in text.items()}
+    assert simhash.keep_dissimilar(spark, df).count() == 4
+    bench = spark.createDataFrame([(1, " ".join(long.split()[400_000:400_040])), (2, dense[:400])], "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.overlaps(spark, df, bench).collect()} == {(1, 1), (2, 2)}
+    assert pii.surrogates(spark, df).filter("doc_id = 1").first()["text"] == long
+    assert {r["doc_id"]: r["spans"] for r in secrets.scan(spark, df).collect()} == dict.fromkeys(text, "")
+    labels = spark.createDataFrame([(1, 1, 0), (3, 1, 0)], "doc_id long, quality int, toxic int")
+    assert quality.classify(spark, df, labels).filter("perplexity > 1").count() == 4
+    assert langid.identify(spark, df).count() == 4
+
+
 # ---- pipeline -----------------------------------------------------------------------------------------------------------------------
 
 
