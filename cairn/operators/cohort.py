@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cairn.functions import scalar
@@ -65,15 +65,31 @@ def candidate_status(df: DataFrame, ladder: Sequence[tuple[Column, str]]) -> Dat
 
 
 def choose_measure(index: DataFrame, measures: DataFrame, keys: Sequence[str], *, index_id: str, index_ts: str, ts: str, rank: str, tie: str) -> DataFrame:
-    """One measure per index event by source rank, then nearness in seconds, then ``tie``."""
-    hits = joins.within(index, measures, keys, F.lit(True)).withColumn("seconds", F.abs(boundaries("second", F.col(index_ts), F.col(ts))))
-    return keep_first(hits, [index_id], [F.col(rank).asc(), F.col("seconds").asc(), asc(tie)])
+    """One measure per index event by source rank, then nearness in seconds, then ``tie``; measures without a time take no part.
+
+    No pairs are made.  A subject's best rank decides for all its events; among
+    those measures the nearest one is the last before or the first after the
+    event, found by walking the subject's one sequence in both directions.
+    """
+    best = measures.filter(F.col(ts).isNotNull()).groupBy(*keys).agg(F.min(rank).alias(rank))
+    theirs = [c for c in measures.columns if c not in keys]
+    second = lambda c: F.date_trunc("second", F.col(c))
+    a = index.select(*keys, second(index_ts).alias("_at"), F.struct(*index.columns).alias("_i"))
+    b = measures.filter(F.col(ts).isNotNull()).join(best, [*keys, rank]).select(*keys, second(ts).alias("_at"), F.struct(*[F.col(c) for c in theirs]).alias("_m"), F.col(tie).alias("_tie"))
+    both = a.unionByName(b, allowMissingColumns=True)
+    seen = lambda *order: F.last("_m", ignorenulls=True).over(Window.partitionBy(*keys).orderBy(*order, F.col("_i").isNotNull(), F.col("_tie").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    both = both.withColumn("_before", seen(F.col("_at").asc())).withColumn("_after", seen(F.col("_at").desc())).filter("_i IS NOT NULL")
+    gap = lambda m: F.abs(boundaries("second", F.col(f"_i.{index_ts}"), F.col(f"{m}.{ts}")))
+    pick = F.least(*[F.when(F.col(m).isNotNull(), F.struct(gap(m).alias("s"), F.col(f"{m}.{tie}").alias("t"), F.col(m).alias("m"))) for m in ("_before", "_after")])
+    return both.withColumn("_p", pick).filter("_p IS NOT NULL").select(*[F.col(f"_i.{c}").alias(c) for c in index.columns], *[F.col(f"_p.m.{c}").alias(c) for c in theirs], F.col("_p.s").alias("seconds"))
 
 
 def pair_measures(left: DataFrame, right: DataFrame, keys: Sequence[str], *, left_id: str, left_ts: str, right_ts: str, hours: int, tie: str) -> DataFrame:
-    """Weight and height style pairing: the nearest partner within ``hours``."""
+    """Weight and height style pairing: the nearest partner within ``hours``; only rows of the same or neighbouring spans of that length meet."""
+    span = lambda c: F.floor(boundaries("hour", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(c)) / hours).cast("long")
     gap = F.abs(boundaries("second", F.col(left_ts), F.col(right_ts)))
-    hits = joins.within(left, right, keys, gap <= hours * 3600).withColumn("gap_seconds", gap)
+    a = left.withColumn("_span", F.explode(F.array(span(left_ts) - 1, span(left_ts), span(left_ts) + 1)))
+    hits = joins.within(a, right.withColumn("_span", span(right_ts)), [*keys, "_span"], gap <= hours * 3600).drop("_span").withColumn("gap_seconds", gap)
     return keep_first(hits, [left_id], [F.col("gap_seconds").asc(), asc(tie)])
 
 

@@ -82,12 +82,12 @@ def as_of_forward(left: DataFrame, right: DataFrame, keys: Sequence[str], *, lef
     return left.join(best, ids, "left").select(*left.columns, *[F.col(f"_b.{v}").alias(v) for v in values])
 
 
-def as_of_backward(left: DataFrame, right: DataFrame, keys: Sequence[str], *, left_ts: str, right_ts: str, values: Sequence[str], tie: str, strict: bool = True) -> DataFrame:
+def as_of_backward(left: DataFrame, right: DataFrame, keys: Sequence[str], *, left_ts: str, right_ts: str, values: Sequence[str], tie: str, strict: bool = True, left_id: Sequence[str] = ()) -> DataFrame:
     """Each left row with the latest right row before it (at or before it if not strict); ties go to the largest ``tie``.
 
     No pairs are made: both sides are one ordered sequence for each key, and
     each left row takes the last right row that it has seen.  Left rows without
-    a key or time get none.
+    a key or time get none, and ``left_id`` isn't needed, as no row is multiplied.
     """
     seen = F.struct(*[F.col(v) for v in values])
     a = left.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(left_ts).alias("_ts"), F.lit(0 if strict else 1).alias("_side"), F.struct(*left.columns).alias("_l"))
