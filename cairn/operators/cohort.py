@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cairn.functions import scalar
 from cairn.functions.temporal import boundaries, whole_days
 from cairn.operators import joins
-from cairn.operators.reduce import Order, asc, desc, keep_first, ranked, two_level_first, two_level_highest, two_level_last
+from cairn.operators.reduce import Order, asc, desc, keep_first, ranked
 
 # ---- encounters and events -------------------------------------------------
 
