@@ -209,6 +209,8 @@ def _named(distinct: DataFrame, roots: DataFrame) -> DataFrame:
 WIDE_SHINGLE = 5
 SIMILARITY = 0.8
 WORDS = 16
+#: Words whose quarters the first round of candidates looks at; the second one looks at all.
+FIRST_WORDS = 4
 #: Standard deviations that a pair of just the wanted similarity may be off in the first two words.
 _SLACK = 2.6
 _STEPS = np.uint64(0x9E3779B97F4A7C15) * np.arange(1, WORDS + 1, dtype=np.uint64)
@@ -369,12 +371,17 @@ def similar_links(spark: SparkSession, distinct: DataFrame, *, similarity: float
     are dealt by each of the 16-bit quarters of all words; a pair of similarity
     0.8 shares one of the 64 with a probability of over 0.99.  Sketches and
     whole fingerprints pick the candidates, in two rounds.  The first one tries
-    at most a pair a row in each band.  The second one tries all pairs of a band
-    that the links found do not connect, so a pair that fails never stands for
-    another one.  The rows of a band with more than ``bucket`` rows go in blocks: in
-    the first round each by itself, in the second one every block meets every
-    block of the rows outside the band's largest component.  That loses no pair;
-    the work grows with the square of what the first round leaves apart.
+    at most a pair a row in each band of the first ``FIRST_WORDS`` words, which
+    connects most of what belongs together.  The second one looks at all pairs of a
+    band that the links found do not connect, so a pair that fails never stands
+    for another one: rows with such a partner by the sketch are dealt again with
+    their whole fingerprints, and only pairs that those allow leave the task,
+    each from the first band that it shares.  The rows of a band with more than
+    ``bucket`` rows go in blocks: in the first round each by itself, in the
+    second one every block meets every block of the rows outside the band's
+    largest component.  That loses no pair; comparing bits inside a task grows
+    with the square of what the first round leaves apart, what is shuffled and
+    joined does not.
     """
     sketch_radius = wide_radius(similarity, 128, _SLACK)
     whole_radius = wide_radius(similarity, 64 * WORDS, 1.0 if sets is None else _WHOLE_SLACK)
@@ -392,20 +399,34 @@ def similar_links(spark: SparkSession, distinct: DataFrame, *, similarity: float
             x, y = np.array([p[0] for p in found], dtype=np.int64), np.array([p[1] for p in found], dtype=np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(node[x]), pa.array(node[y])], ["a", "b"])
 
-    def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def open_pairs(band, side, comp, sketch):
+        if len(band) > 1:
+            group = np.concatenate(([0], np.cumsum(band[1:] != band[:-1])))
+            yield from _open_pairs(group, side, comp, sketch.view(np.uint64), sketch_radius)
+
+    def active(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows that have a partner in another component, by the sketch."""
         for band, node, s0, s1, comp, side in _by_group(batches, 6):
-            if len(band) > 1:
-                sketch = np.stack((s0, s1), axis=1).view(np.uint64)
-                group = np.concatenate(([0], np.cumsum(band[1:] != band[:-1])))
-                for x, y in _open_pairs(group, side, comp, sketch, sketch_radius):
-                    if len(x):
-                        yield pa.RecordBatch.from_arrays([pa.array(node[x]), pa.array(node[y])], ["a", "b"])
+            hit = np.zeros(len(node), dtype=bool)
+            for x, y in open_pairs(band, side, comp, np.stack((s0, s1), axis=1)):
+                hit[x] = hit[y] = True
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(node[hit]))], ["node"])
+
+    def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for band, node, *words, comp, lane, side in _by_group(batches, 5 + WORDS):
+            whole = np.stack(words, axis=1).view(np.uint64)
+            for x, y in open_pairs(band, side, comp, whole[:, :2]):
+                for i in range(0, len(x), 1 << 16):
+                    a, b = x[i : i + (1 << 16)], y[i : i + (1 << 16)]
+                    apart = whole[a] ^ whole[b]
+                    ok = np.bitwise_count(apart).sum(axis=1) <= whole_radius
+                    ok[ok] = (apart[ok].view(np.uint16) == 0).argmax(axis=1) == lane[a[ok]]  # the first band they share
+                    yield pa.RecordBatch.from_arrays([pa.array(node[a[ok]]), pa.array(node[b[ok]])], ["a", "b"])
 
     bands = F.expr("flatten(transform(words, (x, w) -> transform(array(0, 16, 32, 48), s -> cast(shiftrightunsigned(x, s) & 65535 as bigint) | shiftleft(cast(w * 4 + s div 16 as bigint), 16))))")
 
-    def candidates(rows: DataFrame, run) -> DataFrame:
-        found = rows.repartition("band").sortWithinPartitions("band").mapInArrow(run, "a long, b long")
-        return found.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    def dealt(rows: DataFrame) -> DataFrame:
+        return rows.repartition("band").sortWithinPartitions("band")
 
     def blocks(n: str) -> Column:
         return F.ceil(F.col(n) / bucket)
@@ -415,12 +436,11 @@ def similar_links(spark: SparkSession, distinct: DataFrame, *, similarity: float
         block = F.xxhash64("band", F.pmod(F.xxhash64("node", "band"), blocks("n")))
         return rows.join(large, "band", "left").withColumn("band", F.when(F.col("n").isNull(), F.col("band")).otherwise(block)).drop("n")
 
-    def crossed(rows: DataFrame) -> DataFrame:
+    def crossed(rows: DataFrame, names: list[str]) -> DataFrame:
         """Blocks of a large band (side 0), each with every block of the rows outside its largest component (side 1)."""
         hot = rows.join(large.select("band"), "band", "left_semi")
         each = hot.groupBy("band", "comp").agg(F.count("*").alias("n")).groupBy("band").agg(F.sum("n").alias("n"), (F.sum("n") - F.max("n")).alias("rest"), F.max_by("comp", F.struct("n", "comp")).alias("top"))
         hot = hot.join(common.written(spark, each, "hot").filter("rest > 0"), "band")
-        names = ["node", "s0", "s1", "comp"]
         meet = lambda i, j: F.xxhash64("band", i, j).alias("band")
         own, other = F.pmod(F.xxhash64("node", "band"), blocks("n")), F.pmod(F.xxhash64("band", "node"), blocks("rest"))
         upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), blocks(n) - 1)).alias("_j")
@@ -428,15 +448,8 @@ def similar_links(spark: SparkSession, distinct: DataFrame, *, similarity: float
         rest = hot.filter("comp <> top").select("band", *names, other.alias("_i"), upto("n")).select(meet("_j", "_i"), *names, F.lit(1).cast("long").alias("side"))
         return rows.join(large.select("band"), "band", "left_anti").withColumn("side", F.lit(2).cast("long")).unionByName(all_rows).unionByName(rest)
 
-    words = distinct.select("node", "words")
-
-    def passed(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(words.select(F.col("node").alias("a"), F.col("words").alias("wa")), "a").join(words.select(F.col("node").alias("b"), F.col("words").alias("wb")), "b")
-        apart = F.aggregate(F.zip_with("wa", "wb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, n: acc + n)
-        close = both.filter(apart <= whole_radius).select("a", "b")
-        if sets is None:
-            return close
-        close = common.written(spark, close, "close")
+    def exact(close: DataFrame) -> DataFrame:
+        """The pairs whose shingle sets are similar enough."""
         asked = common.written(spark, close.select(F.col("a").alias("node")).unionByName(close.select(F.col("b").alias("node"))).distinct(), "asked")
         if asked.count() <= set_rows:
             own = sets.join(F.broadcast(asked), "node", "left_semi").dropDuplicates(["node"])
@@ -447,16 +460,32 @@ def similar_links(spark: SparkSession, distinct: DataFrame, *, similarity: float
         shared = F.size(F.array_intersect("sa", "sb"))
         return common.written(spark, both.filter(shared / (F.size("sa") + F.size("sb") - shared) >= similarity).select("a", "b"), "similar")
 
+    def decided(close: DataFrame) -> DataFrame:
+        close = common.written(spark, close, "close")
+        return close if sets is None else exact(close)
+
+    words = distinct.select("node", "words")
     rows = distinct.select(F.explode(bands).alias("band"), "node", "s0", "s1")
     large = common.written(spark, rows.groupBy("band").agg(F.count("*").alias("n")).filter(F.col("n") > bucket), "large")
     hot = not large.isEmpty()
-    tried = common.written(spark, candidates(alone(rows).select("band", "node", "s0", "s1") if hot else rows, first), "tried")
-    roots = graph.components(spark, passed(tried))
+    some = rows.filter(F.col("band") < 4 * FIRST_WORDS << 16)
+    tried = dealt(alone(some).select("band", "node", "s0", "s1") if hot else some).mapInArrow(first, "a long, b long")
+    tried = tried.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    both = tried.join(words.select(F.col("node").alias("a"), F.col("words").alias("wa")), "a").join(words.select(F.col("node").alias("b"), F.col("words").alias("wb")), "b")
+    apart = F.aggregate(F.zip_with("wa", "wb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, n: acc + n)
+    roots = graph.components(spark, decided(both.filter(apart <= whole_radius).select("a", "b")))
     nodes = common.written(spark, distinct.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root"), "nodes")
-    rows = nodes.select(F.explode(bands).alias("band"), "node", "s0", "s1", "comp")
-    rows = crossed(rows) if hot else rows.withColumn("side", F.lit(2).cast("long"))
-    left = candidates(rows, second).join(tried, ["a", "b"], "left_anti")
-    return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(passed(left))
+    names = ["node", "s0", "s1", "comp"]
+    rows = nodes.select(F.explode(bands).alias("band"), *names)
+    rows = crossed(rows, names) if hot else rows.withColumn("side", F.lit(2).cast("long"))
+    todo = common.written(spark, dealt(rows).mapInArrow(active, "node long").distinct(), "active")
+    each = [f"w{i}" for i in range(WORDS)]
+    names = ["node", *each, "comp", "lane"]
+    rows = nodes.join(todo, "node", "left_semi").select(F.explode(bands).alias("band"), "node", *[F.col("words")[i].alias(w) for i, w in enumerate(each)], "comp")
+    rows = rows.withColumn("lane", F.shiftright("band", 16))
+    rows = crossed(rows, names) if hot else rows.withColumn("side", F.lit(2).cast("long"))
+    left = dealt(rows).mapInArrow(second, "a long, b long").filter("a <> b")
+    return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(decided(left))
 
 
 def _similar(spark: SparkSession, docs: DataFrame, key: str, text: str, shingle: int, similarity: float) -> tuple[DataFrame, DataFrame]:
