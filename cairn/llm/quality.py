@@ -157,7 +157,8 @@ def _context(key: str, w: str):
 def tables(spark: SparkSession, model: DataFrame) -> DataFrame:
     """(lang, w, kind, key, v): discounted shares (kind 0, by key) and back-off weights (kind 1, by context)."""
     counts = common.written(spark, levels(model), "levels")
-    rows = counts.join(discounts(counts), ["lang", "w"]).withColumn("h", _context("key", "w"))
+    off = common.few(common.written(spark, discounts(counts), "discounts"))  # a row for each language and order
+    rows = counts.join(off, ["lang", "w"]).withColumn("h", _context("key", "w"))
     off = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
     rows = rows.withColumn("off", off)
     sums = rows.groupBy("lang", "w", "h").agg(F.sum("c").cast("double").alias("total"), F.sum("off").alias("lost"))
@@ -175,7 +176,7 @@ def probabilities(spark: SparkSession, gathered: DataFrame) -> DataFrame:
     pooled = trusted.groupBy("key").agg(F.sum("c").alias("c")).select(F.lit("*").alias("lang"), "key", "c")
     model = common.written(spark, trusted.unionByName(pooled), "trusted")
     size = model.select("lang", F.col("key").bitwiseAND(F.lit(0xFFFF).cast("long")).alias("w")).distinct().groupBy("lang").agg((F.count("*") + 1).cast("double").alias("v"))
-    known = trusted.select("lang").distinct()
+    known = common.few(common.written(spark, trusted.select("lang").distinct(), "known"))
     alone = gathered.join(known, "lang", "left_anti").select("key").distinct()  # of languages that can't be learned
     asked = gathered.join(known, "lang", "left_semi").select("lang", "key").unionByName(alone.select(F.lit("*").alias("lang"), "key"))
     masked = [(w, F.col("key").bitwiseAND(F.lit((1 << 16 * w) - 1 if w < ORDER else -1).cast("long"))) for w in range(1, ORDER + 1)]
@@ -186,7 +187,7 @@ def probabilities(spark: SparkSession, gathered: DataFrame) -> DataFrame:
     pick = lambda w, kind, none: F.coalesce(F.max(F.when((F.col("w") == w) & (F.col("kind") == kind), F.col("v"))), F.lit(none))
     # a share that was never seen is nothing; a context that was never seen passes its whole weight on
     cells = [pick(w, kind, none).alias(f"{name}{w}") for w in range(1, ORDER + 1) for kind, name, none in ((0, "a", 0.0), (1, "g", 1.0))]
-    rows = found.groupBy("lang", "gram").agg(*cells).join(size, "lang")
+    rows = found.groupBy("lang", "gram").agg(*cells).join(common.few(common.written(spark, size, "sizes")), "lang")  # a row for each language
     p = 1 / F.col("v")
     for w in range(1, ORDER + 1):
         p = F.col(f"a{w}") + F.col(f"g{w}") * p
@@ -268,6 +269,7 @@ def _judged(spark: SparkSession, docs: DataFrame, labels: DataFrame, key: str, t
     at = F.percentile_approx("perplexity", quantile, ACCURACY)
     limits = good.groupBy("lang").agg(at.alias("own"))
     overall = good.agg(at.alias("threshold")).first()["threshold"]
+    limits = common.few(common.written(spark, limits, "limits"))  # a row for each language
     judged = scored.join(limits, "lang", "left").withColumn("threshold", F.coalesce("own", F.lit(overall).cast("double")))
     return judged.select("doc_id", "lang", "h", "perplexity", "threshold", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)).alias("keep"))
 
