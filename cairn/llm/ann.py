@@ -47,7 +47,7 @@ FIT_ROWS = 8_000
 #: Share of the sample's true neighbours that must lie in the probed lists.
 PROBE_RECALL = 0.98
 MOST_LISTS = 4_096
-PART_ROWS = 16_384
+PART_ROWS = 8_192
 #: Rows of a query that are scored exactly: so many, or that share of the rows in its lists if it is more.
 RERANK, RERANK_SHARE = 1_000, 0.02
 
@@ -298,7 +298,7 @@ def search(spark: SparkSession, found: Index | None, queries: DataFrame, *, k: i
     part = F.get(firsts, F.col("list")) + F.pmod(F.xxhash64("rid"), F.get(owns, F.col("list"))).cast("int")
     rows = found.rows.select(part.alias("part"), F.lit(0).alias("query"), "rid", "vec_id", "v", F.col("list").cast("long").alias("list"), "codes", "norm")
     asked = queries.select("rid", "vec_id", F.col("v").cast(kind).alias("v")).mapInArrow(to_parts, f"part int, query int, rid long, vec_id long, v {kind}, list long, codes binary, norm double")
-    dealt = rows.unionByName(asked).repartition(parts, "part").sortWithinPartitions("part", "query")
+    dealt = rows.unionByName(asked).repartitionById(parts, "part").sortWithinPartitions("part", "query")  # no two parts share a task by chance
     best = dealt.mapInArrow(scan, "rid long, query_id long, vec_id long, score double")
     w = Window.partitionBy("rid").orderBy(F.desc("score"), "vec_id")
     return best.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
