@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cairn.llm import ann, common, decontaminate, langid, packing, pii, quality, recount, secrets, simhash, store
+from cairn.llm import ann, common, decontaminate, fim, hardneg, langid, packing, pii, quality, recount, secrets, simhash, store
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +54,14 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(common.table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hardneg.mine(spark, common.table(spark, sf_dir, "embeddings"))
+
+
 #: Query name -> function; each applies one operator to its whole table.
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
@@ -66,6 +74,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_edit_counts": op8_edit_counts,
     "op9_language_id": op9_language_id,
     "op10_simhash": op10_simhash,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 
@@ -81,7 +91,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    found = {"op6_secret_scan": secrets.oracle()}
+    found = {"op6_secret_scan": secrets.oracle(), "op11_fill_in_middle": fim.oracle(), "op13_hard_negatives": hardneg.oracle()}
     if corpus_pipeline.ORACLE_SQL is not None:
         found["pipeline"] = corpus_pipeline.ORACLE_SQL
     return found
