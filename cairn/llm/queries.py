@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cairn.llm import ann, common, decontaminate, fim, hardneg, langid, packing, pii, quality, recount, secrets, simhash, store
+from cairn.llm import ann, common, decontaminate, fim, hardneg, langid, minhash, packing, pii, quality, recount, secrets, simhash, store
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +58,10 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digests(common.table(spark, sf_dir, "documents"))
 
 
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.groups(spark, common.table(spark, sf_dir, "documents"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hardneg.mine(spark, common.table(spark, sf_dir, "embeddings"))
 
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language_id": op9_language_id,
     "op10_simhash": op10_simhash,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_minhash": op12_minhash,
     "op13_hard_negatives": op13_hard_negatives,
 }
 

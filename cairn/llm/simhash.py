@@ -28,16 +28,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm import common, graph
+from cairn.llm import bands, common, graph
+from cairn.llm.bands import BUCKET, pivot_table
 
 SHINGLE = 3
 RADIUS = 3
 SEED = 42
-BUCKET = 4096
-PIVOTS = np.random.default_rng(20240607).integers(0, 2**64, size=16, dtype=np.uint64)
 _BLOCK = 1 << 16
 
 
@@ -76,10 +75,6 @@ def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).cast("long").alias("doc_id"), body.alias("text"), F.xxhash64(body).alias("h"))
 
 
-def pivot_table(fps: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(fps[:, None] ^ PIVOTS[None, :]).astype(np.int8)
-
-
 def _near(fps, table, one, rest, radius):
     """Which of ``rest`` are within radius of row(s) ``one``: pivots first, then the bits themselves."""
     rest = np.asarray(rest)
@@ -263,229 +258,47 @@ def _wide_rows(docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
     return _texts(docs, key, text).mapInArrow(run, "doc_id long, h long, words array<long>, shingles array<long>")
 
 
-def _sketch_links(group: np.ndarray, turn: np.ndarray, sketch: np.ndarray, radius: int, seen: set) -> list[tuple[int, int]]:
-    """Some pairs of rows of one group whose two-word sketches are within ``radius``, as many as rows at most.
+def _scheme(similarity: float, whole_slack: float) -> bands.Scheme:
+    """Lanes: the 16-bit quarters of all words; a pair of similarity 0.8 shares one of the 64 with a probability of over 0.99.
 
-    Not all of them: in groups of at most 48 rows the forest of the closest
-    pairs; in larger ones stars whose centres change with the band, so that no
-    one centre decides for all bands.  They are tried first; ``_open_pairs``
-    gives all that these leave undecided.
-    Pivots first: a coordinate that differs by more than the radius discards.
+    Finer keys: two bytes of each word, of which such a pair shares one with a
+    probability of over 0.9999.
     """
-    table = pivot_table(sketch[:, 0]) + pivot_table(sketch[:, 1])
-    links: list[tuple[int, int]] = []
-    close: list[tuple[int, int, int]] = []
+    whole_radius = wide_radius(similarity, 64 * WORDS, whole_slack)
 
-    def near(one, rest):
-        ok = np.flatnonzero(np.abs(table[rest] - table[one]).max(axis=1) <= radius)
-        return ok[np.bitwise_count(sketch[rest[ok]] ^ (sketch[one[ok]] if isinstance(one, np.ndarray) else sketch[one])).sum(axis=1) <= radius]
+    def keys(shifts: tuple[int, ...], width: int):
+        sub = f"array({', '.join(map(str, shifts))})"
+        each = f"transform({sub}, (s, i) -> (shiftrightunsigned(x, s) & {2**width - 1}) | shiftleft(cast(w * {len(shifts)} + i as bigint), {width}))"
+        return F.expr(f"flatten(transform(whole, (x, w) -> {each}))")
 
-    starts = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
-    sizes = np.diff(np.concatenate((starts, [len(group)])))
-    small, last = np.repeat(sizes <= 48, sizes), np.repeat(starts + sizes, sizes)
-    every = np.arange(len(group))
-    for lag in range(1, 48):
-        i = np.flatnonzero(small & (every + lag < last))
-        if not len(i):
-            break
-        hit = near(i, i + lag)
-        close += [(d, x, x + lag) for d, x in zip(np.bitwise_count(sketch[i[hit]] ^ sketch[i[hit] + lag]).sum(axis=1).tolist(), i[hit].tolist())]
-    parent: dict[int, int] = {}
+    def plausible(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.bitwise_count((a ^ b).view(np.uint64)).sum(axis=1) <= whole_radius
 
-    def find(x: int) -> int:
-        while (p := parent.setdefault(x, x)) != x:
-            parent[x] = x = parent[p]
-        return x
+    def first_shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return ((a ^ b).view(np.uint16) == 0).argmax(axis=1)
 
-    for _, x, y in sorted(close):  # the closest pairs that connect each group: those that will most likely hold
-        a, b = find(x), find(y)
-        if a != b:
-            parent[b] = a
-            links.append((x, y))
-    for s, n in zip(starts[sizes > 48].tolist(), sizes[sizes > 48].tolist()):
-        order = s + np.argsort((sketch[s : s + n, 0] ^ turn[s]) * np.uint64(0x9E3779B97F4A7C15), kind="stable")
-        while len(order) > 1:
-            x, order = int(order[0]), order[1:]
-            hit = near(x, order)
-            links += [(x, y) for y in order[hit].tolist()]
-            order = np.delete(order, hit)
-    out = []
-    for x, y in links:
-        a, b = tuple(sketch[x].tolist()), tuple(sketch[y].tolist())
-        pair = (a, b) if a < b else (b, a)
-        if pair not in seen:
-            seen.add(pair)
-            out.append((x, y))
-    return out
-
-
-def _open_pairs(group: np.ndarray, side: np.ndarray, comp: np.ndarray, sketch: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All pairs of rows of one group with sketches within ``radius`` that no link connects yet; rows of side 0 meet those of side 1 only."""
-    starts = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
-    sizes = np.diff(np.concatenate((starts, [len(group)])))
-    small, last = np.repeat(sizes <= 48, sizes), np.repeat(starts + sizes, sizes)
-    every = np.arange(len(group))
-    for lag in range(1, 48):
-        i = np.flatnonzero(small & (every + lag < last))
-        if not len(i):
-            break
-        i = i[(comp[i] != comp[i + lag]) & ((side[i] == 2) | (side[i] != side[i + lag]))]
-        i = i[np.bitwise_count(sketch[i] ^ sketch[i + lag]).sum(axis=1) <= radius]
-        yield i, i + lag
-    for s, n in zip(starts[sizes > 48].tolist(), sizes[sizes > 48].tolist()):
-        y = np.arange(s, s + n)
-        values, counts = np.unique(comp[y], return_counts=True)
-        top = values[np.argmax(counts)]  # rows of the largest component needn't meet one another
-        if side[s] == 2:
-            rest = y[comp[y] != top]
-        else:
-            rest, y = y[side[y] == 1], y[side[y] == 0]
-        step = max(1, (1 << 20) // n)
-        for x in (rest[i : i + step, None] for i in range(0, len(rest), step)):
-            near = np.bitwise_count(sketch[x, 0] ^ sketch[y, 0]) + np.bitwise_count(sketch[x, 1] ^ sketch[y, 1]) <= radius
-            at, other = np.nonzero(near & (comp[x] != comp[y]) & ((side[s] < 2) | (y > x) | (comp[y] == top)))
-            yield x[at, 0], y[other]
-
-
-def _by_group(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[list[np.ndarray]]:
-    """The columns of batches in order of the first one, in pieces of whole groups."""
-    held = [np.zeros(0, dtype=np.int64)] * width
-    for batch in batches:
-        now = [np.concatenate((h, batch.column(i).to_numpy())) for i, h in enumerate(held)]
-        if not len(now[0]):
-            continue
-        changed = np.flatnonzero(now[0] != now[0][-1])
-        cut = changed[-1] + 1 if len(changed) else 0  # the last group may go on in the next batch
-        yield [c[:cut] for c in now]
-        held = [c[cut:] for c in now]
-    yield held
+    return bands.Scheme(keys((0, 16, 32, 48), 16), keys((8, 40), 8), 4 * FIRST_WORDS, wide_radius(similarity, 128, _SLACK), plausible, first_shared)
 
 
 def similar_links(spark: SparkSession, distinct: DataFrame, *, similarity: float = SIMILARITY, bucket: int = BUCKET, sets: DataFrame | None = None, set_rows: int = 1_000_000) -> DataFrame:
-    """Links (a, b) of ``node`` that connect texts of at least that similarity.
+    """Links (a, b) of ``node`` that connect texts of at least that similarity; how they are found is said in ``bands``.
 
+    ``distinct``: (node, s0, s1, words), s0 and s1 the first two words.
     ``sets``: (node, shingles), whose exact Jaccard similarity decides; without
     it the distance of whole fingerprints does, about as well as it can.
-
-    ``distinct``: (node, s0, s1, words), s0 and s1 the first two words.  Rows
-    are dealt by each of the 16-bit quarters of all words; a pair of similarity
-    0.8 shares one of the 64 with a probability of over 0.99.  Sketches and
-    whole fingerprints pick the candidates, in two rounds.  The first one tries
-    at most a pair a row in each band of the first ``FIRST_WORDS`` words, which
-    connects most of what belongs together.  The second one looks at all pairs of a
-    band that the links found do not connect, so a pair that fails never stands
-    for another one: rows with such a partner by the sketch are dealt again with
-    their whole fingerprints, and only pairs that those allow leave the task,
-    each from the first band that it shares.  The rows of a band with more than
-    ``bucket`` rows go in blocks: in the first round each by itself, in the
-    second one every block meets every block of the rows outside the band's
-    largest component.  That loses no pair; comparing bits inside a task grows
-    with the square of what the first round leaves apart, what is shuffled and
-    joined does not.
     """
-    sketch_radius = wide_radius(similarity, 128, _SLACK)
-    whole_radius = wide_radius(similarity, 64 * WORDS, 1.0 if sets is None else _WHOLE_SLACK)
-
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set = set()
-        for band, node, s0, s1 in _by_group(batches, 4):
-            found = []
-            if len(band) > 1:
-                sketch = np.stack((s0, s1), axis=1).view(np.uint64)
-                group = np.concatenate(([0], np.cumsum(band[1:] != band[:-1])))
-                found = _sketch_links(group, (band % 2).astype(np.uint64), sketch, sketch_radius, seen)
-                if len(seen) > 100_000:  # a repeated candidate costs little
-                    seen.clear()
-            x, y = np.array([p[0] for p in found], dtype=np.int64), np.array([p[1] for p in found], dtype=np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(node[x]), pa.array(node[y])], ["a", "b"])
-
-    def open_pairs(band, side, comp, sketch):
-        if len(band) > 1:
-            group = np.concatenate(([0], np.cumsum(band[1:] != band[:-1])))
-            yield from _open_pairs(group, side, comp, sketch.view(np.uint64), sketch_radius)
-
-    def active(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows that have a partner in another component, by the sketch."""
-        for band, node, s0, s1, comp, side in _by_group(batches, 6):
-            hit = np.zeros(len(node), dtype=bool)
-            for x, y in open_pairs(band, side, comp, np.stack((s0, s1), axis=1)):
-                hit[x] = hit[y] = True
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(node[hit]))], ["node"])
-
-    def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for band, node, *words, comp, lane, side in _by_group(batches, 5 + WORDS):
-            whole = np.stack(words, axis=1).view(np.uint64)
-            for x, y in open_pairs(band, side, comp, whole[:, :2]):
-                for i in range(0, len(x), 1 << 16):
-                    a, b = x[i : i + (1 << 16)], y[i : i + (1 << 16)]
-                    apart = whole[a] ^ whole[b]
-                    ok = np.bitwise_count(apart).sum(axis=1) <= whole_radius
-                    ok[ok] = (apart[ok].view(np.uint16) == 0).argmax(axis=1) == lane[a[ok]]  # the first band they share
-                    yield pa.RecordBatch.from_arrays([pa.array(node[a[ok]]), pa.array(node[b[ok]])], ["a", "b"])
-
-    bands = F.expr("flatten(transform(words, (x, w) -> transform(array(0, 16, 32, 48), s -> cast(shiftrightunsigned(x, s) & 65535 as bigint) | shiftleft(cast(w * 4 + s div 16 as bigint), 16))))")
-
-    def dealt(rows: DataFrame) -> DataFrame:
-        return rows.repartition("band").sortWithinPartitions("band")
-
-    def blocks(n: str) -> Column:
-        return F.ceil(F.col(n) / bucket)
-
-    def alone(rows: DataFrame) -> DataFrame:
-        """Blocks of a large band, each by itself."""
-        block = F.xxhash64("band", F.pmod(F.xxhash64("node", "band"), blocks("n")))
-        return rows.join(large, "band", "left").withColumn("band", F.when(F.col("n").isNull(), F.col("band")).otherwise(block)).drop("n")
-
-    def crossed(rows: DataFrame, names: list[str]) -> DataFrame:
-        """Blocks of a large band (side 0), each with every block of the rows outside its largest component (side 1)."""
-        hot = rows.join(large.select("band"), "band", "left_semi")
-        each = hot.groupBy("band", "comp").agg(F.count("*").alias("n")).groupBy("band").agg(F.sum("n").alias("n"), (F.sum("n") - F.max("n")).alias("rest"), F.max_by("comp", F.struct("n", "comp")).alias("top"))
-        hot = hot.join(common.written(spark, each, "hot").filter("rest > 0"), "band")
-        meet = lambda i, j: F.xxhash64("band", i, j).alias("band")
-        own, other = F.pmod(F.xxhash64("node", "band"), blocks("n")), F.pmod(F.xxhash64("band", "node"), blocks("rest"))
-        upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), blocks(n) - 1)).alias("_j")
-        all_rows = hot.select("band", *names, own.alias("_i"), upto("rest")).select(meet("_i", "_j"), *names, F.lit(0).cast("long").alias("side"))
-        rest = hot.filter("comp <> top").select("band", *names, other.alias("_i"), upto("n")).select(meet("_j", "_i"), *names, F.lit(1).cast("long").alias("side"))
-        return rows.join(large.select("band"), "band", "left_anti").withColumn("side", F.lit(2).cast("long")).unionByName(all_rows).unionByName(rest)
-
-    def exact(close: DataFrame) -> DataFrame:
-        """The pairs whose shingle sets are similar enough."""
-        asked = common.written(spark, close.select(F.col("a").alias("node")).unionByName(close.select(F.col("b").alias("node"))).distinct(), "asked")
+
+    def own(asked: DataFrame) -> DataFrame:
         if asked.count() <= set_rows:
-            own = sets.join(F.broadcast(asked), "node", "left_semi").dropDuplicates(["node"])
-        else:
-            own = sets.dropDuplicates(["node"]).join(asked, "node", "left_semi")
-        own = common.written(spark, own, "sets")
-        both = close.join(own.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(own.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
-        shared = F.size(F.array_intersect("sa", "sb"))
-        return common.written(spark, both.filter(shared / (F.size("sa") + F.size("sb") - shared) >= similarity).select("a", "b"), "similar")
-
-    def decided(close: DataFrame) -> DataFrame:
-        close = common.written(spark, close, "close")
-        return close if sets is None else exact(close)
-
-    words = distinct.select("node", "words")
-    rows = distinct.select(F.explode(bands).alias("band"), "node", "s0", "s1")
-    large = common.written(spark, rows.groupBy("band").agg(F.count("*").alias("n")).filter(F.col("n") > bucket), "large")
-    hot = not large.isEmpty()
-    some = rows.filter(F.col("band") < 4 * FIRST_WORDS << 16)
-    tried = dealt(alone(some).select("band", "node", "s0", "s1") if hot else some).mapInArrow(first, "a long, b long")
-    tried = tried.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    both = tried.join(words.select(F.col("node").alias("a"), F.col("words").alias("wa")), "a").join(words.select(F.col("node").alias("b"), F.col("words").alias("wb")), "b")
-    apart = F.aggregate(F.zip_with("wa", "wb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, n: acc + n)
-    roots = graph.components(spark, decided(both.filter(apart <= whole_radius).select("a", "b")))
-    nodes = common.written(spark, distinct.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root"), "nodes")
-    names = ["node", "s0", "s1", "comp"]
-    rows = nodes.select(F.explode(bands).alias("band"), *names)
-    rows = crossed(rows, names) if hot else rows.withColumn("side", F.lit(2).cast("long"))
-    todo = common.written(spark, dealt(rows).mapInArrow(active, "node long").distinct(), "active")
-    each = [f"w{i}" for i in range(WORDS)]
-    names = ["node", *each, "comp", "lane"]
-    rows = nodes.join(todo, "node", "left_semi").select(F.explode(bands).alias("band"), "node", *[F.col("words")[i].alias(w) for i, w in enumerate(each)], "comp")
-    rows = rows.withColumn("lane", F.shiftright("band", 16))
-    rows = crossed(rows, names) if hot else rows.withColumn("side", F.lit(2).cast("long"))
-    left = dealt(rows).mapInArrow(second, "a long, b long").filter("a <> b")
-    return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(decided(left))
+            return sets.join(F.broadcast(asked), "node", "left_semi").dropDuplicates(["node"])
+        return sets.dropDuplicates(["node"]).join(asked, "node", "left_semi")
+
+    def verify(close: DataFrame) -> DataFrame:
+        return close if sets is None else bands.similar(spark, close, own, similarity)
+
+    nodes = distinct.select("node", "s0", "s1", F.col("words").alias("whole"))
+    return bands.links(spark, nodes, _scheme(similarity, 1.0 if sets is None else _WHOLE_SLACK), verify, bucket=bucket)
+
 
 
 def _similar(spark: SparkSession, docs: DataFrame, key: str, text: str, shingle: int, similarity: float) -> tuple[DataFrame, DataFrame]:
