@@ -8,8 +8,8 @@ under several owners is a widely copied example; one that a single owner has
 and that looks random is a live-looking credential, and its place is added as a
 ``live`` span beside the base ones.
 
-Scale: texts are scanned where they lie and never shuffled.  Candidate rows
-(16-byte hashes) are reduced to distinct (hash, owner, repository) before they
+Scale: texts are scanned where they lie and never shuffled; the work on a text is
+linear in its matches.  Candidate rows (16-byte hashes) are reduced to distinct (hash, owner, repository) before they
 are counted, so a value that a third of the rows repeat is one row per
 repository, spread over tasks; its join partition can be split at run time.
 
@@ -20,7 +20,7 @@ once; an empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cairn.llm import common
@@ -36,43 +36,43 @@ KINDS = ("assign", "access", "hex", "vendor", "live")
 #: Owners from which on a value counts as widely copied.
 COPIED_OWNERS = 2
 _PLACEHOLDER = "(?i)example|sample|dummy|changeme|placeholder|your|xxxx"
-_SPAN = "struct<start:int,kind:int,stop:int,vstart:int,value:string>"
+_LEAST = (ASSIGN_VALUE, 0, 0, 0)
 
 
-def _found(kind: int, pattern: str, value_group: int = 0, least: int = 0) -> Column:
-    """Spans of one kind: the pieces between matches give the matches' places."""
+def _found(kind: int, pattern: str, value_group: int = 0) -> Column:
+    """A kind's matches in order: each with the length of the text before it, its own, and its value's length and marks."""
     value, values = ("e.`2`", f", regexp_extract_all(text, r'{{0}}', {value_group})") if value_group else ("e.`1`", "")
     quoted = pattern.replace('"', r"\x22").replace("'", r"\x27")  # the same characters, for a raw SQL literal
     return F.expr(
-        f"""CASE WHEN text RLIKE r'{quoted}' THEN
-        aggregate(
-          arrays_zip(split(text, r'{quoted}', -1), regexp_extract_all(text, r'{quoted}', 0){values.replace("{0}", quoted)}),
-          named_struct('at', 0, 'out', cast(array() AS array<{_SPAN}>)),
-          (acc, e) -> CASE WHEN e.`1` IS NULL THEN acc ELSE named_struct(
-            'at', acc.at + length(e.`0`) + length(e.`1`),
-            'out', CASE WHEN length({value}) < {least} THEN acc.out ELSE array_append(acc.out, named_struct(
-              'start', acc.at + length(e.`0`), 'kind', {kind}, 'stop', acc.at + length(e.`0`) + length(e.`1`),
-              'vstart', acc.at + length(e.`0`) + length(e.`1`) - length({value}), 'value', {value})) END) END,
-          acc -> acc.out)
-        ELSE cast(array() AS array<{_SPAN}>) END"""
+        f"""CASE WHEN text RLIKE r'{quoted}' THEN transform(
+          filter(arrays_zip(split(text, r'{quoted}', -1), regexp_extract_all(text, r'{quoted}', 0){values.replace("{0}", quoted)}), e -> e.`1` IS NOT NULL),
+          e -> named_struct('gap', length(e.`0`), 'length', length(e.`1`), 'value', length({value}), 'hash', unhex(md5({value})),
+            'random', length({value}) >= 16 AND {value} RLIKE '[0-9]' AND {value} RLIKE '[A-Za-z]' AND NOT {value} RLIKE '{_PLACEHOLDER}' AND size(array_distinct(split({value}, ''))) >= 8)) END"""
     )
 
 
 def candidates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", owner: str = "source", repo: str = "doc_id") -> DataFrame:
-    """(row, doc_id, owner, repo, spans): every document's spans, with their values' hashes."""
+    """(row, doc_id, owner, repo, kinds): for each kind a document's matches, null where there are none."""
     base = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(owner).cast("string").alias("owner"), F.col(repo).cast("string").alias("repo"), common.text_or_empty(text).alias("text"))
-    spans = F.concat(_found(0, "(?i)" + ASSIGN, 2, ASSIGN_VALUE), _found(1, ACCESS), _found(2, HEX), _found(3, VENDOR))
-    small = F.expr(
-        f"""transform(spans, s -> named_struct('start', s.start, 'kind', s.kind, 'stop', s.stop, 'vstart', s.vstart, 'vstop', s.vstart + length(s.value),
-        'hash', unhex(md5(s.value)),
-        'random', length(s.value) >= 16 AND s.value RLIKE '[0-9]' AND s.value RLIKE '[A-Za-z]' AND NOT s.value RLIKE '{_PLACEHOLDER}' AND size(array_distinct(split(s.value, ''))) >= 8))"""
-    )
-    return base.select("doc_id", "owner", "repo", spans.alias("spans")).select(F.monotonically_increasing_id().alias("row"), "doc_id", "owner", "repo", small.alias("spans"))
+    kinds = F.array(_found(0, "(?i)" + ASSIGN, 2), _found(1, ACCESS), _found(2, HEX), _found(3, VENDOR))
+    return base.select("doc_id", "owner", "repo", kinds.alias("kinds")).select(F.monotonically_increasing_id().alias("row"), "doc_id", "owner", "repo", "kinds")
+
+
+def spans(found: DataFrame) -> DataFrame:
+    """(row, doc_id, owner, repo, kind, start, stop, vstart, hash, random): one row for each span long enough.
 
+    Places are running sums of lengths in a row's kind, so their cost grows
+    with the number of matches, however many a text has.
+    """
+    each = found.select("row", "doc_id", "owner", "repo", F.posexplode("kinds").alias("kind", "m")).select("row", "doc_id", "owner", "repo", "kind", F.posexplode("m").alias("place", "m"))
+    stop = F.sum(F.col("m.gap") + F.col("m.length")).over(Window.partitionBy("row", "kind").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)).cast("int")
+    least = F.element_at(F.array(*map(F.lit, _LEAST)), F.col("kind") + 1)
+    placed = each.withColumn("stop", stop).filter(F.col("m.value") >= least)
+    return placed.select("row", "doc_id", "owner", "repo", "kind", (F.col("stop") - F.col("m.length")).alias("start"), "stop", (F.col("stop") - F.col("m.value")).alias("vstart"), "m.hash", "m.random")
 
-def ownership(found: DataFrame) -> DataFrame:
-    """(hash, owners, repos): how many distinct owners and repositories hold each candidate value."""
-    each = found.select("owner", "repo", F.explode(F.array_distinct("spans.hash")).alias("hash"))
+
+def ownership(each: DataFrame) -> DataFrame:
+    """(hash, owners, repos): how many distinct owners and repositories hold each candidate value of ``spans``."""
     places = each.groupBy("hash", "owner", "repo").agg(F.lit(1).alias("one"))
     by_owner = places.groupBy("hash", "owner").agg(F.count("*").alias("repos"))
     return by_owner.groupBy("hash").agg(F.count("*").alias("owners"), F.sum("repos").alias("repos"))
@@ -80,36 +80,30 @@ def ownership(found: DataFrame) -> DataFrame:
 
 def _rendered(spans: str, kinds: str = "true") -> Column:
     names = ", ".join(f"'{k}'" for k in KINDS)
-    return F.expr(f"array_join(transform(array_sort(filter({spans}, s -> {kinds})), s -> concat(element_at(array({names}), s.kind + 1), ':', s.start, ':', s.stop)), ',')")
+    return F.expr(f"array_join(transform(filter({spans}, s -> {kinds}), s -> concat(element_at(array({names}), s.kind + 1), ':', s.start, ':', s.stop)), ',')")
 
 
 def scan(spark: SparkSession, docs: DataFrame, *, key: str = "doc_id", text: str = "text", owner: str = "source", repo: str = "doc_id", copied_owners: int = COPIED_OWNERS) -> DataFrame:
     """Per document: counts of the base kinds, digest of its base spans, all spans, and its live and copied candidates."""
     found = common.written(spark, candidates(docs, key=key, text=text, owner=owner, repo=repo), "candidates")
-    counts = common.written(spark, ownership(found), "ownership")
-    one = found.filter(F.size("spans") > 0).select("row", "doc_id", F.explode("spans").alias("s")).select("row", "doc_id", "s.*")
-    judged = one.join(counts, "hash", "left").select(
-        "row", "doc_id", "start", "kind", "stop", "vstart", "vstop",
+    each = common.written(spark, spans(found), "spans")
+    counts = common.written(spark, ownership(each), "ownership")
+    judged = each.join(counts, "hash", "left").select(
+        "row", "kind", "start", "stop", "vstart",
         (F.col("owners") >= copied_owners).alias("copied"),
         (F.col("random") & (F.col("owners") < copied_owners)).alias("live"),
     )
-    lists = judged.groupBy("row", "doc_id").agg(F.collect_list(F.struct("start", "kind", "stop", "vstart", "vstop", "copied", "live")).alias("all"))
-    plain = "named_struct('start', s.start, 'kind', s.kind, 'stop', s.stop)"
-    with_spans = lists.select(
-        "doc_id",
-        F.expr(f"transform(all, s -> {plain})").alias("found"),
-        F.expr(f"array_distinct(transform(filter(all, s -> s.live), s -> named_struct('start', s.vstart, 'kind', {len(KINDS) - 1}, 'stop', s.vstop)))").alias("live"),
-        F.expr("size(filter(all, s -> s.copied))").cast("long").alias("n_copied"),
-    )
-    empty = F.expr("cast(array() AS array<struct<start:int,kind:int,stop:int>>)")
-    without = found.filter(F.size("spans") == 0).select("doc_id", empty.alias("found"), empty.alias("live"), F.lit(0).cast("long").alias("n_copied"))
-    every = with_spans.unionByName(without).withColumn("every", F.concat("found", "live"))
-    count = lambda kind: F.expr(f"size(filter(found, s -> s.kind = {kind}))").cast("long")
-    return every.select(
-        "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
-        F.sha2(_rendered("found", "s.kind < 3"), 256).alias("base_sha256"), _rendered("every").alias("spans"),
-        F.size("live").cast("long").alias("n_live"), "n_copied",
+    live = judged.filter("live").select("row", F.lit(len(KINDS) - 1).alias("kind"), F.col("vstart").alias("start"), "stop", F.lit(False).alias("copied")).distinct()
+    every = judged.select("row", "kind", "start", "stop", "copied").unionByName(live)
+    count = lambda kind: F.count_if(F.col("kind") == kind)
+    lists = every.groupBy("row").agg(
+        F.array_sort(F.collect_list(F.struct("start", "kind", "stop"))).alias("every"),
+        count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), count(len(KINDS) - 1).alias("n_live"), F.count_if("copied").alias("n_copied"),
     )
+    zero = lambda name: F.coalesce(name, F.lit(0)).cast("long").alias(name)
+    every = F.coalesce("every", F.expr("cast(array() AS array<struct<start:int,kind:int,stop:int>>)")).alias("every")
+    whole = found.select("row", "doc_id").join(lists, "row", "left").select("doc_id", every, *map(zero, ("n_assign", "n_access", "n_hex", "n_live", "n_copied")))
+    return whole.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(_rendered("every", "s.kind < 3"), 256).alias("base_sha256"), _rendered("every").alias("spans"), "n_live", "n_copied")
 
 
 def oracle(copied_owners: int = COPIED_OWNERS) -> str:
