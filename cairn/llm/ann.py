@@ -15,16 +15,17 @@ at as many of the lists nearest to it as ``PROBE_RECALL`` needs, which is
 measured once on the sample by brute force.  Data without any structure need
 most of the lists; clustered data need few.
 
-Scale: centres and codebooks are fitted on at most ``FIT_ROWS`` vectors, those
-with the smallest hashes (a bounded, documented sample); every vector is
-indexed.  Lists are dealt to parts of about ``PART_ROWS`` rows, a larger list to
+Scale: codebooks are fitted on at most ``FIT_ROWS`` vectors, those with the
+smallest hashes, and centres on ``LIST_ROWS`` for each list if that is more,
+32,768 at most (a bounded, documented sample); every vector is indexed.  Lists are dealt to parts of about ``PART_ROWS`` rows, a larger list to
 several, so a third of all rows in one list is no hot task.  Queries never pass
 the driver: each is sent to the parts of its lists, and meets their rows there;
 k rows for each query and part are shuffled, and ranked with a group limit.
 
 Defined results: null or zero vectors, those with null or non-finite components
 or another length than the most usual one, and rows without an id, take no part;
-equal scores go to the smaller id; repeated rows compete as rows, and each row whose
+equal scores go to the smaller id, and scores that over- and underflow at once
+(not a number) come last; repeated rows compete as rows, and each row whose
 id makes it a query is one of its own (a repeated id has its k rows as often as
 it is there, each copy being the other's neighbour); extra columns are ignored;
 an empty table gives an empty result.
@@ -46,7 +47,8 @@ BOOKS, WORDS, BEAM = 16, 256, 4
 FIT_ROWS = 8_000
 #: Share of the sample's true neighbours that must lie in the probed lists.
 PROBE_RECALL = 0.98
-MOST_LISTS = 4_096
+#: Lists grow with the square root of the rows up to this; the sample has at least ``LIST_ROWS`` rows for each.
+MOST_LISTS, LIST_ROWS = 4_096, 8
 PART_ROWS = 8_192
 #: Rows of a query that are scored exactly: so many, or that share of the rows in its lists if it is more.
 RERANK, RERANK_SHARE = 1_000, 0.02
@@ -135,14 +137,23 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
+    """Directions; the largest component goes first, so that no square under- or overflows."""
     x = x.astype(np.float64)
+    x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def probes_needed(x: np.ndarray, centres: np.ndarray, k: int, recall: float, seed: int = 11) -> int:
-    """The fewest lists whose rows hold that share of the true neighbours of 300 rows of ``x`` inside ``x``."""
+def _norms(x: np.ndarray) -> np.ndarray:
+    x = x.astype(np.float64)
+    largest = np.abs(x).max(axis=1)
+    with np.errstate(over="ignore"):
+        return largest * np.linalg.norm(x / largest[:, None], axis=1)
+
+
+def probes_needed(x: np.ndarray, norms: np.ndarray, centres: np.ndarray, k: int, recall: float, seed: int = 11) -> int:
+    """The fewest lists whose rows hold that share of the true neighbours of 300 rows of the sample in it (directions ``x``): more where lengths vary, as long rows are near in any list."""
     some = np.random.default_rng(seed).choice(len(x), min(300, len(x)), replace=False)
-    scores = x[some] @ x.T
+    scores = (x[some] @ x.T).astype(np.float64) * np.minimum(norms, 1e300)
     scores[np.arange(len(some)), some] = -np.inf
     k = min(k, len(x) - 1)
     if k < 1:
@@ -158,14 +169,16 @@ def index(spark: SparkSession, vectors: DataFrame, *, key: str = "vec_id", vecto
     """Every usable vector with its list, codes and norm, written once; None if there is none."""
     common.prepare(spark)
     rows = usable(vectors, key, vector)
-    sample = rows.orderBy(F.xxhash64("vec_id", "v"), "vec_id").limit(fit_rows).collect()
-    if not sample:
+    wanted = int(min(MOST_LISTS, rows.count() ** 0.5))
+    sample = rows.orderBy(F.xxhash64("vec_id", "v"), "vec_id").limit(max(fit_rows, LIST_ROWS * wanted)).select("v").toArrow().column("v").combine_chunks()
+    if not len(sample):
         return None
-    x = _unit(np.array([r["v"] for r in sample]))
-    quantiser = Quantiser.fit(x)
-    n_lists = int(max(1, min(MOST_LISTS, len(x) // 8, rows.count() ** 0.5)))
+    drawn = sample.flatten().to_numpy().reshape(len(sample), -1)
+    x, norms = _unit(drawn), _norms(drawn)
+    quantiser = Quantiser.fit(x[:fit_rows])
+    n_lists = max(1, min(wanted, len(x) // LIST_ROWS))
     centres = centres_of(x.astype(np.float32), n_lists, 8, np.random.default_rng(5))
-    probes = probes_needed(x.astype(np.float32), centres, k, probe_recall)
+    probes = probes_needed(x.astype(np.float32), norms, centres, k, probe_recall)
     shared, dim = spark.sparkContext.broadcast((quantiser, centres)), x.shape[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,7 +190,7 @@ def index(spark: SparkSession, vectors: DataFrame, *, key: str = "vec_id", vecto
                 u = _unit(v)
                 codes = pa.array([c.tobytes() for c in quant.encode(u)], pa.binary())
                 lists = nearest_centre(u.astype(np.float32), means).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(lists), codes, pa.array(np.linalg.norm(v.astype(np.float64), axis=1))], ["rid", "vec_id", "v", "list", "codes", "norm"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(lists), codes, pa.array(_norms(v))], ["rid", "vec_id", "v", "list", "codes", "norm"])
 
     kind = rows.schema["v"].dataType.simpleString()
     made = rows.select(F.monotonically_increasing_id().alias("rid"), "vec_id", "v").mapInArrow(run, f"rid long, vec_id long, v {kind}, list int, codes binary, norm double")
@@ -211,25 +224,28 @@ class _Part:
         order = np.argsort(vec_id, kind="stable")  # equal scores: smaller ids first
         self.rid, self.vec_id, self.lists, self.codes, self.vectors = rid[order], vec_id[order], lists[order], codes[order], vectors[order]
         length = np.linalg.norm(quantiser.decode(self.codes), axis=1)
-        self.factor = (norms[order] / np.maximum(length, 1e-12)).astype(np.float32)  # the stored norm over the approximation's
+        self.factor = norms[order] / np.maximum(length, 1e-12)  # the stored norm over the approximation's
         self.quantiser = quantiser
 
     def search(self, rid: int, query: np.ndarray, probed: np.ndarray, k: int, rerank: float) -> tuple[np.ndarray, np.ndarray]:
         """Ids and exact scores of the best k in the probed lists, of the best by their codes: the share ``rerank`` of their rows, 2 k at least."""
         books = len(self.quantiser.codebooks)
-        tables = self.quantiser.codebooks @ query.astype(np.float32)
+        tables = self.quantiser.codebooks @ _unit(query[None, :])[0].astype(np.float32)  # the query's length changes no order
         some = np.flatnonzero(probed[self.lists] & (self.rid != rid))
         take = max(2 * k, int(rerank * len(some)))
         codes = self.codes[some]
         guess = tables[0][codes[:, 0]]
         for b in range(1, books):
             guess += tables[b][codes[:, b]]
-        guess *= self.factor[some]
+        with np.errstate(over="ignore", invalid="ignore"):
+            guess = guess * self.factor[some]
+        guess[~np.isfinite(guess)] = np.inf  # beyond doubles: scored exactly
         if take < len(some):
             edge = np.partition(guess, len(guess) - take)[len(guess) - take]
             above = np.flatnonzero(guess > edge)
             some = some[np.concatenate((above, np.flatnonzero(guess == edge)[: take - len(above)]))]  # ties at the edge: smaller ids
-        exact = np.einsum("nd,d->n", self.vectors[some].astype(np.float64), query)
+        with np.errstate(over="ignore", invalid="ignore"):
+            exact = np.einsum("nd,d->n", self.vectors[some].astype(np.float64), query)
         best = np.lexsort((self.vec_id[some], -exact))[:k]
         return self.vec_id[some[best]], exact[best]
 
@@ -300,7 +316,7 @@ def search(spark: SparkSession, found: Index | None, queries: DataFrame, *, k: i
     asked = queries.select("rid", "vec_id", F.col("v").cast(kind).alias("v")).mapInArrow(to_parts, f"part int, query int, rid long, vec_id long, v {kind}, list long, codes binary, norm double")
     dealt = rows.unionByName(asked).repartitionById(parts, "part").sortWithinPartitions("part", "query")  # no two parts share a task by chance
     best = dealt.mapInArrow(scan, "rid long, query_id long, vec_id long, score double")
-    w = Window.partitionBy("rid").orderBy(F.desc("score"), "vec_id")
+    w = Window.partitionBy("rid").orderBy(F.when(~F.isnan("score"), F.col("score")).desc_nulls_last(), "vec_id")
     return best.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

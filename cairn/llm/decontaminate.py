@@ -5,7 +5,9 @@ seed (``min_match`` running words) are tiled: the longest match of words not
 yet marked, in either text, is marked, and again, until none of at least
 ``min_match`` words is left.  Seeds and their extension come from running
 Karp-Rabin hashes, checked word by word.  The marked share of the item's words
-is its coverage; tiles may lie in any order, so reordered passages count.
+is its coverage; tiles may lie in any order, so reordered passages count.  The
+pairs of equal places are counted before they are listed; where texts are so
+repetitive that they would not fit, the same tiles are found length by length.
 
 Words are lower-cased letter-and-digit runs, and single characters of scripts
 written without spaces; punctuation and layout don't matter.  An item of fewer
@@ -41,6 +43,8 @@ from cairn.llm import common
 MIN_MATCH = 5
 COVERAGE = 0.6
 BLOCK_BYTES = 16 << 20
+#: Pairs of equal places that are listed for a document and an item; with more, tiles are found length by length.
+MOST_PAIRS = 200_000
 # Blocks of scripts written without spaces: Thai to Myanmar, Khmer, kana, ideographs.
 _DENSE = r"\u0e00-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff"
 _WORD = re.compile(rf"[^\W_{_DENSE}]+|[{_DENSE}]")
@@ -65,13 +69,17 @@ def running_hashes(ids: np.ndarray, length: int) -> np.ndarray:
     return out
 
 
-def matches(doc: np.ndarray, item: np.ndarray, length: int, doc_hash: np.ndarray, item_hash: np.ndarray) -> list[tuple[int, int, int]]:
-    """Maximal common runs (length, doc place, item place) of at least ``length`` words."""
+def _places(doc_hash: np.ndarray, item_hash: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The item's places in order of their hashes, and for each doc hash where its equal ones begin and how many there are."""
     order = np.argsort(item_hash, kind="stable")
     low = np.searchsorted(item_hash[order], doc_hash, "left")
-    high = np.searchsorted(item_hash[order], doc_hash, "right")
-    count = high - low
-    at = np.repeat(np.arange(len(doc_hash)), count)
+    return order, low, np.searchsorted(item_hash[order], doc_hash, "right") - low
+
+
+def matches(doc: np.ndarray, item: np.ndarray, length: int, places: tuple[np.ndarray, np.ndarray, np.ndarray]) -> list[tuple[int, int, int]]:
+    """Maximal common runs (length, doc place, item place) of at least ``length`` words, from the pairs of equal ``_places``."""
+    order, low, count = places
+    at = np.repeat(np.arange(len(low)), count)
     if not len(at):
         return []
     ends = np.cumsum(count)
@@ -96,7 +104,10 @@ def tile(doc_words: np.ndarray, item_words: np.ndarray, length: int, doc_hash: n
         doc_hash = running_hashes(doc_words, length)
     if item_hash is None:
         item_hash = running_hashes(item_words, length)
-    heap = [(-n, d, i) for n, d, i in matches(doc_words, item_words, length, doc_hash, item_hash)]
+    places = _places(doc_hash, item_hash)
+    if places[2].sum() > MOST_PAIRS:
+        return _tile_by_length(doc_words, item_words, length, np.flatnonzero(places[2]))
+    heap = [(-n, d, i) for n, d, i in matches(doc_words, item_words, length, places)]
     heapq.heapify(heap)
     doc_marked, item_marked = np.zeros(len(doc_words), dtype=bool), np.zeros(len(item_words), dtype=bool)
     tiles = []
@@ -117,6 +128,76 @@ def tile(doc_words: np.ndarray, item_words: np.ndarray, length: int, doc_hash: n
     return tiles
 
 
+class _Runs:
+    """Hashes of a text's runs of any length: sums of places' powers, shifted to the run's beginning (mod 2**64)."""
+
+    def __init__(self, ids: np.ndarray):
+        mixed = (ids.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
+        mixed ^= mixed >> np.uint64(32)
+        inverse = np.uint64(pow(int(_MULT), -1, 2**64))
+        with np.errstate(over="ignore"):
+            power = np.concatenate(([np.uint64(1)], np.cumprod(np.full(len(ids), _MULT))))
+            self.sums = np.concatenate(([np.uint64(0)], np.cumsum(mixed * power[:-1], dtype=np.uint64)))
+            self.shift = np.concatenate(([np.uint64(1)], np.cumprod(np.full(len(ids), inverse))))
+        self.marked = np.zeros(len(ids), dtype=bool)
+
+    def free(self, places: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Those places where an unmarked run of that length begins, and the runs' hashes."""
+        places = places[places + length < len(self.sums)]
+        taken = np.concatenate(([0], np.cumsum(self.marked)))
+        places = places[taken[places + length] == taken[places]]
+        with np.errstate(over="ignore"):
+            return places, (self.sums[places + length] - self.sums[places]) * self.shift[places]
+
+
+def _tile_by_length(doc_words: np.ndarray, item_words: np.ndarray, length: int, spots: np.ndarray) -> list[tuple[int, int, int]]:
+    """The tiles of ``tile`` for repetitive texts, in memory proportional to the texts: no pairs of places are listed.
+
+    The length of the longest unmarked match is found by bisection, all tiles
+    of just that length are marked from left to right, and again with what is
+    left.  Lengths of tiles differ and sum to the item's at most, so rounds are few.
+    """
+    doc, item, tiles = _Runs(doc_words), _Runs(item_words), []
+    every, most = np.arange(len(item_words)), len(item_words)
+
+    def shared(n: int):
+        d, dh = doc.free(spots, n)
+        i, ih = item.free(every, n)
+        order, low, count = _places(dh, ih)
+        return d[count > 0], low[count > 0], i[order], ih[order]
+
+    while most >= length:
+        least, above = length - 1, most + 1  # a match of ``least`` words exists (or none is wanted), one of ``above`` doesn't
+        while above - least > 1:
+            middle = (least + above) // 2
+            least, above = (middle, above) if len(shared(middle)[0]) else (least, middle)
+        if least < length:
+            break
+        d, low, i, ih = shared(least)
+        begin = np.flatnonzero(np.concatenate(([True], ih[1:] != ih[:-1])))
+        left = {b: places.tolist()[::-1] for b, places in zip(begin.tolist(), np.split(i, begin[1:]))}  # the first place is the last of its list
+        free_from = 0
+        for at, group in zip(d.tolist(), low.tolist()):
+            if at < free_from:
+                continue
+            places, skipped = left[group], []
+            while places:
+                to = places.pop()
+                if item.marked[to : to + least].any():
+                    continue
+                if np.array_equal(doc_words[at : at + least], item_words[to : to + least]):
+                    doc.marked[at : at + least] = item.marked[to : to + least] = True
+                    tiles.append((at, to, least))
+                    free_from = at + least
+                    break
+                skipped.append(to)  # equal hashes of different words
+            places += skipped[::-1]
+            if item.marked.all():
+                return tiles
+        most = least - 1
+    return tiles
+
+
 class _Block:
     """Some benchmark items, ready to be met by documents."""
 
