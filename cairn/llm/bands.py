@@ -4,17 +4,22 @@
 signature as an array.  A node has a key in each of its lanes (``bands``); nodes
 that share one are candidates.  A ``Scheme`` says how far sketches may be apart,
 whether whole signatures allow a pair, and in which lane a pair meets first;
-``verify`` has the last word on every pair.
-
-Two rounds.  The first one tries about a pair for each row of a band in the first
-lanes, which connects most of what belongs together.  The second one looks at
-all pairs of a band that the links found do not connect, so a pair that fails
-never stands for another one: rows with such a partner by the sketch are dealt
-again with their whole signatures, and only pairs that those allow leave the
-task, each from the first lane that it shares.
+the exact similarity of their sets has the last word on every pair.
+
+The first round tries about a pair for each row of a band in the first lanes,
+which connects most of what belongs together.  What is left open are pairs that
+share a band and that no link connects; nodes with such a partner by the sketch
+are dealt again with their whole signatures.  Middle rounds try one pair for each
+of them, with its likeliest partner in another component, as long as that finds
+links.  The last round tries all open pairs that the whole signatures allow, each
+from the first lane that it shares, so a pair that fails never stands for
+another one.  Its pairs may be as many as a template's texts squared, so they
+are never rows: a node has a list of its partners, and meets their sets in the
+task of the cluster that these pairs connect, where they are compared exactly.
+Only clusters whose sets exceed ``CLUSTER`` hashes are compared pair by pair.
 
 Crowded bands, of more than ``bucket`` rows: in the first round they go in
-blocks, each by itself.  In the second one their keys get longer: each row goes
+blocks, each by itself.  Later their keys get longer: each row goes
 to the band's parts by its ``finer`` keys, a fixed number of copies, and a part
 whose rows are all connected is left out, so neither chance meetings in a band
 nor groups of near copies grow with the square.  Only a part that is still
@@ -39,6 +44,9 @@ from cairn.llm import common, graph
 BUCKET = 4096
 #: Rows of a group up to which all pairs are looked at, lag by lag.
 _SMALL = 48
+MIDDLE_ROUNDS = 4
+#: Hashes (of 8 bytes) of all sets of a cluster that one task compares.
+CLUSTER = 4_000_000
 PIVOTS = np.random.default_rng(20240607).integers(0, 2**64, size=16, dtype=np.uint64)
 
 
@@ -55,6 +63,7 @@ class Scheme:
     first_lanes: int
     sketch_radius: int
     plausible: Callable[[np.ndarray, np.ndarray], np.ndarray]
+    likeness: Callable[[np.ndarray, np.ndarray], np.ndarray]
     first_shared: Callable[[np.ndarray, np.ndarray], np.ndarray]
 
 
@@ -170,9 +179,16 @@ def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
-def links(spark: SparkSession, nodes: DataFrame, scheme: Scheme, verify: Callable[[DataFrame], DataFrame], *, bucket: int = BUCKET) -> DataFrame:
-    """Links (a, b) of ``node`` that connect whatever shares a band, is allowed by ``scheme`` and stands ``verify``."""
-    radius, plausible, first_shared = scheme.sketch_radius, scheme.plausible, scheme.first_shared
+def links(spark: SparkSession, nodes: DataFrame, scheme: Scheme, sets: Callable[[DataFrame], DataFrame] | None, similarity: float, *, bucket: int = BUCKET, cluster: int = CLUSTER) -> DataFrame:
+    """Links (a, b) of ``node`` that connect whatever shares a band, is allowed by ``scheme`` and has sets of that Jaccard similarity.
+
+    ``sets``: from a table of nodes to (node, shingles), one row for each of them; without it ``scheme`` decides.
+    """
+
+    def verify(close: DataFrame) -> DataFrame:
+        return close if sets is None else similar(spark, close, sets, similarity)
+
+    radius, plausible, likeness, first_shared = scheme.sketch_radius, scheme.plausible, scheme.likeness, scheme.first_shared
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
@@ -205,7 +221,50 @@ def links(spark: SparkSession, nodes: DataFrame, scheme: Scheme, verify: Callabl
                 hit[x] = hit[y] = True
             yield pa.RecordBatch.from_arrays([pa.array(np.unique(node[hit]))], ["node"])
 
-    def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def likeliest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """For each row of a piece its likeliest partner in another component."""
+        for band, node, s0, s1, comp, side, lane, whole in _by_group(batches):
+            most, partner = np.full(len(node), np.iinfo(np.int64).min), np.zeros(len(node), dtype=np.int64)
+            for x, y in open_pairs(band, side, comp, np.stack((s0, s1), axis=1).view(np.uint64)):
+                for i in range(0, len(x), 1 << 14):
+                    a, b = x[i : i + (1 << 14)], y[i : i + (1 << 14)]
+                    ok = plausible(whole[a], whole[b])
+                    a, b = np.concatenate((a[ok], b[ok])), np.concatenate((b[ok], a[ok]))
+                    like = likeness(whole[a], whole[b])
+                    order = np.argsort(like, kind="stable")  # the last of a row's writes is its likeliest one
+                    order = order[like[order] > most[a[order]]]
+                    most[a[order]], partner[a[order]] = like[order], node[b[order]]
+            found = np.flatnonzero(most > np.iinfo(np.int64).min)
+            yield pa.RecordBatch.from_arrays([pa.array(node[found]), pa.array(partner[found]), pa.array(most[found])], ["a", "b", "like"])
+
+    def partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """For each row with open pairs its partners with larger places in the piece, and the least place that these pairs reach."""
+        for band, node, s0, s1, comp, side, lane, whole in _by_group(batches):
+            x, y = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+            for a, b in open_pairs(band, side, comp, np.stack((s0, s1), axis=1).view(np.uint64)):
+                for i in range(0, len(a), 1 << 14):
+                    p, q = a[i : i + (1 << 14)], b[i : i + (1 << 14)]
+                    ok = plausible(whole[p], whole[q])
+                    ok[ok] = first_shared(whole[p[ok]], whole[q[ok]]) == lane[p[ok]]
+                    ok &= node[p] != node[q]
+                    x.append(p[ok])
+                    y.append(q[ok])
+            x, y = np.concatenate(x), np.concatenate(y)
+            source, target = np.concatenate((x, y)), np.concatenate((y, x))
+            order = np.argsort(source, kind="stable")
+            source, target = source[order], target[order]
+            begin = np.flatnonzero(np.diff(source, prepend=-1))
+            least, own = np.arange(len(node)), source[begin]
+            while len(own):
+                now = np.minimum(least[own], np.minimum.reduceat(least[target], begin))
+                if (now == least[own]).all():
+                    break
+                least[own] = now
+            upper = target > source
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(np.add.reduceat(upper, begin, dtype=np.int64) if len(own) else []))).astype(np.int32)), pa.array(node[target[upper]]))
+            yield pa.RecordBatch.from_arrays([pa.array(node[own]), pa.array(node[least[own]]), lists], ["a", "root", "partners"])
+
+    def every_pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for band, node, s0, s1, comp, side, lane, whole in _by_group(batches):
             for x, y in open_pairs(band, side, comp, np.stack((s0, s1), axis=1).view(np.uint64)):
                 for i in range(0, len(x), 1 << 14):
@@ -226,7 +285,7 @@ def links(spark: SparkSession, nodes: DataFrame, scheme: Scheme, verify: Callabl
         return rows.join(large, "band", "left").withColumn("band", F.when(F.col("n").isNull(), F.col("band")).otherwise(block)).drop("n")
 
     def met(source: DataFrame, names: list[str]) -> DataFrame:
-        """(band, *names, side) for the second round: the rows of every band that may hold open pairs."""
+        """(band, *names, side) for the later rounds: the rows of every band that may hold open pairs."""
         rows = source.select(F.posexplode(scheme.bands).alias("lane", "band"), *dict.fromkeys([*[n for n in names if n != "lane"], *(["whole"] if hot else [])]))
         both = F.lit(2).cast("long").alias("side")
         if not hot:
@@ -256,12 +315,109 @@ def links(spark: SparkSession, nodes: DataFrame, scheme: Scheme, verify: Callabl
     tried = tried.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     both = tried.join(whole.select(F.col("node").alias("a"), F.col("whole").alias("wa")), "a").join(whole.select(F.col("node").alias("b"), F.col("whole").alias("wb")), "b")
     roots = graph.components(spark, verify(common.written(spark, both.select("a", "b", "wa", "wb").mapInArrow(allowed, "a long, b long"), "close")))
-    placed = common.written(spark, nodes.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root"), "nodes")
-    todo = common.written(spark, dealt(met(placed, ["node", "s0", "s1", "comp"])).mapInArrow(active, "node long").distinct(), "active")
-    left = met(placed.join(todo, "node", "left_semi"), ["node", "s0", "s1", "comp", "lane", "whole"])
-    left = dealt(left.select("band", "node", "s0", "s1", "comp", "side", "lane", "whole")).mapInArrow(second, "a long, b long")
-    left = left.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(verify(common.written(spark, left, "close")))
+    def placed(some: DataFrame) -> DataFrame:
+        return common.written(spark, some.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root"), "nodes")
+
+    def one_way(pairs: DataFrame) -> DataFrame:
+        return pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    def left(some: DataFrame) -> DataFrame:
+        return dealt(met(some, ["node", "s0", "s1", "comp", "lane", "whole"]).select("band", "node", "s0", "s1", "comp", "side", "lane", "whole"))
+
+    as_links = lambda: roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    todo = placed(nodes)
+    todo = common.written(spark, todo.drop("comp").join(dealt(met(todo, ["node", "s0", "s1", "comp"])).mapInArrow(active, "node long").distinct(), "node", "left_semi"), "active")
+    if todo.isEmpty():
+        return as_links()
+    for _ in range(MIDDLE_ROUNDS):  # open pairs only become fewer: no other node gets one
+        one = left(placed(todo)).mapInArrow(likeliest, "a long, b long, like long").groupBy("a").agg(F.max_by("b", F.struct("like", "b")).alias("b"))
+        more = verify(common.written(spark, one_way(one), "close"))
+        if more.isEmpty():
+            break
+        roots = graph.components(spark, as_links().unionByName(more))
+    rest = left(placed(todo))
+    if sets is None:
+        return as_links().unionByName(common.written(spark, one_way(rest.mapInArrow(every_pair, "a long, b long")), "close"))
+    lists = common.written(spark, rest.mapInArrow(partners, "a long, root long, partners array<long>"), "partners")
+    return as_links().unionByName(_compared(spark, lists, sets, similarity, cluster))
+
+
+def _compared(spark: SparkSession, lists: DataFrame, sets: Callable[[DataFrame], DataFrame], similarity: float, cluster: int) -> DataFrame:
+    """A spanning forest of the similar pairs among ``lists`` (a, root, partners); each cluster of pairs meets in one task."""
+    roots = graph.components(spark, lists.select("a", F.col("root").alias("b")))
+    in_cluster = lambda rows, key: rows.join(roots.withColumnRenamed("node", key), key, "left").withColumn("cluster", F.coalesce("root", key)).drop("root")
+    own = common.written(spark, in_cluster(sets(lists.select(F.col("a").alias("node")).distinct()), "node"), "sets")
+    large = common.written(spark, own.groupBy("cluster").agg(F.sum(F.size("shingles")).alias("n")).filter(F.col("n") > cluster).select("cluster"), "large-clusters")
+    asked = in_cluster(lists.filter(F.size("partners") > 0).select("a", "partners"), "a")
+    here = own.select("cluster", F.lit(0).alias("kind"), "node", F.col("shingles").alias("items")).unionByName(asked.select("cluster", F.lit(1).alias("kind"), F.col("a").alias("node"), F.col("partners").alias("items")))
+    here = here.join(large, "cluster", "left_anti").repartition("cluster").sortWithinPartitions("cluster", "kind")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in (*batches, None):
+            ready, held = _whole_clusters(held, batch)
+            if ready is not None:
+                yield _pairs(*_similar_in(ready, similarity))
+
+    found = here.mapInArrow(compare, "a long, b long")
+    if large.isEmpty():
+        return common.written(spark, found, "similar")
+    apart = asked.join(large, "cluster", "left_semi").select("a", F.explode("partners").alias("b"))
+    return common.written(spark, found, "similar").unionByName(similar(spark, apart, lambda nodes: own.select("node", "shingles").join(nodes, "node", "left_semi"), similarity))
+
+
+def _whole_clusters(held: list[pa.RecordBatch], batch: pa.RecordBatch | None) -> tuple[pa.Table | None, list[pa.RecordBatch]]:
+    """Batches in order of their first column: the rows of whole clusters so far, and those that may go on in the next batch."""
+    if batch is None:
+        return (pa.Table.from_batches(held) if held else None), []
+    if not batch.num_rows:
+        return None, held
+    key = batch.column(0).to_numpy()
+    changed = np.flatnonzero(key != key[-1])
+    cut = int(changed[-1]) + 1 if len(changed) else 0
+    if not cut and held and held[-1].column(0)[-1].as_py() != key[0]:
+        return pa.Table.from_batches(held), [batch]
+    if not cut:
+        return None, [*held, batch]
+    return pa.Table.from_batches([*held, batch.slice(0, cut)]), [batch.slice(cut)]
+
+
+def _similar_in(table: pa.Table, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the similar pairs that a piece lists: rows of kind 0 are sets, those of kind 1 lists of partners."""
+    kind, node = table.column("kind").to_numpy(), table.column("node").to_numpy()
+    lists = table.column("items").combine_chunks()
+    ends, flat = np.cumsum(np.concatenate(([0], lists.value_lengths().to_numpy()))), lists.flatten().to_numpy()
+    set_rows = np.flatnonzero(kind == 0)
+    order = np.argsort(node[set_rows], kind="stable")
+    names, set_rows = node[set_rows][order], set_rows[order]
+    size = ends[set_rows + 1] - ends[set_rows]
+    place = np.zeros(len(flat), dtype=np.int64)
+    inside = np.repeat(kind == 0, np.diff(ends))
+    values, place[inside] = np.unique(flat[inside], return_inverse=True)
+    mark, parent, links = np.zeros(len(values), dtype=bool), list(range(len(names))), []
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    for row in np.flatnonzero(kind == 1).tolist():
+        a, b = int(np.searchsorted(names, node[row])), np.searchsorted(names, flat[ends[row] : ends[row + 1]])
+        own = place[ends[set_rows[a]] : ends[set_rows[a] + 1]]
+        mark[own] = True
+        for i in range(0, len(b), 256):
+            some = b[i : i + 256]
+            begin = np.cumsum(np.concatenate(([0], size[some])))
+            at = np.arange(begin[-1]) + np.repeat(ends[set_rows[some]] - begin[:-1], size[some])
+            shared = np.add.reduceat(mark[place[at]], begin[:-1], dtype=np.int64)
+            for c in some[shared / (size[a] + size[some] - shared) >= similarity].tolist():
+                ra, rc = find(a), find(c)
+                if ra != rc:
+                    parent[rc] = ra
+                    links.append((a, c))
+        mark[own] = False
+    pairs = np.array(links, dtype=np.int64).reshape(-1, 2)
+    return names[pairs[:, 0]], names[pairs[:, 1]]
 
 
 def similar(spark: SparkSession, close: DataFrame, sets: Callable[[DataFrame], DataFrame], similarity: float) -> DataFrame:

@@ -124,13 +124,16 @@ def scheme(similarity: float = SIMILARITY, miss: float = MISS) -> bands.Scheme:
         out[left] = True
         return out
 
+    def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return (a == b).sum(axis=1, dtype=np.int64)
+
     def first_shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return (a.reshape(-1, BANDS, ROWS) == b.reshape(-1, BANDS, ROWS)).all(axis=2).argmax(axis=1)
 
     def keys(count: int, width: int):
         return F.array(*[F.xxhash64(F.lit(i), *[F.col("whole")[i * width + j] for j in range(width)]) for i in range(count)])
 
-    return bands.Scheme(keys(BANDS, ROWS), keys(_VALUES // _FINER, _FINER), FIRST_BANDS, most_apart(128, similarity, miss), plausible, first_shared)
+    return bands.Scheme(keys(BANDS, ROWS), keys(_VALUES // _FINER, _FINER), FIRST_BANDS, most_apart(128, similarity, miss), plausible, likeness, first_shared)
 
 
 def _sets(texts: DataFrame, shingle: int, values: bool) -> DataFrame:
@@ -175,7 +178,7 @@ def groups(
         found = texts.join(wanted, [F.col("doc_id").eqNullSafe(F.col("_doc")), F.col("h") == F.col("_h")], "left_semi")
         return _sets(found, shingle, False).select("node", "shingles").dropDuplicates(["node"])
 
-    found = bands.links(spark, nodes.select("node", "s0", "s1", "whole"), scheme(similarity, miss), lambda close: bands.similar(spark, close, sets, similarity), bucket=bucket)
+    found = bands.links(spark, nodes.select("node", "s0", "s1", "whole"), scheme(similarity, miss), sets, similarity, bucket=bucket)
     named = graph.components(spark, found)
     least = common.written(spark, _least(nodes.select("node", "first"), named), "components")
     out = rows.join(least, "node", "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))

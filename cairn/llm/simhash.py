@@ -274,10 +274,13 @@ def _scheme(similarity: float, whole_slack: float) -> bands.Scheme:
     def plausible(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return np.bitwise_count((a ^ b).view(np.uint64)).sum(axis=1) <= whole_radius
 
+    def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return -np.bitwise_count((a ^ b).view(np.uint64)).sum(axis=1, dtype=np.int64)
+
     def first_shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return ((a ^ b).view(np.uint16) == 0).argmax(axis=1)
 
-    return bands.Scheme(keys((0, 16, 32, 48), 16), keys((8, 40), 8), 4 * FIRST_WORDS, wide_radius(similarity, 128, _SLACK), plausible, first_shared)
+    return bands.Scheme(keys((0, 16, 32, 48), 16), keys((8, 40), 8), 4 * FIRST_WORDS, wide_radius(similarity, 128, _SLACK), plausible, likeness, first_shared)
 
 
 def similar_links(spark: SparkSession, distinct: DataFrame, *, similarity: float = SIMILARITY, bucket: int = BUCKET, sets: DataFrame | None = None, set_rows: int = 1_000_000) -> DataFrame:
@@ -293,11 +296,8 @@ def similar_links(spark: SparkSession, distinct: DataFrame, *, similarity: float
             return sets.join(F.broadcast(asked), "node", "left_semi").dropDuplicates(["node"])
         return sets.dropDuplicates(["node"]).join(asked, "node", "left_semi")
 
-    def verify(close: DataFrame) -> DataFrame:
-        return close if sets is None else bands.similar(spark, close, own, similarity)
-
     nodes = distinct.select("node", "s0", "s1", F.col("words").alias("whole"))
-    return bands.links(spark, nodes, _scheme(similarity, 1.0 if sets is None else _WHOLE_SLACK), verify, bucket=bucket)
+    return bands.links(spark, nodes, _scheme(similarity, 1.0 if sets is None else _WHOLE_SLACK), own if sets is not None else None, similarity, bucket=bucket)
 
 
 

@@ -175,7 +175,7 @@ def shuffled_rows(spark, count, bucket):
     def plausible(a, b):
         return np.zeros(len(a), dtype=bool)
 
-    scheme = bands.Scheme(keys(1, 1), F.expr("transform(slice(whole, 2, 3), (x, i) -> xxhash64(i, x & 63))"), 1, 128, plausible, lambda a, b: np.zeros(len(a), dtype=np.int64))
+    scheme = bands.Scheme(keys(1, 1), F.expr("transform(slice(whole, 2, 3), (x, i) -> xxhash64(i, x & 63))"), 1, 128, plausible, *[lambda a, b: np.zeros(len(a), dtype=np.int64)] * 2)
     counted = bands._by_group
 
     def count_rows(batches):
@@ -185,7 +185,7 @@ def shuffled_rows(spark, count, bucket):
 
     bands._by_group = count_rows
     try:
-        bands.links(spark, nodes, scheme, lambda close: close, bucket=bucket).count()
+        bands.links(spark, nodes, scheme, None, 0.8, bucket=bucket).count()
     finally:
         bands._by_group = counted
     return seen.value
