@@ -58,10 +58,14 @@ def conflicts(df: DataFrame, key: str, kind: str) -> DataFrame:
     return combos.groupBy("kinds").agg(F.count("*").alias("keys"))
 
 
-def heavy_hitters(df: DataFrame, keys: Sequence[str], k: int) -> DataFrame:
-    """The k most frequent values with exact counts (error 0); ties by value."""
-    counted = df.groupBy(*keys).agg(F.count("*").alias("n"))
-    return counted.orderBy(F.desc("n"), *[F.asc_nulls_last(c) for c in keys]).limit(k).withColumn("error", F.lit(0).cast("long"))
+def distinct_by_shards(df: DataFrame, keys: Sequence[str], value: Column, name: str, shards: int = 256) -> DataFrame:
+    """Distinct values of each key: those of different shards of a hash are disjoint, so each is counted apart and the counts are summed.
+
+    No task holds a key's values, however many a key has.
+    """
+    each = df.select(*keys, value.alias("_v")).filter("_v is not null").withColumn("_shard", F.pmod(F.xxhash64("_v"), F.lit(shards)))
+    apart = each.groupBy(*keys, "_shard", "_v").agg(F.lit(1).alias("_one")).groupBy(*keys, "_shard").agg(F.count("*").alias("_n"))
+    return apart.groupBy(*keys).agg(F.sum("_n").alias(name))
 
 
 def histogram(df: DataFrame, value: str, low: float, high: float, bins: int) -> DataFrame:

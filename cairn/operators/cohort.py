@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from cairn.functions import scalar
 from cairn.functions.temporal import boundaries, whole_days
 from cairn.operators import joins
-from cairn.operators.reduce import Order, asc, desc, keep_first, ranked
+from cairn.operators.order import ranked_in_ranges
+from cairn.operators.reduce import Order, asc, desc, keep_first
+from cairn.operators.rules import predicate
 
 # ---- encounters and events -------------------------------------------------
 
@@ -165,5 +167,33 @@ def overlap(df: DataFrame, flags: Sequence[str]) -> DataFrame:
 def evidence(sources: Mapping[str, DataFrame], *, key: str, ts: str, tie: str, columns: Sequence[str]) -> DataFrame:
     """Evidence ledger: supporting rows of every domain, ranked newest first inside key and domain."""
     rows = reduce(DataFrame.unionByName, [df.select(key, F.lit(domain).alias("domain"), ts, tie, *columns) for domain, df in sources.items()])
-    return ranked(rows, [key, "domain"], [desc(ts), asc(tie)], "evidence_rank")
+    return ranked_in_ranges(rows, [key, "domain"], [desc(ts), asc(tie)], "evidence_rank")
 
+
+
+# ---- capture ----------------------------------------------------------------
+
+
+def capture(df: DataFrame, catalog: Sequence[tuple], path: str, *, key: str, subject: str, code: str, system: str, ts: str) -> dict[str, DataFrame]:
+    """Source rows that any included rule matches, their memberships, and observability of all rows: one scan, one partitioned write.
+
+    ``catalog``: (rule, domain, code_system, code, match_type, include).  Each
+    row is tagged with the parts that it belongs to; the parts are folders of
+    one output, read back by themselves.
+    """
+    by_rule: dict[str, list[tuple]] = {}
+    for rule, _, code_system, value, kind, include in catalog:
+        if include:
+            by_rule.setdefault(rule, []).append((code_system, value, kind))
+    matched = F.array_compact(F.array(*[F.when(predicate(tests, F.col(code), F.col(system)), F.lit(rule)) for rule, tests in by_rule.items()]))
+    row = lambda part, rule, n: F.struct(F.lit(part).alias("part"), rule.cast("string").alias("rule"), n.cast("long").alias("n"))
+    none = F.lit(None)
+    parts = F.concat(
+        F.when(F.size("_rules") > 0, F.array(row("source", none, none))).otherwise(F.array()),
+        F.transform("_rules", lambda r: row("membership", r, none)),
+        F.array(row("observability", none, F.lit(1))),
+    )
+    tagged = df.withColumn("_rules", matched).select(key, subject, code, system, F.col(ts), F.to_date(ts).alias("day"), F.inline(parts))
+    tagged.write.partitionBy("part").parquet(path)
+    read = lambda part: df.sparkSession.read.parquet(f"{path}/part={part}")
+    return {"source": read("source").drop("rule", "n", "day"), "membership": read("membership").select(key, "rule"), "observability": read("observability").select(subject, "day", "n")}

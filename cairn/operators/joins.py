@@ -13,26 +13,16 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cairn.operators import guards
 from cairn.operators.reduce import keep_first
 
 
-class GuardError(ValueError):
-    """A join guard found rows that it does not allow."""
-
-
-def require_unique(df: DataFrame, keys: Sequence[str], what: str = "right side") -> DataFrame:
-    bad = df.groupBy(*keys).count().filter("count > 1").limit(1).collect()
-    if bad:
-        raise GuardError(f"{what}: key {tuple(bad[0])[:-1]} is not unique")
-    return df
-
-
 def guarded_left(left: DataFrame, right: DataFrame, keys: Sequence[str], *, strict: bool = True, require_keys: bool = False) -> DataFrame:
-    """Many-to-one left join: the right side must be unique by key, so rows can't multiply."""
+    """Many-to-one left join: a right side that isn't unique by key fails the action, so rows can't multiply."""
     if strict:
-        require_unique(right, keys)
-        if require_keys and not left.filter(reduce(Column.__or__, [F.col(k).isNull() for k in keys])).isEmpty():
-            raise GuardError(f"left side: null in {list(keys)}")
+        right = guards.unique(right, keys)
+        if require_keys:
+            left = guards.present(left, keys)
     return left.join(right, list(keys), "left")
 
 
@@ -73,13 +63,52 @@ def within(left: DataFrame, right: DataFrame, keys: Sequence[str], test: Column,
     return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def _seconds(ts: Column) -> Column:
+    """Wall-clock seconds since 1970, never out of order."""
+    ts = ts.cast("timestamp_ntz")
+    return F.unix_date(F.to_date(ts)).cast("long") * 86_400 + F.hour(ts) * 3_600 + F.minute(ts) * 60 + F.second(ts)
+
+
+def within_cells(left: DataFrame, right: DataFrame, keys: Sequence[str], *, start: Column, stop: Column, ts: str, test: Column, cell: int | None = None) -> DataFrame:
+    """As ``within``, for a ``test`` that holds only where the right row's ``ts`` lies in the left row's [start, stop].
+
+    Time is cut into cells of ``cell`` seconds.  A left row goes to each cell
+    that its interval touches, a right row to its own, and cells are part of the
+    join's key: a subject with a third of all rows is as many groups as it has
+    cells, and rows far apart in time don't meet.  Where ``cell`` isn't given it is
+    the mean length of the intervals (one aggregation over the left side), so
+    that they touch two cells in the mean, however their lengths vary.
+    Intervals without an end or beginning hold nothing.
+    """
+    spans = left.withColumn("_a", _seconds(start)).withColumn("_z", _seconds(stop)).filter("_a <= _z")
+    if cell is None:
+        cell = int(spans.agg(F.avg(F.col("_z") - F.col("_a"))).first()[0] or 0) + 1
+    number = lambda s: F.floor(s / F.lit(cell)).cast("long")
+    a = spans.withColumn("_cell", F.explode(F.sequence(number(F.col("_a")), number(F.col("_z"))))).drop("_a", "_z")
+    b = right.filter(F.col(ts).isNotNull()).withColumn("_cell", number(_seconds(F.col(ts))))
+    return within(a, b, [*keys, "_cell"], test).drop("_cell")
+
+
 def as_of_forward(left: DataFrame, right: DataFrame, keys: Sequence[str], *, left_ts: str, right_ts: str, first_days: int, last_days: int, values: Sequence[str], tie: str, left_id: Sequence[str] = ()) -> DataFrame:
-    """Each left row (unique by ``left_id``) with the earliest right row in ``[+first, +last]`` days."""
-    ids = list(left_id or left.columns)
-    test = (F.col(right_ts) >= F.col(left_ts) + F.expr(f"INTERVAL '{first_days}' DAY")) & (F.col(right_ts) <= F.col(left_ts) + F.expr(f"INTERVAL '{last_days}' DAY"))
-    hits = within(left.select(*dict.fromkeys([*ids, *keys, left_ts])), right.select(*dict.fromkeys([*keys, right_ts, tie, *values])), keys, test)
-    best = hits.groupBy(*ids).agg(F.min_by(F.struct(*[F.col(v) for v in values]), F.struct(right_ts, tie)).alias("_b"))
-    return left.join(best, ids, "left").select(*left.columns, *[F.col(f"_b.{v}").alias(v) for v in values])
+    """Each left row with the earliest right row in ``[+first, +last]`` days; ties go to the smallest ``tie``.
+
+    No pairs are made: each left row stands as a marker at its first day among
+    the right rows of its key, and takes the next right row, if that is not
+    beyond its last day.  Left rows without a key or time get none, and
+    ``left_id`` isn't needed, as no row is multiplied.
+    """
+    on = [f"_k{i}" for i in range(len(keys))]
+    keyed = [F.col(k).alias(name) for k, name in zip(keys, on)]
+    begin, end = (F.col(left_ts) + F.expr(f"INTERVAL '{d}' DAY") for d in (first_days, last_days))
+    a = left.select(*keyed, begin.alias("_ts"), F.lit(0).alias("_side"), end.alias("_end"), F.struct(*left.columns).alias("_l"))
+    b = right.filter(F.col(right_ts).isNotNull()).select(*keyed, F.col(right_ts).alias("_ts"), F.lit(1).alias("_side"), F.col(tie).alias("_tie"), F.struct(F.col(right_ts).alias("_at"), *[F.col(v).alias(f"_v{i}") for i, v in enumerate(values)]).alias("_r"))
+    for k in on:  # null keys match nothing
+        b = b.filter(F.col(k).isNotNull())
+    # from late to early, so that the next row is the last one seen
+    w = Window.partitionBy(*on).orderBy(F.desc("_ts"), F.desc("_side"), F.col("_tie").desc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    both = a.unionByName(b, allowMissingColumns=True).withColumn("_b", F.last("_r", ignorenulls=True).over(w)).filter("_l IS NOT NULL")
+    hit = F.when(F.col("_b._at") <= F.col("_end"), F.col("_b"))
+    return both.withColumn("_b", hit).select("_l.*", *[F.col(f"_b._v{i}").alias(v) for i, v in enumerate(values)])
 
 
 def as_of_backward(left: DataFrame, right: DataFrame, keys: Sequence[str], *, left_ts: str, right_ts: str, values: Sequence[str], tie: str, strict: bool = True, left_id: Sequence[str] = ()) -> DataFrame:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cairn.plans import clinical, composite, coverage, publishing, relational
+from cairn.plans import bounded, clinical, composite, coverage, publishing, relational
 from cairn.plans.registry import ORACLES, QUERIES
 
-_MODULES = (relational, composite, coverage, publishing, clinical)
+_MODULES = (relational, composite, coverage, publishing, clinical, bounded)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cairn.functions import scalar, temporal
-from cairn.operators import aggregate, joins, reduce, rules
+from cairn.operators import aggregate, frequent, guards, joins, order, reduce, rules
 from cairn.operators.reduce import asc, desc
 from cairn.plans.registry import query
 from cairn.plans.roles import GROUPS, PRESSURE, RULES, RULES_CTE, UNITS, sql, sql_rule_match, tables
@@ -47,7 +47,7 @@ def _(v):
 
 @query("op_A19_unique_subjects", sql("SELECT subject_id, sex, birth_year, region FROM subj"))
 def _(v):
-    return joins.require_unique(v.subj, ["subject_id"], "subjects").select("subject_id", "sex", "birth_year", "region")
+    return guards.unique(v.subj, ["subject_id"], "subjects").select("subject_id", "sex", "birth_year", "region")
 
 
 @query("op_A6_head", "SELECT event_id, event_type FROM events ORDER BY event_id LIMIT 10")
@@ -312,14 +312,16 @@ def _enc24(v):
 @query("op_C15_interval", sql("SELECT n.encounter_id, e.event_id FROM enc24 n JOIN ev e ON e.subject_id = n.subject_id AND e.ts >= n.start AND e.ts <= n.start + INTERVAL 24 HOUR", _SHIFT))
 def _(v):
     right = v.ev.select("subject_id", "event_id", "ts")
-    return joins.within(_enc24(v), right, ["subject_id"], (F.col("ts") >= F.col("start")) & (F.col("ts") <= F.col("start") + F.expr("INTERVAL '24' HOUR"))).select("encounter_id", "event_id")
+    stop = F.col("start") + F.expr("INTERVAL '24' HOUR")
+    return joins.within_cells(_enc24(v), right, ["subject_id"], start=F.col("start"), stop=stop, ts="ts", cell=86_400, test=F.col("ts").between(F.col("start"), stop)).select("encounter_id", "event_id")
 
 
 @query("op_C16_inclusive_end", sql("SELECT n.encounter_id, e.event_id FROM enc24 n JOIN ev e ON e.subject_id = n.subject_id AND e.ts >= n.start AND e.ts <= n.stop + INTERVAL 1 DAY - INTERVAL 1 MICROSECOND WHERE n.type <> 'OTHER'", _SHIFT))
 def _(v):
     right = v.ev.select("subject_id", "event_id", "ts")
     left = _enc24(v).filter("type <> 'OTHER'")
-    return joins.within(left, right, ["subject_id"], (F.col("ts") >= F.col("start")) & (F.col("ts") <= temporal.inclusive_end(F.col("stop"), F.lit(temporal.DATE_ONLY)))).select("encounter_id", "event_id")
+    stop = temporal.inclusive_end(F.col("stop"), F.lit(temporal.DATE_ONLY))
+    return joins.within_cells(left, right, ["subject_id"], start=F.col("start"), stop=stop, ts="ts", test=F.col("ts").between(F.col("start"), stop)).select("encounter_id", "event_id")
 
 
 _INDEX = "idx AS (SELECT event_id AS index_id, subject_id, ts AS index_ts, value AS index_value FROM (SELECT *, row_number() OVER (PARTITION BY subject_id ORDER BY ts, event_id) AS r FROM ev WHERE code = 'purchase') WHERE r = 1)"
@@ -332,12 +334,15 @@ def _index(v):
 @query("op_C17_look_back", sql("SELECT index_id, event_id FROM idx JOIN ev USING (subject_id) WHERE code = 'view' AND CASE WHEN event_id % 2 = 0 THEN date_trunc('day', ts) <= date_trunc('day', index_ts) AND date_trunc('day', ts) >= date_trunc('day', index_ts) - INTERVAL 7 DAY ELSE ts <= index_ts AND ts >= index_ts - INTERVAL 7 DAY END", _INDEX))
 def _(v):
     kind = F.when(F.col("event_id") % 2 == 0, temporal.DATE_ONLY).otherwise(temporal.TIMESTAMP)
-    return joins.within(_index(v), v.ev.filter("code = 'view'").select("subject_id", "event_id", "ts"), ["subject_id"], temporal.in_look_back(F.col("ts"), kind, F.col("index_ts"), 7)).select("index_id", "event_id")
+    day, at = F.date_trunc("day", "index_ts").cast("timestamp_ntz"), F.col("index_ts")  # both kinds lie between seven days before the day and its end
+    window = {"start": day - F.expr("INTERVAL '7' DAY"), "stop": day + F.expr("INTERVAL '1' DAY"), "ts": "ts", "cell": 8 * 86_400}
+    return joins.within_cells(_index(v), v.ev.filter("code = 'view'").select("subject_id", "event_id", "ts"), ["subject_id"], test=temporal.in_look_back(F.col("ts"), kind, at, 7), **window).select("index_id", "event_id")
 
 
 @query("op_C18_follow_up", sql("SELECT index_id, event_id, ts <= index_ts + INTERVAL 3 DAY AS early FROM idx JOIN ev USING (subject_id) WHERE code = 'error' AND ts > index_ts AND ts <= index_ts + INTERVAL 9 DAY", _INDEX))
 def _(v):
-    hits = joins.within(_index(v), v.ev.filter("code = 'error'").select("subject_id", "event_id", "ts"), ["subject_id"], (F.col("ts") > F.col("index_ts")) & (F.col("ts") <= temporal.days_from(F.col("index_ts"), 9)))
+    at, last = F.col("index_ts"), temporal.days_from(F.col("index_ts"), 9)
+    hits = joins.within_cells(_index(v), v.ev.filter("code = 'error'").select("subject_id", "event_id", "ts"), ["subject_id"], start=at, stop=last, ts="ts", cell=9 * 86_400, test=(F.col("ts") > at) & (F.col("ts") <= last))
     return hits.select("index_id", "event_id", (F.col("ts") <= temporal.days_from(F.col("index_ts"), 3)).alias("early"))
 
 
@@ -383,7 +388,7 @@ def _(v):
 
 @query("op_C24_key_lookup", sql("SELECT e.event_id, s.birth_year FROM ev e JOIN subj s USING (subject_id) WHERE e.code = 'signup'"))
 def _(v):
-    return v.ev.filter("code = 'signup'").join(joins.require_unique(v.subj, ["subject_id"]), "subject_id").select("event_id", "birth_year")
+    return v.ev.filter("code = 'signup'").join(guards.unique(v.subj, ["subject_id"]), "subject_id").select("event_id", "birth_year")
 
 
 @query("op_C26_map_join", sql(f"SELECT e.event_id, strftime(index_ts, {TS}) AS index_ts FROM ev e JOIN idx USING (subject_id)", _INDEX))
@@ -474,7 +479,7 @@ def _(v):
 @query("op_D13_distinct_matches", sql("SELECT r.rule, count(DISTINCT sha256(concat_ws(chr(31), e.code2, e.system, CAST(e.subject_id AS VARCHAR)))) AS n FROM ev e JOIN rules r ON " + sql_rule_match() + " GROUP BY 1", RULES_CTE))
 def _(v):
     hits = rules.match_codes(v.ev, rules.catalog(v.spark, RULES), code="code2", system="system")
-    return hits.groupBy("rule").agg(F.count_distinct(scalar.record_id(F.col("code2"), F.col("system"), F.col("subject_id"))).alias("n"))
+    return aggregate.distinct_by_shards(hits, ["rule"], scalar.record_id(F.col("code2"), F.col("system"), F.col("subject_id")), "n")
 
 
 @query("op_D14_duplicates", "SELECT count(*) AS rows, count(DISTINCT (l_orderkey, l_linenumber)) AS distinct_rows, count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS duplicates FROM lineitem")
@@ -508,7 +513,28 @@ def _(v):
 
 @query("op_D19_heavy_hitters", sql("SELECT code2, system, count(*) AS n, CAST(0 AS BIGINT) AS error FROM ev GROUP BY 1, 2 ORDER BY n DESC, code2, system LIMIT 25"))
 def _(v):
-    return aggregate.heavy_hitters(v.ev, ["code2", "system"], 25)
+    return frequent.heavy_hitters(v.ev, ["code2", "system"], 25)
+
+
+_BOUND = 1_000
+_PARTNER = "CASE WHEN l_linenumber = 1 THEN -l_suppkey ELSE l_orderkey END"
+
+
+@query("op_D19_bounded", f"SELECT {_PARTNER} AS partner, count(*) AS n, true AS within FROM lineitem GROUP BY 1 HAVING count(*) > (SELECT count(*) FROM lineitem) / {_BOUND}.0")
+def _(v):
+    """Many more keys than the counters hold: every key above rows / capacity is reported, with a true count within its bounds."""
+    (li,) = tables(v.spark, v.dir, "lineitem")
+    keys = li.select(F.expr(_PARTNER).alias("partner"))
+    found = frequent.heavy_hitters(keys, ["partner"], _BOUND, capacity=_BOUND).withColumnRenamed("n", "most")
+    exact = keys.join(F.broadcast(found), "partner").groupBy("partner", "most", "error").agg(F.count("*").alias("n"))
+    least = keys.agg((F.count("*") / _BOUND).alias("least"))  # one row
+    return exact.join(F.broadcast(least), F.col("n") > F.col("least")).select("partner", "n", F.col("n").between(F.col("most") - F.col("error"), F.col("most")).alias("within"))
+
+
+@query("op_D19_by_domain", sql("SELECT domain, code, n, error FROM (SELECT code AS domain, code2 AS code, count(*) AS n, CAST(0 AS BIGINT) AS error, row_number() OVER (PARTITION BY code ORDER BY count(*) DESC, code2) AS r FROM ev GROUP BY 1, 2) WHERE r <= 5"))
+def _(v):
+    codes = v.ev.select(F.col("code").alias("domain"), F.col("code2").alias("code"))
+    return frequent.heavy_hitters(codes, ["code"], 5, by=["domain"]).select("domain", "code", "n", "error")
 
 
 @query("op_D21_value_counts", sql("SELECT type, count(*) AS n, count(DISTINCT subject_id) AS subjects FROM enc GROUP BY 1"))
@@ -586,7 +612,7 @@ def _(v):
 
 @query("op_E9_evidence_rank", sql("SELECT subject_id, event_id, CAST(row_number() OVER (PARTITION BY subject_id ORDER BY ts DESC, event_id) AS INTEGER) AS evidence_rank FROM ev WHERE code = 'error'"))
 def _(v):
-    return reduce.ranked(v.ev.filter("code = 'error'"), ["subject_id"], [desc("ts"), asc("event_id")], "evidence_rank").select("subject_id", "event_id", "evidence_rank")
+    return order.ranked_in_ranges(v.ev.filter("code = 'error'"), ["subject_id"], [desc("ts"), asc("event_id")], "evidence_rank").select("subject_id", "event_id", "evidence_rank")
 
 
 _FLOW = """f AS (SELECT * FROM (VALUES (1, 'all', (SELECT count(*) FROM enc)), (2, 'typed', (SELECT count(*) FROM enc WHERE type <> 'OTHER')), (3, 'closed', (SELECT count(*) FROM enc WHERE type <> 'OTHER' AND "end" IS NOT NULL)), (4, 'valid', (SELECT count(*) FROM enc WHERE type <> 'OTHER' AND "end" >= start))) AS t(stage_order, stage, n))"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _OWN: dict[str, str] = {}
 _FOLDERS: dict[str, str] = {}
@@ -35,3 +35,10 @@ def fresh_path(spark: SparkSession, tag: str) -> str:
         fs.deleteOnExit(where)
         _FOLDERS[app] = own
     return f"{_FOLDERS[app]}/{tag}-{uuid.uuid4().hex}"
+
+
+def written(spark: SparkSession, df: DataFrame, tag: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back: it is never computed, or dealt, twice."""
+    path = fresh_path(spark, tag)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -201,9 +201,9 @@ def row_counts(df: DataFrame) -> DataFrame:
 
 def read_subjects(df: DataFrame, key: str) -> DataFrame:
     """Demographics, refused when a subject has several rows."""
-    from cairn.operators.joins import require_unique
+    from cairn.operators.guards import unique
 
-    return require_unique(df, [key], "subjects")
+    return unique(df, [key], "subjects")
 
 
 def open_product(spark: SparkSession, path: str, *, expected_schema_sha256: str | None = None) -> dict[str, DataFrame]:

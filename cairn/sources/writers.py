@@ -23,9 +23,10 @@ def write_table(df: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "
     return path
 
 
-def write_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int) -> str:
-    """A table whose joins on ``keys`` need no shuffle."""
-    df.write.bucketBy(buckets, keys[0], *keys[1:]).sortBy(keys[0], *keys[1:]).mode("overwrite").saveAsTable(table)
+def write_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int, *, path: str | None = None) -> str:
+    """A table whose joins on ``keys`` need no shuffle, and no sort where each bucket is one file."""
+    writer = df.write.bucketBy(buckets, keys[0], *keys[1:]).sortBy(keys[0], *keys[1:]).mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
     return table
 
 

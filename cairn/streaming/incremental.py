@@ -12,7 +12,10 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor
+from pyspark.sql.types import StructType
+
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
 def source(spark: SparkSession, path: str, schema, *, fmt: str = "parquet", files_per_batch: int = 8) -> DataFrame:
@@ -35,27 +38,40 @@ def members(stream: DataFrame, keys: Sequence[str]) -> DataFrame:
     return stream.select(*keys).dropDuplicates(list(keys))
 
 
-def keep_first(stream: DataFrame, key: str, order: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """The earliest row of each key so far; a row is emitted when a key's earliest changes (update mode)."""
-    fields = [stream.schema[c] for c in columns]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+class _KeepFirst(StatefulProcessor):
+    """State: the earliest row of a key so far; it lies in the state store on disk, a batch's frames are looked at one by one."""
+
+    def __init__(self, columns: Sequence[str], order: Sequence[str], schema: StructType):
+        self.columns, self.order, self.schema = list(columns), list(order), schema
+
+    def init(self, handle) -> None:
+        self.first = handle.getValueState("first", self.schema)
 
-    def step(_key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        now = pd.concat(list(frames))[list(columns)]
-        held = pd.DataFrame([state.get], columns=list(columns)) if state.exists else None
-        rows = now if held is None else pd.concat([held, now])
-        first = rows.sort_values(list(order), kind="stable", na_position="last").head(1)
-        value = tuple(None if pd.isna(v) else (v.to_pydatetime() if isinstance(v, pd.Timestamp) else v.item() if hasattr(v, "item") else v) for v in first.iloc[0])
-        if not state.exists or tuple(state.get) != value:
-            state.update(value)
-            yield first
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        held = self.first.get() if self.first.exists() else None
+        best = None if held is None else pd.DataFrame([tuple(held)], columns=self.columns)
+        changed = False
+        for frame in rows:
+            first = frame[self.columns].sort_values(self.order, kind="stable", na_position="last").head(1)
+            both = first if best is None else pd.concat([best, first]).sort_values(self.order, kind="stable", na_position="last").head(1)
+            changed |= best is None or tuple(both.iloc[0]) != tuple(best.iloc[0])
+            best = both
+        if changed:
+            self.first.update(tuple(None if pd.isna(v) else (v.to_pydatetime() if isinstance(v, pd.Timestamp) else v.item() if hasattr(v, "item") else v) for v in best.iloc[0]))
+            yield best
 
-    ordered = stream.select(*columns)
-    return ordered.groupBy(key).applyInPandasWithState(step, schema, schema, "update", GroupStateTimeout.NoTimeout)
+    def close(self) -> None:
+        pass
+
+
+def keep_first(stream: DataFrame, key: str, order: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """The earliest row of each key so far; a row is appended when a key's earliest changes.  Needs ``run_to``, which sets the state store."""
+    schema = StructType([stream.schema[c] for c in columns])
+    return stream.select(*columns).groupBy(key).transformWithStateInPandas(_KeepFirst(columns, order, schema), schema, "Append", "None")
 
 
 def run_once(stream: DataFrame, name: str, *, mode: str, checkpoint: str | None = None) -> DataFrame:
-    """Take everything that is there into a memory table named ``name`` (for results of bounded size), then stop."""
+    """Take everything that is there into a memory table named ``name`` (for a row for each of a few keys), then stop."""
     writer = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True)
     if checkpoint:
         writer = writer.option("checkpointLocation", checkpoint)
@@ -65,6 +81,12 @@ def run_once(stream: DataFrame, name: str, *, mode: str, checkpoint: str | None
 
 
 def run_to(stream: DataFrame, path: str, checkpoint: str, *, mode: str = "append") -> None:
-    """Append everything that is there to a Parquet folder, then stop; a rerun resumes."""
-    query = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start()
-    query.awaitTermination()
+    """Append everything that is there to a Parquet folder, then stop; a rerun resumes.  Keyed state lies in RocksDB stores."""
+    conf = stream.sparkSession.conf
+    before = conf.get(_PROVIDER, None)
+    conf.set(_PROVIDER, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        query = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start()
+        query.awaitTermination()
+    finally:
+        conf.unset(_PROVIDER) if before is None else conf.set(_PROVIDER, before)

@@ -96,10 +96,10 @@ def test_ordered_first_keeps_null_values(spark):
 
 def test_guards(spark):
     left, right = spark.createDataFrame([(1,), (None,)], "k int"), spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
-    with pytest.raises(joins.GuardError):
-        joins.guarded_left(left, right, ["k"])
-    with pytest.raises(joins.GuardError):
-        joins.guarded_left(left, right.limit(1), ["k"], require_keys=True)
+    with pytest.raises(Exception, match="is not unique"):
+        joins.guarded_left(left, right, ["k"]).collect()
+    with pytest.raises(Exception, match="null in"):
+        joins.guarded_left(left, right.limit(1), ["k"], require_keys=True).collect()
 
 
 def test_merge_update_keeps_old_on_null(spark):
