@@ -214,12 +214,12 @@ def links(spark: SparkSession, nodes: DataFrame, scheme: Scheme, sets: Callable[
             yield from _open_pairs(group, side, comp, sketch, radius)
 
     def active(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows that have a partner in another component, by the sketch."""
-        for band, node, s0, s1, comp, side in _by_group(batches):
+        """The places, band by band, of rows that have a partner in another component, by the sketch."""
+        for band, node, s0, s1, comp, side, lane in _by_group(batches):
             hit = np.zeros(len(node), dtype=bool)
             for x, y in open_pairs(band, side, comp, np.stack((s0, s1), axis=1).view(np.uint64)):
                 hit[x] = hit[y] = True
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(node[hit]))], ["node"])
+            yield pa.RecordBatch.from_arrays([pa.array(c[hit]) for c in (band, node, side, lane)], ["band", "node", "side", "lane"])
 
     def likeliest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """For each row of a piece its likeliest partner in another component."""
@@ -321,21 +321,25 @@ def links(spark: SparkSession, nodes: DataFrame, scheme: Scheme, sets: Callable[
     def one_way(pairs: DataFrame) -> DataFrame:
         return pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-    def left(some: DataFrame) -> DataFrame:
-        return dealt(met(some, ["node", "s0", "s1", "comp", "lane", "whole"]).select("band", "node", "s0", "s1", "comp", "side", "lane", "whole"))
+    def left(places: DataFrame) -> DataFrame:
+        """The rows of these places with what is known of their nodes now."""
+        return dealt(places.join(placed(nodes.join(places.select("node").distinct(), "node", "left_semi")), "node").select("band", "node", "s0", "s1", "comp", "side", "lane", "whole"))
 
     as_links = lambda: roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-    todo = placed(nodes)
-    todo = common.written(spark, todo.drop("comp").join(dealt(met(todo, ["node", "s0", "s1", "comp"])).mapInArrow(active, "node long").distinct(), "node", "left_semi"), "active")
-    if todo.isEmpty():
-        return as_links()
-    for _ in range(MIDDLE_ROUNDS):  # open pairs only become fewer: no other node gets one
-        one = left(placed(todo)).mapInArrow(likeliest, "a long, b long, like long").groupBy("a").agg(F.max_by("b", F.struct("like", "b")).alias("b"))
+    places = dealt(met(placed(nodes), ["node", "s0", "s1", "comp", "lane"]).select("band", "node", "s0", "s1", "comp", "side", "lane")).mapInArrow(active, "band long, node long, side long, lane int")
+    places = common.written(spark, places, "places")
+    for _ in range(MIDDLE_ROUNDS):
+        if places.isEmpty():
+            return as_links()
+        one = left(places).mapInArrow(likeliest, "a long, b long, like long").groupBy("a").agg(F.max_by("b", F.struct("like", "b")).alias("b"))
+        one = common.written(spark, one, "likeliest")
+        # open pairs only become fewer: a node without any now has none later
+        places = common.written(spark, places.join(one.select(F.col("a").alias("node")), "node", "left_semi"), "places")
         more = verify(common.written(spark, one_way(one), "close"))
         if more.isEmpty():
             break
         roots = graph.components(spark, as_links().unionByName(more))
-    rest = left(placed(todo))
+    rest = left(places)
     if sets is None:
         return as_links().unionByName(common.written(spark, one_way(rest.mapInArrow(every_pair, "a long, b long")), "close"))
     lists = common.written(spark, rest.mapInArrow(partners, "a long, root long, partners array<long>"), "partners")
