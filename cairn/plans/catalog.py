@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cairn.plans import bounded, clinical, composite, coverage, publishing, relational, screens
+from cairn.plans import bounded, clinical, composite, coverage, products, publishing, relational, screens
 from cairn.plans.registry import ORACLES, QUERIES
 
-_MODULES = (relational, composite, coverage, publishing, clinical, bounded, screens)
+_MODULES = (relational, composite, coverage, publishing, clinical, bounded, screens, products)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
