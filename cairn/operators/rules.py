@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.functions.scalar import finite, norm_code, number, system_key, to_celsius, to_fahrenheit
+from cairn.operators import guards
 
 PATTERNS = 1_000
 ANY_SYSTEM = "ANY"
@@ -116,6 +117,18 @@ def catalog_of(spark: SparkSession, rules: Iterable[CodeRule], domain: str) -> D
     return catalog(spark, rows)
 
 
+def catalog_from(rows: DataFrame) -> DataFrame:
+    """A catalog from a table (rule, domain, code_system, code, match_type, include), however large.
+
+    It is checked where it is read: an unknown match type or a repeated rule
+    fails the action that uses the catalog; empty codes and sets match nothing
+    and are left out.
+    """
+    some = rows.select("rule", "domain", "code_system", F.trim("code").alias("code"), F.lower(F.trim("match_type")).alias("match_type"), F.coalesce("include", F.lit(True)).alias("include")).filter("rule <> '' AND code <> ''")
+    known = guards.ensured(some, F.col("match_type").isin(*MATCH_TYPES), F.concat(F.lit("unknown match_type "), F.coalesce("match_type", F.lit("null"))))
+    return guards.unique(known, ["rule", "code_system", "code", "match_type"], "catalog")
+
+
 def match_codes(df: DataFrame, rules: DataFrame, *, code: str, system: str | None = None, how: str = "inner") -> DataFrame:
     """Theta join of rows and catalog: same system (or any) and exact, prefix or pattern match; adds ``rule``.
 

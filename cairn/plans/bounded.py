@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cairn import shared
-from cairn.operators import cohort, joins, membership
+from cairn.operators import cohort, joins, membership, rules
 from cairn.plans.registry import query
 from cairn.plans.roles import RULES, RULES_CTE, sql, sql_rule_match, tables
 
@@ -84,3 +84,34 @@ def _(v):
     stream = source(v.spark, f"{v.dir}/events.parquet*", e.schema, files_per_batch=1_000_000).select("event_type", F.col("ts").cast("timestamp").alias("ts"))
     run_to(windowed(stream, ["event_type"], "ts", length="1 day", late="1 day"), f"{root}/out", f"{root}/checkpoint")
     return v.spark.read.parquet(f"{root}/out").select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "event_type", F.col("n_events").alias("n"))
+
+
+# ---- catalogs that are tables -----------------------------------------------------------------------------------
+
+_TABLE_RULES = """rt AS (SELECT DISTINCT p_brand AS rule, 'dx' AS domain, CASE p_size % 3 WHEN 0 THEN 'ANY' WHEN 1 THEN 'ICD-10-CM' ELSE 'LOINC' END AS code_system,
+    ['V', 'P', 'E', 'C', 'S'][1 + p_size % 5] || CAST(p_partkey % 30 AS VARCHAR) AS code, CASE WHEN p_partkey % 7 = 0 THEN 'prefix' ELSE 'exact' END AS match_type, p_partkey % 13 <> 0 AS include FROM part),
+catalog AS (SELECT rule, domain, code_system, code, match_type, bool_and(include) AS include FROM rt GROUP BY ALL)"""
+
+
+def _table_rules(v):
+    (p,) = tables(v.spark, v.dir, "part")
+    code = F.concat(F.element_at(F.array(*map(F.lit, "VPECS")), (F.col("p_size") % 5 + 1)), (F.col("p_partkey") % 30).cast("string"))
+    system = F.when(F.col("p_size") % 3 == 0, "ANY").when(F.col("p_size") % 3 == 1, "ICD-10-CM").otherwise("LOINC")
+    rows = p.select(F.col("p_brand").alias("rule"), F.lit("dx").alias("domain"), system.alias("code_system"), code.alias("code"), F.when(F.col("p_partkey") % 7 == 0, "prefix").otherwise("exact").alias("match_type"), (F.col("p_partkey") % 13 != 0).alias("include"))
+    return rules.catalog_from(rows.groupBy("rule", "domain", "code_system", "code", "match_type").agg(F.bool_and("include").alias("include")))
+
+
+@query("op_A16_rule_table", sql("SELECT match_type, include, count(*) AS n, count(DISTINCT rule) AS sets FROM catalog GROUP BY 1, 2", _TABLE_RULES))
+def _(v):
+    return _table_rules(v).groupBy("match_type", "include").agg(F.count("*").alias("n"), F.count_distinct("rule").alias("sets"))
+
+
+@query("op_A16_rule_table_matches", sql(f"SELECT r.rule, count(DISTINCT e.event_id) AS n FROM ev e JOIN catalog r ON {sql_rule_match()} GROUP BY 1", _TABLE_RULES))
+def _(v):
+    hits = rules.match_codes(v.ev, _table_rules(v), code="code2", system="system")
+    return hits.groupBy("rule").agg(F.count("*").alias("n"))
+
+
+@query("op_G6_merged_rule_table", sql("SELECT code, match_type, min(rule) AS rule, count(DISTINCT rule) AS merged FROM catalog WHERE include GROUP BY 1, 2", _TABLE_RULES))
+def _(v):
+    return _table_rules(v).filter("include").groupBy("code", "match_type").agg(F.min("rule").alias("rule"), F.count_distinct("rule").alias("merged"))
