@@ -171,6 +171,38 @@ def evidence(sources: Mapping[str, DataFrame], *, key: str, ts: str, tie: str, c
 
 
 
+LEDGER = ("evidence_id", "tier", "evidence_type", "status", "certainty", "ts", "record_id", "evidence_rank")
+
+
+def ledger(sources: Mapping[str, DataFrame], derived: DataFrame, *, key: str, statuses: Sequence[str], indications: Mapping[str, str]) -> DataFrame:
+    """All evidence in one table: source rows of every component, derived statuses and derived indications.
+
+    ``sources``: component -> (key, ts, record_id); all are ranked together,
+    newest first inside key and component, so a hot key is many ranges.
+    ``derived``: one row for each key with its ``statuses`` (a certainty where
+    there is ``x_certainty`` for ``x_status``) and ``indications`` (column -> tier; null
+    ones give no row); all its branches come from one scan.
+    """
+    rows = reduce(DataFrame.unionByName, [df.select(key, F.lit(f"source:{name}").alias("evidence_id"), "ts", F.col("record_id").cast("string").alias("record_id")) for name, df in sources.items()])
+    seen = ranked_in_ranges(rows, [key, "evidence_id"], [desc("ts"), asc("record_id")], "evidence_rank")
+    seen = seen.withColumns({"tier": F.lit("component"), "evidence_type": F.lit("source_record"), "status": F.lit("met"), "certainty": F.lit("strict")})
+
+    def branch(name: str, tier: str, kind: str, status: Column, certainty: Column) -> Column:
+        return F.struct(F.lit(name).alias("evidence_id"), F.lit(tier).alias("tier"), F.lit(kind).alias("evidence_type"), status.alias("status"), certainty.alias("certainty"))
+
+    branches = []
+    for column in statuses:
+        own = column.removesuffix("_status") + "_certainty"
+        sure = F.col(own) if own in derived.columns else F.when(F.col(column).isin("met", "not_met"), "strict").otherwise("not_applicable")
+        branches.append(branch(f"status:{column}", "component", "derived_status", F.col(column), sure))
+    for column, tier in indications.items():
+        told = branch(column, tier, "derived_rule", F.when(F.col(column), "met").otherwise("not_met"), F.lit("strict"))
+        branches.append(F.when(F.col(column).isNotNull(), told))
+    made = derived.select(key, F.inline(F.array_compact(F.array(*branches))))
+    made = made.withColumns({"ts": F.lit(None).cast(seen.schema["ts"].dataType), "record_id": F.lit(None).cast("string"), "evidence_rank": F.lit(1)})
+    return seen.select(key, *LEDGER).unionByName(made.select(key, *LEDGER))
+
+
 # ---- capture ----------------------------------------------------------------
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cairn.operators import clinical
+from cairn.operators import clinical, cohort
 from cairn.plans.registry import query
 from cairn.plans.roles import sql
 
@@ -129,6 +129,30 @@ def _(v):
     return out.select("subject_id", "ind_fda_weight_management", "ind_fda_weight_management_certainty", *tiers, "bridge_qualifying_branch", "bridge_clinical_criteria_status", "bridge_certainty", "bridge_qualifying_components", "bridge_partd_exclusion_status", "part_d_disease_route_status", "payer_route_model")
 
 
+_LEDGER_STATUSES = [c for c in STATUS_NAMES if c.endswith("_status")]
+_LEDGER_TIERS = {"ind_fda_weight_management": "fda", "ind_fda_disease_specific_any": "fda", "ind_guideline_any": "guideline", "ind_rct_any": "rct"}
+_LEDGER_SOURCES = ("view", "click", "purchase", "error", "signup")
+
+
+def _sure(column: str) -> str:
+    own = column.removesuffix("_status") + "_certainty"
+    return own if own in STATUS_NAMES else f"CASE WHEN {column} IN ('met', 'not_met') THEN 'strict' ELSE 'not_applicable' END"
+
+
+_LEDGER_SQL = " UNION ALL ".join(
+    [f"SELECT subject_id, 'source:{c}' AS evidence_id, 'component' AS tier, 'source_record' AS evidence_type, 'met' AS status, 'strict' AS certainty, CAST(event_id AS VARCHAR) AS record_id, CAST(row_number() OVER (PARTITION BY subject_id ORDER BY ts DESC, CAST(event_id AS VARCHAR)) AS INTEGER) AS evidence_rank FROM ev WHERE code = '{c}'" for c in _LEDGER_SOURCES]
+    + [f"SELECT subject_id, 'status:{c}', 'component', 'derived_status', {c}, {_sure(c)}, NULL, 1 FROM w" for c in _LEDGER_STATUSES]
+    + [f"SELECT subject_id, '{c}', '{tier}', 'derived_rule', CASE WHEN {flag} THEN 'met' ELSE 'not_met' END, 'strict', NULL, 1 FROM w WHERE ({flag}) IS NOT NULL" for (c, tier), flag in zip(_LEDGER_TIERS.items(), ("ind_fda_weight_management", "fda", "coalesce(b1, b2, b3)", "coalesce(b2, c2, c3, c4, c5, c6, b3)"))]
+)
+
+
+@query("op_K23_ledger", sql(_LEDGER_SQL, _FEATURES, _STATUSES, _TIERS))
+def _(v):
+    derived = clinical.with_indications(clinical.with_statuses(features(v)))
+    sources = {c: v.ev.filter(F.col("code") == c).select("subject_id", "ts", F.col("event_id").alias("record_id")) for c in _LEDGER_SOURCES}
+    return cohort.ledger(sources, derived, key="subject_id", statuses=_LEDGER_STATUSES, indications=_LEDGER_TIERS).drop("ts")
+
+
 _CODES = "CASE event_id % 8 WHEN 0 THEN 'J96.01' WHEN 1 THEN 'E66.2' WHEN 2 THEN 'e66.01' WHEN 3 THEN '94660' WHEN 4 THEN 'J44.9' WHEN 5 THEN 'I50' WHEN 6 THEN 'Z99' ELSE NULL END"
 
 
