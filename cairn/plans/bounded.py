@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cairn import shared
-from cairn.operators import cohort, joins, membership, rules
+from cairn.functions import scalar
+from cairn.operators import cohort, joins, membership, quality, rules
 from cairn.plans.registry import query
 from cairn.plans.roles import RULES, RULES_CTE, sql, sql_rule_match, tables
 
@@ -115,3 +116,11 @@ def _(v):
 @query("op_G6_merged_rule_table", sql("SELECT code, match_type, min(rule) AS rule, count(DISTINCT rule) AS merged FROM catalog WHERE include GROUP BY 1, 2", _TABLE_RULES))
 def _(v):
     return _table_rules(v).filter("include").groupBy("code", "match_type").agg(F.min("rule").alias("rule"), F.count_distinct("rule").alias("merged"))
+
+
+@query("op_K29_findings", sql(f"""SELECT rule, rows, matches, rows - matches AS duplicates, rule IN ('off', 'exact_v') AS required, CASE WHEN rows = 0 AND rule IN ('off', 'exact_v') THEN 'required_missing' WHEN rows = 0 THEN 'unmatched' WHEN rows > matches THEN 'duplicates' ELSE 'fine' END AS finding
+    FROM (SELECT rule, coalesce(n, 0) AS rows, coalesce(d, 0) AS matches FROM (SELECT DISTINCT rule FROM rules) LEFT JOIN (SELECT rule, count(*) AS n, count(DISTINCT k) AS d FROM (SELECT r.rule, e.event_id, concat_ws('|', e.code2, e.system, CAST(e.subject_id AS VARCHAR)) AS k FROM ev e JOIN (SELECT DISTINCT * FROM rules) r ON {sql_rule_match()} GROUP BY ALL) GROUP BY 1) USING (rule))""", RULES_CTE))
+def _(v):
+    catalog = rules.catalog(v.spark, RULES)
+    hits = rules.match_codes(v.ev, catalog, code="code2", system="system")
+    return quality.terminology_qa(hits, catalog, scalar.record_id(F.col("code2"), F.col("system"), F.col("subject_id")), required=("off", "exact_v"))
