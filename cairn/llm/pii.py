@@ -445,6 +445,15 @@ def collisions(found: DataFrame, column: str = "entities") -> DataFrame:
     return pairs.groupBy("kind", "surrogate").agg(F.count("*").alias("originals")).filter("originals > 1")
 
 
+def splits(found: DataFrame, column: str = "entities") -> DataFrame:
+    """(kind, original, surrogates): originals with more than one surrogate over the corpus, so mentions that no longer name one entity.
+
+    By design a name has one for each gender that its titles give it.
+    """
+    pairs = found.select(F.explode(column).alias("e")).groupBy("e.kind", "e.original", "e.surrogate").agg(F.count("*").alias("n"))
+    return pairs.groupBy("kind", "original").agg(F.count("*").alias("surrogates")).filter("surrogates > 1")
+
+
 def checked(spark: SparkSession, docs: DataFrame, *, key: bytes | None = None, text: str = "text", length: str | None = None) -> tuple[DataFrame, str]:
     """The pseudonymised documents, written and checked for collisions over the whole corpus, and the name of their column of digests."""
     column = "entities"

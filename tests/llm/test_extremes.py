@@ -8,7 +8,7 @@ import time
 import numpy as np
 import pytest
 
-from cairn.llm import ann, decontaminate, secrets
+from cairn.llm import ann, decontaminate, pii, secrets
 
 
 @pytest.mark.parametrize("lengths", [[1e-200], [1e200], [1e-200, 1.0, 1e100], [5e-324, 1e300, 1.0]])
@@ -62,3 +62,11 @@ def test_a_text_with_very_many_secrets(spark):
     assert time.monotonic() - began < 90
     assert (got[1]["n_hex"], got[2]["n_assign"], got[3]["spans"]) == (200_000, 50_000, "")
     assert got[1]["spans"].startswith("hex:0:24,live:0:24,") and got[2]["spans"].endswith(f"assign:{14 * 49_999}:{14 * 50_000 - 1}")
+
+
+def test_coreference_is_counted_over_the_corpus(spark):
+    """A mail address or a number has one surrogate wherever it stands; a name has one for each gender that its titles give."""
+    text = ["Mail bob.lee9@mail1.example.com or call +1 415 555 2671.", "bob.lee9@mail1.example.com again; Mrs Jean Dupont met us.", "Mr Jean Dupont was there. +1 415 555 2671", None, ""]
+    made = pii.pseudonymise(spark.createDataFrame([(i, t) for i, t in enumerate(text)], "doc_id long, text string"), key=b"k", digests="entities")
+    assert pii.collisions(made).count() == 0
+    assert {r["kind"] for r in pii.splits(made).collect()} <= {"name", "person"} and pii.splits(made.filter("doc_id <> 2")).count() == 0
