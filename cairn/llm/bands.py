@@ -9,9 +9,10 @@ the exact similarity of their sets has the last word on every pair.
 The first round tries about a pair for each row of a band in the first lanes,
 which connects most of what belongs together.  What is left open are pairs that
 share a band and that no link connects; nodes with such a partner by the sketch
-are dealt again with their whole signatures.  Middle rounds try one pair for each
-of them, with its likeliest partner in another component, as long as that finds
-links.  The last round tries all open pairs that the whole signatures allow, each
+are dealt again with their whole signatures.  Middle rounds, each in a share of
+the lanes of its own, try one pair for each of them, with its likeliest partner in
+another component, as long as that finds links; so each place is looked at once.
+The last round tries all open pairs that the whole signatures allow, each
 from the first lane that it shares, so a pair that fails never stands for
 another one.  Its pairs may be as many as a template's texts squared, so they
 are never rows: a node has a list of its partners, and meets their sets in the
@@ -222,7 +223,7 @@ def links(spark: SparkSession, nodes: DataFrame, scheme: Scheme, sets: Callable[
             yield pa.RecordBatch.from_arrays([pa.array(c[hit]) for c in (band, node, side, lane)], ["band", "node", "side", "lane"])
 
     def likeliest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """For each row of a piece its likeliest partner in another component."""
+        """For each row of a piece that has one, its likeliest partner in another component."""
         for band, node, s0, s1, comp, side, lane, whole in _by_group(batches):
             most, partner = np.full(len(node), np.iinfo(np.int64).min), np.zeros(len(node), dtype=np.int64)
             for x, y in open_pairs(band, side, comp, np.stack((s0, s1), axis=1).view(np.uint64)):
@@ -235,7 +236,7 @@ def links(spark: SparkSession, nodes: DataFrame, scheme: Scheme, sets: Callable[
                     order = order[like[order] > most[a[order]]]
                     most[a[order]], partner[a[order]] = like[order], node[b[order]]
             found = np.flatnonzero(most > np.iinfo(np.int64).min)
-            yield pa.RecordBatch.from_arrays([pa.array(node[found]), pa.array(partner[found]), pa.array(most[found])], ["a", "b", "like"])
+            yield pa.RecordBatch.from_arrays([pa.array(c[found]) for c in (band, node, partner, most)], ["band", "a", "b", "like"])
 
     def partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """For each row with open pairs its partners with larger places in the piece, and the least place that these pairs reach."""
@@ -328,13 +329,15 @@ def links(spark: SparkSession, nodes: DataFrame, scheme: Scheme, sets: Callable[
     as_links = lambda: roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
     places = dealt(met(placed(nodes), ["node", "s0", "s1", "comp", "lane"]).select("band", "node", "s0", "s1", "comp", "side", "lane")).mapInArrow(active, "band long, node long, side long, lane int")
     places = common.written(spark, places, "places")
-    for _ in range(MIDDLE_ROUNDS):
+    for turn in range(MIDDLE_ROUNDS):
         if places.isEmpty():
             return as_links()
-        one = left(places).mapInArrow(likeliest, "a long, b long, like long").groupBy("a").agg(F.max_by("b", F.struct("like", "b")).alias("b"))
-        one = common.written(spark, one, "likeliest")
-        # open pairs only become fewer: a node without any now has none later
-        places = common.written(spark, places.join(one.select(F.col("a").alias("node")), "node", "left_semi"), "places")
+        own = F.pmod("lane", F.lit(MIDDLE_ROUNDS)) == turn
+        found = common.written(spark, left(places.filter(own)).mapInArrow(likeliest, "band long, a long, b long, like long"), "likeliest")
+        # open pairs only become fewer: a place without any now has none later
+        still = places.filter(own).join(found.select("band", F.col("a").alias("node")), ["band", "node"], "left_semi")
+        places = common.written(spark, places.filter(~own).unionByName(still), "places")
+        one = found.groupBy("a").agg(F.max_by("b", F.struct("like", "b")).alias("b"))
         more = verify(common.written(spark, one_way(one), "close"))
         if more.isEmpty():
             break
