@@ -7,13 +7,18 @@ is second best alone can win with those that follow.  The index keeps a
 vector's codes and its norm; a query's score of a code is the sum of entries of
 its lookup tables (inner products with all codewords), scaled by the stored
 norm.  The best ``rerank`` are scored again on the original vectors in double
-precision.
+precision, and so is every row that its code doesn't rule out: the angle between
+a row and its approximation is known, so the query's angle to the approximation
+bounds its score, and rows below the k-th best found are dropped.
 
 Coarse lists stand before the codes: vectors are dealt by direction to the
-nearest of about the square root of their number of centres, and a query looks
-at as many of the lists nearest to it as ``PROBE_RECALL`` needs, which is
-measured once on the sample by brute force.  Data without any structure need
-most of the lists; clustered data need few.
+nearest of about the square root of their number of centres.  A query's k-th
+best score in the sample is a lower limit of its k-th best score; it looks at
+every list whose widest angle and longest row may reach that.  Both bounds lose
+no neighbour, whatever the rows are like: of other kind than the queries, in
+tight groups, of many dimensions, or with few long ones among them.  What varies
+is the work: clustered data need few lists and rows, data without any structure
+nearly all of them.
 
 Scale: codebooks are fitted on at most ``FIT_ROWS`` vectors, those with the
 smallest hashes, and centres on ``LIST_ROWS`` for each list if that is more,
@@ -45,12 +50,12 @@ from cairn.llm import common
 
 BOOKS, WORDS, BEAM = 16, 256, 4
 FIT_ROWS = 8_000
-#: Share of the sample's true neighbours that must lie in the probed lists.
-PROBE_RECALL = 0.98
+#: What rounding may change in a cosine: of doubles, and of lookup tables of floats.
+ROUNDING, TABLE_ROUNDING = 1e-9, 1e-5
 #: Lists grow with the square root of the rows up to this; the sample has at least ``LIST_ROWS`` rows for each.
 MOST_LISTS, LIST_ROWS = 4_096, 8
 PART_ROWS = 8_192
-#: Rows of a query that are scored exactly: so many, or that share of the rows in its lists if it is more.
+#: Rows of a query that are scored exactly before bounds are: so many, or that share of the rows in its lists if it is more.
 RERANK, RERANK_SHARE = 1_000, 0.02
 
 
@@ -114,13 +119,18 @@ class Quantiser:
 
 @dataclass
 class Index:
-    """``rows``: (rid, vec_id, v, list, codes, norm), a number for each row; what tasks need to search it."""
+    """``rows``: (rid, vec_id, v, list, codes, norm), a number for each row; what tasks need to search it.
+
+    Of each list its centre's direction, rows, least cosine to the centre, and least and largest norm.
+    """
 
     rows: DataFrame
     quantiser: Quantiser
     centres: np.ndarray
-    probes: int
+    sample: np.ndarray
     sizes: np.ndarray
+    cosines: np.ndarray
+    norms: np.ndarray
 
 
 def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
@@ -150,22 +160,33 @@ def _norms(x: np.ndarray) -> np.ndarray:
         return largest * np.linalg.norm(x / largest[:, None], axis=1)
 
 
-def probes_needed(x: np.ndarray, norms: np.ndarray, centres: np.ndarray, k: int, recall: float, seed: int = 11) -> int:
-    """The fewest lists whose rows hold that share of the true neighbours of 300 rows of the sample in it (directions ``x``): more where lengths vary, as long rows are near in any list."""
-    some = np.random.default_rng(seed).choice(len(x), min(300, len(x)), replace=False)
-    scores = (x[some] @ x.T).astype(np.float64) * np.minimum(norms, 1e300)
-    scores[np.arange(len(some)), some] = -np.inf
-    k = min(k, len(x) - 1)
-    if k < 1:
-        return len(centres)
-    true = np.argpartition(-scores, k - 1, axis=1)[:, :k]
-    lists = nearest_centre(x, centres)
-    place = np.argsort(np.argsort(-(x[some] @ centres.T), axis=1, kind="stable"), axis=1)  # of each list in a row's order
-    at = np.sort(np.take_along_axis(place, lists[true], axis=1).ravel())
-    return int(at[min(len(at) - 1, int(np.ceil(recall * len(at))))]) + 1
+def most_cosine(to: np.ndarray, around: np.ndarray, rounding: float) -> np.ndarray:
+    """The largest cosine to rows of directions with a cosine of ``around`` or more to one that the query has the cosine ``to`` with."""
+    to, around = np.minimum(to + rounding, 1.0), np.maximum(around - rounding, -1.0)
+    away = np.sqrt(1 - np.clip(np.abs(to) - 2 * rounding, 0, 1) ** 2) * np.sqrt(1 - np.clip(np.abs(around) - rounding, 0, 1) ** 2)
+    return np.where(to >= around, 1.0, np.minimum(1.0, to * around + away)) + rounding
+
+
+def below(bound: np.ndarray, least: float) -> np.ndarray:
+    """Which bounds rule out a score of ``least``: never one that is not a number, nor by less than the smallest doubles."""
+    return bound < least - 1e-300
+
+
+def kth_at_least(sample: np.ndarray, norms: np.ndarray, queries: np.ndarray, k: int) -> np.ndarray:
+    """For each query a lower limit of its k-th best score: the (k + 1)-th in the sample, which may hold the query's own row."""
+    if len(sample) <= k:
+        return np.full(len(queries), -np.inf)
+    out = np.empty(len(queries))
+    with np.errstate(over="ignore", invalid="ignore"):
+        for i in range(0, len(queries), 256):
+            q = queries[i : i + 256].astype(np.float64)
+            scores = q @ sample.T - ROUNDING * np.outer(_norms(q), norms)
+            scores[np.isnan(scores)] = -np.inf
+            out[i : i + 256] = np.partition(scores, len(sample) - k - 1, axis=1)[:, len(sample) - k - 1]
+    return out
 
 
-def index(spark: SparkSession, vectors: DataFrame, *, key: str = "vec_id", vector: str = "embedding", k: int = 20, fit_rows: int = FIT_ROWS, probe_recall: float = PROBE_RECALL) -> Index | None:
+def index(spark: SparkSession, vectors: DataFrame, *, key: str = "vec_id", vector: str = "embedding", fit_rows: int = FIT_ROWS) -> Index | None:
     """Every usable vector with its list, codes and norm, written once; None if there is none."""
     common.prepare(spark)
     rows = usable(vectors, key, vector)
@@ -174,15 +195,15 @@ def index(spark: SparkSession, vectors: DataFrame, *, key: str = "vec_id", vecto
     if not len(sample):
         return None
     drawn = sample.flatten().to_numpy().reshape(len(sample), -1)
-    x, norms = _unit(drawn), _norms(drawn)
+    x = _unit(drawn)
     quantiser = Quantiser.fit(x[:fit_rows])
     n_lists = max(1, min(wanted, len(x) // LIST_ROWS))
     centres = centres_of(x.astype(np.float32), n_lists, 8, np.random.default_rng(5))
-    probes = probes_needed(x.astype(np.float32), norms, centres, k, probe_recall)
-    shared, dim = spark.sparkContext.broadcast((quantiser, centres)), x.shape[1]
+    directions = centres / np.maximum(np.linalg.norm(centres.astype(np.float64), axis=1, keepdims=True), 1e-30)
+    shared, dim = spark.sparkContext.broadcast((quantiser, centres, directions)), x.shape[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        quant, means = shared.value
+        quant, means, ways = shared.value
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
@@ -190,15 +211,16 @@ def index(spark: SparkSession, vectors: DataFrame, *, key: str = "vec_id", vecto
                 u = _unit(v)
                 codes = pa.array([c.tobytes() for c in quant.encode(u)], pa.binary())
                 lists = nearest_centre(u.astype(np.float32), means).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(lists), codes, pa.array(_norms(v))], ["rid", "vec_id", "v", "list", "codes", "norm"])
+                cosine = np.einsum("nd,nd->n", u, ways[lists])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(lists), codes, pa.array(_norms(v)), pa.array(cosine)], ["rid", "vec_id", "v", "list", "codes", "norm", "cosine"])
 
     kind = rows.schema["v"].dataType.simpleString()
-    made = rows.select(F.monotonically_increasing_id().alias("rid"), "vec_id", "v").mapInArrow(run, f"rid long, vec_id long, v {kind}, list int, codes binary, norm double")
+    made = rows.select(F.monotonically_increasing_id().alias("rid"), "vec_id", "v").mapInArrow(run, f"rid long, vec_id long, v {kind}, list int, codes binary, norm double, cosine double")
     made = common.written(spark, made, "index")
-    sizes = np.zeros(n_lists, dtype=np.int64)
-    for r in made.groupBy("list").count().collect():  # a row for each list
-        sizes[r["list"]] = r["count"]
-    return Index(made, quantiser, centres, probes, sizes)
+    sizes, cosines, norms = np.zeros(n_lists, dtype=np.int64), np.ones(n_lists), np.zeros((2, n_lists))
+    for r in made.groupBy("list").agg(F.count("*").alias("n"), F.min("cosine").alias("cosine"), F.min("norm").alias("least"), F.max("norm").alias("most")).collect():  # a row for each list
+        sizes[r["list"]], cosines[r["list"]], norms[:, r["list"]] = r["n"], r["cosine"], (r["least"], r["most"])
+    return Index(made.drop("cosine"), quantiser, directions, drawn[:fit_rows], sizes, cosines, norms)
 
 
 def deal(sizes: np.ndarray, part_rows: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -223,31 +245,53 @@ class _Part:
         rid, vec_id, lists, codes, norms, vectors = (np.concatenate(c) for c in columns)
         order = np.argsort(vec_id, kind="stable")  # equal scores: smaller ids first
         self.rid, self.vec_id, self.lists, self.codes, self.vectors = rid[order], vec_id[order], lists[order], codes[order], vectors[order]
-        length = np.linalg.norm(quantiser.decode(self.codes), axis=1)
-        self.factor = norms[order] / np.maximum(length, 1e-12)  # the stored norm over the approximation's
+        near = quantiser.decode(self.codes).astype(np.float64)
+        length = np.linalg.norm(near, axis=1)
+        self.norms, self.length = norms[order], np.maximum(length, 1e-12)
+        self.factor = self.norms / self.length  # the stored norm over the approximation's
+        self.cosine = np.where(length < 1e-3, -1.0, np.einsum("nd,nd->n", _unit(self.vectors), near) / self.length)  # an approximation of no direction rules out nothing
+        self.exact = self.vectors.astype(np.float64)
         self.quantiser = quantiser
 
-    def search(self, rid: int, query: np.ndarray, probed: np.ndarray, k: int, rerank: float) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and exact scores of the best k in the probed lists, of the best by their codes: the share ``rerank`` of their rows, 2 k at least."""
+    def scores(self, some: np.ndarray, query: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore", invalid="ignore"):
+            if 2 * len(some) > len(self.exact):
+                return np.einsum("nd,d->n", self.exact, query)[some]
+            return np.einsum("nd,d->n", self.exact[some], query)
+
+    def search(self, rid: int, query: np.ndarray, probed: np.ndarray, k: int, rerank: float, least: float = -np.inf) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and exact scores of the best k in the probed lists, or of those of them that reach ``least``.
+
+        Scored exactly are the best by their codes, the share ``rerank`` of the
+        rows, 2 k at least, and then all that may be among the best k by them.
+        """
         books = len(self.quantiser.codebooks)
         tables = self.quantiser.codebooks @ _unit(query[None, :])[0].astype(np.float32)  # the query's length changes no order
         some = np.flatnonzero(probed[self.lists] & (self.rid != rid))
         take = max(2 * k, int(rerank * len(some)))
         codes = self.codes[some]
-        guess = tables[0][codes[:, 0]]
+        cosine = tables[0][codes[:, 0]]
         for b in range(1, books):
-            guess += tables[b][codes[:, b]]
-        with np.errstate(over="ignore", invalid="ignore"):
-            guess = guess * self.factor[some]
-        guess[~np.isfinite(guess)] = np.inf  # beyond doubles: scored exactly
+            cosine += tables[b][codes[:, b]]
+        first, exact = some, None
         if take < len(some):
+            with np.errstate(over="ignore", invalid="ignore"):
+                guess = cosine * self.factor[some]
+                most = most_cosine(cosine / self.length[some], self.cosine[some], TABLE_ROUNDING) * self.norms[some] * _norms(query[None, :])[0]
+            guess[~np.isfinite(guess)] = np.inf  # beyond doubles: scored exactly
             edge = np.partition(guess, len(guess) - take)[len(guess) - take]
-            above = np.flatnonzero(guess > edge)
-            some = some[np.concatenate((above, np.flatnonzero(guess == edge)[: take - len(above)]))]  # ties at the edge: smaller ids
-        with np.errstate(over="ignore", invalid="ignore"):
-            exact = np.einsum("nd,d->n", self.vectors[some].astype(np.float64), query)
-        best = np.lexsort((self.vec_id[some], -exact))[:k]
-        return self.vec_id[some[best]], exact[best]
+            taken = guess > edge
+            taken[np.flatnonzero(guess == edge)[: take - np.count_nonzero(taken)]] = True  # ties at the edge: smaller ids
+            first = some[taken]
+            exact = self.scores(first, query)
+            known = np.where(np.isnan(exact), -np.inf, exact)
+            least = max(least, np.partition(known, take - k)[take - k])
+            rest = some[~taken & ~below(most, least)]
+            first, exact = np.concatenate((first, rest)), np.concatenate((exact, self.scores(rest, query)))
+        else:
+            exact = self.scores(first, query)
+        best = np.lexsort((self.vec_id[first], -exact))[:k]
+        return self.vec_id[first[best]], exact[best]
 
 
 def search(spark: SparkSession, found: Index | None, queries: DataFrame, *, k: int = 20, rerank: int = RERANK, part_rows: int = PART_ROWS) -> DataFrame:
@@ -260,24 +304,31 @@ def search(spark: SparkSession, found: Index | None, queries: DataFrame, *, k: i
     common.prepare(spark)
     first, own, parts = deal(found.sizes, part_rows)
     books, words, dim = found.quantiser.codebooks.shape
-    shared = spark.sparkContext.broadcast((found.quantiser, found.centres, found.sizes, first, own))
-    probes, n_lists = found.probes, len(found.sizes)
+    shared = spark.sparkContext.broadcast((found.quantiser, found.sample, found.centres, found.sizes, found.cosines, found.norms, first, own))
+    n_lists = len(found.sizes)
 
     def to_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, centres, sizes, first, own = shared.value
+        _, sample, centres, sizes, cosines, norms, first, own = shared.value
+        sample = sample.astype(np.float64)
+        sample_norms = _norms(sample)
         for batch in batches:
             if not batch.num_rows:
                 continue
-            order = np.argsort(-(_unit(_matrix(batch.column(2), dim)).astype(np.float32) @ centres.T), axis=1, kind="stable")[:, :probes]
-            rows, part, lists, reach = [], [], [], []
-            for at, near in enumerate(order):
-                touched = np.unique(np.concatenate([np.arange(first[c], first[c] + own[c]) for c in near]))
+            v = _matrix(batch.column(2), dim)
+            least = kth_at_least(sample, sample_norms, v, k)
+            rows, part, lists, reach, limit = [], [], [], [], []
+            for at, (to, norm) in enumerate(zip(_unit(v) @ centres.T, _norms(v))):
+                cosine = most_cosine(to, cosines, ROUNDING)
+                with np.errstate(over="ignore", invalid="ignore"):
+                    near = (sizes > 0) & ~below(np.where(cosine > 0, norms[1], norms[0]) * cosine * norm, least[at])
+                touched = np.unique(np.concatenate([np.arange(first[c], first[c] + own[c]) for c in np.flatnonzero(near)]))
                 rows += [at] * len(touched)
                 part += touched.tolist()
-                lists += [np.packbits(np.isin(np.arange(n_lists), near)).tobytes()] * len(touched)
+                lists += [np.packbits(near).tobytes()] * len(touched)
                 reach += [int(sizes[near].sum())] * len(touched)
+                limit += [least[at]] * len(touched)
             taken = batch.take(pa.array(rows, pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array([1] * len(rows), pa.int32()), *taken.columns, pa.array(reach, pa.int64()), pa.array(lists, pa.binary()), pa.array(np.zeros(len(rows)))], ["part", "query", "rid", "vec_id", "v", "list", "codes", "norm"])
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array([1] * len(rows), pa.int32()), *taken.columns, pa.array(reach, pa.int64()), pa.array(lists, pa.binary()), pa.array(limit, pa.float64())], ["part", "query", "rid", "vec_id", "v", "list", "codes", "norm"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         quant = shared.value[0]
@@ -304,7 +355,7 @@ def search(spark: SparkSession, found: Index | None, queries: DataFrame, *, k: i
                     probed = np.unpackbits(np.frombuffer(batch.column(6)[at].as_py(), dtype=np.uint8))[:n_lists].astype(bool)
                     reach = max(1, cells[4][at])
                     # the query's rows to score exactly are dealt to its parts in proportion, and a quarter more
-                    ids, scores = part.search(cells[2][at], vectors[at].astype(np.float64), probed, k, 1.25 * max(rerank / reach, RERANK_SHARE))
+                    ids, scores = part.search(cells[2][at], vectors[at].astype(np.float64), probed, k, 1.25 * max(rerank / reach, RERANK_SHARE), cells[5][at])
                     for column, value in zip(out, (np.full(len(ids), cells[2][at]), np.full(len(ids), cells[3][at]), ids, scores)):
                         column.append(value)
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["rid", "query_id", "vec_id", "score"])
@@ -322,6 +373,6 @@ def search(spark: SparkSession, found: Index | None, queries: DataFrame, *, k: i
 
 def nearest(spark: SparkSession, vectors: DataFrame, *, every: int = 20, k: int = 20, key: str = "vec_id", vector: str = "embedding", rerank: int = RERANK, part_rows: int = PART_ROWS) -> DataFrame:
     """Index all vectors; the queries are the rows whose id is divisible by ``every``."""
-    found = index(spark, vectors, key=key, vector=vector, k=k)
+    found = index(spark, vectors, key=key, vector=vector)
     queries = found.rows.filter(F.col("vec_id") % every == 0).select("rid", "vec_id", "v") if found else None
     return search(spark, found, queries, k=k, rerank=rerank, part_rows=part_rows)
