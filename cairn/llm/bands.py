@@ -11,7 +11,7 @@ which connects most of what belongs together.  What is left open are pairs that
 share a band and that no link connects; nodes with such a partner by the sketch
 are dealt again with their whole signatures.  Middle rounds, each in a share of
 the lanes of its own, try one pair for each of them, with its likeliest partner in
-another component, as long as that finds links; so each place is looked at once.
+another component, as long as enough of them hold; so each place is looked at once.
 The last round tries all open pairs that the whole signatures allow, each
 from the first lane that it shares, so a pair that fails never stands for
 another one.  Its pairs may be as many as a template's texts squared, so they
@@ -46,6 +46,8 @@ BUCKET = 4096
 #: Rows of a group up to which all pairs are looked at, lag by lag.
 _SMALL = 48
 MIDDLE_ROUNDS = 4
+#: Of the pairs that a middle round tries, the share that must hold for another one to follow.
+MIDDLE_YIELD = 0.05
 #: Hashes (of 8 bytes) of all sets of a cluster that one task compares.
 CLUSTER = 4_000_000
 PIVOTS = np.random.default_rng(20240607).integers(0, 2**64, size=16, dtype=np.uint64)
@@ -316,36 +318,54 @@ def links(spark: SparkSession, nodes: DataFrame, scheme: Scheme, sets: Callable[
     tried = tried.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     both = tried.join(whole.select(F.col("node").alias("a"), F.col("whole").alias("wa")), "a").join(whole.select(F.col("node").alias("b"), F.col("whole").alias("wb")), "b")
     roots = graph.components(spark, verify(common.written(spark, both.select("a", "b", "wa", "wb").mapInArrow(allowed, "a long, b long"), "close")))
+    extra: list[DataFrame] = []
+
     def placed(some: DataFrame) -> DataFrame:
         return common.written(spark, some.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root"), "nodes")
 
     def one_way(pairs: DataFrame) -> DataFrame:
         return pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-    def left(places: DataFrame) -> DataFrame:
+    def left(places: DataFrame, now: DataFrame) -> DataFrame:
         """The rows of these places with what is known of their nodes now."""
-        return dealt(places.join(placed(nodes.join(places.select("node").distinct(), "node", "left_semi")), "node").select("band", "node", "s0", "s1", "comp", "side", "lane", "whole"))
+        return dealt(places.join(now, "node").select("band", "node", "s0", "s1", "comp", "side", "lane", "whole"))
+
+    def known(places: DataFrame) -> DataFrame:
+        return placed(nodes.join(places.select("node").distinct(), "node", "left_semi"))
+
+    def as_links() -> DataFrame:
+        found = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        for more in extra:
+            found = found.unionByName(more)
+        return found
 
-    as_links = lambda: roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-    places = dealt(met(placed(nodes), ["node", "s0", "s1", "comp", "lane"]).select("band", "node", "s0", "s1", "comp", "side", "lane")).mapInArrow(active, "band long, node long, side long, lane int")
+    now = placed(nodes)
+    places = dealt(met(now, ["node", "s0", "s1", "comp", "lane"]).select("band", "node", "s0", "s1", "comp", "side", "lane")).mapInArrow(active, "band long, node long, side long, lane int")
     places = common.written(spark, places, "places")
+    common.drop(now)
     for turn in range(MIDDLE_ROUNDS):
         if places.isEmpty():
             return as_links()
         own = F.pmod("lane", F.lit(MIDDLE_ROUNDS)) == turn
-        found = common.written(spark, left(places.filter(own)).mapInArrow(likeliest, "band long, a long, b long, like long"), "likeliest")
+        now = known(places.filter(own))
+        found = common.written(spark, left(places.filter(own), now).mapInArrow(likeliest, "band long, a long, b long, like long"), "likeliest")
+        common.drop(now)
         # open pairs only become fewer: a place without any now has none later
         still = places.filter(own).join(found.select("band", F.col("a").alias("node")), ["band", "node"], "left_semi")
-        places = common.written(spark, places.filter(~own).unionByName(still), "places")
-        one = found.groupBy("a").agg(F.max_by("b", F.struct("like", "b")).alias("b"))
-        more = verify(common.written(spark, one_way(one), "close"))
-        if more.isEmpty():
+        before, places = places, common.written(spark, places.filter(~own).unionByName(still), "places")
+        common.drop(before)
+        close = common.written(spark, one_way(found.groupBy("a").agg(F.max_by("b", F.struct("like", "b")).alias("b"))), "close")
+        tries, more = close.count(), verify(close)
+        extra.append(more)
+        if more.count() <= MIDDLE_YIELD * tries:  # the last round takes the rest; a few links more or less change little there
             break
-        roots = graph.components(spark, as_links().unionByName(more))
-    rest = left(places)
+        roots, extra = graph.components(spark, as_links()), []
+    now = known(places)
+    rest = left(places, now)
     if sets is None:
         return as_links().unionByName(common.written(spark, one_way(rest.mapInArrow(every_pair, "a long, b long")), "close"))
     lists = common.written(spark, rest.mapInArrow(partners, "a long, root long, partners array<long>"), "partners")
+    common.drop(now, places)
     return as_links().unionByName(_compared(spark, lists, sets, similarity, cluster))
 
 
@@ -368,7 +388,9 @@ def _compared(spark: SparkSession, lists: DataFrame, sets: Callable[[DataFrame],
 
     found = here.mapInArrow(compare, "a long, b long")
     if large.isEmpty():
-        return common.written(spark, found, "similar")
+        found = common.written(spark, found, "similar")
+        common.drop(own)
+        return found
     apart = asked.join(large, "cluster", "left_semi").select("a", F.explode("partners").alias("b"))
     return common.written(spark, found, "similar").unionByName(similar(spark, apart, lambda nodes: own.select("node", "shingles").join(nodes, "node", "left_semi"), similarity))
 
@@ -436,4 +458,6 @@ def similar(spark: SparkSession, close: DataFrame, sets: Callable[[DataFrame], D
     own = common.written(spark, sets(asked), "sets")
     both = close.join(own.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(own.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
     shared = F.size(F.array_intersect("sa", "sb"))
-    return common.written(spark, both.filter(shared / (F.size("sa") + F.size("sb") - shared) >= similarity).select("a", "b"), "similar")
+    found = common.written(spark, both.filter(shared / (F.size("sa") + F.size("sb") - shared) >= similarity).select("a", "b"), "similar")
+    common.drop(asked, own)
+    return found

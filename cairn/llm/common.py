@@ -10,13 +10,16 @@ from cairn.shared import fresh_path
 
 #: Bytes of an Arrow batch on its way to a Python worker, where the session has not set its own.
 ARROW_BYTES = 4 << 20
+#: Spark removes the shuffle files of a query when it ends, not when the driver happens to collect its garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def prepare(spark: SparkSession) -> None:
     """Executors can import the package, and long texts don't pile up in one Arrow batch."""
     shipping.ensure(spark)
-    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+    for name, value in (("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES)), (SHUFFLE_CLEANUP, "true")):
+        if spark.conf.get(name, None) is None:
+            spark.conf.set(name, value)
 
 
 def written(spark: SparkSession, df: DataFrame, tag: str, path: str | None = None) -> DataFrame:
@@ -37,6 +40,13 @@ def drop_path(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def drop(*tables: DataFrame) -> None:
+    """Remove written tables that nothing reads any more."""
+    for each in tables:
+        for path in {f.rsplit("/", 1)[0] for f in each.inputFiles()}:
+            drop_path(each.sparkSession, path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

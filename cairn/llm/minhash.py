@@ -166,11 +166,12 @@ def groups(
     body = F.col(text).cast("string")
     texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(body).alias("h"), body.alias("text"))
     every = common.written(spark, _sets(texts, shingle, True), "minhash")
-    rows = every.select("doc_id", "h", "node", "n_shingles")
+    rows = common.written(spark, every.select("doc_id", "h", "node", "n_shingles"), "minhash-rows")
     # one text stands for a node: of its rows, that with the smallest key (nulls last)
     own = F.min_by(F.struct("doc_id", "h"), F.struct(F.col("doc_id").isNull(), "doc_id", "h"))
     nodes = every.filter("n_shingles > 0").groupBy("node", "s0", "s1").agg(F.min("doc_id").alias("first"), own.alias("own"), F.max("whole").alias("whole"))
     nodes = common.written(spark, nodes, "minhash-nodes")
+    common.drop(every)
 
     def sets(asked: DataFrame) -> DataFrame:
         wanted = common.written(spark, nodes.join(asked, "node", "left_semi").select(F.col("own.doc_id").alias("_doc"), F.col("own.h").alias("_h")), "wanted")
