@@ -34,6 +34,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +51,8 @@ MIDDLE_ROUNDS = 4
 MIDDLE_YIELD = 0.05
 #: Hashes (of 8 bytes) of all sets of a cluster that one task compares.
 CLUSTER = 4_000_000
+#: Rows of (node) or (node, root) up to which a table is broadcast.
+KEYS = 500_000
 PIVOTS = np.random.default_rng(20240607).integers(0, 2**64, size=16, dtype=np.uint64)
 
 
@@ -285,7 +288,7 @@ def links(spark: SparkSession, nodes: DataFrame, scheme: Scheme, sets: Callable[
     def alone(rows: DataFrame) -> DataFrame:
         """Blocks of a crowded band, each by itself."""
         block = F.xxhash64("band", F.pmod(F.xxhash64("node", "band"), blocks("n")))
-        return rows.join(large, "band", "left").withColumn("band", F.when(F.col("n").isNull(), F.col("band")).otherwise(block)).drop("n")
+        return rows.join(common.few(large), "band", "left").withColumn("band", F.when(F.col("n").isNull(), F.col("band")).otherwise(block)).drop("n")
 
     def met(source: DataFrame, names: list[str]) -> DataFrame:
         """(band, *names, side) for the later rounds: the rows of every band that may hold open pairs."""
@@ -321,7 +324,7 @@ def links(spark: SparkSession, nodes: DataFrame, scheme: Scheme, sets: Callable[
     extra: list[DataFrame] = []
 
     def placed(some: DataFrame) -> DataFrame:
-        return common.written(spark, some.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root"), "nodes")
+        return common.written(spark, some.join(common.few(roots, KEYS), "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root"), "nodes")
 
     def one_way(pairs: DataFrame) -> DataFrame:
         return pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -331,7 +334,8 @@ def links(spark: SparkSession, nodes: DataFrame, scheme: Scheme, sets: Callable[
         return dealt(places.join(now, "node").select("band", "node", "s0", "s1", "comp", "side", "lane", "whole"))
 
     def known(places: DataFrame) -> DataFrame:
-        return placed(nodes.join(places.select("node").distinct(), "node", "left_semi"))
+        wanted = common.written(spark, places.select("node").distinct(), "known")
+        return placed(nodes.join(common.few(wanted, KEYS), "node", "left_semi"))
 
     def as_links() -> DataFrame:
         found = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
@@ -381,7 +385,7 @@ def _compared(spark: SparkSession, lists: DataFrame, sets: Callable[[DataFrame],
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        for batch in (*batches, None):
+        for batch in chain(batches, (None,)):
             ready, held = _whole_clusters(held, batch)
             if ready is not None:
                 yield _pairs(*_similar_in(ready, similarity))

@@ -174,7 +174,7 @@ def groups(
     common.drop(every)
 
     def sets(asked: DataFrame) -> DataFrame:
-        wanted = common.written(spark, nodes.join(asked, "node", "left_semi").select(F.col("own.doc_id").alias("_doc"), F.col("own.h").alias("_h")), "wanted")
+        wanted = common.written(spark, nodes.join(common.few(asked, few_nodes), "node", "left_semi").select(F.col("own.doc_id").alias("_doc"), F.col("own.h").alias("_h")), "wanted")
         wanted = F.broadcast(wanted) if wanted.count() <= few_nodes else wanted
         found = texts.join(wanted, [F.col("doc_id").eqNullSafe(F.col("_doc")), F.col("h") == F.col("_h")], "left_semi")
         return _sets(found, shingle, False).select("node", "shingles").dropDuplicates(["node"])
