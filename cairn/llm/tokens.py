@@ -2,7 +2,8 @@
 
 The tokenizer file lower-cases, drops white space and splits text into letter
 runs, single digits and symbol runs; BPE then works inside each of those
-pre-tokens alone.  So a pre-token's ids can be looked up, and only new
+pre-tokens alone.  So the ids of a pre-token, and of a run of them without white
+space, can be looked up, and only new
 pre-tokens go through the library, many in one call.  Texts with characters
 outside the plain set, or with special-token strings, go through the library
 whole; both paths give the same ids.
@@ -50,8 +51,47 @@ class _Index(dict):
         return number
 
 
+class _Ids:
+    """The ids of numbered keys, one after the other."""
+
+    def __init__(self):
+        self.index = _Index()
+        self.flat = np.zeros(1 << 16, dtype=np.uint32)
+        self.begin = np.zeros(1 << 14, dtype=np.int64)
+        self.size = np.zeros(1 << 14, dtype=np.int32)
+        self.used = 0
+
+    def add(self, ids: np.ndarray, begin: np.ndarray, size: np.ndarray) -> None:
+        """Ids of the newest ``len(size)`` keys, in order."""
+        n = len(self.index) - len(size)
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
+        while n + len(size) > len(self.begin):
+            self.begin = np.concatenate((self.begin, np.zeros_like(self.begin)))
+            self.size = np.concatenate((self.size, np.zeros_like(self.size)))
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.begin[n : n + len(size)] = begin + self.used
+        self.size[n : n + len(size)] = size
+        self.used += len(ids)
+
+    def of(self, at: np.ndarray) -> np.ndarray:
+        begin, size = self.begin[at], self.size[at]
+        ends = np.cumsum(size, dtype=np.int64)
+        return self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - ends + size, size)]
+
+    def forget(self, known: int, used: int) -> None:
+        """A full cache keeps what it had; the last block's new keys go."""
+        while len(self.index) > known:
+            self.index.popitem()
+        self.used = used
+
+
 class WordEncoder:
-    """Ids of whole texts as unsigned 32-bit arrays, as ``encode(text, add_special_tokens=False)``."""
+    """Ids of whole texts as unsigned 32-bit arrays, as ``encode(text, add_special_tokens=False)``.
+
+    Two caches: pre-tokens, and runs between white space, which are looked up
+    whole.  No pre-token crosses white space, so a run's ids are those of its own.
+    """
 
     #: Characters that are split before their new words are encoded in one call.
     BLOCK_CHARS = 1_000_000
@@ -65,11 +105,7 @@ class WordEncoder:
         self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
         self.special = [t.content for t in self.raw.get_added_tokens_decoder().values()]
-        self.index = _Index()
-        self.flat = np.zeros(1 << 16, dtype=np.uint32)
-        self.begin = np.zeros(1 << 14, dtype=np.int64)
-        self.size = np.zeros(1 << 14, dtype=np.int32)
-        self.used = 0
+        self.words, self.runs = _Ids(), _Ids()
 
     def _plain(self, text: str) -> bool:
         return _PLAIN.fullmatch(text) is not None and not any(s in text for s in self.special)
@@ -91,30 +127,31 @@ class WordEncoder:
         return ids, begin, last - begin
 
     def _learn(self) -> None:
-        words, self.index.new = self.index.new, []
-        ids, begin, size = self._pieces(words)
-        n = len(self.index) - len(words)
-        while self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
-        while n + len(words) > len(self.begin):
-            self.begin = np.concatenate((self.begin, np.zeros_like(self.begin)))
-            self.size = np.concatenate((self.size, np.zeros_like(self.size)))
-        self.flat[self.used : self.used + len(ids)] = ids
-        self.begin[n : n + len(words)] = begin + self.used
-        self.size[n : n + len(words)] = size
-        self.used += len(ids)
-
-    def _forget(self, known: int, used: int) -> None:
-        """A full cache keeps what it had; the last block's new words go."""
-        while len(self.index) > known:
-            self.index.popitem()
-        self.used = used
-
-    def _gather(self, at: np.ndarray) -> np.ndarray:
-        begin, size = self.begin[at], self.size[at]
-        total = int(size.sum())
-        ends = np.cumsum(size, dtype=np.int64)
-        return self.flat[np.arange(total) + np.repeat(begin - ends + size, size)]
+        """The ids of the new runs, from their words'."""
+        runs, self.runs.index.new = self.runs.index.new, []
+        known, used, get = len(self.words.index), self.words.used, self.words.index.__getitem__
+        words = [_SPLIT.findall(run) for run in runs]
+        at = np.fromiter((get(w) for some in words for w in some), dtype=np.int32)
+        if self.words.index.new:
+            new, self.words.index.new = self.words.index.new, []
+            self.words.add(*self._pieces(new))
+        ends = np.cumsum(np.concatenate(([0], self.words.size[at])), dtype=np.int64)[np.cumsum([0, *map(len, words)])]
+        self.runs.add(self.words.of(at), ends[:-1], np.diff(ends))
+        if len(self.words.index) > self.cache_words:
+            self.words.forget(known, used)
+
+    def _places(self, texts: list[str]) -> list[np.ndarray | None]:
+        """For each text the numbers of its runs, whose ids are known then; none for a text that goes through the library."""
+        get, found = self.runs.index.__getitem__, []
+        for text in texts:
+            if self._plain(text):
+                runs = text.lower().split()
+                found.append(np.fromiter(map(get, runs), dtype=np.int32, count=len(runs)))
+            else:
+                found.append(None)
+        if self.runs.index.new:
+            self._learn()
+        return found
 
     def encode_many(self, texts):
         """The ids of each text (null: none), in order."""
@@ -129,37 +166,19 @@ class WordEncoder:
         yield from self._encode_block(block)
 
     def _encode_block(self, texts: list[str]):
-        known, used, get = len(self.index), self.used, self.index.__getitem__
-        found: list[np.ndarray | None] = []
-        for text in texts:
-            if self._plain(text):
-                words = _SPLIT.findall(text.lower())
-                found.append(np.fromiter(map(get, words), dtype=np.int32, count=len(words)))
-            else:
-                found.append(None)
-        if self.index.new:
-            self._learn()
-        for text, at in zip(texts, found):
-            yield self.whole(text) if at is None else self._gather(at)
-        if len(self.index) > self.cache_words:
-            self._forget(known, used)
+        known, used = len(self.runs.index), self.runs.used
+        for text, at in zip(texts, self._places(texts)):
+            yield self.whole(text) if at is None else self.runs.of(at)
+        if len(self.runs.index) > self.cache_words:
+            self.runs.forget(known, used)
 
     def encode(self, text: str | None) -> np.ndarray:
         return next(self._encode_block([text or ""]))
 
     def count_many(self, texts: list[str]) -> list[int]:
         """How many ids each text has."""
-        known, used, get = len(self.index), self.used, self.index.__getitem__
-        found: list[np.ndarray | None] = []
-        for text in texts:
-            if self._plain(text):
-                words = _SPLIT.findall(text.lower())
-                found.append(np.fromiter(map(get, words), dtype=np.int32, count=len(words)))
-            else:
-                found.append(None)
-        if self.index.new:
-            self._learn()
-        counts = [len(self.whole(text)) if at is None else int(self.size[at].sum()) for text, at in zip(texts, found)]
-        if len(self.index) > self.cache_words:
-            self._forget(known, used)
+        known, used = len(self.runs.index), self.runs.used
+        counts = [len(self.whole(text)) if at is None else int(self.runs.size[at].sum()) for text, at in zip(texts, self._places(texts))]
+        if len(self.runs.index) > self.cache_words:
+            self.runs.forget(known, used)
         return counts

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from cairn.llm import graph
+from cairn.llm import graph, tokens
 
 
 def roots_of(links):
@@ -54,3 +54,25 @@ def test_a_share_of_links_needs_no_rounds(spark, monkeypatch):
     found = graph.components(spark, spark.createDataFrame([(i, i + 1) for i in range(400)], "a long, b long"))
     assert {(r["node"], r["root"]) for r in found.collect()} == {(i, 0) for i in range(1, 401)}
     assert tags == ["links"]
+
+
+def test_known_runs_are_not_split_again(monkeypatch):
+    """Runs between white space are looked up whole, with the library's ids; a full cache changes nothing."""
+    class Split:
+        calls = 0
+
+        def findall(self, text):
+            Split.calls += 1
+            return found(text)
+
+    found = tokens._SPLIT.findall
+    monkeypatch.setattr(tokens, "_SPLIT", Split())
+    texts = ["Don't stop, it's 3.14\n(or \"so\")...", "Über-große  it's 2x4", "it's\t3.14 ((", "", " \n"]
+    for cache_words in (1, 250_000):
+        enc = tokens.WordEncoder(tokens.vocab_path(), cache_words=cache_words)
+        for _ in range(3):
+            assert [x.tolist() for x in enc.encode_many(texts)] == [enc.whole(t).tolist() for t in texts]
+            assert enc.count_many(texts) == [len(enc.whole(t)) for t in texts]
+    before = Split.calls
+    list(enc.encode_many(texts))
+    assert Split.calls == before
