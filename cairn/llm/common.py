@@ -12,14 +12,21 @@ from cairn.shared import fresh_path
 ARROW_BYTES = 4 << 20
 #: Spark removes the shuffle files of a query when it ends, not when the driver happens to collect its garbage.
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: With that, no stage may outlive its query: its tasks would hold cores for minutes, asking for files that are gone.
+#: This rule leaves stages running whose result an empty side of a join makes needless.
+EXCLUDED_RULES = "spark.sql.adaptive.optimizer.excludedRules"
+EMPTY_SIDES = "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation"
 
 
 def prepare(spark: SparkSession) -> None:
-    """Executors can import the package, and long texts don't pile up in one Arrow batch."""
+    """Executors can import the package, long texts don't pile up in one Arrow batch, and a query leaves neither shuffle files nor stages behind."""
     shipping.ensure(spark)
     for name, value in (("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES)), (SHUFFLE_CLEANUP, "true")):
         if spark.conf.get(name, None) is None:
             spark.conf.set(name, value)
+    excluded = spark.conf.get(EXCLUDED_RULES, None) or ""
+    if EMPTY_SIDES not in excluded:
+        spark.conf.set(EXCLUDED_RULES, ",".join(filter(None, (excluded, EMPTY_SIDES))))
 
 
 def written(spark: SparkSession, df: DataFrame, tag: str, path: str | None = None) -> DataFrame:

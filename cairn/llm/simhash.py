@@ -346,8 +346,9 @@ def _keep_least(spark: SparkSession, docs: DataFrame, rows: DataFrame, component
     first = own.groupBy("root").agg(F.min(F.struct("doc_id", "h")).alias("f")).select("f.doc_id", "f.h")
     names = {"doc_id": F.col(key).cast("long"), "h": F.xxhash64(F.col(text).cast("string"))}
     kept = common.without_rows(docs, own.join(first, ["doc_id", "h"], "left_anti"), names, drop_rows)
-    again = own.filter("n > 1").join(first, ["doc_id", "h"], "left_semi")
-    if again.isEmpty():
+    repeated = own.filter("n > 1")
+    if repeated.isEmpty():
         return kept
+    again = repeated.join(first, ["doc_id", "h"], "left_semi")
     once = kept.join(again.select(F.col("doc_id").alias("_out_doc_id"), F.col("h").alias("_out_h")), [names["doc_id"].eqNullSafe(F.col("_out_doc_id")), names["h"].eqNullSafe(F.col("_out_h"))], "left_semi")
     return common.without_rows(kept, again, names, drop_rows).unionByName(once.withColumns({"_out_doc_id": names["doc_id"], "_out_h": names["h"]}).dropDuplicates(["_out_doc_id", "_out_h"]).drop("_out_doc_id", "_out_h"))
