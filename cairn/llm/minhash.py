@@ -33,6 +33,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,23 +52,69 @@ _VALUES = BANDS * ROWS
 _RNG = np.random.default_rng(20250117)
 _MULTIPLY = (_RNG.integers(0, 2**32, size=_VALUES, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
 _ADD = _RNG.integers(0, 2**32, size=_VALUES, dtype=np.uint64).astype(np.uint32)
+_SPACE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+#: Bytes of a word up to which words are hashed together, and what is read of eight bytes if fewer are a word's.
+_LONG = 64
+_BYTES = np.array([2 ** (8 * i) - 1 for i in range(9)], dtype=np.uint64)
 
 
 def shingle_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the text's shingles."""
+    return shingle_sets(pa.array([(text or "").encode("utf-8", "surrogatepass")], pa.binary()), shingle)[0]
+
+
+def shingle_sets(texts: pa.Array, shingle: int = SHINGLE) -> list[np.ndarray]:
+    """``shingle_set`` of each text; words and runs are hashed for all of them at once."""
+    h, count = word_hashes(texts)
+    run = np.zeros(max(len(h) - shingle + 1, 0), dtype=np.uint64)
+    out, first = [], 0
+    with np.errstate(over="ignore"):
+        for i in range(shingle):  # a word's place counts; runs that cross two texts are not taken
+            run = _mixed(run + h[i : i + len(run)])
+        for n in count.tolist():
+            if n >= shingle:
+                out.append(np.unique(run[first : first + n - shingle + 1]))
+            elif n:
+                own = h[first : first + n]
+                out.append(np.array([_mixed(np.bitwise_xor.reduce(own * (np.arange(n, dtype=np.uint64) * np.uint64(2) + np.uint64(3))))], dtype=np.uint64))
+            else:
+                out.append(np.zeros(0, dtype=np.uint64))
+            first += n
+    return out
+
+
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts in order, and how many words each text has.
+
+    Words of up to ``_LONG`` bytes are mixed eight bytes at a time, all together
+    (up to eight bytes, words of one length never collide); longer ones by XXH64.
+    """
     from xxhash import xxh64_intdigest
 
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.zeros(0, dtype=np.uint64)
-    h = np.fromiter((xxh64_intdigest(w, SEED) for w in words), dtype=np.uint64, count=len(words))
+    texts = pc.fill_null(texts.cast(pa.large_binary()), b"")
+    _, offsets, data = texts.buffers()
+    ends = np.frombuffer(offsets, dtype=np.int64, count=texts.offset + len(texts) + 1)[texts.offset :] if offsets is not None else np.zeros(1, dtype=np.int64)
+    ends = ends - (first := int(ends[0]))
+    n = int(ends[-1])
+    if not n:
+        return np.zeros(0, dtype=np.uint64), np.zeros(len(texts), dtype=np.int64)
+    body = data[first : first + n].to_pybytes().lower() + bytes(8)
+    inside = ~_SPACE[np.frombuffer(body, dtype=np.uint8, count=n)]
+    edge = np.zeros(n + 1, dtype=bool)  # where a text begins or ends, or a white space does
+    edge[1:n] = inside[1:] != inside[:-1]
+    edge[ends] = True
+    begin = np.flatnonzero(inside & edge[:n])
+    size = np.flatnonzero(inside & edge[1:]) + 1 - begin
+    eight = np.ndarray(n + 1, dtype="<u8", buffer=body, strides=(1,))
     with np.errstate(over="ignore"):
-        if len(words) < shingle:
-            return np.array([_mixed(np.bitwise_xor.reduce(h * (np.arange(len(h), dtype=np.uint64) * np.uint64(2) + np.uint64(3))))], dtype=np.uint64)
-        run = np.zeros(len(h) - shingle + 1, dtype=np.uint64)
-        for i in range(shingle):  # a word's place counts
-            run = _mixed(run + h[i : len(h) - shingle + 1 + i])
-    return np.unique(run)
+        h = _mixed(size.astype(np.uint64) + np.uint64(SEED))
+        left = np.flatnonzero(size <= _LONG)
+        for at in range(0, _LONG, 8):
+            left = left[size[left] > at] if at else left
+            h[left] = _mixed(h[left] ^ (eight[begin[left] + at] & _BYTES[np.minimum(size[left] - at, 8)]))
+    for i in np.flatnonzero(size > _LONG).tolist():
+        h[i] = xxh64_intdigest(body[begin[i] : begin[i] + size[i]], SEED)
+    return h, np.diff(np.searchsorted(begin, ends))
 
 
 def _mixed(z):
@@ -86,9 +133,9 @@ def signature(h: np.ndarray) -> np.ndarray:
 
 
 def sketch(values: np.ndarray) -> np.ndarray:
-    """Two longs: one bit of each of the first 128 values, mixed so that equal bits of different values are chance."""
-    mixed = values[:128] * np.uint32(0x9E3779B1)
-    return np.packbits(mixed >> np.uint32(31), bitorder="little").view("<i8")
+    """Two longs: one bit of each of the first 128 values (of each row), mixed so that equal bits of different values are chance."""
+    mixed = values[..., :128] * np.uint32(0x9E3779B1)
+    return np.packbits(mixed >> np.uint32(31), axis=-1, bitorder="little").view("<i8")
 
 
 def _below(n: int, p: float, m: int) -> float:
@@ -131,7 +178,8 @@ def scheme(similarity: float = SIMILARITY, miss: float = MISS) -> bands.Scheme:
         return (a.reshape(-1, BANDS, ROWS) == b.reshape(-1, BANDS, ROWS)).all(axis=2).argmax(axis=1)
 
     def keys(count: int, width: int):
-        return F.array(*[F.xxhash64(F.lit(i), *[F.col("whole")[i * width + j] for j in range(width)]) for i in range(count)])
+        # written out lane by lane this is one method too long for the JVM to compile
+        return F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda i: F.xxhash64(i, *[F.get("whole", i * width + j) for j in range(width)]))
 
     return bands.Scheme(keys(BANDS, ROWS), keys(_VALUES // _FINER, _FINER), FIRST_BANDS, most_apart(128, similarity, miss), plausible, likeness, first_shared)
 
@@ -143,15 +191,16 @@ def _sets(texts: DataFrame, shingle: int, values: bool) -> DataFrame:
         from xxhash import xxh64_intdigest
 
         for batch in common.sliced(batches, 2):
-            sets = [shingle_set(t, shingle) for t in batch.column(2).to_pylist()]
+            sets = shingle_sets(batch.column(2), shingle)
             nodes = np.array([xxh64_intdigest(s.tobytes(), SEED) if len(s) else 0 for s in sets], dtype=np.uint64).view(np.int64)
             columns = [batch.column(0), batch.column(1), pa.array(nodes), pa.array([len(s) for s in sets], pa.int64())]
             if not values:
                 yield pa.RecordBatch.from_arrays([*columns, pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["doc_id", "h", "node", "n_shingles", "shingles"])
                 continue
-            each = [signature(s) for s in sets]
-            bits = np.array([sketch(v) for v in each], dtype=np.int64).reshape(-1, 2)
-            columns += [pa.array(bits[:, 0]), pa.array(bits[:, 1]), pa.array([v.view(np.int32) for v in each], pa.list_(pa.int32()))]
+            each = np.array([signature(s) for s in sets], dtype=np.uint32).reshape(-1, _VALUES)
+            bits = sketch(each)
+            whole = pa.ListArray.from_arrays(pa.array(np.arange(len(each) + 1, dtype=np.int32) * _VALUES), pa.array(each.reshape(-1).view(np.int32)))
+            columns += [pa.array(bits[:, 0]), pa.array(bits[:, 1]), whole]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "h", "node", "n_shingles", "s0", "s1", "whole"])
 
     out = "doc_id long, h long, node long, n_shingles long, " + ("s0 long, s1 long, whole array<int>" if values else "shingles array<long>")
