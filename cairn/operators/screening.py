@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cairn import shared
 from cairn.functions import scalar
 from cairn.functions.temporal import DATE_ONLY, TIMESTAMP, boundaries, day, days_from, in_look_back, inclusive_end
 from cairn.operators import joins
@@ -182,14 +183,16 @@ SOURCES = ("measured_pre_index", "calculated_height_weight", "measured_index_enc
 
 def anthropometrics(vitals: DataFrame) -> DataFrame:
     """``vitals`` (concept, value, unit, ...) with ``normalised`` and ``plausible``; an unknown unit gives null, and false."""
-    table = lambda pick: F.create_map(*[F.lit(x) for concept, factors in UNITS.items() for unit, factor in factors.items() for x in (f"{concept}|{unit}", pick(factor))])
-    key = F.concat_ws("|", "concept", F.lower(F.trim(F.coalesce("unit", F.lit("")))))
+    unit, concept = F.lower(F.trim(F.coalesce("unit", F.lit("")))), F.col("concept")
     # hundredths divide, as 0.01 isn't a binary number
-    out = scalar.number(F.col("value")) * table(lambda f: 1.0 if f == 0.01 else f)[key] / table(lambda f: 100.0 if f == 0.01 else 1.0)[key]
-    fits = F.lit(False)
-    for concept, (low, high) in RANGES.items():
-        fits = F.when(F.col("concept") == concept, F.coalesce(F.col("normalised").between(low, high), F.lit(False))).otherwise(fits)
-    return vitals.withColumn("normalised", out).withColumn("plausible", fits)
+    table = lambda c, pick: F.create_map(*[F.lit(x) for name, factor in UNITS[c].items() for x in (name, pick(factor))])[unit]
+    for_concept = lambda value: reduce(lambda rest, c: rest.when(concept == c, value(c)), UNITS, F)
+    times = for_concept(lambda c: table(c, lambda f: 1.0 if f == 0.01 else f))
+    parts = for_concept(lambda c: table(c, lambda f: 100.0 if f == 0.01 else 1.0) if 0.01 in UNITS[c].values() else F.lit(1.0))
+    out = scalar.number(F.col("value")) * times / parts
+    fits = F.coalesce(F.col("normalised").between(*[for_concept(lambda c: F.lit(RANGES[c][side])) for side in (0, 1)]), F.lit(False))  # noqa: B023
+    # exploded, so that filters on it aren't rewritten to work it out once for each bound: too long a method for the JVM to compile
+    return vitals.withColumn("normalised", F.explode(F.array(out))).withColumn("plausible", fits)
 
 
 def calculated_bmi(normalised: DataFrame, *, hours: int = 24) -> DataFrame:
@@ -213,9 +216,15 @@ def choose_bmi(index: DataFrame, vitals: DataFrame, *, look_back: int = 365, fal
     calculated from weight and height, then measured ones later in the index
     encounter; inside a source the nearest in time.  Look-backs are joined by time
     cells, so a patient's whole history never meets.
+
+    The index rows and the plausible values, which several joins read, are written
+    once to the shared folder: neither is worked out again for each of them.
     """
-    normalised = anthropometrics(vitals)
-    measured = normalised.filter("concept = 'bmi' AND plausible").select("patient_id", "encounter_id", "ts", "kind", F.col("normalised").alias("bmi"), F.lit(None).cast("double").alias("weight_kg"), F.lit(None).cast("double").alias("height_m"), "record_id")
+    spark = index.sparkSession
+    index = shared.written(spark, index, "index")
+    normalised = anthropometrics(vitals).filter("plausible").select("patient_id", "encounter_id", "record_id", "concept", "ts", "kind", "normalised", "plausible")
+    normalised = shared.written(spark, normalised, "vitals")
+    measured = normalised.filter("concept = 'bmi'").select("patient_id", "encounter_id", "ts", "kind", F.col("normalised").alias("bmi"), F.lit(None).cast("double").alias("weight_kg"), F.lit(None).cast("double").alias("height_m"), "record_id")
     mine = index.select("index_event_id", "patient_id", F.col("encounter_id").alias("index_encounter"), "index_ts", "encounter_end", "end_kind")
     at, ts = F.col("index_ts"), F.col("ts")
     lower = F.when(_is_date(F.col("kind")), day(ts) >= days_from(day(at), -look_back)).otherwise(ts >= days_from(at, -look_back))

@@ -98,3 +98,19 @@ def test_table_catalogs_are_checked_where_they_are_read(spark):
         rules.catalog_from(spark.createDataFrame([("a", "d", "ANY", "A", "like", True)], kind)).collect()
     with pytest.raises(Exception, match="catalog: key .* is not unique"):
         rules.catalog_from(spark.createDataFrame([("a", "d", "ANY", "A", "exact", True)] * 2, kind)).collect()
+
+
+def test_values_are_normalised_once_in_compiled_code(spark):
+    """A filter on plausible values keeps to the JVM's limit of 8,000 bytes for compiled methods, and the joins read written rows; before, each value was worked out up to six times, interpreted, for each join."""
+    rows = [(1, 1, str(i), c, v, u, T, "timestamp") for i, (c, v, u) in enumerate([("bmi", "10", " KG/M²"), ("bmi", "9.99", "kg/m2"), ("weight", "1e2", "Pounds"), ("height", "180", "CM "), ("height", "70", "in"), ("height", "2.51", "m"), ("weight", "x", "kg"), ("weight", "50", None), ("pulse", "50", "kg"), (None, "50", "kg")])]
+    vitals = spark.createDataFrame(rows, "patient_id long, encounter_id long, record_id string, concept string, value string, unit string, ts timestamp_ntz, kind string")
+    out = screening.anthropometrics(vitals)
+    assert [(r["normalised"], r["plausible"]) for r in out.orderBy(F.col("record_id").cast("int")).collect()] == [
+        (10.0, True), (9.99, False), (100 * 0.45359237, True), (1.8, True), (70 * 0.0254, True), (2.51, False), (None, False), (None, False), (None, False), (None, False),
+    ]
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    made = debug.codegenStringSeq(out.filter("plausible AND concept = 'weight'").select("record_id", "normalised")._jdf.queryExecution().executedPlan())
+    assert made.size() and max(made.apply(i)._3().maxMethodCodeSize() for i in range(made.size())) < 8_000
+    index = spark.createDataFrame([("i", 1, 1, T, T + D, "timestamp")], "index_event_id string, patient_id long, encounter_id long, index_ts timestamp_ntz, encounter_end timestamp_ntz, end_kind string")
+    chosen = screening.choose_bmi(index, vitals)
+    assert "ExistingRDD" not in chosen._jdf.queryExecution().toString() and chosen.first()["bmi"] == 10.0
