@@ -9,12 +9,17 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 
+#: Bytes of a file up to which it is read for its first line together with all others.
+SCANNED_FOR_HEADERS = 128 << 20
+
+
 class SourceError(ValueError):
     """An input that can't be used: ambiguous, incomplete or of another shape."""
 
@@ -29,11 +34,15 @@ def list_files(spark: SparkSession, root: str, suffix: str = ".csv") -> list[str
     fs, where = _fs(spark, root)
     if not fs.exists(where):
         raise SourceError(f"no such folder: {root}")
-    found, it = [], fs.listFiles(where, True)
-    while it.hasNext():
-        p = it.next().getPath().toString()
-        if p.lower().endswith(suffix):
-            found.append(p)
+    # not listFiles: on a local disk it asks the system for each file's owner by a process of its own
+    found, folders = [], [where]
+    while folders:
+        for status in fs.listStatus(folders.pop()):
+            p = status.getPath()
+            if status.isDirectory():
+                folders.append(p)
+            elif (name := p.toString()).lower().endswith(suffix):
+                found.append(name)
     return sorted(found)
 
 
@@ -72,7 +81,43 @@ def header(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
     line = spark.read.text(path).limit(1).collect()
     if not line:
         return []
-    return [x.strip().strip('"').lstrip("﻿") for x in line[0][0].split(sep)]
+    return _names(line[0][0], sep)
+
+
+def _names(line: str, sep: str) -> list[str]:
+    return [x.strip().strip('"').lstrip("\ufeff") for x in line.split(sep)]
+
+
+def _plain(path: str) -> str:
+    """A path as Hadoop writes it: one slash after a scheme without a host."""
+    return re.sub(r"^(\w+):///", r"\1:/", path)
+
+
+def headers(spark: SparkSession, paths: Sequence[str], sep: str = ",") -> dict[str, list[str]]:
+    """The column names of each path: those of all files of up to ``SCANNED_FOR_HEADERS`` bytes by one job, a larger file's (or a folder's, a pattern's) by its own."""
+    if len(paths) == 1:
+        return {paths[0]: header(spark, paths[0], sep)}
+    # the rows of a file's beginning are one task's, in order
+    lines = spark.read.text(_roots(spark, paths)).filter(F.col("_metadata.file_size") <= SCANNED_FOR_HEADERS)
+    lines = lines.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"), "value", F.monotonically_increasing_id().alias("place"))
+    found = lines.filter("at = 0").groupBy("path").agg(F.min_by("value", "place").alias("line")).collect()  # a row for each file
+    first = {_plain(unquote(r["path"])): r["line"] for r in found}
+    return {p: _names(first[_plain(p)], sep) if _plain(p) in first else header(spark, p, sep) for p in paths}
+
+
+def _roots(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """What Spark is told to read for these files: a folder for all that it shows, so that thousands of them are listed at once; other files by themselves."""
+    folders: dict[str, list[str]] = {}
+    for p in paths:
+        folders.setdefault(p.rpartition("/")[0], []).append(p)
+    out: list[str] = []
+    for folder, files in folders.items():
+        whole = False
+        if folder and len(files) > 1 and len(set(files)) == len(files) and not re.search(r"[\[\]{}*?\\]", folder):
+            fs, shown = _fs(spark, f"{folder}/[!_.]*")
+            whole = len(fs.globStatus(shown) or ()) == len(files)
+        out += [folder] if whole else files
+    return out
 
 
 def string_schema(columns: Sequence[str]) -> StructType:
@@ -119,15 +164,16 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[
     """CSV files as strings, by name: files with equal headers are one scan, absent columns are null, and ``_file`` names the source.
 
     Spark matches CSV columns by position, so files are grouped by their headers
-    first; short rows are padded with nulls.
+    first, all headers by one job; short rows are padded with nulls.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     groups: dict[tuple[str, ...], list[str]] = {}
+    named = headers(spark, paths, sep) if paths else {}
     for p in paths:
-        groups.setdefault(tuple(header(spark, p, sep)), []).append(p)
+        groups.setdefault(tuple(named[p]), []).append(p)
     out = None
     for names, files in groups.items():
-        part = spark.read.schema(string_schema(names)).option("header", True).option("sep", sep).option("mode", "PERMISSIVE").option("enforceSchema", True).option("emptyValue", "").option("nullValue", "").csv(files)
+        part = spark.read.schema(string_schema(names)).option("header", True).option("sep", sep).option("mode", "PERMISSIVE").option("enforceSchema", True).option("emptyValue", "").option("nullValue", "").csv(_roots(spark, files))
         part = part.withColumn("_file", F.col("_metadata.file_path"))
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     if out is None:

@@ -180,3 +180,33 @@ def test_manifest_stage_and_publish(spark, tmp_path):
     (tmp_path / ".git").mkdir()
     with pytest.raises(readers.SourceError):
         writers.refuse_inside_worktree(f"{root}/deep/er")
+
+
+def test_many_csv_files_are_few_jobs(spark, tmp_path):
+    """200 files take a handful of jobs, not one each for their headers; other headers, odd names, empty and large files keep their columns."""
+    path = writers.split_csv(spark.range(2_000).selectExpr("id", "id % 7 AS code"), f"file://{tmp_path}/split", 10)
+    files = readers.list_files(spark, path)
+    spark.sparkContext.setJobGroup("many files", "")
+    try:
+        rows = readers.row_counts(readers.read_csv(spark, files)).agg(F.sum("rows"), F.max("rows"), F.count("*")).first()
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("many files"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(files) >= 200 and tuple(rows) == (2_000, 10, len(files)) and jobs < 20
+
+    mixed = tmp_path / "a %41 b" / "deep"
+    mixed.mkdir(parents=True)
+    texts = {"x 1.csv": "id,name\n1,a\n", "y+2.CSV": '"name","id"\nb,2\n', "z%20.csv": "id,other\n3,c\n\n4,d\n", "none.csv": "", "_hidden.txt": "id\n9\n"}
+    for name, text in texts.items():
+        (mixed / name).write_text(text)
+    found = readers.list_files(spark, f"file://{tmp_path}/a %41 b")
+    assert [f.rsplit("/", 1)[-1] for f in found] == sorted(n for n in texts if n.lower().endswith(".csv"))
+    for most in (readers.SCANNED_FOR_HEADERS, 13):
+        before, readers.SCANNED_FOR_HEADERS = readers.SCANNED_FOR_HEADERS, most
+        try:
+            assert {f.rsplit("/", 1)[-1]: n for f, n in readers.headers(spark, found).items()} == {"x 1.csv": ["id", "name"], "y+2.CSV": ["name", "id"], "z%20.csv": ["id", "other"], "none.csv": []}
+            out = readers.read_csv(spark, found, ["id", "name", "other"])
+            assert sorted(tuple(r)[:3] for r in out.collect()) == [("1", "a", None), ("2", "b", None), ("3", None, "c"), ("4", None, "d")]
+            assert out.select("_file").distinct().count() == 3
+        finally:
+            readers.SCANNED_FOR_HEADERS = before
